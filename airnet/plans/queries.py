@@ -80,3 +80,358 @@ def q_rolling_peaks_two_sided(spark, sf):
     out = anomalies.rolling_peaks(ev, EV_KEY, EV_ORDER, "neg_value", 24, threshold=2.5, sided="both")
     return out.select("user_id", "event_id", "ts", "neg_value",
                       r6("neg_value_zscore").alias("neg_value_zscore"))
+
+
+# --------------------------------------------------------------------------- cleaning (C1-C4)
+from airnet.operators import aggregates, joins, profile, reshape, spatial, windows  # noqa: E402
+
+
+def _events_with_nulls(spark, sf):
+    """events with NULLs injected from the data itself: ``event_type`` NULL for errors,
+    ``value`` NULL for cheap views (the driver tables hold no NULLs)."""
+    ev = _events(spark, sf)
+    return ev.select(
+        "event_id", "ts", "user_id",
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type"),
+        F.when(~((F.col("event_type") == "view") & (F.col("value") < 5.0)), F.col("value")).alias("value"))
+
+
+_EV_NULLS_SQL = """(SELECT event_id, ts, user_id, nullif(event_type, 'error') AS event_type,
+        CASE WHEN event_type = 'view' AND value < 5.0 THEN NULL ELSE value END AS value
+   FROM events)"""
+
+
+@register("clean_rows", f"""
+SELECT * FROM {_EV_NULLS_SQL}
+WHERE event_id IS NOT NULL AND ts IS NOT NULL AND user_id IS NOT NULL
+  AND event_type IS NOT NULL AND value IS NOT NULL
+""")
+def q_clean_rows(spark, sf):
+    return reshape.drop_nulls(_events_with_nulls(spark, sf))
+
+
+@register("clean_rows_subset", f"SELECT * FROM {_EV_NULLS_SQL} WHERE value IS NOT NULL")
+def q_clean_rows_subset(spark, sf):
+    return reshape.drop_nulls(_events_with_nulls(spark, sf), ["value"])
+
+
+@register("dedup_rows", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+def q_dedup_rows(spark, sf):
+    li = load_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return reshape.drop_dups(li)
+
+
+@register("dedup_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber
+""")
+def q_dedup_keys(spark, sf):
+    # duplicate census by key: how many copies each kept row had
+    li = load_table(spark, sf, "lineitem")
+    return li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@register("profile_nulls", f"""
+SELECT 'event_id' AS "column", avg(CASE WHEN event_id IS NULL THEN 1.0 ELSE 0.0 END) AS null_fraction, count(*) AS rows FROM {_EV_NULLS_SQL}
+UNION ALL SELECT 'ts', avg(CASE WHEN ts IS NULL THEN 1.0 ELSE 0.0 END), count(*) FROM {_EV_NULLS_SQL}
+UNION ALL SELECT 'user_id', avg(CASE WHEN user_id IS NULL THEN 1.0 ELSE 0.0 END), count(*) FROM {_EV_NULLS_SQL}
+UNION ALL SELECT 'event_type', avg(CASE WHEN event_type IS NULL THEN 1.0 ELSE 0.0 END), count(*) FROM {_EV_NULLS_SQL}
+UNION ALL SELECT 'value', avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END), count(*) FROM {_EV_NULLS_SQL}
+""")
+def q_profile_nulls(spark, sf):
+    return profile.profile_nulls(_events_with_nulls(spark, sf))
+
+
+def _documents_profiled(spark, sf):
+    d = load_table(spark, sf, "documents")
+    return d.select("doc_id", "n_chars", F.length("text").cast("long").alias("text_chars"),
+                    "lang", "source", F.concat_ws("", "lang", "source").alias("lang_source"))
+
+
+_DOCS_SQL = """(SELECT doc_id, n_chars, CAST(length(text) AS BIGINT) AS text_chars, lang, source,
+        concat_ws('', lang, source) AS lang_source FROM documents)"""
+
+
+def _pairs_sql(pairs):
+    return "\nUNION ALL ".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, bool_and({a} IS NOT DISTINCT FROM {b}) AS equal FROM {_DOCS_SQL}"
+        for a, b in pairs)
+
+
+@register("profile_equal_columns", _pairs_sql(
+    [("doc_id", "n_chars"), ("doc_id", "text_chars"), ("n_chars", "text_chars"),
+     ("lang", "source"), ("lang", "lang_source"), ("source", "lang_source")]))
+def q_profile_equal_columns(spark, sf):
+    return profile.profile_equal_columns(_documents_profiled(spark, sf))
+
+
+@register("profile_concat_columns", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{a}' AS part_a, '{b}' AS part_b, "
+    f"bool_and({c} IS NOT DISTINCT FROM concat_ws('', {a}, {b})) AS is_concat FROM {_DOCS_SQL}"
+    for c, a, b in [("lang", "source", "lang_source"), ("lang", "lang_source", "source"),
+                    ("source", "lang", "lang_source"), ("source", "lang_source", "lang"),
+                    ("lang_source", "lang", "source"), ("lang_source", "source", "lang")]))
+def q_profile_concat_columns(spark, sf):
+    return profile.profile_concat_columns(
+        _documents_profiled(spark, sf).select("lang", "source", "lang_source"))
+
+
+# --------------------------------------------------------------------------- parsing (C7, C9, C10)
+def _ts_text(spark, sf):
+    """A text column mixing ``yyyy-MM-dd HH:mm:ssZ`` stamps with non-date text (props)."""
+    ev = load_table(spark, sf, "events")
+    txt = F.when(F.col("event_type") == "error", F.col("props")).otherwise(
+        F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("Z")))
+    return ev.select("event_id", "event_type", txt.alias("datetime"))
+
+
+_TS_TEXT_SQL = """(SELECT event_id, event_type,
+        CASE WHEN event_type = 'error' THEN props ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') || 'Z' END AS datetime
+   FROM events)"""
+
+
+@register("regex_filter", f"""
+SELECT event_id, event_type FROM {_TS_TEXT_SQL} WHERE regexp_matches(datetime, '^\\d{{4}}-\\d{{2}}-\\d{{2}}')
+""")
+def q_regex_filter(spark, sf):
+    return reshape.keep_matching(_ts_text(spark, sf), "datetime").select("event_id", "event_type")
+
+
+@register("parse_timestamp", f"""
+SELECT event_id, try_strptime(regexp_replace(datetime, 'Z$', ''), '%Y-%m-%d %H:%M:%S') AS datetime
+FROM {_TS_TEXT_SQL}
+""")
+def q_parse_timestamp(spark, sf):
+    return reshape.parse_utc(_ts_text(spark, sf), "datetime").select("event_id", "datetime")
+
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("wide_to_long", f"""
+SELECT day, event_type, {rsql('avg(value)')} AS value
+FROM (SELECT CAST(ts AS DATE) AS day, event_type, value FROM events)
+GROUP BY day, event_type
+""")
+def q_wide_to_long(spark, sf):
+    ev = _events(spark, sf)
+    wide = (ev.withColumn("day", F.to_date("ts")).groupBy("day")
+              .pivot("event_type", EVENT_TYPES).agg(F.avg("value")))
+    long = reshape.wide_to_long(wide, ["day"], "event_type", "value")
+    return long.select("day", "event_type", r6("value").alias("value"))
+
+
+_PRIORITY_SQL = """CASE o_orderpriority WHEN '5-LOW' THEN 1 WHEN '3-MEDIUM' THEN 2 WHEN '2-HIGH' THEN 3
+        WHEN '4-NOT SPECIFIED' THEN 0 ELSE NULL END"""
+# Ordinal levels used on the order table (same shape as the pollution levels: three
+# graded levels, one level scored 0, anything else unscored).
+PRIORITY_LEVELS = {"5-LOW": 1, "3-MEDIUM": 2, "2-HIGH": 3, "4-NOT SPECIFIED": 0}
+
+
+def _scored_orders(spark, sf):
+    o = load_table(spark, sf, "orders")
+    return reshape.ordinal_encode(o, "o_orderpriority", PRIORITY_LEVELS, "score")
+
+
+@register("ordinal_encode", f"""
+SELECT o_orderkey, o_orderpriority, CAST({_PRIORITY_SQL} AS INTEGER) AS score FROM orders
+""")
+def q_ordinal_encode(spark, sf):
+    return _scored_orders(spark, sf).select("o_orderkey", "o_orderpriority", "score")
+
+
+@register("temporal_parts", """
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(dayofweek(ts) + 1 AS INTEGER) AS "dayOfWeek",
+       CAST(month(ts) AS INTEGER) AS month, CAST(value AS DOUBLE) AS label
+FROM events
+""")
+def q_temporal_parts(spark, sf):
+    out = reshape.temporal_parts(_events(spark, sf), "ts", label_from="value")
+    return out.select("event_id", "hour", "dayOfWeek", "month", "label")
+
+
+# --------------------------------------------------------------------------- P1-P3, P7, A1-A6
+@register("filter_range", "SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_retailprice > 950")
+def q_filter_range(spark, sf):
+    p = load_table(spark, sf, "part")
+    return spatial.filter_range(p, "p_retailprice", lower=950).select("p_partkey", "p_name", "p_retailprice")
+
+
+@register("nearest_points", f"""
+WITH ref AS (SELECT p_size AS x0, p_retailprice AS y0 FROM part WHERE p_name = 'red widget'
+             ORDER BY p_partkey LIMIT 1)
+SELECT p_partkey, p_name, p_size, p_retailprice,
+       {rsql('sqrt((p_size - x0) * (p_size - x0) + (p_retailprice - y0) * (p_retailprice - y0))')} AS distance
+FROM part, ref
+ORDER BY sqrt((p_size - x0) * (p_size - x0) + (p_retailprice - y0) * (p_retailprice - y0)), p_partkey
+LIMIT 20
+""")
+def q_nearest_points(spark, sf):
+    p = load_table(spark, sf, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    out = spatial.nearest_points(p, F.col("p_name") == "red widget", "p_size", "p_retailprice",
+                                 k=20, tie=["p_partkey"])
+    return out.select("p_partkey", "p_name", "p_size", "p_retailprice", r6("distance").alias("distance"))
+
+
+@register("distinct_values", "SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL")
+def q_distinct_values(spark, sf):
+    return profile.distinct_values(load_table(spark, sf, "customer"), "c_mktsegment")
+
+
+@register("describe_columns", f"""
+SELECT {rsql('avg(p_size)')} AS p_size_avg, min(p_size) AS p_size_min, max(p_size) AS p_size_max,
+       {rsql('avg(p_retailprice)')} AS p_retailprice_avg, min(p_retailprice) AS p_retailprice_min,
+       max(p_retailprice) AS p_retailprice_max
+FROM part
+""")
+def q_describe_columns(spark, sf):
+    out = profile.describe_columns(load_table(spark, sf, "part"), ["p_size", "p_retailprice"])
+    return out.select(r6("p_size_avg").alias("p_size_avg"), "p_size_min", "p_size_max",
+                      r6("p_retailprice_avg").alias("p_retailprice_avg"),
+                      "p_retailprice_min", "p_retailprice_max")
+
+
+@register("exposure_ranking", f"""
+SELECT o_custkey, o_orderstatus, {rsql('avg(s)')} AS score_mean, max(s) AS score_max
+FROM (SELECT o_custkey, o_orderstatus, CAST({_PRIORITY_SQL} AS INTEGER) AS s FROM orders)
+GROUP BY o_custkey, o_orderstatus
+ORDER BY avg(s) DESC NULLS LAST, max(s) DESC NULLS LAST, o_custkey, o_orderstatus
+LIMIT 20
+""")
+def q_exposure_ranking(spark, sf):
+    out = aggregates.exposure_ranking(_scored_orders(spark, sf), ["o_custkey", "o_orderstatus"], "score", k=20)
+    return out.select("o_custkey", "o_orderstatus", r6("score_mean").alias("score_mean"), "score_max")
+
+
+@register("global_index", f"""
+SELECT {rsql('avg(s)')} AS score_mean, {rsql('avg(s) / 3.0 * 100.0')} AS index_0_100
+FROM (SELECT CAST({_PRIORITY_SQL} AS INTEGER) AS s FROM orders)
+""")
+def q_global_index(spark, sf):
+    out = aggregates.global_index(_scored_orders(spark, sf), "score", 3.0)
+    return out.select(r6("score_mean").alias("score_mean"), r6("index_0_100").alias("index_0_100"))
+
+
+@register("key_scores", f"""
+SELECT o_custkey AS station, {rsql('avg(s)')} AS score
+FROM (SELECT o_custkey, CAST({_PRIORITY_SQL} AS INTEGER) AS s FROM orders)
+GROUP BY o_custkey HAVING avg(s) IS NOT NULL
+""")
+def q_key_scores(spark, sf):
+    out = aggregates.key_scores(_scored_orders(spark, sf), "o_custkey", "score", out_key="station")
+    return out.select("station", r6("score").alias("score"))
+
+
+# --------------------------------------------------------------------------- J2 / A4 / P9
+_GZ_SQL = """(SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, g.m, g.s,
+        (o.o_totalprice - g.m) / nullif(g.s, 0) AS z
+   FROM orders o JOIN (SELECT o_custkey, avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS s
+                       FROM orders GROUP BY o_custkey) g ON o.o_custkey = g.o_custkey)"""
+
+
+@register("group_zscore", f"""
+SELECT o_orderkey, o_custkey, o_totalprice, {rsql('m')} AS group_mean, {rsql('s')} AS group_std,
+       {rsql('z')} AS z_score
+FROM {_GZ_SQL}
+""")
+def q_group_zscore(spark, sf):
+    o = load_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    out = anomalies.group_zscore(o, "o_custkey", "o_totalprice")
+    return out.select("o_orderkey", "o_custkey", "o_totalprice", r6("group_mean").alias("group_mean"),
+                      r6("group_std").alias("group_std"), r6("z_score").alias("z_score"))
+
+
+@register("group_outliers", f"""
+SELECT o_orderkey, o_custkey, o_totalprice, {rsql('z')} AS z_score FROM {_GZ_SQL} WHERE z > 1.5
+""")
+def q_group_outliers(spark, sf):
+    o = load_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    out = anomalies.group_outliers(o, "o_custkey", "o_totalprice", threshold=1.5)
+    return out.select("o_orderkey", "o_custkey", "o_totalprice", r6("z_score").alias("z_score"))
+
+
+# --------------------------------------------------------------------------- J1
+def _hourly(ev, kind, name):
+    return (ev.where(F.col("event_type") == kind)
+              .groupBy(F.date_trunc("hour", "ts").alias("hour"), "user_id")
+              .agg(F.avg("value").alias(name)))
+
+
+@register("full_outer_measures", f"""
+WITH v AS (SELECT date_trunc('hour', ts) AS hour, user_id, avg(value) AS view_value
+           FROM events WHERE event_type = 'view' GROUP BY 1, 2),
+     c AS (SELECT date_trunc('hour', ts) AS hour, user_id, avg(value) AS click_value
+           FROM events WHERE event_type = 'click' GROUP BY 1, 2)
+SELECT hour, user_id, {rsql('view_value')} AS view_value, {rsql('click_value')} AS click_value
+FROM v FULL OUTER JOIN c USING (hour, user_id)
+""")
+def q_full_outer_measures(spark, sf):
+    ev = _events(spark, sf)
+    out = joins.full_outer_measures(_hourly(ev, "view", "view_value"), _hourly(ev, "click", "click_value"),
+                                    ["hour", "user_id"])
+    return out.select(F.col("hour").cast("timestamp_ntz").alias("hour"), "user_id",
+                      r6("view_value").alias("view_value"), r6("click_value").alias("click_value"))
+
+
+# --------------------------------------------------------------------------- sliding windows
+WIN_DURATION, WIN_SLIDE = "6 hours", "2 hours"
+
+
+def _sensor_frame(spark, sf):
+    """events as a two-measure sensor series: ``value`` and the ``k`` number of props."""
+    ev = load_table(spark, sf, "events")
+    return ev.select("ts", "event_type", "value",
+                     F.get_json_object("props", "$.k").try_cast("double").alias("k"))
+
+
+def _win_stats_sql(where: str = "") -> str:
+    return f"""
+WITH ev AS (SELECT ts, event_type, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events),
+     w AS (SELECT time_bucket(INTERVAL 2 HOUR, ts) - INTERVAL 2 HOUR * o AS window_start, event_type, value, k
+           FROM ev, (SELECT unnest([0, 1, 2]) AS o) offs),
+     g AS (SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, event_type,
+                  avg(value) AS vm, stddev_pop(value) AS vs, max(value) AS vx,
+                  avg(k) AS km, stddev_pop(k) AS ks, max(k) AS kx
+           FROM w GROUP BY window_start, event_type),
+     z AS (SELECT *, CASE WHEN vs > 0 THEN (vx - vm) / vs ELSE 0.0 END AS vz,
+                     CASE WHEN ks > 0 THEN (kx - km) / ks ELSE 0.0 END AS kz FROM g)
+SELECT window_start, window_end, event_type,
+       {rsql('vm')} AS value_mean, {rsql('vs')} AS value_std, vx AS value_max, {rsql('vz')} AS value_zscore,
+       {rsql('km')} AS k_mean, {rsql('ks')} AS k_std, kx AS k_max, {rsql('kz')} AS k_zscore
+FROM z {where}"""
+
+
+def _round_window_stats(out):
+    return out.select("window_start", "window_end", "event_type",
+                      r6("value_mean").alias("value_mean"), r6("value_std").alias("value_std"), "value_max",
+                      r6("value_zscore").alias("value_zscore"), r6("k_mean").alias("k_mean"),
+                      r6("k_std").alias("k_std"), "k_max", r6("k_zscore").alias("k_zscore"))
+
+
+@register("window_stats", _win_stats_sql())
+def q_window_stats(spark, sf):
+    out = windows.window_stats(_sensor_frame(spark, sf), "ts", ["event_type"], ["value", "k"],
+                               duration=WIN_DURATION, slide=WIN_SLIDE)
+    return _round_window_stats(out)
+
+
+@register("window_anomalies", _win_stats_sql("WHERE vz >= 1.75 OR kz >= 1.75"))
+def q_window_anomalies(spark, sf):
+    st = windows.window_stats(_sensor_frame(spark, sf), "ts", ["event_type"], ["value", "k"],
+                              duration=WIN_DURATION, slide=WIN_SLIDE)
+    return _round_window_stats(windows.window_anomalies(st, ["value", "k"], 1.75))
+
+
+_RR_SQL = """
+WITH keys AS (SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS idx
+              FROM (SELECT DISTINCT c_name FROM customer WHERE c_name IS NOT NULL) ORDER BY c_name LIMIT 20),
+     n AS (SELECT count(*) AS n FROM keys)
+SELECT e.event_id, k.c_name AS station
+FROM events e, n JOIN keys k ON k.idx = CAST(e.event_id % n.n AS INTEGER)
+"""
+
+
+@register("round_robin_assign", _RR_SQL)
+def q_round_robin_assign(spark, sf):
+    keys = profile.bounded_keys(load_table(spark, sf, "customer"), "c_name", 20)
+    ev = load_table(spark, sf, "events").select("event_id")
+    return windows.round_robin_assign(ev, "event_id", keys, "station")
