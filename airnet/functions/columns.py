@@ -81,12 +81,13 @@ def hex_gradient(x, lo, hi) -> Column:
 
 
 def line_color(line) -> Column:
-    """Palette colour of a line label: integer prefix before ``_`` minus 1, mod 20."""
+    """Palette colour of a line label: integer prefix ``n`` before ``_`` -> entry
+    ``(n - 1) mod 20``; a prefix that is not an integer >= 1 -> UNKNOWN_LINE_COLOR."""
     base = F.substring_index(_c(line), "_", 1)
-    n = F.try_cast(base, "int") if hasattr(F, "try_cast") else base.try_cast("int")
+    n = base.try_cast("int")
     palette = F.array(*[F.lit(c) for c in EDGE_PALETTE])
-    idx = F.pmod(n - F.lit(1), F.lit(len(EDGE_PALETTE)))
-    return F.coalesce(F.element_at(palette, idx + F.lit(1)), F.lit(UNKNOWN_LINE_COLOR))
+    idx = F.pmod(n - F.lit(1), F.lit(len(EDGE_PALETTE))) + F.lit(1)
+    return F.when(n >= 1, F.element_at(palette, idx)).otherwise(F.lit(UNKNOWN_LINE_COLOR))
 
 
 def calendar_parts(ts) -> dict[str, Column]:

@@ -1,18 +1,11 @@
 """Rolling and per-group anomaly detection.
 
-Rolling statistics over the last ``rows`` rows of each key use a *blocked* window so
-that a hot key (say a third of all rows) is never sorted and scanned by a single task:
-
-1. every row gets its exact position ``idx`` inside its key: a row number inside
-   ``(key, time chunk)`` plus the number of rows of the key in earlier chunks (the
-   chunk counts are a small aggregate, one row per key and chunk);
-2. rows are cut into blocks of ``block_rows`` consecutive positions; the last
-   ``rows - 1`` rows of a block are copied into the next block as a read-only halo;
-3. the frame ``rowsBetween(-(rows-1), 0)`` runs per ``(key, block)`` and halo copies
-   are dropped.
-
-The result is identical to ``Window.partitionBy(key).orderBy(order).rowsBetween(...)``
-while every window task holds at most ``block_rows + rows - 1`` rows.
+Rolling statistics over the last ``rows`` rows of each key use the blocked frame of
+:mod:`airnet.operators.sequence`, so a hot key (say a third of all rows) is never
+sorted and scanned by a single task: rows get their exact position inside the key,
+are cut into blocks of ``block_rows`` positions with a ``rows - 1`` halo, and the frame
+runs per ``(key, block)``.  The result is identical to
+``Window.partitionBy(key).orderBy(order).rowsBetween(-(rows-1), 0)``.
 """
 from __future__ import annotations
 
@@ -20,15 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airnet.functions.columns import zscore
-from airnet.operators._util import as_list, col_type, null_safe_join
-
-_TIME_TYPES = ("timestamp", "timestamp_ntz", "date")
-
-
-def _default_chunk(df: DataFrame, first_order: str, chunk_unit: str) -> Column | None:
-    if col_type(df, first_order) in _TIME_TYPES:
-        return F.date_trunc(chunk_unit, F.col(first_order))
-    return None
+from airnet.operators._util import as_list
+from airnet.operators.sequence import blocked_frame, default_chunk, finish
 
 
 def rolling_stats(df: DataFrame, key, order, value: str, rows: int = 24, *,
@@ -42,43 +28,19 @@ def rolling_stats(df: DataFrame, key, order, value: str, rows: int = 24, *,
     any expression non-decreasing in ``order[0]`` (default: ``date_trunc(chunk_unit)`` of a
     time column); it only bounds the size of the numbering step, not the result.
     """
-    keys = as_list(key)
-    order = as_list(order)
+    keys, order = as_list(key), as_list(order)
     mean_col = mean_col or f"{value}_mean"
     std_col = std_col or f"{value}_std"
     if rows < 1:
         raise ValueError("rows must be >= 1")
-    if chunk is None:
-        chunk = _default_chunk(df, order[0], chunk_unit)
-    if not skew_safe or chunk is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(rows - 1), 0)
-        return (df.withColumn(mean_col, F.avg(value).over(w))
-                  .withColumn(std_col, F.stddev_pop(value).over(w)))
-    if block_rows < rows:
-        raise ValueError("block_rows must be >= rows")
-
-    base = df.withColumn("__chunk", chunk)
-    # (1) exact position of each row inside its key
-    counts = base.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
-    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "__chunk",
-                            F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
-    numbered = base.withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(*keys, "__chunk").orderBy(*order)))
-    numbered = null_safe_join(numbered, offsets, [*keys, "__chunk"])
-    idx = F.col("__off") + F.col("__rn") - F.lit(1)
-    # (2) blocks + halo copies of the last rows-1 rows of each block
-    halo = F.pmod(idx, F.lit(block_rows)) >= F.lit(block_rows - (rows - 1))
-    shifts = F.when(halo & F.lit(rows > 1), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    blocked = (numbered.withColumn("__idx", idx)
-               .withColumn("__shift", F.explode(shifts))
-               .withColumn("__blk", F.floor(F.col("__idx") / F.lit(block_rows)) + F.col("__shift")))
-    # (3) the frame inside each block
-    w = Window.partitionBy(*keys, "__blk").orderBy("__idx").rowsBetween(-(rows - 1), 0)
-    out = (blocked.withColumn(mean_col, F.avg(value).over(w))
-                  .withColumn(std_col, F.stddev_pop(value).over(w))
-                  .where(F.col("__shift") == 0))
-    return out.drop("__chunk", "__rn", "__off", "__idx", "__shift", "__blk")
+    if chunk is None and skew_safe:
+        chunk = default_chunk(df, order[0], chunk_unit)
+    frame, w = blocked_frame(df, keys, order, rows, chunk=chunk if skew_safe else None,
+                             block_rows=block_rows)
+    w = w.rowsBetween(-(rows - 1), 0)
+    out = (frame.withColumn(mean_col, F.avg(value).over(w))
+                .withColumn(std_col, F.stddev_pop(value).over(w)))
+    return finish(out)
 
 
 def rolling_zscore(df: DataFrame, key, order, value: str, rows: int = 24, *,

@@ -435,3 +435,189 @@ def q_round_robin_assign(spark, sf):
     keys = profile.bounded_keys(load_table(spark, sf, "customer"), "c_name", 20)
     ev = load_table(spark, sf, "events").select("event_id")
     return windows.round_robin_assign(ev, "event_id", keys, "station")
+
+
+# --------------------------------------------------------------------------- graph (S5, W4, W5, G1-G7)
+from airnet.functions.columns import EDGE_PALETTE  # noqa: E402
+from airnet.operators import graph, sequence, style  # noqa: E402
+
+ALPHA, STEPS = 0.01, 3
+
+
+@register("explode_sequence", """
+SELECT doc_id AS line, CAST(generate_subscripts(stops, 1) - 1 AS INTEGER) AS stop_seq, unnest(stops) AS station
+FROM (SELECT doc_id, string_split(text, ' ') AS stops FROM documents)
+""")
+def q_explode_sequence(spark, sf):
+    # each document is a "line" whose ordered "stops" are its space-separated words
+    d = load_table(spark, sf, "documents").select(F.col("doc_id").alias("line"),
+                                                  F.split("text", " ").alias("stops"))
+    return reshape.lines_to_stops(d, "line", "stops")
+
+
+def _stops(spark, sf):
+    return load_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+def _edges(spark, sf):
+    return sequence.sequence_edges(_stops(spark, sf), "l_orderkey", ["l_linenumber", "l_partkey"],
+                                   "l_partkey", chunk=F.col("l_linenumber"))
+
+
+_EDGES_SQL = """(SELECT src, dst, line FROM (
+    SELECT lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS src,
+           l_partkey AS dst, l_orderkey AS line FROM lineitem) WHERE src IS NOT NULL)"""
+_VERTS_SQL = "(SELECT DISTINCT l_partkey AS name FROM lineitem WHERE l_partkey IS NOT NULL)"
+_SCORES_SQL = """(SELECT p_partkey AS station, CAST(avg(p_size) AS DOUBLE) AS score FROM part
+    WHERE p_size > 10 GROUP BY p_partkey)"""
+_SEED_SQL = f"""(SELECT v.name, coalesce(s.score, 0.0) AS value, s.score IS NOT NULL AS observed
+    FROM {_VERTS_SQL} v LEFT JOIN {_SCORES_SQL} s ON v.name = s.station)"""
+
+
+@register("sequence_edges", f"SELECT * FROM {_EDGES_SQL}")
+def q_sequence_edges(spark, sf):
+    return _edges(spark, sf)
+
+
+@register("graph_vertices", f"SELECT * FROM {_VERTS_SQL}")
+def q_graph_vertices(spark, sf):
+    return graph.stops_vertices(_stops(spark, sf), "l_partkey")
+
+
+@register("dense_ids", f"SELECT CAST(dense_rank() OVER (ORDER BY name) - 1 AS BIGINT) AS vertex_id, name FROM {_VERTS_SQL}")
+def q_dense_ids(spark, sf):
+    return graph.dense_ids(graph.stops_vertices(_stops(spark, sf), "l_partkey"))
+
+
+def _scores(spark, sf):
+    p = load_table(spark, sf, "part").where(F.col("p_size") > 10)
+    return aggregates.key_scores(p, "p_partkey", "p_size", out_key="station")
+
+
+def _seeded(spark, sf):
+    return graph.seed_vertices(graph.stops_vertices(_stops(spark, sf), "l_partkey"), _scores(spark, sf))
+
+
+@register("seed_vertices", f"SELECT * FROM {_SEED_SQL}")
+def q_seed_vertices(spark, sf):
+    return _seeded(spark, sf)
+
+
+@register("mapped_counts", f"""
+SELECT count(*) AS scored, count(v.name) AS mapped FROM {_SCORES_SQL} s LEFT JOIN {_VERTS_SQL} v ON s.station = v.name
+""")
+def q_mapped_counts(spark, sf):
+    return graph.mapped_counts(graph.stops_vertices(_stops(spark, sf), "l_partkey"), _scores(spark, sf))
+
+
+def _diffusion_ctes(steps: int = STEPS, alpha: float = ALPHA) -> str:
+    ctes = [f"sym AS (SELECT src, dst FROM {_EDGES_SQL} UNION ALL SELECT dst, src FROM {_EDGES_SQL})",
+            f"s0 AS (SELECT name, value FROM {_SEED_SQL})"]
+    for k in range(steps):
+        ctes.append(f"""s{k + 1} AS (SELECT s.name, s.value + {alpha} * coalesce(m.msg, 0.0) AS value
+    FROM s{k} s LEFT JOIN (SELECT sym.dst, sum(p.value) AS msg FROM sym JOIN s{k} p ON sym.src = p.name
+                           GROUP BY sym.dst) m ON s.name = m.dst)""")
+    snaps = " UNION ALL ".join(f"SELECT name, value, {k} AS iter FROM s{k}" for k in range(steps + 1))
+    ctes.append(f"snaps AS ({snaps})")
+    return "WITH " + ",\n".join(ctes)
+
+
+def _snapshots(spark, sf):
+    return graph.diffuse(_seeded(spark, sf).select("name", "value"), _edges(spark, sf),
+                         alpha=ALPHA, steps=STEPS, snapshots=True)
+
+
+@register("diffuse_1", _diffusion_ctes(1) + f"\nSELECT name, {rsql('value')} AS value FROM s1")
+def q_diffuse_1(spark, sf):
+    out = graph.diffuse(_seeded(spark, sf).select("name", "value"), _edges(spark, sf), alpha=ALPHA, steps=1)
+    return out.select("name", r6("value").alias("value"))
+
+
+@register("diffuse_k", _diffusion_ctes() + f"\nSELECT name, {rsql('value')} AS value FROM s{STEPS}")
+def q_diffuse_k(spark, sf):
+    out = graph.diffuse(_seeded(spark, sf).select("name", "value"), _edges(spark, sf), alpha=ALPHA, steps=STEPS)
+    return out.select("name", r6("value").alias("value"))
+
+
+@register("diffuse_snapshots", _diffusion_ctes() + f"\nSELECT name, iter, {rsql('value')} AS value FROM snaps")
+def q_diffuse_snapshots(spark, sf):
+    return _snapshots(spark, sf).select("name", F.col("iter").cast("int").alias("iter"), r6("value").alias("value"))
+
+
+_BOUNDS_SQL = """(SELECT iter, min(value) FILTER (WHERE value > 0) AS min_pos,
+                         max(value) FILTER (WHERE value > 0) AS max_pos FROM snaps GROUP BY iter)"""
+
+
+@register("snapshot_bounds", _diffusion_ctes() + f"""
+SELECT CAST(iter AS INTEGER) AS iter, {rsql('min_pos')} AS min_pos, {rsql('max_pos')} AS max_pos FROM {_BOUNDS_SQL}
+""")
+def q_snapshot_bounds(spark, sf):
+    out = graph.snapshot_bounds(_snapshots(spark, sf))
+    return out.select(F.col("iter").cast("int").alias("iter"), r6("min_pos").alias("min_pos"),
+                      r6("max_pos").alias("max_pos"))
+
+
+_SCALED_SQL = f"""(SELECT s.name, s.iter, s.value,
+    coalesce(greatest(0.0, least(1.0, CASE WHEN b.max_pos = b.min_pos THEN 0.0
+                                           ELSE (s.value - b.min_pos) / (b.max_pos - b.min_pos) END)), 0.0) AS r
+    FROM snaps s LEFT JOIN {_BOUNDS_SQL} b ON s.iter = b.iter)"""
+
+
+@register("minmax_scale", _diffusion_ctes() + f"""
+SELECT name, CAST(iter AS INTEGER) AS iter, {rsql('r')} AS scaled FROM {_SCALED_SQL}
+""")
+def q_minmax_scale(spark, sf):
+    out = style.minmax_scale(_snapshots(spark, sf))
+    return out.select("name", F.col("iter").cast("int").alias("iter"), r6("scaled").alias("scaled"))
+
+
+_COLOR_SQL = """CASE WHEN value <= 0 THEN '#DDDDDD'
+     ELSE printf('#%02x%02x00', CAST(trunc(255.0 * r) AS INTEGER), CAST(trunc(255.0 * (1.0 - r)) AS INTEGER)) END"""
+
+
+@register("node_colors", _diffusion_ctes() + f"""
+SELECT name, CAST(iter AS INTEGER) AS iter, {_COLOR_SQL} AS color FROM {_SCALED_SQL}
+""")
+def q_node_colors(spark, sf):
+    out = style.node_colors(_snapshots(spark, sf))
+    return out.select("name", F.col("iter").cast("int").alias("iter"), "color")
+
+
+_PALETTE_SQL = "[" + ", ".join(f"'{c}'" for c in EDGE_PALETTE) + "]"
+_LINE_COLOR_SQL = f"""CASE WHEN TRY_CAST(split_part(CAST(line AS VARCHAR), '_', 1) AS INTEGER) >= 1
+     THEN list_element({_PALETTE_SQL}, CAST((TRY_CAST(split_part(CAST(line AS VARCHAR), '_', 1) AS INTEGER) - 1) % 20 + 1 AS INTEGER))
+     ELSE '#000000' END"""
+
+
+@register("edge_colors", f"SELECT src, dst, line, {_LINE_COLOR_SQL} AS color FROM {_EDGES_SQL}")
+def q_edge_colors(spark, sf):
+    return style.edge_colors(_edges(spark, sf))
+
+
+_IDS_SQL = f"(SELECT CAST(dense_rank() OVER (ORDER BY name) - 1 AS BIGINT) AS vertex_id, name FROM {_VERTS_SQL})"
+
+
+@register("dot_node_lines", _diffusion_ctes() + f"""
+SELECT i.vertex_id, '  ' || CAST(i.vertex_id AS VARCHAR) || ' [label="' || replace(CAST(c.name AS VARCHAR), '"', '''')
+       || '", fillcolor="' || c.color || '"];' AS line
+FROM (SELECT name, {_COLOR_SQL} AS color FROM {_SCALED_SQL} WHERE iter = {STEPS}) c
+JOIN {_IDS_SQL} i ON i.name = c.name
+""")
+def q_dot_node_lines(spark, sf):
+    snaps = style.node_colors(_snapshots(spark, sf)).where(F.col("iter") == STEPS)
+    ids = graph.dense_ids(graph.stops_vertices(_stops(spark, sf), "l_partkey"))
+    nodes = snaps.join(ids, "name")
+    return style.dot_node_lines(nodes, id_col="vertex_id", label="name").select("vertex_id", "line")
+
+
+@register("dot_edge_lines", f"""
+SELECT '  ' || CAST(a.vertex_id AS VARCHAR) || ' -- ' || CAST(b.vertex_id AS VARCHAR) || ' [color="'
+       || {_LINE_COLOR_SQL} || '", label="' || CAST(e.line AS VARCHAR) || '"];' AS line_text
+FROM {_EDGES_SQL} e JOIN {_IDS_SQL} a ON a.name = e.src JOIN {_IDS_SQL} b ON b.name = e.dst
+""")
+def q_dot_edge_lines(spark, sf):
+    ids = graph.dense_ids(graph.stops_vertices(_stops(spark, sf), "l_partkey"))
+    e = style.edge_colors(_edges(spark, sf))
+    e = (e.join(ids.select(F.col("name").alias("src"), F.col("vertex_id").alias("src_id")), "src")
+          .join(ids.select(F.col("name").alias("dst"), F.col("vertex_id").alias("dst_id")), "dst"))
+    return style.dot_edge_lines(e, src="src_id", dst="dst_id").select("line_text")
