@@ -621,3 +621,45 @@ def q_dot_edge_lines(spark, sf):
     e = (e.join(ids.select(F.col("name").alias("src"), F.col("vertex_id").alias("src_id")), "src")
           .join(ids.select(F.col("name").alias("dst"), F.col("vertex_id").alias("dst_id")), "dst"))
     return style.dot_edge_lines(e, src="src_id", dst="dst_id").select("line_text")
+
+
+# --------------------------------------------------------------------------- streaming (S7, S8, ST1-ST8)
+from airnet import streaming  # noqa: E402
+
+
+def _sensor_stream(spark, sf):
+    ev = streaming.event_stream(spark, sf, "events.parquet")
+    return ev.select("ts", "event_type", "value",
+                     F.get_json_object("props", "$.k").try_cast("double").alias("k"))
+
+
+@register("stream_window_stats", _win_stats_sql())
+def q_stream_window_stats(spark, sf):
+    out = streaming.stream_window_stats(spark, _sensor_stream(spark, sf), "ts", ["event_type"], ["value", "k"],
+                                        duration=WIN_DURATION, slide=WIN_SLIDE)
+    return _round_window_stats(out)
+
+
+@register("stream_anomalies", _win_stats_sql("WHERE vz >= 1.75 OR kz >= 1.75"))
+def q_stream_anomalies(spark, sf):
+    out = streaming.stream_anomalies(spark, _sensor_stream(spark, sf), "ts", ["event_type"], ["value", "k"],
+                                     duration=WIN_DURATION, slide=WIN_SLIDE, threshold=1.75)
+    return _round_window_stats(out)
+
+
+@register("stream_round_robin", _RR_SQL)
+def q_stream_round_robin(spark, sf):
+    keys = profile.bounded_keys(load_table(spark, sf, "customer"), "c_name", 20)
+    ev = streaming.event_stream(spark, sf, "events.parquet").select("event_id")
+    return streaming.stream_round_robin(spark, ev, "event_id", keys, "station")
+
+
+@register("stream_watermarked_counts", """
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS rows
+FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM events)
+GROUP BY window_start
+HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+""")
+def q_stream_watermarked_counts(spark, sf):
+    ev = streaming.event_stream(spark, sf, "events.parquet").select("ts")
+    return streaming.stream_watermarked_counts(spark, ev, "ts", duration="1 hour", watermark="10 minutes")
