@@ -663,3 +663,182 @@ HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL
 def q_stream_watermarked_counts(spark, sf):
     ev = streaming.event_stream(spark, sf, "events.parquet").select("ts")
     return streaming.stream_watermarked_counts(spark, ev, "ts", duration="1 hour", watermark="10 minutes")
+
+
+# --------------------------------------------------------------------------- ML (P14, ML1-ML14)
+from airnet.operators import ml  # noqa: E402
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+
+
+def _feature_frame(spark, sf):
+    """events as the sensor feature frame: station = event_type, label = value."""
+    ev = _events(spark, sf).select("event_id", F.col("ts").alias("datetime"),
+                                   F.col("event_type").alias("station"), "value")
+    return reshape.temporal_parts(ev, "datetime", label_from="value").drop("value")
+
+
+_SPLIT_SQL = "CASE WHEN CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 70 THEN 'train' ELSE 'test' END"
+_INDEX_SQL = """(SELECT event_type, CAST(row_number() OVER (ORDER BY n DESC, event_type) - 1 AS DOUBLE) AS idx
+   FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type))"""
+
+
+def _r6_array(col):
+    return F.transform(F.col(col), lambda x: F.round(x + F.lit(1e-9), 6))
+
+
+@register("hash_split", f"SELECT event_id, {_SPLIT_SQL} AS split FROM events")
+def q_hash_split(spark, sf):
+    return ml.hash_split(_events(spark, sf).select("event_id"), "event_id", 70)
+
+
+@register("ml_string_index", f"""
+SELECT e.event_id, e.event_type AS station, r.idx AS "stationIndex" FROM events e JOIN {_INDEX_SQL} r USING (event_type)
+""")
+def q_ml_string_index(spark, sf):
+    from pyspark.ml.feature import StringIndexer
+    f = _feature_frame(spark, sf)
+    out = StringIndexer(inputCol="station", outputCol="stationIndex").fit(f).transform(f)
+    return out.select("event_id", "station", "stationIndex")
+
+
+@register("ml_one_hot", f"""
+SELECT e.event_id, e.event_type AS station,
+       list_transform(range((SELECT count(DISTINCT event_type) FROM events) - 1),
+                      lambda i: CASE WHEN i = r.idx THEN 1.0 ELSE 0.0 END) AS "stationVec"
+FROM events e JOIN {_INDEX_SQL} r USING (event_type)
+""")
+def q_ml_one_hot(spark, sf):
+    from pyspark.ml import Pipeline
+    f = _feature_frame(spark, sf)
+    stages = ml.feature_stages("station", [], handle_invalid="error")[:2]
+    out = Pipeline(stages=stages).fit(f).transform(f)
+    return out.select("event_id", "station", ml.vector_to_array("stationVec").alias("stationVec"))
+
+
+@register("ml_scaled", f"""
+SELECT event_id, {rsql('hour(ts) / (SELECT stddev_samp(hour(ts)) FROM events)')} AS "hourScaled" FROM events
+""")
+def q_ml_scaled(spark, sf):
+    from pyspark.ml import Pipeline
+    f = _feature_frame(spark, sf)
+    stages = ml.feature_stages("station", ["hour"])[2:4]
+    out = Pipeline(stages=stages).fit(f).transform(f)
+    return out.select("event_id", r6(ml.vector_to_array("hourScaled")[0]).alias("hourScaled"))
+
+
+_FEATURES_SQL = f"""
+WITH sd AS (SELECT stddev_samp(hour(ts)) AS h, stddev_samp(dayofweek(ts) + 1) AS d, stddev_samp(month(ts)) AS m FROM events),
+     n AS (SELECT count(DISTINCT event_type) AS k FROM events)
+SELECT e.event_id,
+       list_transform(list_concat(
+           [CASE WHEN sd.h > 0 THEN hour(e.ts) / sd.h ELSE 0.0 END,
+            CASE WHEN sd.d > 0 THEN (dayofweek(e.ts) + 1) / sd.d ELSE 0.0 END,
+            CASE WHEN sd.m > 0 THEN month(e.ts) / sd.m ELSE 0.0 END],
+           list_transform(range(n.k), lambda i: CASE WHEN i = r.idx THEN 1.0 ELSE 0.0 END)),
+         lambda x: round(x + 1e-9, 6)) AS features_dense
+FROM events e JOIN {_INDEX_SQL} r USING (event_type), sd, n
+"""
+
+
+@register("ml_features", _FEATURES_SQL)
+def q_ml_features(spark, sf):
+    f = _feature_frame(spark, sf)
+    out = ml.features_as_array(ml.fit_features(f).transform(f))
+    return out.select("event_id", _r6_array("features_dense").alias("features_dense"))
+
+
+@register("ml_lr_ols", f"""
+SELECT {rsql('regr_slope(value, hour(ts))')} AS slope, {rsql('regr_intercept(value, hour(ts))')} AS intercept,
+       {rsql('regr_r2(value, hour(ts))')} AS r2
+FROM events
+""")
+def q_ml_lr_ols(spark, sf):
+    f = VectorAssembler(inputCols=["hour"], outputCol="features").transform(_feature_frame(spark, sf))
+    m = ml.linear_regression(max_iter=100, reg=0.0, elastic_net=0.0, solver="normal").fit(f)
+    s = ml.lr_summary(spark, m)
+    return s.select(r6(F.col("coefficients")[0]).alias("slope"), r6("intercept").alias("intercept"),
+                    r6("r2").alias("r2"))
+
+
+def _fitted_split(spark, sf):
+    f = _feature_frame(spark, sf)
+    train, test = ml.train_test(f, "event_id", 70)
+    fm = ml.fit_features(train)
+    return fm.transform(train), fm.transform(test)
+
+
+@register("ml_lr_elastic")
+def q_ml_lr_elastic(spark, sf):
+    train, test = _fitted_split(spark, sf)
+    m = ml.linear_regression(10, 0.3, 0.8).fit(train)
+    return m.transform(test).select("event_id", "station", "datetime", "label", "prediction")
+
+
+@register("ml_lr_summary")
+def q_ml_lr_summary(spark, sf):
+    train, _ = _fitted_split(spark, sf)
+    return ml.lr_summary(spark, ml.linear_regression(10, 0.3, 0.8).fit(train))
+
+
+@register("ml_tree")
+def q_ml_tree(spark, sf):
+    train, test = _fitted_split(spark, sf)
+    m = ml.decision_tree().fit(train)
+    return m.transform(test).select("event_id", "station", "datetime", "label", "prediction")
+
+
+@register("ml_forest")
+def q_ml_forest(spark, sf):
+    train, test = _fitted_split(spark, sf)
+    m = ml.random_forest(50).fit(train)
+    return m.transform(test).select("event_id", "station", "datetime", "label", "prediction")
+
+
+@register("ml_lr_worst_predictions")
+def q_ml_lr_worst_predictions(spark, sf):
+    train, test = _fitted_split(spark, sf)
+    pred = ml.linear_regression(10, 0.3, 0.8).fit(train).transform(test)
+    return ml.worst_predictions(pred.select("event_id", "station", "datetime", "label", "prediction"),
+                                10, tie=["event_id"])
+
+
+_GM_PRED_SQL = f"""(SELECT t.event_id, t.station, t.label, coalesce(g.m, a.m) AS prediction
+   FROM (SELECT event_id, event_type AS station, value AS label FROM events WHERE {_SPLIT_SQL} = 'test') t
+   LEFT JOIN (SELECT event_type AS station, avg(value) AS m FROM events WHERE {_SPLIT_SQL} = 'train'
+              GROUP BY event_type) g USING (station),
+   (SELECT avg(value) AS m FROM events WHERE {_SPLIT_SQL} = 'train') a)"""
+
+
+def _gm_predictions(spark, sf):
+    f = _feature_frame(spark, sf).select("event_id", "station", "label")
+    train, test = ml.train_test(f, "event_id", 70)
+    return ml.group_mean_predictor(train, test, "station")
+
+
+@register("regression_metrics", f"""
+SELECT {rsql('sqrt(avg((prediction - label) * (prediction - label)))')} AS rmse,
+       {rsql('1 - sum((prediction - label) * (prediction - label)) / (sum(label * label) - sum(label) * sum(label) / count(*))')} AS r2,
+       {rsql('avg(abs(prediction - label))')} AS mae, count(*) AS rows
+FROM {_GM_PRED_SQL}
+""")
+def q_regression_metrics(spark, sf):
+    m = ml.regression_metrics(_gm_predictions(spark, sf))
+    return m.select(r6("rmse").alias("rmse"), r6("r2").alias("r2"), r6("mae").alias("mae"), "rows")
+
+
+@register("best_predictions", f"""
+SELECT event_id, station, label, {rsql('prediction')} AS prediction, {rsql('abs(prediction - label)')} AS error
+FROM {_GM_PRED_SQL} ORDER BY abs(prediction - label), event_id LIMIT 10
+""")
+def q_best_predictions(spark, sf):
+    out = ml.best_predictions(_gm_predictions(spark, sf), 10, tie=["event_id"])
+    return out.select("event_id", "station", "label", r6("prediction").alias("prediction"), r6("error").alias("error"))
+
+
+@register("worst_predictions", f"""
+SELECT event_id, station, label, {rsql('prediction')} AS prediction, {rsql('abs(prediction - label)')} AS error
+FROM {_GM_PRED_SQL} ORDER BY abs(prediction - label) DESC, event_id LIMIT 10
+""")
+def q_worst_predictions(spark, sf):
+    out = ml.worst_predictions(_gm_predictions(spark, sf), 10, tie=["event_id"])
+    return out.select("event_id", "station", "label", r6("prediction").alias("prediction"), r6("error").alias("error"))
