@@ -209,12 +209,12 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 @register("wide_to_long", f"""
 SELECT day, event_type, {rsql('avg(value)')} AS value
-FROM (SELECT CAST(ts AS DATE) AS day, event_type, value FROM events)
+FROM (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_type, value FROM events)
 GROUP BY day, event_type
 """)
 def q_wide_to_long(spark, sf):
     ev = _events(spark, sf)
-    wide = (ev.withColumn("day", F.to_date("ts")).groupBy("day")
+    wide = (ev.withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz")).groupBy("day")
               .pivot("event_type", EVENT_TYPES).agg(F.avg("value")))
     long = reshape.wide_to_long(wide, ["day"], "event_type", "value")
     return long.select("day", "event_type", r6("value").alias("value"))
