@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from airnet.operators._util import as_list, col_type, null_safe_join
+from airnet.operators._util import as_list, col_type
 
 HELPERS = ["__chunk", "__rn", "__off", "__idx", "__shift", "__blk"]
 _TIME_TYPES = ("timestamp", "timestamp_ntz", "date")
@@ -28,18 +28,40 @@ def default_chunk(df: DataFrame, first_order: str, unit: str = "hour") -> Column
     return None
 
 
-def position_in_key(df: DataFrame, keys, order, chunk: Column) -> DataFrame:
-    """Add ``__idx``: exact 0-based position of the row inside its key along ``order``."""
+_DEFAULTS = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00",
+             "timestamp_ntz": "1970-01-01 00:00:00", "binary": ""}
+
+
+def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Replace each key by ``(key is NULL, coalesce(key, default))`` so a NULL key is an
+    ordinary group for plain equi-joins: windows and the join then share one hash
+    partitioning (no extra exchange of the large side when the join is sort-merge)."""
+    cols, out = [], df
+    for i, k in enumerate(keys):
+        t = df.schema[k].dataType.simpleString()
+        default = _DEFAULTS.get(t, 0 if t in ("tinyint", "smallint", "int", "bigint", "float", "double")
+                                or t.startswith("decimal") else None)
+        if default is None:  # complex key type: keep as is (NULL-safe semantics not needed)
+            cols.append(k)
+            continue
+        out = (out.withColumn(f"__kn{i}", F.col(k).isNull())
+                  .withColumn(f"__kv{i}", F.coalesce(F.col(k), F.lit(default).cast(t))))
+        cols += [f"__kn{i}", f"__kv{i}"]
+    return out, cols
+
+
+def position_in_key(df: DataFrame, keys, order, chunk: Column) -> tuple[DataFrame, list[str]]:
+    """Add ``__idx``: exact 0-based position of the row inside its key along ``order``.
+    Returns the frame and the (surrogate) key columns to partition by."""
     keys, order = as_list(keys), as_list(order)
-    base = df.withColumn("__chunk", chunk)
-    counts = base.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
-    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "__chunk",
-                            F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
+    base, sk = _surrogates(df.withColumn("__chunk", chunk), keys)
+    counts = base.groupBy(*sk, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
+    before = Window.partitionBy(*sk).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*sk, "__chunk", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
     numbered = base.withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(*keys, "__chunk").orderBy(*order)))
-    numbered = null_safe_join(numbered, offsets, [*keys, "__chunk"])
-    return numbered.withColumn("__idx", F.col("__off") + F.col("__rn") - F.lit(1))
+        "__rn", F.row_number().over(Window.partitionBy(*sk, "__chunk").orderBy(*order)))
+    numbered = numbered.join(offsets, [*sk, "__chunk"], "inner")
+    return numbered.withColumn("__idx", F.col("__off") + F.col("__rn") - F.lit(1)), sk
 
 
 def blocked_frame(df: DataFrame, keys, order, rows: int, *, chunk: Column | None = None,
@@ -54,18 +76,19 @@ def blocked_frame(df: DataFrame, keys, order, rows: int, *, chunk: Column | None
         return df.withColumn("__shift", F.lit(0)), Window.partitionBy(*keys).orderBy(*order)
     if block_rows < rows:
         raise ValueError("block_rows must be >= rows")
-    numbered = position_in_key(df, keys, order, chunk)
+    numbered, sk = position_in_key(df, keys, order, chunk)
     idx = F.col("__idx")
     halo = (F.pmod(idx, F.lit(block_rows)) >= F.lit(block_rows - (rows - 1))) & F.lit(rows > 1)
     shifts = F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     blocked = (numbered.withColumn("__shift", F.explode(shifts))
                        .withColumn("__blk", F.floor(idx / F.lit(block_rows)) + F.col("__shift")))
-    return blocked, Window.partitionBy(*keys, "__blk").orderBy("__idx")
+    return blocked, Window.partitionBy(*sk, "__blk").orderBy("__idx")
 
 
 def finish(df: DataFrame) -> DataFrame:
     """Drop halo copies and helper columns."""
-    return df.where(F.col("__shift") == 0).drop(*[c for c in HELPERS if c in df.columns])
+    helpers = [c for c in df.columns if c in HELPERS or c.startswith("__kn") or c.startswith("__kv")]
+    return df.where(F.col("__shift") == 0).drop(*helpers)
 
 
 def sequence_edges(stops: DataFrame, line: str, order, station: str, *, src: str = "src",
