@@ -4,7 +4,8 @@ Rolling statistics over the last ``rows`` rows of each key use the blocked frame
 :mod:`airnet.operators.sequence`, so a hot key (say a third of all rows) is never
 sorted and scanned by a single task: rows get their exact position inside the key,
 are cut into blocks of ``block_rows`` positions with a ``rows - 1`` halo, and the frame
-runs per ``(key, block)``.  The result is identical to
+runs per ``(key, block)``; keys below ``hot_rows`` rows keep the plain window.  The
+result is identical to
 ``Window.partitionBy(key).orderBy(order).rowsBetween(-(rows-1), 0)``.
 """
 from __future__ import annotations
@@ -14,13 +15,14 @@ from pyspark.sql import functions as F
 
 from airnet.functions.columns import zscore
 from airnet.operators._util import as_list
-from airnet.operators.sequence import blocked_frame, default_chunk, finish
+from airnet.operators.sequence import default_chunk, frame_apply
 
 
 def rolling_stats(df: DataFrame, key, order, value: str, rows: int = 24, *,
                   mean_col: str | None = None, std_col: str | None = None,
                   chunk: Column | None = None, chunk_unit: str = "hour",
-                  block_rows: int = 1 << 20, skew_safe: bool = True) -> DataFrame:
+                  block_rows: int = 1 << 20, hot_rows: int | None = None,
+                  skew_safe: bool = True) -> DataFrame:
     """Trailing mean and *population* sd of ``value`` over the current row and the
     ``rows - 1`` previous rows of the same key, ordered by ``order``.
 
@@ -35,12 +37,13 @@ def rolling_stats(df: DataFrame, key, order, value: str, rows: int = 24, *,
         raise ValueError("rows must be >= 1")
     if chunk is None and skew_safe:
         chunk = default_chunk(df, order[0], chunk_unit)
-    frame, w = blocked_frame(df, keys, order, rows, chunk=chunk if skew_safe else None,
-                             block_rows=block_rows)
-    w = w.rowsBetween(-(rows - 1), 0)
-    out = (frame.withColumn(mean_col, F.avg(value).over(w))
-                .withColumn(std_col, F.stddev_pop(value).over(w)))
-    return finish(out)
+    def stats(frame, w):
+        w = w.rowsBetween(-(rows - 1), 0)
+        return (frame.withColumn(mean_col, F.avg(value).over(w))
+                     .withColumn(std_col, F.stddev_pop(value).over(w)))
+
+    return frame_apply(df, keys, order, rows, stats, chunk=chunk if skew_safe else None,
+                       block_rows=block_rows, hot_rows=hot_rows)
 
 
 def rolling_zscore(df: DataFrame, key, order, value: str, rows: int = 24, *,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airnet.operators._util import as_list
-from airnet.session import ensure_checkpoint_dir
+from airnet.session import ensure_checkpoint_dir, materialize
 
 
 def graph_vertices(edges: DataFrame, src: str = "src", dst: str = "dst", *, name: str = "name",
@@ -101,23 +101,27 @@ def diffuse(state: DataFrame, edges: DataFrame, alpha: float = 0.10, steps: int
     """Run ``steps`` diffusion steps.
 
     Returns the final state, or with ``snapshots`` every state ``0..steps`` tagged with
-    ``iter``.  Lineage is cut with a reliable ``checkpoint`` (folder from
-    ``spark.checkpoint.dir``) every ``checkpoint_every`` steps, so a lost executor
-    recomputes at most that many steps and plans stay small.
+    ``iter``.  States are cut from their lineage by writing them as parquet into the
+    shared checkpoint folder (``spark.checkpoint.dir``): every ``checkpoint_every`` steps
+    and the final one, and every state when snapshots are kept (each is then read by the
+    next step and by the output).  A lost executor recomputes at most
+    ``checkpoint_every`` steps; a state is computed once.
     """
     if steps < 0:
         raise ValueError("steps must be >= 0")
     spark = state.sparkSession
+    ensure_checkpoint_dir(spark)
     weights = symmetric_weights(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
     cur = state.select(name, value, *[c for c in state.columns if c not in (name, value)])
-    if steps and checkpoint_every:
-        ensure_checkpoint_dir(spark)
+    if snapshots:
+        cur = materialize(cur, "diffusion-state")
     states = [cur.withColumn("iter", F.lit(0))]
     for k in range(1, steps + 1):
         cur = diffuse_step(cur, weights, alpha, name=name, value=value)
-        if checkpoint_every and k % checkpoint_every == 0 and k < steps:
-            cur = cur.checkpoint(eager=True)
+        if snapshots or k == steps or (checkpoint_every and k % checkpoint_every == 0):
+            cur = materialize(cur, "diffusion-state")
         states.append(cur.withColumn("iter", F.lit(k)))
+    weights.unpersist()
     if not snapshots:
         return cur
     out = states[0]

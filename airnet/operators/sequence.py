@@ -1,9 +1,9 @@
 """Ordered frames inside a key that stay parallel when one key is huge.
 
-``blocked_frame`` gives every row its exact 0-based position inside its key and cuts the
-key into blocks of ``block_rows`` positions; the last ``rows - 1`` rows of a block are
-copied into the next block (marked ``__shift = 1``) so that a frame of ``rows`` trailing
-rows computed per block equals the frame computed over the whole key.
+For a hot key, ``frame_apply`` gives every row its exact 0-based position inside the key
+and cuts the key into blocks of ``block_rows`` positions; the last ``rows - 1`` rows of a
+block are copied into the next block (marked ``__shift = 1``) so that a frame of ``rows``
+trailing rows computed per block equals the frame computed over the whole key.
 
 Position = row number inside ``(key, chunk)`` + rows of the key in earlier chunks.  The
 chunk counts form a small aggregate (one row per key and chunk).  ``chunk`` must be
@@ -50,11 +50,15 @@ def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return out, cols
 
 
-def position_in_key(df: DataFrame, keys, order, chunk: Column) -> tuple[DataFrame, list[str]]:
+def position_in_key(df: DataFrame, keys, order, chunk: Column, *,
+                    surrogate: bool = True) -> tuple[DataFrame, list[str]]:
     """Add ``__idx``: exact 0-based position of the row inside its key along ``order``.
     Returns the frame and the (surrogate) key columns to partition by."""
     keys, order = as_list(keys), as_list(order)
-    base, sk = _surrogates(df.withColumn("__chunk", chunk), keys)
+    if surrogate:
+        base, sk = _surrogates(df.withColumn("__chunk", chunk), keys)
+    else:
+        base, sk = df, keys
     counts = base.groupBy(*sk, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*sk).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*sk, "__chunk", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
@@ -64,19 +68,9 @@ def position_in_key(df: DataFrame, keys, order, chunk: Column) -> tuple[DataFram
     return numbered.withColumn("__idx", F.col("__off") + F.col("__rn") - F.lit(1)), sk
 
 
-def blocked_frame(df: DataFrame, keys, order, rows: int, *, chunk: Column | None = None,
-                  block_rows: int = 1 << 20) -> tuple[DataFrame, WindowSpec]:
-    """Return ``(frame_df, window)``: evaluate window functions of at most ``rows``
-    trailing rows over ``window`` on ``frame_df``, then call :func:`finish`.
-
-    Without ``chunk`` this is the plain ``partitionBy(keys).orderBy(order)`` window.
-    """
-    keys, order = as_list(keys), as_list(order)
-    if chunk is None:
-        return df.withColumn("__shift", F.lit(0)), Window.partitionBy(*keys).orderBy(*order)
-    if block_rows < rows:
-        raise ValueError("block_rows must be >= rows")
-    numbered, sk = position_in_key(df, keys, order, chunk)
+def _blocked_hot(base: DataFrame, sk: list[str], order: list[str], rows: int, chunk: Column,
+                 block_rows: int) -> tuple[DataFrame, WindowSpec]:
+    numbered, _ = position_in_key(base, sk, order, chunk, surrogate=False)
     idx = F.col("__idx")
     halo = (F.pmod(idx, F.lit(block_rows)) >= F.lit(block_rows - (rows - 1))) & F.lit(rows > 1)
     shifts = F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -85,9 +79,40 @@ def blocked_frame(df: DataFrame, keys, order, rows: int, *, chunk: Column | None
     return blocked, Window.partitionBy(*sk, "__blk").orderBy("__idx")
 
 
+def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, chunk: Column | None = None,
+                block_rows: int = 1 << 20, hot_rows: int | None = None) -> DataFrame:
+    """Evaluate ``fn(frame, window)`` -- window functions looking at most ``rows - 1``
+    rows back -- over ``partitionBy(keys).orderBy(order)``, splitting hot keys.
+
+    Keys with more than ``hot_rows`` (default ``block_rows``) rows are *hot*: they are
+    numbered and cut into blocks with a halo (see module doc), so no task holds more
+    than ``block_rows + rows - 1`` of their rows.  All other keys use the plain window.
+    The hot-key list holds at most ``total_rows / hot_rows`` keys; AQE broadcasts it
+    while it is small, otherwise the join's hash partitioning is the one the plain
+    window needs anyway.  Without ``chunk`` every key uses the plain window.
+    """
+    keys, order = as_list(keys), as_list(order)
+    if chunk is None:
+        out = fn(df.withColumn("__shift", F.lit(0)), Window.partitionBy(*keys).orderBy(*order))
+        return finish(out)
+    if block_rows < rows:
+        raise ValueError("block_rows must be >= rows")
+    hot_rows = hot_rows or block_rows
+    base, sk = _surrogates(df.withColumn("__chunk", chunk), keys)
+    hot = (base.groupBy(*sk).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > F.lit(hot_rows))
+               .select(*sk, F.lit(True).alias("__hot")))
+    flagged = base.join(hot, sk, "left")
+    cold = flagged.where(F.col("__hot").isNull()).withColumn("__shift", F.lit(0))
+    cold_out = finish(fn(cold, Window.partitionBy(*sk).orderBy(*order)))
+    hot_frame, w = _blocked_hot(flagged.where(F.col("__hot")), sk, order, rows, chunk, block_rows)
+    hot_out = finish(fn(hot_frame, w))
+    return cold_out.unionByName(hot_out)
+
+
 def finish(df: DataFrame) -> DataFrame:
     """Drop halo copies and helper columns."""
-    helpers = [c for c in df.columns if c in HELPERS or c.startswith("__kn") or c.startswith("__kv")]
+    helpers = [c for c in df.columns if c in HELPERS or c.startswith("__kn") or c.startswith("__kv")
+               or c == "__hot"]
     return df.where(F.col("__shift") == 0).drop(*helpers)
 
 
@@ -100,7 +125,9 @@ def sequence_edges(stops: DataFrame, line: str, order, station: str, *, src: str
     a multigraph.  Pass ``chunk`` (non-decreasing along ``order``) to bound the work per
     task for very long lines.
     """
-    frame, w = blocked_frame(stops, [line], order, 2, chunk=chunk, block_rows=block_rows)
-    out = frame.withColumn("__prev", F.lag(F.col(station), 1).over(w))
-    out = finish(out).where(F.col("__prev").isNotNull() & F.col(station).isNotNull())
+    def lag_prev(frame, w):
+        return frame.withColumn("__prev", F.lag(F.col(station), 1).over(w))
+
+    out = frame_apply(stops, [line], order, 2, lag_prev, chunk=chunk, block_rows=block_rows)
+    out = out.where(F.col("__prev").isNotNull() & F.col(station).isNotNull())
     return out.select(F.col("__prev").alias(src), F.col(station).alias(dst), F.col(line).alias(line_out))

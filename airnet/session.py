@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -69,3 +70,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df, label: str = "state"):
+    """Cut lineage by writing ``df`` as parquet into the shared checkpoint folder and
+    reading it back: one job computes the rows once, later plans start from the files,
+    and the files survive the loss of any executor."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
