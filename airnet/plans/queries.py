@@ -704,7 +704,7 @@ def q_ml_string_index(spark, sf):
 @register("ml_one_hot", f"""
 SELECT e.event_id, e.event_type AS station,
        list_transform(range((SELECT count(DISTINCT event_type) FROM events) - 1),
-                      lambda i: CASE WHEN i = r.idx THEN 1.0 ELSE 0.0 END) AS "stationVec"
+                      lambda i: CAST(CASE WHEN i = r.idx THEN 1.0 ELSE 0.0 END AS DOUBLE)) AS "stationVec"
 FROM events e JOIN {_INDEX_SQL} r USING (event_type)
 """)
 def q_ml_one_hot(spark, sf):
