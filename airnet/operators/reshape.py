@@ -99,15 +99,6 @@ def lines_to_stops(df: DataFrame, line_col: str, stops_col: str, *, seq_col: str
     return df.select(F.col(line_col), F.posexplode(F.col(stops_col)).alias(seq_col, station_col))
 
 
-def collect_sequences(df: DataFrame, line_col: str, order, station_col: str,
-                      out: str = "stops") -> DataFrame:
-    """Inverse of :func:`lines_to_stops`: ordered station list per line."""
-    order = as_list(order)
-    st = F.struct(*[F.col(c) for c in order], F.col(station_col).alias("__v"))
-    return (df.groupBy(line_col).agg(F.sort_array(F.collect_list(st)).alias("__s"))
-              .select(line_col, F.col("__s.__v").alias(out)))
-
-
 def temporal_parts(df: DataFrame, ts: str, *, label_from: str | None = None,
                    label: str = "label") -> DataFrame:
     """Add ``hour`` (0-23), ``dayOfWeek`` (1 = Sunday .. 7), ``month`` (1-12) and, when
