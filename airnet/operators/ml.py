@@ -119,6 +119,6 @@ def group_mean_predictor(train: DataFrame, test: DataFrame, group, label: str =
     table has one row per group; groups unseen in training get the global mean)."""
     keys = as_list(group)
     means = train.groupBy(*keys).agg(F.avg(label).alias("__gm"))
-    overall = train.agg(F.avg(label).alias("__all"))
-    j = test.join(means, keys, "left").crossJoin(F.broadcast(overall))  # one-row side
-    return j.withColumn(prediction, F.coalesce(F.col("__gm"), F.col("__all"))).drop("__gm", "__all")
+    overall = train.agg(F.avg(label)).scalar()  # one value, a scalar subquery
+    j = test.join(means, keys, "left")
+    return j.withColumn(prediction, F.coalesce(F.col("__gm"), overall)).drop("__gm")

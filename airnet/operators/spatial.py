@@ -19,27 +19,27 @@ def filter_range(df: DataFrame, col: str, lower=None, upper=None, *, inclusive:
     return df.where(cond)
 
 
-def reference_point(df: DataFrame, match: Column, x: str, y: str, tie=None) -> DataFrame:
-    """The first row matching ``match`` (smallest ``tie``), projected to ``(x0, y0)``:
-    at most one row, so it is safe to broadcast."""
+def reference_point(df: DataFrame, match: Column, x: str, y: str, tie=None) -> Column:
+    """The first row matching ``match`` (smallest ``tie``) as a scalar subquery value
+    ``struct(x0, y0)``: evaluated once, inlined into every task; NULL when nothing matches."""
     ref = df.where(match).where(F.col(x).isNotNull() & F.col(y).isNotNull())
     if tie:
         ref = ref.orderBy(*as_list(tie))
-    return ref.limit(1).select(F.col(x).alias("__x0"), F.col(y).alias("__y0"))
+    return ref.limit(1).select(F.struct(F.col(x).alias("x0"), F.col(y).alias("y0"))).scalar()
 
 
 def nearest_points(df: DataFrame, match: Column, x: str, y: str, *, k: int | None = 20,
                    tie=None, dist_col: str = "distance") -> DataFrame:
     """Rows ranked by Euclidean distance to the reference row chosen by ``match``.
 
-    The reference is a one-row frame joined by broadcast (no driver round trip); rows
-    without coordinates are dropped.  ``k`` makes it a top-k report (``TakeOrderedAndProject``,
-    each task keeps only k candidates); ``k=None`` returns the full ordering.  An unknown
-    reference gives an empty result.
+    The reference point is a scalar subquery (no join, no driver round trip); rows
+    without coordinates are dropped.  ``k`` makes it a top-k report
+    (``TakeOrderedAndProject``: each task keeps only k candidates); ``k=None`` returns the
+    full ordering.  An unknown reference gives an empty result.
     """
     tie = as_list(tie)
     ref = reference_point(df, match, x, y, tie)
-    pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    out = pts.crossJoin(F.broadcast(ref)).withColumn(dist_col, euclidean(x, y, "__x0", "__y0")).drop("__x0", "__y0")
+    out = df.withColumn(dist_col, euclidean(x, y, ref.getField("x0"), ref.getField("y0")))
+    out = out.where(F.col(dist_col).isNotNull())
     out = out.orderBy(F.col(dist_col), *[F.col(c) for c in tie])
     return out.limit(k) if k is not None else out

@@ -105,7 +105,8 @@ def graph_diffusion(lines: DataFrame, stations: DataFrame, out_dir: str | None =
 
 def stream_alerts(spark: SparkSession, directory: str, out_path: str, checkpoint: str, *, glob: str = "*.parquet",
                   duration: str = "30 seconds", slide: str = "10 seconds", threshold: float = 1.75,
-                  watermark: str | None = "10 minutes", measures=("pm10", "pm25")) -> StreamingQuery:
+                  watermark: str | None = "10 minutes", measures=("pm10", "pm25"),
+                  available_now: bool = False) -> StreamingQuery:
     """Long-running alert stream over sensor files ``(datetime, station, pm10, pm25)``:
     sliding-window statistics per station upserted to ``out_path``; read the alerts with
     ``windows.window_anomalies(streaming.latest_state(...), measures, threshold)``."""
@@ -114,7 +115,7 @@ def stream_alerts(spark: SparkSession, directory: str, out_path: str, checkpoint
     if watermark:
         s = s.withWatermark("datetime", watermark)
     stats = windows.window_stats(s, "datetime", ["station"], list(measures), duration=duration, slide=slide)
-    return core.upsert_sink(stats, out_path, checkpoint, trigger_available_now=False)
+    return core.upsert_sink(stats, out_path, checkpoint, trigger_available_now=available_now)
 
 
 __all__ = ["station_report", "sensor_models", "graph_diffusion", "stream_alerts", "STATION_LEVEL_COL"]

@@ -58,3 +58,21 @@ def test_graph_diffusion_job(spark, tmp_dir):
     assert sorted(os.listdir(out_dir)) == ["iter=0", "iter=1", "iter=2"]
     last = res["snapshots"].where(F.col("iter") == 2)
     assert last.where(F.col("value") > 0).count() == 4  # Opera reached after two steps
+
+
+def test_stream_alerts_job(spark, tmp_dir):
+    from airnet import streaming
+    from airnet.operators import windows
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    sensors = ev.select(F.col("ts").alias("datetime"), F.concat(F.lit("S"), (F.col("user_id") % 3).cast("string")).alias("station"),
+                        F.col("value").alias("pm10"), (F.col("value") / 2).alias("pm25"))
+    src = os.path.join(tmp_dir, "in")
+    sensors.coalesce(1).write.parquet(src)
+    out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+    q = apps.stream_alerts(spark, src, out, ck, duration="1 day", slide="12 hours", watermark=None, available_now=True)
+    streaming.run_until_done(q, 300)
+    state = streaming.latest_state(spark, out, ["window_start", "window_end", "station"])
+    batch = windows.window_stats(sensors, "datetime", ["station"], ["pm10", "pm25"], duration="1 day", slide="12 hours")
+    assert state.count() == batch.count()
+    alerts = windows.window_anomalies(state, ["pm10", "pm25"], 1.75)
+    assert 0 < alerts.count() <= state.count()
