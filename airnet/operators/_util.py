@@ -1,9 +1,6 @@
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def as_list(x) -> list:
@@ -12,14 +9,5 @@ def as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL (window/groupBy semantics);
-    the right copies of the keys are dropped."""
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
-    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
-
-
 def col_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()

@@ -30,8 +30,3 @@ def key_scores(df: DataFrame, key: str, score: str, *, out_key: str | None = Non
     """Mean score per key, keys whose mean is NULL removed."""
     res = df.groupBy(F.col(key).alias(out_key or key)).agg(F.avg(score).cast("double").alias(out))
     return res.where(F.col(out).isNotNull())
-
-
-def row_count(df: DataFrame, out: str = "rows") -> DataFrame:
-    """Row count as a one-row DataFrame (stays lazy, composable)."""
-    return df.agg(F.count(F.lit(1)).alias(out))

@@ -14,7 +14,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airnet.operators._util import as_list
 from airnet.session import ensure_checkpoint_dir, materialize
 
 
@@ -139,7 +138,3 @@ def snapshot_bounds(snaps: DataFrame, *, value: str = "value", iter_col: str = "
 def with_bounds(snaps: DataFrame, *, value: str = "value", iter_col: str = "iter") -> DataFrame:
     """Attach the per-iteration bounds (one row per iteration: broadcast)."""
     return snaps.join(F.broadcast(snapshot_bounds(snaps, value=value, iter_col=iter_col)), iter_col, "left")
-
-
-def edges_with_keys(edges: DataFrame, *cols) -> DataFrame:
-    return edges.select(*as_list(list(cols)))

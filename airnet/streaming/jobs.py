@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from airnet.operators import windows
 from airnet.operators._util import as_list
 from airnet.streaming.core import (
-    append_sink, event_stream, latest_state, run_until_done, scratch_path, to_event_time, upsert_sink,
+    append_sink, latest_state, run_until_done, scratch_path, to_event_time, upsert_sink,
 )
 
 
