@@ -79,29 +79,50 @@ def _blocked_hot(base: DataFrame, sk: list[str], order: list[str], rows: int, ch
     return blocked, Window.partitionBy(*sk, "__blk").orderBy("__idx")
 
 
+def hot_keys(base: DataFrame, sk: list[str], hot_rows: int, max_keys: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, found by a partial-aggregate count.
+
+    Returns None when there is none, a small local frame (at most ``max_keys`` rows, safe
+    to broadcast) when there are few, else the lazy aggregate itself (the join is then
+    left to AQE).  Only ``max_keys + 1`` key rows ever reach the driver.
+    """
+    agg = (base.groupBy(*sk).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > F.lit(hot_rows))
+               .select(*sk))
+    found = agg.limit(max_keys + 1).collect()
+    if not found:
+        return None
+    if len(found) <= max_keys:
+        return F.broadcast(base.sparkSession.createDataFrame(found, agg.schema))
+    return agg
+
+
 def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, chunk: Column | None = None,
-                block_rows: int = 1 << 20, hot_rows: int | None = None) -> DataFrame:
+                block_rows: int = 1 << 20, hot_rows: int | None = None,
+                max_hot_keys: int = 10000) -> DataFrame:
     """Evaluate ``fn(frame, window)`` -- window functions looking at most ``rows - 1``
     rows back -- over ``partitionBy(keys).orderBy(order)``, splitting hot keys.
 
     Keys with more than ``hot_rows`` (default ``block_rows``) rows are *hot*: they are
     numbered and cut into blocks with a halo (see module doc), so no task holds more
     than ``block_rows + rows - 1`` of their rows.  All other keys use the plain window.
-    The hot-key list holds at most ``total_rows / hot_rows`` keys; AQE broadcasts it
-    while it is small, otherwise the join's hash partitioning is the one the plain
-    window needs anyway.  Without ``chunk`` every key uses the plain window.
+    Hot keys are found first (one cheap count job); with none, the plan is exactly the
+    plain window.  At most ``total_rows / hot_rows`` keys can be hot; up to
+    ``max_hot_keys`` of them are broadcast as a literal list, more are joined lazily
+    (AQE decides from their measured size).  Without ``chunk`` every key uses the plain
+    window.
     """
     keys, order = as_list(keys), as_list(order)
+    plain = Window.partitionBy(*keys).orderBy(*order)
     if chunk is None:
-        out = fn(df.withColumn("__shift", F.lit(0)), Window.partitionBy(*keys).orderBy(*order))
-        return finish(out)
+        return finish(fn(df.withColumn("__shift", F.lit(0)), plain))
     if block_rows < rows:
         raise ValueError("block_rows must be >= rows")
     hot_rows = hot_rows or block_rows
     base, sk = _surrogates(df.withColumn("__chunk", chunk), keys)
-    hot = (base.groupBy(*sk).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > F.lit(hot_rows))
-               .select(*sk, F.lit(True).alias("__hot")))
-    flagged = base.join(hot, sk, "left")
+    hot = hot_keys(base, sk, hot_rows, max_hot_keys)
+    if hot is None:
+        return finish(fn(df.withColumn("__shift", F.lit(0)), plain))
+    flagged = base.join(hot.withColumn("__hot", F.lit(True)), sk, "left")
     cold = flagged.where(F.col("__hot").isNull()).withColumn("__shift", F.lit(0))
     cold_out = finish(fn(cold, Window.partitionBy(*sk).orderBy(*order)))
     hot_frame, w = _blocked_hot(flagged.where(F.col("__hot")), sk, order, rows, chunk, block_rows)

@@ -842,3 +842,40 @@ FROM {_GM_PRED_SQL} ORDER BY abs(prediction - label) DESC, event_id LIMIT 10
 def q_worst_predictions(spark, sf):
     out = ml.worst_predictions(_gm_predictions(spark, sf), 10, tie=["event_id"])
     return out.select("event_id", "station", "label", r6("prediction").alias("prediction"), r6("error").alias("error"))
+
+
+# --------------------------------------------------------------------------- hot keys (skew paths)
+# Keys derived so that one key holds a large share of all rows; small blocks make the
+# blocked path run at the test scale.  Results must equal the plain window.
+HOT_BLOCK_ROWS = 1000
+
+
+def _hot_key_events(spark, sf):
+    ev = _events(spark, sf)
+    key = F.when(F.col("event_type").isin("view", "click"), F.lit(-1)).otherwise(F.col("user_id"))
+    return ev.select(key.alias("sensor"), "event_id", "ts", "value")
+
+
+@register("rolling_stats_hot_key", f"""
+SELECT sensor, event_id, ts, value,
+       {rsql('avg(value) OVER w')} AS value_mean, {rsql('stddev_pop(value) OVER w')} AS value_std
+FROM (SELECT CASE WHEN event_type IN ('view', 'click') THEN -1 ELSE user_id END AS sensor, event_id, ts, value
+      FROM events)
+WINDOW w AS (PARTITION BY sensor ORDER BY ts, event_id ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+""")
+def q_rolling_stats_hot_key(spark, sf):
+    out = anomalies.rolling_stats(_hot_key_events(spark, sf), "sensor", EV_ORDER, "value", 24,
+                                  block_rows=HOT_BLOCK_ROWS)
+    return out.select("sensor", "event_id", "ts", "value",
+                      r6("value_mean").alias("value_mean"), r6("value_std").alias("value_std"))
+
+
+@register("sequence_edges_hot_line", """
+SELECT src, dst, line FROM (
+    SELECT lag(l_partkey) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey) AS src,
+           l_partkey AS dst, l_returnflag AS line FROM lineitem) WHERE src IS NOT NULL
+""")
+def q_sequence_edges_hot_line(spark, sf):
+    li = load_table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey")
+    return sequence.sequence_edges(li, "l_returnflag", ["l_orderkey", "l_linenumber", "l_partkey"], "l_partkey",
+                                   chunk=F.floor(F.col("l_orderkey") / F.lit(256)), block_rows=HOT_BLOCK_ROWS)
