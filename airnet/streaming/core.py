@@ -31,12 +31,20 @@ def event_stream(spark: SparkSession, directory: str, glob: str = "*.parquet", *
 
 
 def to_event_time(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Watermarks need ``timestamp``; wall-clock ``timestamp_ntz`` columns are read as UTC."""
+    """Watermarks need ``timestamp``: a wall-clock ``timestamp_ntz`` column is read as UTC
+    (the same instant whatever the session time zone)."""
     t = df.schema[col].dataType.simpleString()
-    c = F.col(col).cast("timestamp") if t == "timestamp_ntz" else F.col(col)
+    c = F.col(col)
+    if t == "timestamp_ntz":
+        c = F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp")
     return df.withColumn(out or col, c)
 
 
+def to_wall_clock(c) -> "F.Column":
+    """Inverse of :func:`to_event_time`: an instant as its UTC wall clock (``timestamp_ntz``)."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+
+
 def upsert_sink(df: DataFrame, path: str, checkpoint: str, *, trigger_available_now: bool = True,
                 query_name: str | None = None) -> StreamingQuery:
     """Update-mode sink: each micro-batch's changed rows are appended to ``path`` with

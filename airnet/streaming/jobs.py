@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from airnet.operators import windows
 from airnet.operators._util import as_list
 from airnet.streaming.core import (
-    append_sink, latest_state, run_until_done, scratch_path, to_event_time, upsert_sink,
+    append_sink, latest_state, run_until_done, scratch_path, to_event_time, to_wall_clock, upsert_sink,
 )
 
 
@@ -20,15 +20,17 @@ def stream_window_stats(spark: SparkSession, stream: DataFrame, ts: str, keys, m
     Without ``watermark`` the state is kept for every window (exact, but unbounded on an
     endless stream); with it, state older than the watermark is dropped.
     """
-    s = to_event_time(stream, ts)
-    if watermark:
-        s = s.withWatermark(ts, watermark)
+    s = stream
+    if watermark:  # watermarks need an instant; without one, windows run on the wall clock
+        s = to_event_time(stream, ts).withWatermark(ts, watermark)
     stats = windows.window_stats(s, ts, keys, measures, duration=duration, slide=slide)
     path, ckpt = scratch_path(spark, "window-stats"), scratch_path(spark, "window-stats-ckpt")
     run_until_done(upsert_sink(stats, path, ckpt), timeout_s)
     out = latest_state(spark, path, ["window_start", "window_end", *as_list(keys)])
-    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
-        "window_end", F.col("window_end").cast("timestamp_ntz"))
+    if watermark:
+        out = (out.withColumn("window_start", to_wall_clock(F.col("window_start")))
+                  .withColumn("window_end", to_wall_clock(F.col("window_end"))))
+    return out
 
 
 def stream_anomalies(spark: SparkSession, stream: DataFrame, ts: str, keys, measures, *,
@@ -58,5 +60,5 @@ def stream_watermarked_counts(spark: SparkSession, stream: DataFrame, ts: str, *
     path, ckpt = scratch_path(spark, "wm-counts"), scratch_path(spark, "wm-counts-ckpt")
     run_until_done(append_sink(counts, path, ckpt), timeout_s)
     out = spark.read.parquet(path)
-    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "rows")
+    return out.select(to_wall_clock(F.col("window_start")).alias("window_start"),
+                      to_wall_clock(F.col("window_end")).alias("window_end"), "rows")
