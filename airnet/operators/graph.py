@@ -40,19 +40,25 @@ def dense_ids(vertices: DataFrame, name: str = "name", *, id_col: str = "vertex_
               partitions: int | None = None) -> DataFrame:
     """Dense ids ``0..n-1`` in ``name`` order without a single-partition window.
 
-    Names are range-partitioned (sampled bounds, so a skewed name distribution still
-    splits evenly), numbered inside each partition, and shifted by the row count of the
-    earlier partitions; that count table has one row per partition.
+    Distinct names are range-partitioned (sampled bounds: even splits whatever the name
+    distribution) and sorted inside each partition; ``monotonically_increasing_id`` then
+    encodes (partition, position).  That numbering is written once to the shared folder,
+    so the per-partition sizes (one row per partition, broadcast) and the ids are derived
+    from the same rows even if a task is retried.
     """
     names = vertices.select(name).where(F.col(name).isNotNull()).distinct()
     n = partitions or int(vertices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = names.repartitionByRange(n, name).withColumn("__pid", F.spark_partition_id())
-    ranked = ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid").orderBy(name)))
-    sizes = ranked.groupBy("__pid").agg(F.max("__rn").alias("__n"))
+    tagged = (names.repartitionByRange(n, name).sortWithinPartitions(name)
+                   .withColumn("__mid", F.monotonically_increasing_id()))
+    tagged = materialize(tagged, "dense-ids")
+    pid = F.shiftright(F.col("__mid"), 33)
+    pos = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+    local = tagged.select(F.col(name), pid.alias("__pid"), pos.alias("__pos"))
+    sizes = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    out = ranked.join(F.broadcast(offsets), "__pid")  # one row per partition: bounded
-    return out.select((F.col("__off") + F.col("__rn") - F.lit(1)).cast("long").alias(id_col), F.col(name))
+    out = local.join(F.broadcast(offsets), "__pid")  # one row per partition: bounded
+    return out.select((F.col("__off") + F.col("__pos")).cast("long").alias(id_col), F.col(name))
 
 
 def seed_vertices(vertices: DataFrame, scores: DataFrame, *, name: str = "name",
