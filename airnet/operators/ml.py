@@ -45,6 +45,14 @@ def features_as_array(df: DataFrame, col: str = "features", out: str = "features
     return df.withColumn(out, vector_to_array(F.col(col)))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """MLlib trains with one task per input partition: when a small input arrives in fewer
+    partitions than the cluster's parallelism, hash-spread it.  Large inputs (already in
+    many partitions) are returned untouched, so this never adds a shuffle at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def hash_split(df: DataFrame, key: str, train_pct: int = 70, *, out: str = "split") -> DataFrame:
     """Label rows ``train`` / ``test`` from an MD5 bucket of ``key`` (0..99 < train_pct).
 
@@ -55,7 +63,8 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 70, *, out: str = "spli
 
 
 def train_test(df: DataFrame, key: str, train_pct: int = 70) -> tuple[DataFrame, DataFrame]:
-    s = hash_split(df, key, train_pct, out="__split")
+    """Stable train / test frames (see :func:`hash_split`), spread for parallel fitting."""
+    s = hash_split(spread(df), key, train_pct, out="__split")
     return (s.where(F.col("__split") == "train").drop("__split"),
             s.where(F.col("__split") == "test").drop("__split"))
 
