@@ -90,6 +90,13 @@ def line_color(line) -> Column:
     return F.when(n >= 1, F.element_at(palette, idx)).otherwise(F.lit(UNKNOWN_LINE_COLOR))
 
 
+def wall_clock_micros(ts) -> Column:
+    """Microseconds since the epoch of a wall-clock ``timestamp_ntz`` read as UTC
+    (independent of the session time zone); instants (``timestamp``) as they are."""
+    c = _c(ts)
+    return F.unix_micros(F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp"))
+
+
 def calendar_parts(ts) -> dict[str, Column]:
     """hour 0-23, dayOfWeek 1-7 (1 = Sunday), month 1-12."""
     t = _c(ts)

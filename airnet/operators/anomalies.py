@@ -10,11 +10,11 @@ result is identical to
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airnet.functions.columns import zscore
-from airnet.operators._util import as_list
+from airnet.functions.columns import wall_clock_micros, zscore
+from airnet.operators._util import as_list, col_type
 from airnet.operators.sequence import default_chunk, frame_apply
 
 
@@ -46,6 +46,39 @@ def rolling_stats(df: DataFrame, key, order, value: str, rows: int = 24, *,
                        block_rows=block_rows, hot_rows=hot_rows)
 
 
+def rolling_stats_range(df: DataFrame, key, ts: str, value: str, seconds: int = 24 * 3600, *,
+                        bucket_seconds: int | None = None, mean_col: str | None = None,
+                        std_col: str | None = None, count_col: str | None = None) -> DataFrame:
+    """Trailing mean, population sd and row count of ``value`` over the rows of the same
+    key whose time lies in ``[t - seconds, t]`` (a time frame, unlike the row frame of
+    :func:`rolling_stats`; rows at equal times are peers and all included).
+
+    Always skew-safe with a single shuffle: rows go to time buckets of ``bucket_seconds``
+    (>= ``seconds``, default 4x) and every row within ``seconds`` of the next bucket is
+    copied there as a halo, so each ``(key, bucket)`` window sees exactly the rows its frame
+    needs.  Extra rows: about ``seconds / bucket_seconds`` of the input.
+    """
+    keys = as_list(key)
+    mean_col = mean_col or f"{value}_mean"
+    std_col = std_col or f"{value}_std"
+    count_col = count_col or f"{value}_count"
+    width = int(seconds) * 1_000_000
+    bucket = int(bucket_seconds or 4 * seconds) * 1_000_000
+    if bucket < width:
+        raise ValueError("bucket_seconds must be >= seconds")
+    t = F.col("__t")
+    d = df.withColumn("__t", wall_clock_micros(ts) if col_type(df, ts) == "timestamp_ntz"
+                      else F.unix_micros(F.col(ts)))
+    b = F.floor(t / F.lit(bucket))
+    halo = t >= (b + F.lit(1)) * F.lit(bucket) - F.lit(width)
+    d = (d.withColumn("__shift", F.explode(F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+          .withColumn("__b", b + F.col("__shift")))
+    w = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(-width, 0)
+    out = (d.withColumn(mean_col, F.avg(value).over(w)).withColumn(std_col, F.stddev_pop(value).over(w))
+            .withColumn(count_col, F.count(value).over(w)))
+    return out.where(F.col("__shift") == 0).drop("__t", "__shift", "__b")
+
+
 def rolling_zscore(df: DataFrame, key, order, value: str, rows: int = 24, *,
                    z_col: str | None = None, **kw) -> DataFrame:
     """``rolling_stats`` plus ``(value - mean) / sd`` (NULL when sd is 0)."""

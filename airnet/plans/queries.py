@@ -879,3 +879,16 @@ def q_sequence_edges_hot_line(spark, sf):
     li = load_table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey")
     return sequence.sequence_edges(li, "l_returnflag", ["l_orderkey", "l_linenumber", "l_partkey"], "l_partkey",
                                    chunk=F.floor(F.col("l_orderkey") / F.lit(256)), block_rows=HOT_BLOCK_ROWS)
+
+
+@register("rolling_stats_range", f"""
+SELECT user_id, event_id, ts, value, {rsql('avg(value) OVER w')} AS value_mean,
+       {rsql('stddev_pop(value) OVER w')} AS value_std, count(value) OVER w AS value_count
+FROM events
+WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW)
+""")
+def q_rolling_stats_range(spark, sf):
+    ev = _events(spark, sf).select("user_id", "event_id", "ts", "value")
+    out = anomalies.rolling_stats_range(ev, EV_KEY, "ts", "value", 24 * 3600)
+    return out.select("user_id", "event_id", "ts", "value", r6("value_mean").alias("value_mean"),
+                      r6("value_std").alias("value_std"), "value_count")

@@ -90,3 +90,19 @@ def test_profiles(spark):
     cc = {(r["column"], r["part_a"], r["part_b"]): r["is_concat"]
           for r in profile.profile_concat_columns(df, ["p", "q", "pq"]).collect()}
     assert cc[("pq", "p", "q")] is True and cc[("pq", "q", "p")] is False
+
+
+def test_range_frame_equals_plain_range_window(spark):
+    df = _series(spark, n_hot=2000)
+    out = anomalies.rolling_stats_range(df, "k", "ts", "v", 3 * 3600, bucket_seconds=3 * 3600)
+    t = F.unix_micros(F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp"))
+    w = Window.partitionBy("k").orderBy("__t").rangeBetween(-3 * 3600 * 1_000_000, 0)
+    plain = (df.withColumn("__t", t).withColumn("m", F.avg("v").over(w)).withColumn("s", F.stddev_pop("v").over(w))
+               .withColumn("n", F.count("v").over(w)))
+    a = {r["event_id"]: (r["v_mean"], r["v_std"], r["v_count"]) for r in out.collect()}
+    b = {r["event_id"]: (r["m"], r["s"], r["n"]) for r in plain.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][2] == b[k][2]
+        assert math.isclose(a[k][0], b[k][0], rel_tol=1e-12, abs_tol=1e-12)
+        assert math.isclose(a[k][1], b[k][1], rel_tol=1e-9, abs_tol=1e-9)
