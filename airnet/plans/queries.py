@@ -892,3 +892,39 @@ def q_rolling_stats_range(spark, sf):
     out = anomalies.rolling_stats_range(ev, EV_KEY, "ts", "value", 24 * 3600)
     return out.select("user_id", "event_id", "ts", "value", r6("value_mean").alias("value_mean"),
                       r6("value_std").alias("value_std"), "value_count")
+
+
+_STATION_STREAM_SQL = f"""
+WITH keys AS (SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS idx
+              FROM (SELECT DISTINCT c_name FROM customer WHERE c_name IS NOT NULL) ORDER BY c_name LIMIT 20),
+     n AS (SELECT count(*) AS n FROM keys),
+     ev AS (SELECT e.ts, k.c_name AS station, e.value, CAST(json_extract(e.props, '$.k') AS DOUBLE) AS k
+            FROM events e, n JOIN keys k ON k.idx = CAST(e.event_id % n.n AS INTEGER)),
+     w AS (SELECT time_bucket(INTERVAL 2 HOUR, ts) - INTERVAL 2 HOUR * o AS window_start, station, value, k
+           FROM ev, (SELECT unnest([0, 1, 2]) AS o) offs),
+     g AS (SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, station,
+                  avg(value) AS vm, stddev_pop(value) AS vs, max(value) AS vx,
+                  avg(k) AS km, stddev_pop(k) AS ks, max(k) AS kx
+           FROM w GROUP BY window_start, station),
+     z AS (SELECT *, CASE WHEN vs > 0 THEN (vx - vm) / vs ELSE 0.0 END AS vz,
+                     CASE WHEN ks > 0 THEN (kx - km) / ks ELSE 0.0 END AS kz FROM g)
+SELECT window_start, window_end, station, {rsql('vm')} AS value_mean, {rsql('vs')} AS value_std, vx AS value_max,
+       {rsql('vz')} AS value_zscore, {rsql('km')} AS k_mean, {rsql('ks')} AS k_std, kx AS k_max, {rsql('kz')} AS k_zscore
+FROM z WHERE vz >= 1.75 OR kz >= 1.75
+"""
+
+
+@register("stream_station_anomalies", _STATION_STREAM_SQL)
+def q_stream_station_anomalies(spark, sf):
+    # the live path end to end: round-robin station per event (20 stations), sliding
+    # 6 h / 2 h windows per station, alerts on the latest state of each window
+    keys = profile.bounded_keys(load_table(spark, sf, "customer"), "c_name", 20)
+    ev = streaming.event_stream(spark, sf, "events.parquet")
+    ev = windows.round_robin_assign(ev, "event_id", keys, "station").select(
+        "ts", "station", "value", F.get_json_object("props", "$.k").try_cast("double").alias("k"))
+    out = streaming.stream_anomalies(spark, ev, "ts", ["station"], ["value", "k"],
+                                     duration=WIN_DURATION, slide=WIN_SLIDE, threshold=1.75)
+    return out.select("window_start", "window_end", "station",
+                      r6("value_mean").alias("value_mean"), r6("value_std").alias("value_std"), "value_max",
+                      r6("value_zscore").alias("value_zscore"), r6("k_mean").alias("k_mean"),
+                      r6("k_std").alias("k_std"), "k_max", r6("k_zscore").alias("k_zscore"))
