@@ -3,6 +3,7 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from airnet.functions.columns import EDGE_PALETTE
@@ -49,3 +50,25 @@ def test_hot_key_blocks_are_bounded(spark):
     # 60 real blocks plus one that only holds the halo of the last block
     assert max(sizes) <= 50 + 23 and len(sizes) == 61
     assert hot_frame.where(F.col("__shift") == 0).count() == 3000
+
+
+def test_full_outer_self_join_has_no_nulls(spark):
+    from airnet.operators import joins
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    hourly = ev.groupBy(F.date_trunc("hour", "ts").alias("hour"), "user_id").agg(F.avg("value").alias("a"))
+    j = joins.full_outer_measures(hourly, hourly.withColumnRenamed("a", "b"), ["hour", "user_id"])
+    assert j.count() == hourly.count()
+    assert j.where(F.col("a").isNull() | F.col("b").isNull() | F.col("hour").isNull()).count() == 0
+
+
+def test_group_zscore_bound(spark):
+    import math
+    import random
+    from airnet.operators import anomalies
+    rnd = random.Random(3)
+    rows = [(f"g{g}", float(rnd.choice([0, 1, 1, 2, 3, 50]))) for g in range(40) for _ in range(rnd.randint(1, 12))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    z = anomalies.group_zscore(df, "g", "v").withColumn("n", F.count("v").over(Window.partitionBy("g")))
+    for r in z.collect():
+        if r["z_score"] is not None:
+            assert abs(r["z_score"]) <= (r["n"] - 1) / math.sqrt(r["n"]) + 1e-9
