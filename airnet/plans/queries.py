@@ -7,9 +7,15 @@ station ``l_partkey``), point coordinates = ``part (p_size, p_retailprice)``.
 """
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
-from airnet.operators import anomalies
+from airnet import streaming
+from airnet.functions.columns import EDGE_PALETTE
+from airnet.operators import (
+    aggregates, anomalies, graph, joins, ml, profile, reshape, sequence, spatial, style, windows,
+)
 from airnet.plans.registry import register, r6, rsql
 from airnet.sources.tables import load_table
 
@@ -83,7 +89,6 @@ def q_rolling_peaks_two_sided(spark, sf):
 
 
 # --------------------------------------------------------------------------- cleaning (C1-C4)
-from airnet.operators import aggregates, joins, profile, reshape, spatial, windows  # noqa: E402
 
 
 def _events_with_nulls(spark, sf):
@@ -438,8 +443,6 @@ def q_round_robin_assign(spark, sf):
 
 
 # --------------------------------------------------------------------------- graph (S5, W4, W5, G1-G7)
-from airnet.functions.columns import EDGE_PALETTE  # noqa: E402
-from airnet.operators import graph, sequence, style  # noqa: E402
 
 ALPHA, STEPS = 0.01, 3
 
@@ -624,7 +627,6 @@ def q_dot_edge_lines(spark, sf):
 
 
 # --------------------------------------------------------------------------- streaming (S7, S8, ST1-ST8)
-from airnet import streaming  # noqa: E402
 
 
 def _sensor_stream(spark, sf):
@@ -666,8 +668,6 @@ def q_stream_watermarked_counts(spark, sf):
 
 
 # --------------------------------------------------------------------------- ML (P14, ML1-ML14)
-from airnet.operators import ml  # noqa: E402
-from pyspark.ml.feature import VectorAssembler  # noqa: E402
 
 
 def _feature_frame(spark, sf):
@@ -695,7 +695,6 @@ def q_hash_split(spark, sf):
 SELECT e.event_id, e.event_type AS station, r.idx AS "stationIndex" FROM events e JOIN {_INDEX_SQL} r USING (event_type)
 """)
 def q_ml_string_index(spark, sf):
-    from pyspark.ml.feature import StringIndexer
     f = _feature_frame(spark, sf)
     out = StringIndexer(inputCol="station", outputCol="stationIndex").fit(f).transform(f)
     return out.select("event_id", "station", "stationIndex")
@@ -708,7 +707,6 @@ SELECT e.event_id, e.event_type AS station,
 FROM events e JOIN {_INDEX_SQL} r USING (event_type)
 """)
 def q_ml_one_hot(spark, sf):
-    from pyspark.ml import Pipeline
     f = _feature_frame(spark, sf)
     stages = ml.feature_stages("station", [], handle_invalid="error")[:2]
     out = Pipeline(stages=stages).fit(f).transform(f)
@@ -719,7 +717,6 @@ def q_ml_one_hot(spark, sf):
 SELECT event_id, {rsql('hour(ts) / (SELECT stddev_samp(hour(ts)) FROM events)')} AS "hourScaled" FROM events
 """)
 def q_ml_scaled(spark, sf):
-    from pyspark.ml import Pipeline
     f = _feature_frame(spark, sf)
     stages = ml.feature_stages("station", ["hour"])[2:4]
     out = Pipeline(stages=stages).fit(f).transform(f)
