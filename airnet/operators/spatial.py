@@ -19,27 +19,32 @@ def filter_range(df: DataFrame, col: str, lower=None, upper=None, *, inclusive:
     return df.where(cond)
 
 
-def reference_point(df: DataFrame, match: Column, x: str, y: str, tie=None) -> Column:
-    """The first row matching ``match`` (smallest ``tie``) as a scalar subquery value
-    ``struct(x0, y0)``: evaluated once, inlined into every task; NULL when nothing matches."""
+def reference_point(df: DataFrame, match: Column, x: str, y: str, tie=None) -> tuple | None:
+    """``(x0, y0)`` of the first row matching ``match`` (smallest ``tie``), or None.
+
+    One row reaches the driver (a bounded lookup: filter pushed into the scan, top-1 per
+    task); the coordinates are then plain literals in the main query.
+    """
     ref = df.where(match).where(F.col(x).isNotNull() & F.col(y).isNotNull())
     if tie:
         ref = ref.orderBy(*as_list(tie))
-    return ref.limit(1).select(F.struct(F.col(x).alias("x0"), F.col(y).alias("y0"))).scalar()
+    row = ref.select(F.col(x).alias("x0"), F.col(y).alias("y0")).first()
+    return None if row is None else (row["x0"], row["y0"])
 
 
 def nearest_points(df: DataFrame, match: Column, x: str, y: str, *, k: int | None = 20,
                    tie=None, dist_col: str = "distance") -> DataFrame:
     """Rows ranked by Euclidean distance to the reference row chosen by ``match``.
 
-    The reference point is a scalar subquery (no join, no driver round trip); rows
-    without coordinates are dropped.  ``k`` makes it a top-k report
+    Rows without coordinates are dropped.  ``k`` makes it a top-k report
     (``TakeOrderedAndProject``: each task keeps only k candidates); ``k=None`` returns the
     full ordering.  An unknown reference gives an empty result.
     """
     tie = as_list(tie)
     ref = reference_point(df, match, x, y, tie)
-    out = df.withColumn(dist_col, euclidean(x, y, ref.getField("x0"), ref.getField("y0")))
-    out = out.where(F.col(dist_col).isNotNull())
+    pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    if ref is None:
+        return pts.withColumn(dist_col, F.lit(None).cast("double")).limit(0)
+    out = pts.withColumn(dist_col, euclidean(x, y, F.lit(ref[0]), F.lit(ref[1])))
     out = out.orderBy(F.col(dist_col), *[F.col(c) for c in tie])
     return out.limit(k) if k is not None else out
