@@ -5,8 +5,9 @@ Vertices are keyed by station name (no driver-side id map).  One diffusion step
 and adds it:  ``p[k+1] = p[k] + alpha * A p[k]`` with ``A`` the symmetric adjacency
 counted with multiplicity (a parallel edge sends twice, a self-loop sends to itself
 twice).  The edge list is reduced once to ``(src, dst, weight)`` and persisted; each
-step is one join of edges with the current state (AQE broadcasts the state while it is
-small, splits a hub vertex's edges when they are skewed) and one partial+final sum.
+step joins it with the current state -- broadcast when a count proves it small, else with
+the weights hash-partitioned by ``(src, salt)`` (hubs salted) so only the state moves --
+and sums by destination (partial + final aggregate).
 """
 from __future__ import annotations
 
@@ -89,10 +90,50 @@ def symmetric_weights(edges: DataFrame, src: str = "src", dst: str = "dst") -> D
     return both.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
+def partitioned_weights(weights: DataFrame, *, partitions: int, hot_degree: int, salts: int,
+                        max_hot: int = 10000) -> tuple[DataFrame, DataFrame | None]:
+    """Edge weights hash-partitioned by ``(src, salt)`` for repeated joins on ``src``.
+
+    A source with more than ``hot_degree`` edges (a hub) has its edges spread over
+    ``salts`` salts by destination; its state row is replicated once per salt at each
+    step, so no task holds all of a hub's edges.  Hub detection is a partial-aggregate
+    count; at most ``max_hot`` hubs are listed (broadcast), more fall back to a lazy join.
+    Returns ``(weights, hubs)``: with hubs the weights carry ``salt`` and are partitioned by
+    ``(src, salt)``; without, they are partitioned by ``src`` and ``hubs`` is None.
+    """
+    deg = (weights.groupBy("src").agg(F.count(F.lit(1)).alias("__deg"))
+                  .where(F.col("__deg") > F.lit(hot_degree)).select("src"))
+    found = deg.limit(max_hot + 1).collect()
+    hubs = None
+    if found:
+        hubs = (F.broadcast(weights.sparkSession.createDataFrame(found, deg.schema))
+                if len(found) <= max_hot else deg).withColumn("__hub", F.lit(True))
+        salt = F.when(F.col("__hub"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0))
+        weights = weights.join(hubs, "src", "left").withColumn("salt", salt.cast("int")).drop("__hub")
+        return weights.repartition(partitions, "src", "salt"), hubs
+    # no hub: a constant salt would be folded out of the join keys, so partition by src only
+    return weights.repartition(partitions, "src"), None
+
+
 def diffuse_step(state: DataFrame, weights: DataFrame, alpha: float, *, name: str = "name",
-                 value: str = "value") -> DataFrame:
-    """One step ``p + alpha * A p``; vertices that receive nothing keep their value."""
-    msgs = (weights.join(state.select(F.col(name).alias("src"), F.col(value).alias("__p")), "src")
+                 value: str = "value", hubs: DataFrame | None = None, salts: int = 1,
+                 broadcast_state: bool = False) -> DataFrame:
+    """One step ``p + alpha * A p``; vertices that receive nothing keep their value.
+
+    ``broadcast_state``: the caller has checked that the state is small; every edge
+    partition then joins it locally (no shuffle of the edges, hubs need no care).
+    Otherwise, with ``hubs`` (see :func:`partitioned_weights`) ``weights`` carries a
+    ``salt`` column and each hub's state is replicated over its salts.
+    """
+    p = state.select(F.col(name).alias("src"), F.col(value).alias("__p"))
+    keys = ["src"]
+    if broadcast_state:
+        p = F.broadcast(p)
+    elif hubs is not None:
+        keys.append("salt")
+        fan = F.when(F.col("__hub"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        p = p.join(hubs, "src", "left").withColumn("salt", F.explode(fan)).drop("__hub")
+    msgs = (weights.join(p, keys)
                    .groupBy("dst").agg(F.sum(F.col("weight") * F.col("__p")).alias("__m")))
     nxt = state.join(msgs, state[name] == msgs["dst"], "left")
     return nxt.select(*[F.col(c) for c in state.columns if c != value],
@@ -102,27 +143,40 @@ def diffuse_step(state: DataFrame, weights: DataFrame, alpha: float, *, name: st
 
 def diffuse(state: DataFrame, edges: DataFrame, alpha: float = 0.10, steps: int = 5, *,
             name: str = "name", value: str = "value", src: str = "src", dst: str = "dst",
-            snapshots: bool = False, checkpoint_every: int = 2) -> DataFrame:
+            snapshots: bool = False, checkpoint_every: int = 2, partitions: int | None = None,
+            broadcast_rows: int = 2_000_000, hot_degree: int = 1 << 20, salts: int = 64) -> DataFrame:
     """Run ``steps`` diffusion steps.
 
     Returns the final state, or with ``snapshots`` every state ``0..steps`` tagged with
-    ``iter``.  States are cut from their lineage by writing them as parquet into the
-    shared checkpoint folder (``spark.checkpoint.dir``): every ``checkpoint_every`` steps
-    and the final one, and every state when snapshots are kept (each is then read by the
-    next step and by the output).  A lost executor recomputes at most
-    ``checkpoint_every`` steps; a state is computed once.
+    ``iter``.  The symmetric edge weights are computed once and persisted.  The initial
+    state is written once and counted: up to ``broadcast_rows`` vertices it is broadcast
+    at every step (a checked size), so the edges are never shuffled.  Beyond that the
+    weights are hash-partitioned by ``(src, salt)`` once, so each step shuffles only the
+    state, and a hub (more than ``hot_degree`` edges) is split over ``salts`` tasks.
+    States are cut from their lineage by writing them as parquet into the shared
+    checkpoint folder (``spark.checkpoint.dir``): every ``checkpoint_every`` steps and the
+    final one, and every state when snapshots are kept.  A lost executor recomputes at
+    most ``checkpoint_every`` steps; a state is computed once.
     """
     if steps < 0:
         raise ValueError("steps must be >= 0")
     spark = state.sparkSession
     ensure_checkpoint_dir(spark)
+    cur = materialize(state.select(name, value, *[c for c in state.columns if c not in (name, value)]),
+                      "diffusion-state")
+    small = cur.count() <= broadcast_rows
     weights = symmetric_weights(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
-    cur = state.select(name, value, *[c for c in state.columns if c not in (name, value)])
-    if snapshots:
-        cur = materialize(cur, "diffusion-state")
+    base, hubs = weights, None
+    if not small:
+        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        weights, hubs = partitioned_weights(base, partitions=n, hot_degree=hot_degree, salts=salts)
+        weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
+        weights.count()  # fill the partitioned cache from the base cache, then drop the base
+        base.unpersist()
     states = [cur.withColumn("iter", F.lit(0))]
     for k in range(1, steps + 1):
-        cur = diffuse_step(cur, weights, alpha, name=name, value=value)
+        cur = diffuse_step(cur, weights, alpha, name=name, value=value, hubs=hubs, salts=salts,
+                           broadcast_state=small)
         if snapshots or k == steps or (checkpoint_every and k % checkpoint_every == 0):
             cur = materialize(cur, "diffusion-state")
         states.append(cur.withColumn("iter", F.lit(k)))

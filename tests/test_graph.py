@@ -143,3 +143,24 @@ def test_dot_document(spark, net, tmp_dir):
     assert sum("fillcolor" in x for x in lines) == verts.count()
     first_edge = next(i for i, x in enumerate(lines) if " -- " in x)
     assert all("fillcolor" not in x for x in lines[first_edge:])
+
+
+def test_salted_hub_diffusion_matches_matrix(spark):
+    # a star: hub H linked to 40 leaves, plus a chain; hot_degree=5 forces salting of H
+    pairs = [("H", f"L{i}") for i in range(40)] + [("L0", "L1"), ("L1", "L2"), ("H", "H")]
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    names = sorted({x for p in pairs for x in p})
+    p0 = {n: float(i % 5) for i, n in enumerate(names)}
+    state = spark.createDataFrame(list(p0.items()), "name string, value double")
+    exp = _matrix_diffusion(names, pairs, p0, 0.05, 3)
+    for kw in ({"broadcast_rows": 0, "hot_degree": 5, "salts": 4},   # partitioned, hub salted
+               {"broadcast_rows": 0},                                # partitioned, no hub
+               {}):                                                  # broadcast state
+        got = {r["name"]: r["value"] for r in graph.diffuse(state, edges, 0.05, 3, **kw).collect()}
+        for k in exp:
+            assert got[k] == pytest.approx(exp[k], rel=1e-12)
+    w, hubs = graph.partitioned_weights(graph.symmetric_weights(edges), partitions=8, hot_degree=5, salts=4)
+    assert [r["src"] for r in hubs.collect()] == ["H"]
+    assert w.where(F.col("src") == "H").select("salt").distinct().count() > 1
+    w2, none = graph.partitioned_weights(graph.symmetric_weights(edges), partitions=8, hot_degree=1000, salts=4)
+    assert none is None and "salt" not in w2.columns
