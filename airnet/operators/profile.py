@@ -29,36 +29,57 @@ def _typed_groups(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     return groups
 
 
-def profile_equal_columns(df: DataFrame, columns=None) -> DataFrame:
+def _chunked(items: list, size: int) -> list[list]:
+    return [items[i:i + size] for i in range(0, len(items), size)] or [[]]
+
+
+def profile_equal_columns(df: DataFrame, columns=None, *, max_checks: int = 2000) -> DataFrame:
     """One row per pair of same-typed columns ``(column_a, column_b, equal)``;
-    ``equal`` is true when the two agree (NULL-safe) on every row."""
+    ``equal`` is true when the two agree (NULL-safe) on every row.
+
+    All pairs are checked in one aggregate pass per ``max_checks`` pairs (plans stay
+    compilable for wide tables; each pass is one scan with map-side combine).
+    """
     cols = as_list(columns) or df.columns
     pairs = [p for grp in _typed_groups(df, cols).values() for p in combinations(grp, 2)]
     if not pairs:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, equal boolean")
-    one = df.agg(*[F.every(F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))).alias(f"e{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"e{i}").alias("equal"))
-        for i, (a, b) in enumerate(pairs)]))
-    return one.select(stacked.alias("p")).select("p.column_a", "p.column_b", "p.equal")
-
-
-def profile_concat_columns(df: DataFrame, columns=None, sep: str = "") -> DataFrame:
+    out = None
+    for chunk in _chunked(pairs, max_checks):
+        one = df.agg(*[F.every(F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))).alias(f"e{i}")
+                       for i, (a, b) in enumerate(chunk)])
+        stacked = F.explode(F.array(*[
+            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"e{i}").alias("equal"))
+            for i, (a, b) in enumerate(chunk)]))
+        part = one.select(stacked.alias("p")).select("p.column_a", "p.column_b", "p.equal")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def profile_concat_columns(df: DataFrame, columns=None, sep: str = "", *,
+                           max_checks: int = 2000) -> DataFrame:
     """One row per ordered string-column triple ``(column, part_a, part_b, is_concat)``:
-    ``is_concat`` when ``column == concat_ws(sep, part_a, part_b)`` on every row."""
+    ``is_concat`` when ``column == concat_ws(sep, part_a, part_b)`` on every row.
+
+    There are c(c-1)(c-2) triples for c string columns; they are checked ``max_checks`` at
+    a time, one aggregate pass (one scan, map-side combine) per batch.
+    """
     cols = [c for c in (as_list(columns) or df.columns)
             if df.schema[c].dataType.simpleString() == "string"]
     triples = [(c, a, b) for c in cols for a, b in permutations([x for x in cols if x != c], 2)]
     if not triples:
         return df.sparkSession.createDataFrame(
             [], "column string, part_a string, part_b string, is_concat boolean")
-    one = df.agg(*[F.every(F.col(f"`{c}`").eqNullSafe(F.concat_ws(sep, F.col(f"`{a}`"), F.col(f"`{b}`"))))
-                   .alias(f"t{i}") for i, (c, a, b) in enumerate(triples)])
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(a).alias("part_a"), F.lit(b).alias("part_b"),
-                 F.col(f"t{i}").alias("is_concat")) for i, (c, a, b) in enumerate(triples)]))
-    return one.select(stacked.alias("p")).select("p.column", "p.part_a", "p.part_b", "p.is_concat")
+    out = None
+    for chunk in _chunked(triples, max_checks):
+        one = df.agg(*[F.every(F.col(f"`{c}`").eqNullSafe(
+            F.concat_ws(sep, F.col(f"`{a}`"), F.col(f"`{b}`")))).alias(f"t{i}") for i, (c, a, b) in enumerate(chunk)])
+        stacked = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.lit(a).alias("part_a"), F.lit(b).alias("part_b"),
+                     F.col(f"t{i}").alias("is_concat")) for i, (c, a, b) in enumerate(chunk)]))
+        part = one.select(stacked.alias("p")).select("p.column", "p.part_a", "p.part_b", "p.is_concat")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def describe_columns(df: DataFrame, columns) -> DataFrame:

@@ -106,3 +106,12 @@ def test_range_frame_equals_plain_range_window(spark):
         assert a[k][2] == b[k][2]
         assert math.isclose(a[k][0], b[k][0], rel_tol=1e-12, abs_tol=1e-12)
         assert math.isclose(a[k][1], b[k][1], rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_profiles_in_batches_equal_single_pass(spark):
+    df = spark.createDataFrame([("a", "b", "ab", "a"), ("x", "y", "xy", "x")], "p string, q string, pq string, p2 string")
+    one = sorted(map(tuple, profile.profile_concat_columns(df).collect()))
+    many = sorted(map(tuple, profile.profile_concat_columns(df, max_checks=5).collect()))
+    assert one == many and len(one) == 24
+    assert sorted(map(tuple, profile.profile_equal_columns(df, max_checks=2).collect())) == \
+        sorted(map(tuple, profile.profile_equal_columns(df).collect()))
