@@ -53,6 +53,10 @@ def upsert_sink(df: DataFrame, path: str, checkpoint: str, *, trigger_available_
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
 
+    # create the (empty) table first: readers then work even before the first batch
+    empty = df.sparkSession.createDataFrame([], df.schema).withColumn("batch_id", F.lit(0).cast("long"))
+    empty.write.mode("append").parquet(path)
+
     w = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     if query_name:
         w = w.queryName(query_name)

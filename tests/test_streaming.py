@@ -57,3 +57,12 @@ def test_watermark_drops_only_open_windows(spark):
     batch = spark.read.parquet(f"{SF}/events.parquet").groupBy(F.window("ts", "1 day")).count()
     assert 0 < out.count() <= batch.count()
     assert out.agg(F.sum("rows")).first()[0] <= 1000
+
+
+def test_stream_without_data_gives_empty_state(spark, tmp_dir):
+    empty_dir = os.path.join(tmp_dir, "empty")
+    spark.read.parquet(f"{SF}/events.parquet").limit(0).write.parquet(empty_dir)
+    s = streaming.event_stream(spark, empty_dir, "*.parquet")
+    out = streaming.stream_window_stats(spark, s.select("ts", "event_type", "value"), "ts", ["event_type"],
+                                        ["value"], duration="6 hours", slide="2 hours")
+    assert out.count() == 0 and "value_mean" in out.columns
