@@ -72,3 +72,20 @@ def test_group_zscore_bound(spark):
     for r in z.collect():
         if r["z_score"] is not None:
             assert abs(r["z_score"]) <= (r["n"] - 1) / math.sqrt(r["n"]) + 1e-9
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=st.integers(1, 6), block=st.integers(6, 30), hot_share=st.floats(0.3, 0.9), seed=st.integers(0, 10_000))
+def test_blocked_frame_equals_plain_window(spark, rows, block, hot_share, seed):
+    import random
+    from airnet.operators import anomalies
+    rnd = random.Random(seed)
+    data = [(i, "hot" if rnd.random() < hot_share else rnd.choice(["a", "b", None]), rnd.randint(0, 50),
+             float(rnd.randint(0, 9))) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, k string, t long, v double")
+    plain = anomalies.rolling_stats(df, "k", ["t", "id"], "v", rows, skew_safe=False)
+    blocked = anomalies.rolling_stats(df, "k", ["t", "id"], "v", rows, chunk=F.floor(F.col("t") / 7),
+                                      block_rows=block)
+    a = {r["id"]: (round(r["v_mean"], 9), round(r["v_std"], 9)) for r in plain.collect()}
+    b = {r["id"]: (round(r["v_mean"], 9), round(r["v_std"], 9)) for r in blocked.collect()}
+    assert a == b
