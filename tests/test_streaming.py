@@ -66,3 +66,30 @@ def test_stream_without_data_gives_empty_state(spark, tmp_dir):
     out = streaming.stream_window_stats(spark, s.select("ts", "event_type", "value"), "ts", ["event_type"],
                                         ["value"], duration="6 hours", slide="2 hours")
     assert out.count() == 0 and "value_mean" in out.columns
+
+
+def test_late_row_updates_emitted_window_and_single_row_window(spark, tmp_dir):
+    import datetime as dt
+    d = os.path.join(tmp_dir, "late")
+    os.makedirs(d)
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 5)
+    first = [(t0, "S1", 10.0, 5.0), (t0 + dt.timedelta(seconds=3), "S1", 30.0, 5.0),
+             (t0 + dt.timedelta(minutes=5), "S2", 7.0, 1.0)]                 # S2: one row -> sd 0
+    late = [(t0 + dt.timedelta(seconds=1), "S1", 110.0, 5.0),                 # late row for S1's window
+            (t0 + dt.timedelta(minutes=10), "S1", 1.0, 1.0)]
+    schema = "datetime timestamp_ntz, station string, pm10 double, pm25 double"
+    for i, rows in enumerate((first, late)):
+        tmp = os.path.join(tmp_dir, f"part{i}")
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(tmp)
+        f = [p for p in os.listdir(tmp) if p.endswith(".parquet")][0]
+        os.link(os.path.join(tmp, f), os.path.join(d, f"f{i}.parquet"))
+    s = streaming.event_stream(spark, d, "*.parquet", max_files_per_trigger=1)
+    out = streaming.stream_window_stats(spark, s, "datetime", ["station"], ["pm10", "pm25"],
+                                        duration="30 seconds", slide="10 seconds")
+    rows = {(str(r["window_start"]), r["station"]): r for r in out.collect()}
+    w = rows[("2024-01-01 00:00:00", "S1")]
+    assert w["pm10_max"] == 110.0 and abs(w["pm10_mean"] - 50.0) < 1e-9   # late row included
+    single = [r for (ws, st), r in rows.items() if st == "S2"]
+    assert single and all(r["pm10_std"] == 0.0 and r["pm10_zscore"] == 0.0 for r in single)
+    alerts = windows.window_anomalies(out, ["pm10", "pm25"], 1.0)
+    assert ("2024-01-01 00:00:00", "S1") in {(str(r["window_start"]), r["station"]) for r in alerts.collect()}
