@@ -1,6 +1,8 @@
 """Ordered frames inside a key that stay parallel when one key is huge.
 
-For a hot key, ``frame_apply`` gives every row its exact 0-based position inside the key
+``frame_apply`` first finds the hot keys (more than ``hot_rows`` rows) with one count job;
+without any, the plan is the plain window.  For a hot key it gives every row its exact
+0-based position inside the key
 and cuts the key into blocks of ``block_rows`` positions; the last ``rows - 1`` rows of a
 block are copied into the next block (marked ``__shift = 1``) so that a frame of ``rows``
 trailing rows computed per block equals the frame computed over the whole key.
@@ -41,11 +43,11 @@ def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
         t = df.schema[k].dataType.simpleString()
         default = _DEFAULTS.get(t, 0 if t in ("tinyint", "smallint", "int", "bigint", "float", "double")
                                 or t.startswith("decimal") else None)
-        if default is None:  # complex key type: keep as is (NULL-safe semantics not needed)
-            cols.append(k)
-            continue
-        out = (out.withColumn(f"__kn{i}", F.col(k).isNull())
-                  .withColumn(f"__kv{i}", F.coalesce(F.col(k), F.lit(default).cast(t))))
+        if default is None:  # struct / array / map key: its JSON text is an equal-iff-equal value
+            value = F.coalesce(F.to_json(F.col(k)), F.lit(""))
+        else:
+            value = F.coalesce(F.col(k), F.lit(default).cast(t))
+        out = out.withColumn(f"__kn{i}", F.col(k).isNull()).withColumn(f"__kv{i}", value)
         cols += [f"__kn{i}", f"__kv{i}"]
     return out, cols
 
