@@ -89,3 +89,15 @@ def test_blocked_frame_equals_plain_window(spark, rows, block, hot_share, seed):
     a = {r["id"]: (round(r["v_mean"], 9), round(r["v_std"], 9)) for r in plain.collect()}
     b = {r["id"]: (round(r["v_mean"], 9), round(r["v_std"], 9)) for r in blocked.collect()}
     assert a == b
+
+
+@settings(max_examples=4, deadline=None)
+@given(names=st.sets(st.one_of(st.text(min_size=1, max_size=5), st.just("zzz"),
+                               st.text(alphabet="a", min_size=1, max_size=30)), min_size=1, max_size=200),
+       parts=st.integers(1, 9))
+def test_dense_ids_are_rank_order(spark, names, parts):
+    from airnet.operators import graph
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {r["name"]: r["vertex_id"] for r in graph.dense_ids(df, partitions=parts).collect()}
+    ordered = [r["name"] for r in df.orderBy("name").collect()]  # Spark's own string order
+    assert got == {n: i for i, n in enumerate(ordered)}
