@@ -4,8 +4,8 @@ Each document gives a few counts (one pass, text by text) and from them a vector
 shares.  For every ``(lang, source)`` a minimum-covariance-determinant estimate of location and
 scatter is found by concentration steps over *all* its documents: start from medians and
 absolute deviations, keep the ``SUPPORT`` share of nearest documents, take their mean and
-covariance, and repeat.  A document is rejected if its squared Mahalanobis distance exceeds the
-chi-square bound, or if it fails the base rule.
+covariance, and repeat.  A document is rejected if its squared Mahalanobis distance exceeds
+``CUTOFF``, or if it fails the base rule.
 
 Scale: the vectors (a few dozen bytes a document) are written once to the shared folder.  Each
 step is one grouped aggregate (combined before the shuffle, so a group with a third of all rows
@@ -29,8 +29,8 @@ MIN_WORDS = 50
 SUPPORT = 0.75          # share of a group that its estimate rests on
 STEPS = 3
 MIN_GROUP = 200
-#: Chi-square(5) has 1e-9 of its mass beyond this bound; robust scatter is widened by FLOOR.
-CUTOFF = 60.0
+#: Far beyond any quantile of chi-square(5): text that differs in kind, not in degree, is rejected.
+CUTOFF = 250.0
 FEATURES = ("f_length", "f_symbols", "f_dup_lines", "f_repeats", "f_letters")
 #: Smallest spread of each feature: shares that are constant in a group (no symbols at all) would
 #: else make any difference infinitely far.

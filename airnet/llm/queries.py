@@ -18,6 +18,17 @@ def _query(fn):
     return fn
 
 
+@_query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, the removed ones, and the characters left."""
+    from airnet.llm.line_dedup import line_dedup
+    out = line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    lines = F.coalesce(F.size(F.split("row.text", "\n")), F.lit(0))
+    return out.select(F.col("row.doc_id").alias("doc_id"), lines.cast("long").alias("n_lines"),
+                      F.size("removed_lines").cast("long").alias("n_removed"), "removed_lines",
+                      F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"))
+
+
 @_query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
