@@ -67,3 +67,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from airnet.llm.quality_rules import quality_verdicts
     return quality_verdicts(documents(spark, sf_dir))
+
+
+@_query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its class of near copies, and the different texts it is linked to."""
+    from airnet.llm.ngram_join import near_copies
+    return near_copies(documents(spark, sf_dir)).drop("a", "b")
