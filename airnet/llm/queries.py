@@ -18,6 +18,13 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark, with the item."""
+    from airnet.llm.decontamination import contaminated
+    return contaminated(documents(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, the removed ones, and the characters left."""
