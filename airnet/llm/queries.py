@@ -76,6 +76,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(documents(spark, sf_dir))
 
 
+@_query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from airnet.llm.lm_scoring import lm_scores
+    return lm_scores(documents(spark, sf_dir))
+
+
 @_query
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its class of near copies, and the different texts it is linked to."""
