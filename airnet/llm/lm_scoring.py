@@ -39,13 +39,13 @@ from airnet.llm.common import arrow, id_text, rows
 from airnet.session import materialize
 
 SYMBOLS = 32_768
-KNOWN = 262_144            # words whose training count is broadcast
+KNOWN = 131_072            # words whose training count is broadcast
 MAX_WORD = 64              # bytes of a word that may be broadcast
 SLOTS = 1 << 20            # of each hashed context table
 SPELL_SLOTS = 1 << 20
 SPELL_ORDERS = (2, 3, 4, 5)
 FREQUENT = 256             # symbols that serve as the wide context
-SEGMENT = 512
+SEGMENT = 256
 RATE = 0.02                # of the mixing weights
 APM_RATE = 0.02
 BLOCK = 1 << 15            # slots in a partial sum
@@ -99,6 +99,17 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, _COUNT).groupBy("w").agg(F.sum("n").alias("n"))
 
 
+def _least_count(counts: DataFrame, most: int) -> int:
+    """Smallest count that at most ``most`` words reach."""
+    total, least = 0, (1 << 62)
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.col("n").desc()).toLocalIterator():
+        total += r["words"]
+        if total > most:
+            break
+        least = r["n"]
+    return least
+
+
 # ---- the code -------------------------------------------------------------------------------------
 
 def code_lengths(counts: list[int]) -> list[int]:
@@ -145,6 +156,7 @@ class Code:
         total = np.bincount(self.nodes, weights=owner, minlength=self.size)
         p = (ones + 0.02) / (total + 0.04)
         self.stretch = np.log(p / (1 - p)).astype(np.float32)
+        self.hashes = hashed(np.arange(self.size) + (1 << 40))
 
     def expand(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For the symbols in a row: index into ``nodes``/``bits`` of every code bit, and its symbol's place."""
@@ -156,11 +168,14 @@ class Code:
 
 
 def slots(context: np.ndarray, node: np.ndarray, size: int) -> np.ndarray:
-    """Table slots of hashed (context, node)."""
-    h = (context.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + node.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    """Table slots of (context, node), both hashed already: the high bits of their sum."""
+    return ((context + node) >> np.uint64(64 - size.bit_length() + 1)).view(np.int64)
+
+
+def hashed(x: np.ndarray) -> np.ndarray:
+    h = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+    return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
 class Model:
@@ -181,7 +196,7 @@ class Model:
         return out
 
     def contexts(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols of the texts in a row with their order-1 and order-2 contexts (a text starts with end, end)."""
+        """Symbols of the texts in a row with their two hashed contexts (a text starts with end, end)."""
         flat = np.concatenate(texts)
         begin = np.cumsum([0] + [len(t) for t in texts[:-1]])
         text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
@@ -195,7 +210,7 @@ class Model:
         c1 = last(flat > 0)
         c2 = np.concatenate([[1], c1[:-1]])
         c2[begin] = 1
-        return flat, wide, c1 * 65_536 + c2 + (1 << 33)
+        return flat, hashed(wide), hashed(c1 * 65_536 + c2 + (1 << 33))
 
 
 # ---- spelled words ----------------------------------------------------------------------------------
@@ -208,7 +223,7 @@ def spelled_events(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np
     inside = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
     k = np.arange(8)
     bit = (data[:, None] >> (7 - k)) & 1
-    node = ((1 << k) + (data[:, None] >> (8 - k))).ravel()
+    node = hashed(((1 << k) + (data[:, None] >> (8 - k))).ravel() + (1 << 41))
     found, context = [], np.zeros(len(data), np.int64)
     for back in range(1, max(SPELL_ORDERS) + 1):
         b = np.zeros(len(data), np.int64)
@@ -216,7 +231,7 @@ def spelled_events(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np
         b[inside < back] = 0
         context = context * 257 + b + 1
         if back in SPELL_ORDERS:
-            found.append(slots(np.repeat(context + (back << 50), 8), node, SPELL_SLOTS))
+            found.append(slots(np.repeat(hashed(context + (back << 50)), 8), node, SPELL_SLOTS))
     return bit.ravel().astype(np.int8), found, np.repeat(word, 8)
 
 
@@ -239,7 +254,7 @@ def gather(train: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
             if texts:
                 flat, c1, c2 = m.contexts(texts)
                 index, place = m.code.expand(flat)
-                node, bit = m.code.nodes[index], m.code.bits[index]
+                node, bit = m.code.hashes[m.code.nodes[index]], m.code.bits[index]
                 add(0, slots(c1[place], node, SLOTS), bit)
                 add(1, slots(c2[place], node, SLOTS), bit)
             listed = sorted(spelled)
@@ -248,12 +263,16 @@ def gather(train: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
                 for i, slot in enumerate(found):
                     add(2 + i, slot, bit)
 
-        texts, spelled, held = [], set(), 0
+        texts, spelled, held, done = [], set(), 0, set()
         for batch in batches:
             for (text,) in rows(batch, "text"):
                 words = words_of(text)
                 s = m.symbols(words)
-                spelled.update([words[i] for i in np.nonzero(s == 0)[0].tolist()])
+                new = {words[i] for i in np.nonzero(s == 0)[0].tolist()} - done  # a word counts once per task
+                spelled |= new
+                done |= new
+                if len(done) > SPELL_CACHE:
+                    done.clear()
                 texts.append(s)
                 held += len(s)
                 if held > 300_000:
@@ -302,7 +321,7 @@ def gather(train: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def _cost(z: np.ndarray, bit: np.ndarray) -> np.ndarray:
     """-ln P(bit) for log odds z of a one."""
-    return np.logaddexp(0, np.where(bit == 1, -z, z))
+    return np.log(1 + np.exp(np.where(bit > 0, -z, z)))
 
 
 def spell_costs(model: Model, words: list[bytes]) -> np.ndarray:
@@ -330,6 +349,7 @@ def mix(model: Model, flat: np.ndarray, c1: np.ndarray, c2: np.ndarray, segment:
     token_c1, token_c2 = c1[order], c2[order]
     inputs = np.empty((len(index), 3), np.float32)
     inputs[:, 0] = code.stretch[node]
+    node = code.hashes[node]
     seen = []
     for k, c in enumerate((token_c1, token_c2)):
         slot = slots(c[place], node, SLOTS)
@@ -360,10 +380,10 @@ def mix(model: Model, flat: np.ndarray, c1: np.ndarray, c2: np.ndarray, segment:
         np.clip(z, -14, 14, out=z)
         p = 1 / (1 + np.exp(-z))
         owner = seg[local]
-        cell = np.clip((z / 0.75 + 12).astype(np.int64), 0, 23)
+        cell = np.clip((z * np.float32(1 / 0.75) + np.float32(12)).astype(np.int64), 0, 23)
         refined = cells[owner, cell]
-        final = 0.7 * z + 0.3 * refined
-        each = np.logaddexp(0, np.where(y > 0, -final, final))
+        final = np.float32(0.7) * z + np.float32(0.3) * refined
+        each = _cost(final, y)
         starts = first[a:b] - lo
         cost[a:b] = np.add.reduceat(each, starts)
         error = y - p
@@ -414,7 +434,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     counts = materialize(word_counts(train), "counts")
     n_total, n_types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     short = counts.where((F.octet_length("w") <= MAX_WORD) & (F.col("w") != F.lit(b"")))
-    top = short.orderBy(F.col("n").desc(), "w").limit(KNOWN).collect()
+    least = _least_count(short, KNOWN)
+    top = sorted(short.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["w"]))  # at most KNOWN
     ends = counts.where(F.col("w") == F.lit(b"")).select("n").first()
     ends = ends["n"] if ends else 0
     symbol_words = [bytes(r["w"]) for r in top[:SYMBOLS] if r["n"] > 1]
