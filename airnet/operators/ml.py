@@ -94,12 +94,13 @@ def lr_summary(spark: SparkSession, model) -> DataFrame:
 
 
 def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One aggregate pass: ``rmse = sqrt(mean((p - y)^2))``, ``r2 = 1 - SSE / SST``
-    (SST around the mean label of the evaluated rows), ``mae``, ``rows``."""
+    """One aggregate pass over the rows that have both values: ``rmse = sqrt(mean((p - y)^2))``,
+    ``r2 = 1 - SSE / SST`` (SST around the mean label of these rows), ``mae``, ``rows``."""
     y, p = F.col(label), F.col(prediction)
-    sums = pred.agg(F.count(F.lit(1)).alias("rows"), F.sum((p - y) * (p - y)).alias("sse"),
-                    F.sum(F.abs(p - y)).alias("sae"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("rows")
+    sums = pred.where(y.isNotNull() & p.isNotNull()).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum((p - y) * (p - y)).alias("sse"),
+        F.sum(F.abs(p - y)).alias("sae"), F.var_pop(y).alias("var"))
+    sst = F.col("var") * F.col("rows")  # not a difference of large sums
     return sums.select(F.sqrt(F.try_divide(F.col("sse"), F.col("rows"))).alias("rmse"),
                        (F.lit(1.0) - F.try_divide(F.col("sse"), sst)).alias("r2"),
                        F.try_divide(F.col("sae"), F.col("rows")).alias("mae"), "rows")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airnet.functions.columns import POLLUTION_LEVELS, ordinal_expr
@@ -71,9 +71,12 @@ def wide_to_long(df: DataFrame, ids, var_name: str = "station", value_name: str
     """
     ids = as_list(ids)
     vals = as_list(values) or [c for c in df.columns if c not in ids]
-    typed = df.select(*[F.col(f"`{c}`") for c in ids],
-                      *[F.col(f"`{c}`").try_cast(value_type).alias(c) for c in vals])
-    out = typed.unpivot(ids, vals, var_name, value_name)
+
+    def quoted(name: str) -> Column:
+        return F.col("`" + name.replace("`", "``") + "`")
+
+    typed = df.select(*[quoted(c) for c in ids], *[quoted(c).try_cast(value_type).alias(c) for c in vals])
+    out = typed.unpivot([quoted(c) for c in ids], [quoted(c) for c in vals], var_name, value_name)
     return out.where(F.col(value_name).isNotNull()) if drop_null else out
 
 

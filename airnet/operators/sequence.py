@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from airnet.operators._util import as_list, col_type
+from airnet.session import materialize
 
 HELPERS = ["__chunk", "__rn", "__off", "__idx", "__shift", "__blk"]
 _TIME_TYPES = ("timestamp", "timestamp_ntz", "date")
@@ -30,49 +31,42 @@ def default_chunk(df: DataFrame, first_order: str, unit: str = "hour") -> Column
     return None
 
 
-_DEFAULTS = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00",
-             "timestamp_ntz": "1970-01-01 00:00:00", "binary": ""}
+def _key_copies(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Copies of the keys under names of our own; joins on them are null-safe, so a key of any
+    type and a NULL key are ordinary groups."""
+    names = [f"__kv{i}" for i in range(len(keys))]
+    return df.withColumns({n: F.col(k) for n, k in zip(names, keys)}), names
 
 
-def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
-    """Replace each key by ``(key is NULL, coalesce(key, default))`` so a NULL key is an
-    ordinary group for plain equi-joins: windows and the join then share one hash
-    partitioning (no extra exchange of the large side when the join is sort-merge)."""
-    cols, out = [], df
-    for i, k in enumerate(keys):
-        t = df.schema[k].dataType.simpleString()
-        default = _DEFAULTS.get(t, 0 if t in ("tinyint", "smallint", "int", "bigint", "float", "double")
-                                or t.startswith("decimal") else None)
-        if default is None:  # struct / array / map key: its JSON text is an equal-iff-equal value
-            value = F.coalesce(F.to_json(F.col(k)), F.lit(""))
-        else:
-            value = F.coalesce(F.col(k), F.lit(default).cast(t))
-        out = out.withColumn(f"__kn{i}", F.col(k).isNull()).withColumn(f"__kv{i}", value)
-        cols += [f"__kn{i}", f"__kv{i}"]
-    return out, cols
+def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str) -> DataFrame:
+    right = right.withColumnsRenamed({c: f"__r{c}" for c in cols})
+    on = [F.col(c).eqNullSafe(F.col(f"__r{c}")) for c in cols]
+    return left.join(right, on, how).drop(*[f"__r{c}" for c in cols])
 
 
 def position_in_key(df: DataFrame, keys, order, chunk: Column, *,
-                    surrogate: bool = True) -> tuple[DataFrame, list[str]]:
+                    copy_keys: bool = True) -> tuple[DataFrame, list[str]]:
     """Add ``__idx``: exact 0-based position of the row inside its key along ``order``.
-    Returns the frame and the (surrogate) key columns to partition by."""
+    Returns the frame and the key columns to partition by.  Rows without a chunk (their first
+    order column is NULL) form a chunk of their own, ordered first like the NULLs themselves."""
     keys, order = as_list(keys), as_list(order)
-    if surrogate:
-        base, sk = _surrogates(df.withColumn("__chunk", chunk), keys)
+    if copy_keys:
+        base, sk = _key_copies(df.withColumn("__chunk", chunk), keys)
     else:
         base, sk = df, keys
     counts = base.groupBy(*sk, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
-    before = Window.partitionBy(*sk).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.partitionBy(*sk).orderBy(F.col("__chunk").asc_nulls_first())
+              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*sk, "__chunk", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
     numbered = base.withColumn(
         "__rn", F.row_number().over(Window.partitionBy(*sk, "__chunk").orderBy(*order)))
-    numbered = numbered.join(offsets, [*sk, "__chunk"], "inner")
+    numbered = _null_safe_join(numbered, offsets, [*sk, "__chunk"], "inner")
     return numbered.withColumn("__idx", F.col("__off") + F.col("__rn") - F.lit(1)), sk
 
 
 def _blocked_hot(base: DataFrame, sk: list[str], order: list[str], rows: int, chunk: Column,
                  block_rows: int) -> tuple[DataFrame, WindowSpec]:
-    numbered, _ = position_in_key(base, sk, order, chunk, surrogate=False)
+    numbered, _ = position_in_key(base, sk, order, chunk, copy_keys=False)
     idx = F.col("__idx")
     halo = (F.pmod(idx, F.lit(block_rows)) >= F.lit(block_rows - (rows - 1))) & F.lit(rows > 1)
     shifts = F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -82,20 +76,18 @@ def _blocked_hot(base: DataFrame, sk: list[str], order: list[str], rows: int, ch
 
 
 def hot_keys(base: DataFrame, sk: list[str], hot_rows: int, max_keys: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, found by a partial-aggregate count.
+    """Keys with more than ``hot_rows`` rows, found by a partial-aggregate count and written.
 
-    Returns None when there is none, a small local frame (at most ``max_keys`` rows, safe
-    to broadcast) when there are few, else the lazy aggregate itself (the join is then
-    left to AQE).  Only ``max_keys + 1`` key rows ever reach the driver.
+    Returns None when there is none and a broadcast when there are at most ``max_keys``; a longer
+    list is joined as a plain table, so that AQE can split a hot key's partition.
     """
     agg = (base.groupBy(*sk).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > F.lit(hot_rows))
                .select(*sk))
-    found = agg.limit(max_keys + 1).collect()
-    if not found:
+    found = materialize(agg, "hot-keys")
+    n = found.count()
+    if not n:
         return None
-    if len(found) <= max_keys:
-        return F.broadcast(base.sparkSession.createDataFrame(found, agg.schema))
-    return agg
+    return F.broadcast(found) if n <= max_keys else found
 
 
 def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, chunk: Column | None = None,
@@ -109,8 +101,7 @@ def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, chunk: Column | No
     than ``block_rows + rows - 1`` of their rows.  All other keys use the plain window.
     Hot keys are found first (one cheap count job); with none, the plan is exactly the
     plain window.  At most ``total_rows / hot_rows`` keys can be hot; up to
-    ``max_hot_keys`` of them are broadcast as a literal list, more are joined lazily
-    (AQE decides from their measured size).  Without ``chunk`` every key uses the plain
+    ``max_hot_keys`` of them are broadcast, more are joined as a written table.  Without ``chunk`` every key uses the plain
     window.
     """
     keys, order = as_list(keys), as_list(order)
@@ -120,11 +111,11 @@ def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, chunk: Column | No
     if block_rows < rows:
         raise ValueError("block_rows must be >= rows")
     hot_rows = hot_rows or block_rows
-    base, sk = _surrogates(df.withColumn("__chunk", chunk), keys)
+    base, sk = _key_copies(df.withColumn("__chunk", chunk), keys)
     hot = hot_keys(base, sk, hot_rows, max_hot_keys)
     if hot is None:
         return finish(fn(df.withColumn("__shift", F.lit(0)), plain))
-    flagged = base.join(hot.withColumn("__hot", F.lit(True)), sk, "left")
+    flagged = _null_safe_join(base, hot.withColumn("__hot", F.lit(True)), sk, "left")
     cold = flagged.where(F.col("__hot").isNull()).withColumn("__shift", F.lit(0))
     cold_out = finish(fn(cold, Window.partitionBy(*sk).orderBy(*order)))
     hot_frame, w = _blocked_hot(flagged.where(F.col("__hot")), sk, order, rows, chunk, block_rows)
@@ -134,7 +125,7 @@ def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, chunk: Column | No
 
 def finish(df: DataFrame) -> DataFrame:
     """Drop halo copies and helper columns."""
-    helpers = [c for c in df.columns if c in HELPERS or c.startswith("__kn") or c.startswith("__kv")
+    helpers = [c for c in df.columns if c in HELPERS or c.startswith("__kv")
                or c == "__hot"]
     return df.where(F.col("__shift") == 0).drop(*helpers)
 

@@ -41,10 +41,9 @@ def nearest_points(df: DataFrame, match: Column, x: str, y: str, *, k: int | Non
     full ordering.  An unknown reference gives an empty result.
     """
     tie = as_list(tie)
-    ref = reference_point(df, match, x, y, tie)
     pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    if ref is None:
-        return pts.withColumn(dist_col, F.lit(None).cast("double")).limit(0)
-    out = pts.withColumn(dist_col, euclidean(x, y, F.lit(ref[0]), F.lit(ref[1])))
+    ref = pts.where(match)
+    ref = (ref.orderBy(*tie) if tie else ref).limit(1).select(F.struct(F.col(x).alias("x0"), F.col(y).alias("y0"))).scalar()
+    out = pts.withColumn(dist_col, euclidean(x, y, ref["x0"], ref["y0"])).where(F.col(dist_col).isNotNull())
     out = out.orderBy(F.col(dist_col), *[F.col(c) for c in tie])
     return out.limit(k) if k is not None else out

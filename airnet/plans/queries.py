@@ -444,7 +444,7 @@ def q_round_robin_assign(spark, sf):
 
 # --------------------------------------------------------------------------- graph (S5, W4, W5, G1-G7)
 
-ALPHA, STEPS = 0.01, 3
+ALPHA, STEPS = 0.10, 5
 
 
 @register("explode_sequence", """
@@ -867,6 +867,34 @@ def q_rolling_stats_hot_key(spark, sf):
                       r6("value_mean").alias("value_mean"), r6("value_std").alias("value_std"))
 
 
+_NULL_TIMES = "CASE WHEN event_id % 50 = 0 THEN NULL ELSE ts END"
+
+
+@register("rolling_stats_hot_null_time", f"""
+SELECT sensor, event_id, {rsql('avg(value) OVER w')} AS value_mean, {rsql('stddev_pop(value) OVER w')} AS value_std
+FROM (SELECT CASE WHEN event_type IN ('view', 'click') THEN -1 ELSE user_id END AS sensor, event_id,
+             {_NULL_TIMES} AS t, value FROM events)
+WINDOW w AS (PARTITION BY sensor ORDER BY t NULLS FIRST, event_id ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+""")
+def q_rolling_stats_hot_null_time(spark, sf):
+    ev = _hot_key_events(spark, sf).withColumn("t", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+    out = anomalies.rolling_stats(ev, "sensor", ["t", "event_id"], "value", 24, block_rows=HOT_BLOCK_ROWS)
+    return out.select("sensor", "event_id", r6("value_mean").alias("value_mean"), r6("value_std").alias("value_std"))
+
+
+@register("rolling_stats_struct_key", f"""
+SELECT event_id, {rsql('avg(value) OVER w')} AS value_mean, {rsql('stddev_pop(value) OVER w')} AS value_std
+FROM events
+WINDOW w AS (PARTITION BY event_type, event_id % 2 ORDER BY ts, event_id ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+""")
+def q_rolling_stats_struct_key(spark, sf):
+    """The key is a struct whose values differ by one microsecond."""
+    at = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("event_id") % 2)
+    ev = _events(spark, sf).withColumn("sensor", F.struct(F.col("event_type").alias("e"), at.alias("at")))
+    out = anomalies.rolling_stats(ev, "sensor", EV_ORDER, "value", 24, block_rows=HOT_BLOCK_ROWS)
+    return out.select("event_id", r6("value_mean").alias("value_mean"), r6("value_std").alias("value_std"))
+
+
 @register("sequence_edges_hot_line", """
 SELECT src, dst, line FROM (
     SELECT lag(l_partkey) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey) AS src,

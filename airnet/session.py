@@ -6,7 +6,6 @@ benchmark call :func:`get_session`.  On a cluster the caller's session is used a
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,15 +30,14 @@ def get_session(master: str | None = None, app: str = "airnet",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or fetch) a session with the library defaults.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master is configured.
+    Master and memory stay as the submit command or the cluster set them.  Only a ``master``
+    given here is set, with driver memory for it from $AIRNET_DRIVER_MEMORY (16g).
     """
     b = SparkSession.builder.appName(app)
-    if master is None and not os.environ.get("SPARK_MASTER"):
-        master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
+    conf = dict(DEFAULT_CONF)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf.setdefault("spark.driver.memory", os.environ.get("AIRNET_DRIVER_MEMORY", "16g"))
+        conf.setdefault("spark.driver.memory", os.environ.get("AIRNET_DRIVER_MEMORY", "16g"))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -54,8 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring the context if needed.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that value is used.
-    Only when it is unset *and* Spark runs in local mode (tests, local benchmark) a fresh
-    scratch folder is created.  On a cluster without the setting this raises: a
+    Only when it is unset *and* Spark runs in local mode (tests, local benchmark) a folder
+    below the warehouse serves.  On a cluster without the setting this raises: a
     machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
@@ -66,17 +64,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
-        configured = tempfile.mkdtemp(prefix="airnet-ckpt-", dir="/tmp")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path below the checkpoint folder, removed when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def materialize(df, label: str = "state"):
     """Cut lineage by writing ``df`` as parquet into the shared checkpoint folder and
     reading it back: one job computes the rows once, later plans start from the files,
     and the files survive the loss of any executor."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, label)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

@@ -13,7 +13,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from airnet.session import get_session
-    s = get_session(master="local[4]", shuffle_partitions=8)
+    s = get_session(master="local[4]", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="airnet-test-", dir="/tmp")})
     yield s
     s.stop()
 
