@@ -187,6 +187,7 @@ def robust_estimates(stats: DataFrame, by: list[str], min_group: int) -> DataFra
             placed = stats.withColumns({c: estimate.select(c).scalar() for c in ("mean", "precision")})
         placed = placed.withColumn("d2", distance(F.col("mean"), F.col("precision")))
         bound = placed.groupBy(*by).agg(F.percentile_approx("d2", SUPPORT, 1000).alias("bound"))
+        bound = materialize(bound, "bound")  # a small table of known size, so the join need not shuffle
         near = (placed.join(bound, by, "inner") if by
                 else placed.withColumn("bound", bound.select("bound").scalar())).where("d2 <= bound")
         estimate = materialize(_with_precision(_moments(near, by), by), "mcd")
