@@ -13,7 +13,6 @@ base rule); an empty table passes through all stages.
 """
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +24,7 @@ from airnet.llm.line_dedup import MIN_TOKENS, line_dedup
 from airnet.llm.ngram_join import near_copies
 from airnet.llm.packing import pack_documents
 from airnet.llm.quality_rules import quality_verdicts
-from airnet.session import ensure_checkpoint_dir, materialize
+from airnet.session import materialize, scratch_path
 from airnet.sources.tables import load_table
 
 BROADCAST_ROWS = 1_000_000   # of one 64-bit number each
@@ -108,7 +107,7 @@ ORACLE_SQL = None  # robust estimates and banding have no SQL form; see tests/ll
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the rows of the last one."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex[:12]}"
+    base = scratch_path(spark, "pipeline")
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
