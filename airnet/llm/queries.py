@@ -64,6 +64,13 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_turns(turns.unionByName(probe)))
 
 
+@_query
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the personal values found, and the text with their pseudonyms."""
+    from airnet.llm.pii import pseudonymise
+    return pseudonymise(documents(spark, sf_dir), b"corpus pseudonym key")
+
+
 @_query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from airnet.llm.license_scan import license_scan
