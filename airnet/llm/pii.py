@@ -32,7 +32,7 @@ PII_SCHEMA = StructType([StructField("doc_id", LongType()), StructField("text",
 PATTERNS = (
     ("email", re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._%+-]*(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b)")),
     ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?\d){11,26}\b")),
-    ("ip", re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.])")),
+    ("ip", re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)")),
     ("date", re.compile(r"(?<![\d-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\d-])")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
     ("card", re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])")),
