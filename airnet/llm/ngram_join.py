@@ -55,7 +55,7 @@ def choose_bands(threshold: float, recall: float, most: int = MAX_HASHES) -> tup
     with at most ``most`` hashes: more rows mean fewer chance pairs."""
     best = (math.ceil(math.log(1 - recall) / math.log(1 - threshold)), 1)
     for r in range(1, most + 1):
-        b = math.ceil(math.log(1 - recall) / math.log(1 - threshold ** r))
+        b = math.ceil(math.log(1 - recall) / math.log1p(-threshold ** r))
         if b * r <= most:
             best = (b, r)
     return best
