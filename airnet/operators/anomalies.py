@@ -109,7 +109,9 @@ def rolling_peaks(df: DataFrame, key, order, value: str, rows: int = 24, *,
     else:
         raise ValueError("sided must be 'up' or 'both'")
     out = out.where((F.col(std_col) > 0) & (score >= F.lit(threshold)))
-    ordering = [score.desc()] + [F.col(c) for c in (tie or as_list(key) + as_list(order))]
+    # nine digits, so that equal scores tie whatever the order of their sums
+    top = F.round(score, 9) if limit is not None else score
+    ordering = [top.desc()] + [F.col(c) for c in (tie or as_list(key) + as_list(order))]
     out = out.orderBy(*ordering)
     return out.limit(limit) if limit is not None else out
 

@@ -88,6 +88,30 @@ def q_rolling_peaks_two_sided(spark, sf):
                       r6("neg_value_zscore").alias("neg_value_zscore"))
 
 
+def _peaks_top50(value: str, sided: str):
+    """The report of the 50 strongest peaks; ties go by key and order."""
+    score = "abs(z)" if sided == "both" else "z"
+    sql = f"""
+SELECT user_id, event_id, ts, v AS peak, {rsql('z')} AS peak_zscore
+FROM (SELECT *, (v - m) / nullif(s, 0) AS z FROM (
+        SELECT user_id, event_id, ts, {value} AS v, avg({value}) OVER w AS m, stddev_pop({value}) OVER w AS s
+        FROM events {_ROLL_WINDOW}))
+WHERE s > 0 AND {score} >= 2.5
+ORDER BY round({score}, 9) DESC, user_id, ts, event_id LIMIT 50
+"""
+
+    def query(spark, sf):
+        ev = _events(spark, sf).select("user_id", "event_id", "ts", F.expr(value).alias("peak"))
+        out = anomalies.rolling_peaks(ev, EV_KEY, EV_ORDER, "peak", 24, threshold=2.5, sided=sided, limit=50)
+        return out.select("user_id", "event_id", "ts", "peak", r6("peak_zscore").alias("peak_zscore"))
+    return sql, query
+
+
+for _name, _value, _sided in (("rolling_peaks_top50", "value", "up"), ("rolling_peaks_two_sided_top50", "-value", "both")):
+    _sql, _top50 = _peaks_top50(_value, _sided)
+    register(_name, _sql)(_top50)
+
+
 # --------------------------------------------------------------------------- cleaning (C1-C4)
 
 
