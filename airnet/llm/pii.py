@@ -10,6 +10,7 @@ Rows are handled one by one in parallel; nothing is shuffled or collected.
 """
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import hashlib
 import re
@@ -180,11 +181,11 @@ class Pseudonyms:
         found: list[tuple[int, int, str, str]] = []
         for kind, pattern in PATTERNS:
             for m in pattern.finditer(text):
-                if all(m.end() <= a or m.start() >= b for a, b, _, _ in found):
+                i = bisect.bisect_left(found, (m.start(),))   # spans never overlap, so the neighbours tell
+                if (i == 0 or found[i - 1][1] <= m.start()) and (i == len(found) or found[i][0] >= m.end()):
                     new = self.of(kind, m[0])
                     if new is not None:
-                        found.append((m.start(), m.end(), kind, new))
-        found.sort()
+                        found.insert(i, (m.start(), m.end(), kind, new))
         out, at = [], 0
         for a, b, _, new in found:
             out += [text[at:a], new]
