@@ -188,6 +188,18 @@ class Model:
         self.number[b""] = 1
         self.code = Code([max(escape, 1), max(counts[0], 1)] + counts[1:])
         self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+        self.ready: list[np.ndarray] = []
+
+    def prepare(self) -> None:
+        """The tables as scoring reads them, once per task: log odds (0 without evidence) of the
+        contexts, and (weight times log odds, weight) side by side for the spelling orders."""
+        for k, (odds, seen) in enumerate(self.tables):
+            odds = odds.astype(np.float32)
+            if k < 2:
+                self.ready.append(odds * (seen > 0))
+            else:
+                weight = seen.astype(np.float32) * np.float32(k - 1)
+                self.ready.append(np.stack([weight * odds, weight], axis=1))
 
     def symbols(self, words: list[bytes]) -> np.ndarray:
         out = np.empty(len(words) + 1, np.int32)
@@ -215,24 +227,28 @@ class Model:
 
 # ---- spelled words ----------------------------------------------------------------------------------
 
-def spelled_events(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Bits of the bytes of words (each closed by a zero byte): bit, slots per order, word index."""
-    data = np.frombuffer(b"\0".join(words) + b"\0", np.uint8).astype(np.int64)
+_BYTE, _PLACE = np.arange(256)[:, None], np.arange(8)
+SPELL_BITS = ((_BYTE >> (7 - _PLACE)) & 1).astype(np.int8)          # of each byte, the first bit first
+SPELL_NODES = hashed((1 << _PLACE) + (_BYTE >> (8 - _PLACE)) + (1 << 41))
+
+
+def spelled_bytes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of words, each closed by a zero byte, and the number of the word of each."""
+    data = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    word = np.repeat(np.arange(len(words)), size)
-    inside = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
-    k = np.arange(8)
-    bit = (data[:, None] >> (7 - k)) & 1
-    node = hashed(((1 << k) + (data[:, None] >> (8 - k))).ravel() + (1 << 41))
-    found, context = [], np.zeros(len(data), np.int64)
+    return data, np.repeat(np.arange(len(words)), size)
+
+
+def spelled_slots(data: np.ndarray, word: np.ndarray):
+    """For each of ``SPELL_ORDERS``: the slots of all bits of the bytes, one row a byte."""
+    node, wide = SPELL_NODES[data], data.astype(np.int64)
+    context = np.zeros(len(data), np.int64)
     for back in range(1, max(SPELL_ORDERS) + 1):
         b = np.zeros(len(data), np.int64)
-        b[back:] = data[:-back]
-        b[inside < back] = 0
+        b[back:] = wide[:-back] * (word[back:] == word[:-back])
         context = context * 257 + b + 1
         if back in SPELL_ORDERS:
-            found.append(slots(np.repeat(hashed(context + (back << 50)), 8), node, SPELL_SLOTS))
-    return bit.ravel().astype(np.int8), found, np.repeat(word, 8)
+            yield slots(hashed(context + (back << 50))[:, None], node, SPELL_SLOTS)
 
 
 # ---- gathering the tables -----------------------------------------------------------------------------
@@ -244,11 +260,11 @@ def gather(train: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
 
     def run(batches):
         m: Model = model.value
-        sums = [np.zeros((2, s), np.uint32) for s in sizes]
+        sums = [np.zeros(2 * s, np.uint32) for s in sizes]  # zeros and ones of a slot side by side
+        one = np.uint32(1)
 
         def add(table: int, slot: np.ndarray, bit: np.ndarray) -> None:
-            sums[table][1] += np.bincount(slot, minlength=sizes[table]).astype(np.uint32)
-            sums[table][0] += np.bincount(slot[bit == 1], minlength=sizes[table]).astype(np.uint32)
+            np.add.at(sums[table], (slot * 2 + bit).ravel(), one)
 
         def close(texts: list, spelled: set) -> None:
             if texts:
@@ -259,9 +275,9 @@ def gather(train: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
                 add(1, slots(c2[place], node, SLOTS), bit)
             listed = sorted(spelled)
             for at in range(0, len(listed), 10_000):
-                bit, found, _ = spelled_events(listed[at:at + 10_000])
-                for i, slot in enumerate(found):
-                    add(2 + i, slot, bit)
+                data, word = spelled_bytes(listed[at:at + 10_000])
+                for i, slot in enumerate(spelled_slots(data, word)):
+                    add(2 + i, slot, SPELL_BITS[data])
 
         texts, spelled, held, done = [], set(), 0, set()
         for batch in batches:
@@ -280,6 +296,8 @@ def gather(train: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
                     texts, spelled, held = [], set(), 0
         close(texts, spelled)
         for t, s in enumerate(sums):
+            s = s.reshape(-1, 2)
+            s = np.stack([s[:, 1], s[:, 0] + s[:, 1]])
             for at in range(0, sizes[t], BLOCK):
                 part = s[:, at:at + BLOCK]
                 if part[1].any():
@@ -326,15 +344,13 @@ def _cost(z: np.ndarray, bit: np.ndarray) -> np.ndarray:
 
 def spell_costs(model: Model, words: list[bytes]) -> np.ndarray:
     """-ln P of the bytes of each word: mean of the log odds, each weighted by its evidence."""
-    bit, found, word = spelled_events(words)
-    num = np.zeros(len(bit), np.float32)
-    den = np.full(len(bit), 0.05, np.float32)
-    for k, slot in enumerate(found):
-        st, seen = model.tables[2 + k]
-        w = seen[slot].astype(np.float32) * np.float32(1 + k)
-        num += w * st[slot].astype(np.float32)
-        den += w
-    return np.bincount(word, weights=_cost(num / den, bit), minlength=len(words))
+    data, word = spelled_bytes(words)
+    total = np.zeros((len(data), 8, 2), np.float32)
+    total[..., 1] = 0.05
+    for k, slot in enumerate(spelled_slots(data, word)):
+        total += model.ready[2 + k].take(slot, axis=0)
+    each = _cost(total[..., 0] / total[..., 1], SPELL_BITS[data]).sum(axis=1)
+    return np.bincount(word, weights=each, minlength=len(words))
 
 
 def mix(model: Model, flat: np.ndarray, c1: np.ndarray, c2: np.ndarray, segment: np.ndarray) -> np.ndarray:
@@ -350,53 +366,48 @@ def mix(model: Model, flat: np.ndarray, c1: np.ndarray, c2: np.ndarray, segment:
     inputs = np.empty((len(index), 3), np.float32)
     inputs[:, 0] = code.stretch[node]
     node = code.hashes[node]
-    seen = []
-    for k, c in enumerate((token_c1, token_c2)):
-        slot = slots(c[place], node, SLOTS)
-        st, evidence = model.tables[k]
-        e = evidence[slot]
-        inputs[:, 1 + k] = st[slot]
-        inputs[:, 1 + k] *= e > 0
-        seen.append(e)
     size = code.lengths[flat[order]]
     first = np.cumsum(size) - size                          # first bit of each symbol
-    gate = np.minimum(seen[0][first] >> 4, 5).astype(np.int64) * 6 + np.minimum(seen[1][first] >> 4, 5)
+    gate = np.zeros(len(flat), np.int64)
+    for k, c in enumerate((token_c1, token_c2)):
+        slot = slots(c[place], node, SLOTS)
+        inputs[:, 1 + k] = model.ready[k].take(slot)
+        gate = gate * 6 + np.minimum(model.tables[k][1].take(slot[first]) >> 4, 5)
+    seg_sorted = segment[order]
+    gate += seg_sorted * 36
     start = np.array([0.35, 0.45, 0.35], np.float32)
-    weights = np.tile(start, (n_seg, 36, 1))
+    weights = np.tile(start, (n_seg * 36, 1))
     # adaptive stage: 24 cells of log odds, start at their middle
-    cells = np.tile(((np.arange(24) - 11.5) * 0.75).astype(np.float32), (n_seg, 1))
-    cost = np.empty(len(flat))
-    seg_sorted = segment[order]
+    cells = np.tile(((np.arange(24) - 11.5) * 0.75).astype(np.float32), n_seg)
     bounds = np.searchsorted(step[order], np.arange(int(step.max()) + 2))
     target = bit.astype(np.float32)
+    mixed = np.empty(len(index), np.float32)
     for t in range(len(bounds) - 1):
         a, b = bounds[t], bounds[t + 1]
         lo, hi = first[a], first[b] if b < len(flat) else len(index)
-        seg, g, n = seg_sorted[a:b], gate[a:b], size[a:b]
-        local = np.repeat(np.arange(b - a), n)
+        g, n = gate[a:b], size[a:b]
         x, y = inputs[lo:hi], target[lo:hi]
-        w = weights[seg, g]
-        z = np.einsum("ij,ij->i", x, w[local])
+        w = weights.take(g, axis=0)
+        z = np.einsum("ij,ij->i", x, np.repeat(w, n, axis=0))
         np.clip(z, -14, 14, out=z)
-        p = 1 / (1 + np.exp(-z))
-        owner = seg[local]
-        cell = np.clip((z * np.float32(1 / 0.75) + np.float32(12)).astype(np.int64), 0, 23)
-        refined = cells[owner, cell]
-        final = np.float32(0.7) * z + np.float32(0.3) * refined
-        each = _cost(final, y)
-        starts = first[a:b] - lo
-        cost[a:b] = np.add.reduceat(each, starts)
-        error = y - p
-        weights[seg, g] = w + np.float32(RATE) * np.add.reduceat(error[:, None] * x, starts, axis=0)
+        cell = (z * np.float32(1 / 0.75) + np.float32(12)).astype(np.int64)
+        np.clip(cell, 0, 23, out=cell)
+        cell += np.repeat(seg_sorted[a:b] * 24, n)
+        refined = cells.take(cell)
+        mixed[lo:hi] = np.float32(0.7) * z + np.float32(0.3) * refined
+        error = y - 1 / (1 + np.exp(-z))
+        weights[g] = w + np.float32(RATE) * np.add.reduceat(error[:, None] * x, first[a:b] - lo, axis=0)
         q = 1 / (1 + np.exp(-refined))
-        cells[owner, cell] = refined + np.float32(APM_RATE) * (y - q) / np.maximum(q * (1 - q), 0.05)
+        cells[cell] = refined + np.float32(APM_RATE) * (y - q) / np.maximum(q * (1 - q), np.float32(0.05))
     out = np.empty(len(flat))
-    out[order] = cost
+    out[order] = np.add.reduceat(_cost(mixed, bit), first)
     return out
 
 
 def score_texts(model: Model, texts: list[list[bytes]], spelled: dict[bytes, float]) -> list[float]:
     """log10 P of each text (as words)."""
+    if not model.ready:
+        model.prepare()
     symbols = [model.symbols(w) for w in texts]
     new = {w for ws, s in zip(texts, symbols) for w in [ws[i] for i in np.nonzero(s == 0)[0].tolist()] if w not in spelled}
     if len(spelled) + len(new) > SPELL_CACHE:
