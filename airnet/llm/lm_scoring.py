@@ -7,7 +7,8 @@ symbol is the escape and its bytes.  Every code bit is predicted from several co
 * its place in the code alone (order 0), exactly from the symbol counts;
 * hashed (last frequent symbol, place), which tells the language and register, and (two previous
   symbols, place): bit counts in tables of ``SLOTS`` slots, gathered from all training texts;
-* spelled bytes: hashed contexts of two to five bytes before, mixed by their evidence.
+* spelled bytes: hashed contexts of two to five bytes before, gathered from all training words
+  without a symbol, each once, and mixed by their evidence.
 
 The predictions' log odds are mixed with weights that a gate selects (how often the two hashed
 contexts were seen) and that are learned online: after each word they move along the gradient
@@ -52,6 +53,7 @@ BLOCK = 1 << 15            # slots in a partial sum
 FLUSH = 300_000            # different words a counting task holds
 BUFFER = 1_200_000         # code bits handled at once
 SPELL_CACHE = 300_000
+SPELL_BYTES = 100_000      # of words spelled at once
 
 _COUNT = StructType([StructField("w", BinaryType(), False), StructField("n", LongType(), False)])
 _PART = StructType([StructField("table", IntegerType(), False), StructField("block", IntegerType(), False),
@@ -253,49 +255,20 @@ def spelled_slots(data: np.ndarray, word: np.ndarray):
 
 # ---- gathering the tables -----------------------------------------------------------------------------
 
-def gather(train: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(ones, all) counts of the two context tables and the spelling tables over all training texts."""
+def gather(train: DataFrame, counts: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(ones, all) counts of the two context tables over all training texts, and of the spelling
+    tables over the counted words that are no symbols, each once however the texts are dealt."""
     schema = arrow(_PART)
     sizes = [SLOTS, SLOTS] + [SPELL_SLOTS] * len(SPELL_ORDERS)
 
-    def run(batches):
-        m: Model = model.value
-        sums = [np.zeros(2 * s, np.uint32) for s in sizes]  # zeros and ones of a slot side by side
-        one = np.uint32(1)
-
-        def add(table: int, slot: np.ndarray, bit: np.ndarray) -> None:
-            np.add.at(sums[table], (slot * 2 + bit).ravel(), one)
-
-        def close(texts: list, spelled: set) -> None:
-            if texts:
-                flat, c1, c2 = m.contexts(texts)
-                index, place = m.code.expand(flat)
-                node, bit = m.code.hashes[m.code.nodes[index]], m.code.bits[index]
-                add(0, slots(c1[place], node, SLOTS), bit)
-                add(1, slots(c2[place], node, SLOTS), bit)
-            listed = sorted(spelled)
-            for at in range(0, len(listed), 10_000):
-                data, word = spelled_bytes(listed[at:at + 10_000])
-                for i, slot in enumerate(spelled_slots(data, word)):
-                    add(2 + i, slot, SPELL_BITS[data])
-
-        texts, spelled, held, done = [], set(), 0, set()
-        for batch in batches:
-            for (text,) in rows(batch, "text"):
-                words = words_of(text)
-                s = m.symbols(words)
-                new = {words[i] for i in np.nonzero(s == 0)[0].tolist()} - done  # a word counts once per task
-                spelled |= new
-                done |= new
-                if len(done) > SPELL_CACHE:
-                    done.clear()
-                texts.append(s)
-                held += len(s)
-                if held > 300_000:
-                    close(texts, spelled)
-                    texts, spelled, held = [], set(), 0
-        close(texts, spelled)
-        for t, s in enumerate(sums):
+    def blank(tables) -> dict[int, np.ndarray]:
+        return {t: np.zeros(2 * sizes[t], np.uint32) for t in tables}  # zeros and ones of a slot side by side
+
+    def add(sums: np.ndarray, slot: np.ndarray, bit: np.ndarray) -> None:
+        np.add.at(sums, (slot * 2 + bit).ravel(), np.uint32(1))
+
+    def blocks(sums: dict[int, np.ndarray]):
+        for t, s in sums.items():
             s = s.reshape(-1, 2)
             s = np.stack([s[:, 1], s[:, 0] + s[:, 1]])
             for at in range(0, sizes[t], BLOCK):
@@ -303,6 +276,51 @@ def gather(train: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
                 if part[1].any():
                     yield _batch([(t, at // BLOCK, zlib.compress(part.astype("<u4").tobytes(), 1))], schema)
 
+    def contexts(batches):
+        m: Model = model.value
+        sums = blank((0, 1))
+
+        def close(texts: list) -> None:
+            flat, *found = m.contexts(texts)
+            index, place = m.code.expand(flat)
+            node, bit = m.code.hashes[m.code.nodes[index]], m.code.bits[index]
+            for t, c in enumerate(found):
+                add(sums[t], slots(c[place], node, SLOTS), bit)
+
+        texts, held = [], 0
+        for batch in batches:
+            for (text,) in rows(batch, "text"):
+                texts.append(m.symbols(words_of(text)))
+                held += len(texts[-1])
+                if held > 300_000:
+                    close(texts)
+                    texts, held = [], 0
+        if texts:
+            close(texts)
+        yield from blocks(sums)
+
+    def spelling(batches):
+        m: Model = model.value
+        sums = blank(range(2, len(sizes)))
+
+        def close(words: list[bytes]) -> None:
+            data, word = spelled_bytes(words)
+            for i, slot in enumerate(spelled_slots(data, word)):
+                add(sums[2 + i], slot, SPELL_BITS[data])
+
+        words, held = [], 0
+        for batch in batches:
+            for (w,) in rows(batch, "w"):
+                if w not in m.number:
+                    words.append(w)
+                    held += len(w) + 1
+                    if held > SPELL_BYTES:
+                        close(words)
+                        words, held = [], 0
+        if words:
+            close(words)
+        yield from blocks(sums)
+
     def packed(key, total) -> tuple:
         # log odds and the size of the evidence: 3 bytes a slot
         ones, every = total.reshape(2, BLOCK).astype(float)
@@ -325,7 +343,7 @@ def gather(train: DataFrame, model) -> list[tuple[np.ndarray, np.ndarray]]:
         if now:
             yield _batch([packed(now, total)], schema)
 
-    parts = train.select("text").mapInArrow(run, _PART)
+    parts = train.select("text").mapInArrow(contexts, _PART).unionByName(counts.select("w").mapInArrow(spelling, _PART))
     parts = parts.repartition("table", "block").sortWithinPartitions("table", "block").mapInArrow(summed, _PART)
     out = [(np.zeros(s, np.float16), np.zeros(s, np.uint8)) for s in sizes]
     for t, b, packed in parts.collect():  # fixed size: 3 bytes a slot
@@ -453,7 +471,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     symbol_counts = [r["n"] for r in top[:SYMBOLS] if r["n"] > 1]
     model = Model(symbol_words, [ends] + symbol_counts, n_total - ends - sum(symbol_counts))
     first = spark.sparkContext.broadcast(model)
-    model.tables = gather(train, first)
+    model.tables = gather(train, counts, first)
     shared = spark.sparkContext.broadcast((model, {bytes(r["w"]): r["n"] for r in top}))
     schema = arrow(SCORED)
     log_ends = math.log10(ends + 1)
