@@ -371,6 +371,16 @@ def test_lm_rare_words(spark, monkeypatch, texts):
     assert {r.doc_id: (r.n_known, round(r.base_score, 6)) for r in L.lm_scores(docs).collect()} == want
 
 
+def test_lm_scores_of_any_partitions(spark, monkeypatch, texts):
+    """Scores do not depend on how the texts are dealt; few symbols, so that most words are spelled."""
+    from airnet.llm import lm_scoring as L
+    monkeypatch.setattr(L, "SYMBOLS", 8)
+    docs = spark.createDataFrame([(d, t) for d, t in texts.items()], "doc_id long, text string")
+    got = [{r.doc_id: r.score for r in L.lm_scores(docs.repartition(n)).collect()} for n in (1, 5)]
+    assert got[0].keys() == got[1].keys() == texts.keys()
+    assert all(math.isclose(got[0][d], got[1][d], rel_tol=1e-5) for d in texts)
+
+
 def test_lm_is_a_distribution():
     """The probabilities of all texts of one word from a closed set, and the rest, sum to at most 1."""
     from airnet.llm import lm_scoring as L
