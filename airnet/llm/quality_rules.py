@@ -1,20 +1,33 @@
 """Quality rules: robust multivariate outliers per language and source.
 
 Each document gives a few counts (one pass, text by text) and from them a vector of transformed
-shares.  For every ``(lang, source)`` a minimum-covariance-determinant estimate of location and
-scatter is found by concentration steps over *all* its documents: start from medians and
-absolute deviations, keep the ``SUPPORT`` share of nearest documents, take their mean and
-covariance, and repeat.  A document is rejected if its squared Mahalanobis distance exceeds
-``CUTOFF``, or if it fails the base rule.
+shares.  For every ``(lang, source)``, language and the whole corpus a minimum-covariance-determinant
+estimate of location and scatter is found as in FastMCD, with the smallest spreads ``FLOOR`` added to
+each scatter, so that no determinant is 0:
+
+1. **Starts.**  On a hashed draw of about ``DRAW`` documents a group, the medians and ``STARTS``
+   random sets of p + 1 documents are concentrated; the ``CANDIDATES`` of smallest determinant
+   go on.  The draw only proposes starts.
+2. **Concentration** over *all* documents: keep the nearer half, take its mean and covariance
+   (times the consistency factor), and repeat until the determinant stops falling.  The
+   smallest determinant wins.
+3. **Reweighting** over all documents: mean and covariance of those within the cut-off, until
+   their number stays.
+
+A document is rejected if its squared Mahalanobis distance exceeds the quantile of chi-square(p)
+at ``LEVEL``, or if it fails the base rule.
 
 Scale: the vectors (a few dozen bytes a document) are written once to the shared folder.  Each
-step is one grouped aggregate (combined before the shuffle, so a group with a third of all rows
-is no hot spot) and a join with one small row per group; nothing is collected.  Groups of fewer
-than ``MIN_GROUP`` documents use their language's estimate, and that the whole corpus's.
+step is one grouped aggregate over all groups at once (combined before the shuffle, so a group with a
+third of all rows is no hot spot) and a join with a few small rows per group; nothing is collected.
+Groups of fewer than ``MIN_GROUP`` documents use their language's estimate, and that the whole corpus's.
 """
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +39,15 @@ from airnet.session import materialize
 WHITE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
-SUPPORT = 0.75          # share of a group that its estimate rests on
-STEPS = 3
+SUPPORT = 0.5           # share of a group that its estimate rests on: fewer than half may be junk
+DRAW = 600              # documents of a group that starts are drawn from
+STARTS = 40
+CANDIDATES = 3          # starts of each group that are concentrated over all its documents
+FALL = 1e-4             # a smaller fall of the determinant's logarithm is none
+ROUNDS = 30             # of reweighting, should two sets of documents take turns
 MIN_GROUP = 200
-#: Far beyond any quantile of chi-square(5): text that differs in kind, not in degree, is rejected.
-CUTOFF = 250.0
+#: One in a million documents of a normal group lies beyond the cut-off.
+LEVEL = 1 - 1e-6
 FEATURES = ("f_length", "f_symbols", "f_dup_lines", "f_repeats", "f_letters")
 #: Smallest spread of each feature: shares that are constant in a group (no symbols at all) would
 #: else make any difference infinitely far.
@@ -120,48 +137,117 @@ def document_stats(docs: DataFrame, *keep: str) -> DataFrame:
     return frame.mapInArrow(run, schema)
 
 
-def _moments(frame: DataFrame, by: list[str]) -> DataFrame:
-    """Size, mean vector and covariance matrix (upper triangle) of each group."""
-    p = len(FEATURES)
-    means = F.array(*[F.avg(f) for f in FEATURES])
-    cov = F.array(*[F.covar_pop(FEATURES[i], FEATURES[j]) for i in range(p) for j in range(i, p)])
-    return frame.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), means.alias("mean"), cov.alias("cov"))
+def chi2_share(x: float, df: int) -> float:
+    """Share of chi-square with an odd number of degrees of freedom below ``x``."""
+    share = math.erf(math.sqrt(x / 2))
+    for k in range(1, df - 1, 2):
+        share -= (x / 2) ** (k / 2) * math.exp(-x / 2) / math.gamma(k / 2 + 1)
+    return share
+
+
+def chi2_quantile(share: float, df: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi2_share(middle, df) < share else (low, middle)
+    return high
+
+
+CUTOFF = chi2_quantile(LEVEL, len(FEATURES))
 
 
-def _starts(frame: DataFrame, by: list[str]) -> DataFrame:
-    """Medians and scaled absolute quartile distances, as a diagonal scatter."""
+def consistency(share: float) -> float:
+    """What the covariance of the nearest ``share`` of a normal group is to be multiplied by."""
     p = len(FEATURES)
-    quart = [F.percentile_approx(f, [0.25, 0.5, 0.75], 1000) for f in FEATURES]
-    q = frame.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[x.alias(f"q{i}") for i, x in enumerate(quart)])
-    mean = F.array(*[F.col(f"q{i}")[1] for i in range(p)])
-    spread = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / F.lit(1.349), 2) for i in range(p)]
-    cov = F.array(*[spread[i] if i == j else F.lit(0.0) for i in range(p) for j in range(i, p)])
-    return q.select(*by, "n", mean.alias("mean"), cov.alias("cov"))
+    return share / chi2_share(chi2_quantile(share, p), p + 2)
+
+
+def _fit(x: np.ndarray, weight: np.ndarray, factor: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """log determinant, mean and scatter of weighted vectors."""
+    mean = np.average(x, axis=0, weights=weight)
+    d = x - mean
+    cov = factor * (d * weight[:, None]).T @ d / weight.sum() + np.diag(np.square(FLOOR))
+    return float(np.linalg.slogdet(cov)[1]), mean, cov
+
+
+def _nearest(x: np.ndarray, weight: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
+    d = x - mean
+    order = np.argsort(np.einsum("ij,ij->i", d @ np.linalg.inv(cov), d), kind="stable")
+    held = np.cumsum(weight[order])
+    return order[:int(np.searchsorted(held, SUPPORT * held[-1])) + 1]
+
+
+def search(x: np.ndarray, weight: np.ndarray) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """The ``CANDIDATES`` different estimates of smallest determinant over many starts."""
+    rng, factor = np.random.default_rng(len(x)), consistency(SUPPORT)
+    flat = np.ones(len(x))
+    starts = [(0.0, np.median(x, axis=0), np.diag(np.square(FLOOR)))]
+    starts += [_fit(x[i], flat[i], 1.0) for i in (rng.choice(len(x), min(len(x), len(FEATURES) + 1), replace=False)
+                                                  for _ in range(STARTS))]
+
+    def step(fit):
+        near = _nearest(x, weight, fit[1], fit[2])
+        return _fit(x[near], weight[near], factor)
 
+    found: list[tuple[float, np.ndarray, np.ndarray]] = []
+    for fit in sorted((step(step(s)) for s in starts), key=lambda f: f[0])[:4 * CANDIDATES]:
+        while (after := step(fit))[0] < fit[0] - FALL / 100:
+            fit = after
+        if all(abs(fit[0] - f[0]) > FALL for f in found):
+            found.append(fit)
+    return sorted(found, key=lambda f: f[0])[:CANDIDATES]
 
-_SHAPE = "mean array<double>, precision array<double>"
 
+KEYS = ["level", "lang", "source"]
+_ESTIMATE = "level int, lang string, source string, cand int, n long, fall double, logdet double, mean array<double>, precision array<double>"
 
-def _with_precision(estimates: DataFrame, by: list[str]) -> DataFrame:
-    """Inverse of each group's covariance, widened by the smallest spreads; one small matrix a row."""
-    names = [f"k{i}" for i in range(len(by))]
-    typed = ", ".join(f"{n} string" for n in names)
-    frame = estimates.select(*[F.col(c).alias(n) for c, n in zip(by, names)], "n", "mean", "cov")
+
+def _estimates(moments: DataFrame, factor: float) -> DataFrame:
+    """Log determinant, its fall, and inverse of each scatter, widened by the smallest spreads."""
     upper = np.triu_indices(len(FEATURES))
 
     def run(frames):
         for pdf in frames:
-            out = []
+            logdets, out = [], []
             for cov in pdf["cov"]:
                 full = np.zeros((len(FEATURES),) * 2)
-                full[upper] = np.asarray(cov, dtype=float)
+                full[upper] = factor * np.asarray(cov, dtype=float)
                 full = full + np.triu(full, 1).T + np.diag(np.square(FLOOR))
+                logdets.append(float(np.linalg.slogdet(full)[1]))
                 out.append(np.linalg.inv(full).ravel().tolist())
-            pdf["precision"] = out
-            yield pdf.drop(columns="cov")
+            pdf["logdet"], pdf["precision"] = logdets, out
+            pdf["fall"] = pdf["before"] - pdf["logdet"]
+            yield pdf[["level", "lang", "source", "cand", "n", "fall", "logdet", "mean", "precision"]]
+
+    return moments.mapInPandas(run, _ESTIMATE)
+
+
+def _moments(frame: DataFrame, factor: float) -> DataFrame:
+    """Estimates from the rows of each group and candidate; ``logdet``: that of the last step."""
+    p = len(FEATURES)
+    means = F.array(*[F.avg(f) for f in FEATURES])
+    cov = F.array(*[F.covar_pop(FEATURES[i], FEATURES[j]) for i in range(p) for j in range(i, p)])
+    return _estimates(frame.groupBy(*KEYS, "cand").agg(F.count(F.lit(1)).alias("n"), F.min("logdet").alias("before"),
+                                                       means.alias("mean"), cov.alias("cov")), factor)
+
+
+def _starts(stats: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Candidates of each group, from a draw of its documents that hangs on nothing but the rows."""
+    chance = F.pmod(F.xxhash64("doc_id", *FEATURES), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = (stats.join(sizes, KEYS, "inner").where(chance * F.col("size") < F.lit(float(DRAW)))
+             .groupBy(*KEYS, "doc_id", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("w")))
+    drawn = drawn.groupBy(*KEYS).agg(F.sort_array(F.collect_list(F.array(*FEATURES, "w"))).alias("rows"))
+
+    def run(frames):
+        for pdf in frames:
+            out = []
+            for level, lang, source, rows_ in zip(pdf["level"], pdf["lang"], pdf["source"], pdf["rows"]):
+                drawn_ = np.array([list(r) for r in rows_], dtype=float)
+                for i, (logdet, mean, cov) in enumerate(search(drawn_[:, :-1], drawn_[:, -1])):
+                    out.append((level, lang, source, i, 0, 0.0, logdet, mean.tolist(), np.linalg.inv(cov).ravel().tolist()))
+            yield pd.DataFrame(out, columns=["level", "lang", "source", "cand", "n", "fall", "logdet", "mean", "precision"])
 
-    back = frame.mapInPandas(run, f"{typed + ', ' if typed else ''}n long, {_SHAPE}")
-    return back.select(*[F.col(n).alias(c) for c, n in zip(by, names)], "n", "mean", "precision")
+    return drawn.mapInPandas(run, _ESTIMATE)
 
 
 def distance(mean: Column, precision: Column) -> Column:
@@ -176,22 +262,49 @@ def distance(mean: Column, precision: Column) -> Column:
     return total
 
 
-def robust_estimates(stats: DataFrame, by: list[str], min_group: int) -> DataFrame:
-    """MCD estimate of each group of at least ``min_group`` documents (``by`` may be empty)."""
-    enough = _with_precision(_starts(stats, by).where(F.col("n") >= min_group), by)
-    estimate = materialize(enough, "mcd")
-    for _ in range(STEPS):
-        if by:
-            placed = stats.join(estimate.drop("n"), by, "inner")
-        else:  # one row: scalar subqueries
-            placed = stats.withColumns({c: estimate.select(c).scalar() for c in ("mean", "precision")})
-        placed = placed.withColumn("d2", distance(F.col("mean"), F.col("precision")))
-        bound = placed.groupBy(*by).agg(F.percentile_approx("d2", SUPPORT, 1000).alias("bound"))
-        bound = materialize(bound, "bound")  # a small table of known size, so the join need not shuffle
-        near = (placed.join(bound, by, "inner") if by
-                else placed.withColumn("bound", bound.select("bound").scalar())).where("d2 <= bound")
-        estimate = materialize(_with_precision(_moments(near, by), by), "mcd")
-    return estimate
+def _placed(stats: DataFrame, estimates: DataFrame) -> DataFrame:
+    held = stats.join(estimates.select(*KEYS, "cand", "logdet", "mean", "precision"), KEYS, "inner")
+    return held.select(*KEYS, "cand", "logdet", *FEATURES, distance(F.col("mean"), F.col("precision")).alias("d2"))
+
+
+def robust_estimates(passed: DataFrame, min_group: int) -> DataFrame:
+    """``level, lang, source, mean, precision``: the reweighted MCD estimate of each language and source
+    (level 2), language (1) and of all (0) with at least ``min_group`` documents."""
+    none = F.lit("")
+    stats = passed.select("doc_id", *FEATURES, F.explode(F.array(*[
+        F.struct(F.lit(k).alias("level"), (F.col("lang") if k else none).alias("lang"),
+                 (F.col("source") if k == 2 else none).alias("source")) for k in range(3)])).alias("g"))
+    stats = stats.select("g.*", "doc_id", *FEATURES)
+    sizes = materialize(stats.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= min_group), "sizes")
+    best = materialize(_starts(stats, sizes), "mcd")
+    best = best.withColumn("logdet", F.lit(math.inf))  # of the draw; the first step over all documents sets it
+    going, done = best, None
+    while going.limit(1).count():
+        bound = materialize(_placed(stats, going).groupBy(*KEYS, "cand")
+                            .agg(F.percentile_approx("d2", SUPPORT, 10_000).alias("bound")), "bound")
+        near = _placed(stats, going).join(bound, [*KEYS, "cand"], "inner").where("d2 <= bound")
+        after = materialize(_moments(near, consistency(SUPPORT)), "mcd")
+        stopped = going.join(after.where(F.col("fall") <= FALL).select(*KEYS, "cand"), [*KEYS, "cand"], "left_semi")
+        done = stopped if done is None else done.unionByName(stopped)
+        going = after.where(F.col("fall") > FALL)
+    if done is None:
+        return best.select(*KEYS, "mean", "precision")
+    least = F.min(F.struct("logdet", "cand", "mean", "precision")).alias("v")
+    now = done.groupBy(*KEYS).agg(least).select(*KEYS, "v.cand", "v.logdet", F.lit(0).cast("long").alias("n"), "v.mean", "v.precision")
+    now = materialize(now, "mcd")
+
+    settled = None
+    for k in range(ROUNDS):
+        within = _placed(stats, now).where(F.col("d2") <= F.lit(CUTOFF))
+        after = materialize(_moments(within, 1.0), "reweighted")
+        moved = after.join(now.select(*KEYS, F.col("n").alias("last")), KEYS, "inner")
+        moved = materialize(moved.withColumn("same", F.col("n") == F.col("last")), "reweighted")
+        ended = moved.where("same").select(*KEYS, "mean", "precision")
+        settled = ended if settled is None else settled.unionByName(ended)
+        now = moved.where("not same")
+        if not now.limit(1).count():
+            return settled
+    return settled.unionByName(now.select(*KEYS, "mean", "precision"))
 
 
 def quality_verdicts(docs: DataFrame, *, lang: str = "lang", source: str = "source", cutoff: float = CUTOFF,
@@ -208,15 +321,14 @@ def quality_verdicts(docs: DataFrame, *, lang: str = "lang", source: str = "sour
     stats = materialize(stats.withColumnsRenamed({"__0": "lang", "__1": "source"})
                         .withColumns({"lang": F.coalesce("lang", null), "source": F.coalesce("source", null)}), "stats")
     passed = stats.where(~F.col("base_failed"))
-    both = robust_estimates(passed, ["lang", "source"], min_group)
-    one = robust_estimates(passed, ["lang"], min_group)
-    every = robust_estimates(passed, [], min_group)
+    found = materialize(robust_estimates(passed, min_group), "estimates")
 
-    def named(frame, suffix):
-        return frame.drop("n").withColumnsRenamed({"mean": f"m{suffix}", "precision": f"p{suffix}"})
+    def named(level, *by):
+        return found.where(F.col("level") == level).select(*by, F.col("mean").alias(f"m{level}"), F.col("precision").alias(f"p{level}"))
 
-    out = (stats.join(named(both, 2), ["lang", "source"], "left").join(named(one, 1), ["lang"], "left")
-           .withColumns({f"{c}0": every.select(n).scalar() for c, n in (("m", "mean"), ("p", "precision"))}))
+    every = named(0)
+    out = (stats.join(named(2, "lang", "source"), ["lang", "source"], "left").join(named(1, "lang"), ["lang"], "left")
+           .withColumns({c: every.select(c).scalar() for c in ("m0", "p0")}))
     mean = F.coalesce("m2", "m1", "m0")
     precision = F.coalesce("p2", "p1", "p0")
     d2 = distance(mean, precision)

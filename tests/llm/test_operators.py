@@ -393,3 +393,25 @@ def test_lm_is_a_distribution():
     assert 0 < sum(first) + sum(spelled) < 1
     code = model.code
     assert math.isclose(sum(2.0 ** -n for n in code.lengths), 1.0)
+
+
+@pytest.mark.parametrize("share", [0.26, 0.3, 0.45])
+def test_quality_outliers_of_a_junk_source(spark, share):
+    """A source of which nearly half is junk: all of it goes, and the clean texts stay."""
+    from airnet.llm.quality_rules import quality_verdicts
+    rng = np.random.default_rng(6)
+    words = [f"{a}{b}ing" for a in "abcdefgh" for b in "klmnop"]
+    n_junk = int(500 * share)
+    clean = [(i, " ".join(rng.choice(words, 90)) + ".", "en", "hot") for i in range(500 - n_junk)]
+    junk = [(1000 + i, " | ".join(rng.choice(words, 90)), "en", "hot") for i in range(n_junk)]
+    kept = {r.doc_id: r.kept for r in quality_verdicts(
+        spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(kept[d] for d, *_ in clean) and not any(kept[d] for d, *_ in junk)
+
+
+def test_quality_constants():
+    from airnet.llm import quality_rules as Q
+    assert abs(Q.chi2_quantile(0.5, 5) - 4.3515) < 1e-3 and abs(Q.chi2_quantile(0.975, 5) - 12.8325) < 1e-3
+    draw = np.random.default_rng(1).normal(size=(200_000, 5))
+    near = draw[(draw ** 2).sum(1) <= np.quantile((draw ** 2).sum(1), 0.5)]
+    assert abs(Q.consistency(0.5) * near.var(0).mean() - 1) < 0.02
