@@ -116,11 +116,11 @@ def _shingler(n: int, bands: int, rows_: int) -> Shingler:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a 128-bit content hash (a, b)."""
+    """doc_id, text and a 128-bit content hash (a, b), in which NULL differs from the empty text."""
     ship(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+                       F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), F.col("text").cast("string")).alias("b"))
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows_: int) -> DataFrame:
@@ -279,10 +279,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, a, b, class_id, n_links, n_copies, n_shingles``.
+    """Per row of ``docs``: ``doc_id, a, b, label, class_id, n_links, n_copies, n_shingles``.
 
     ``class_id`` is the smallest doc_id of the row's component of texts linked by a Jaccard
-    similarity of at least ``threshold`` on n-word shingles; ``n_links`` the number of different
+    similarity of at least ``threshold`` on n-word shingles; ``label`` names the component by what
+    its texts hold, so it tells components apart whose ids repeat or are NULL (a row without
+    shingles has one of its id and text); ``n_links`` the number of different
     shingle sets its own is linked to; ``n_copies`` the rows with the same set; (a, b) a hash of
     the text.  Words are ``\\w+`` of the lower-cased text.  NULL or wordless texts have no
     shingles: they link to nothing and are their own class.  Repeated rows are copies.  NULL
@@ -329,8 +331,9 @@ def near_copies(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, re
     named = materialize(named.select("key", "doc_id", "n_copies", F.coalesce("label", "key").alias("label"),
                                      F.coalesce("n_links", F.lit(0)).alias("n_links")), "named")
     heads = materialize(named.groupBy("label").agg(F.min("doc_id").alias("class_id")), "heads")
-    info = materialize(named.join(heads, "label", "inner").select("key", "class_id", "n_links", "n_copies"), "info")
+    info = materialize(named.join(heads, "label", "inner").select("key", "label", "class_id", "n_links", "n_copies"), "info")
     out = signed.join(info, "key", "left")
-    return out.select("doc_id", "a", "b", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+    alone = F.concat(F.lit("row-"), F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "a", "b")))
+    return out.select("doc_id", "a", "b", F.when(F.col("n") > 0, F.hex("label")).otherwise(alone).alias("label"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
                       F.col("n").alias("n_shingles"))

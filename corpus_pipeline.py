@@ -3,7 +3,7 @@
 1. ``quality_rules``     documents that fail the base rule or are robust outliers go;
 2. ``line_dedup``        lines that match an earlier line go, and documents of which no line of
                          substance is left;
-3. ``near_copies``       of each class of near copies the document of the smallest id stays;
+3. ``near_copies``       of each class of near copies the document of the smallest id stays (NULL ids last);
 4. ``decontamination``   documents that hold an item of the benchmark go;
 5. ``packing``           the rest is tokenised and packed: one row per piece.
 
@@ -66,21 +66,20 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = materialize(near_copies(docs).select("doc_id", "a", "b", "class_id"), "near")
+    found = materialize(near_copies(docs).select("doc_id", "a", "b", "label"), "near")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "a", "b")
-    heads = materialize(found.where(F.col("class_id").isNotNull()).groupBy("class_id").agg(F.min(place).alias("head")), "heads")
-    gone = found.join(heads, "class_id", "inner").where(place != F.col("head")).select("doc_id", "a", "b").distinct()
+    heads = materialize(found.groupBy("label").agg(F.min(place).alias("head")), "heads")
+    gone = found.join(heads, "label", "inner").where(~place.eqNullSafe(F.col("head"))).select("doc_id", "a", "b").distinct()
     gone = materialize(gone, "gone")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.struct(F.col("doc_id").cast("long").isNull().alias("n"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("i"),
-                   F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+                   F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), F.col("text").cast("string")).alias("b"))
     listed = gone.select(F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("i"), "a", "b").alias("key"))
     held = docs.select(key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     kept = held.join(F.broadcast(listed) if listed.count() <= BROADCAST_ROWS // 4 else listed, "key", "left_anti")
-    repeated = found.where("class_id is not null").groupBy("doc_id", "a", "b").count().where("count > 1").limit(1).count()
+    repeated = found.groupBy("doc_id", "a", "b").count().where("count > 1").limit(1).count()
     if repeated:  # the same row twice: one of them stays
-        named = kept.where(~F.col("key.n")).dropDuplicates(["key"])
-        kept = named.unionByName(kept.where(F.col("key.n")))
+        kept = kept.dropDuplicates(["key"])
     return kept.select("row.*")
 
 

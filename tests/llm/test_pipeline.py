@@ -71,3 +71,14 @@ def test_empty(spark, corpus):
     for name, _ in C.STAGES:
         _, out = _stage(spark, corpus, name, docs)
         assert out.count() == 0
+
+
+def test_near_copies_of_repeated_ids(spark, corpus):
+    """Classes are told apart by what their texts hold, not by ids, which may repeat or be NULL."""
+    rng = np.random.default_rng(9)
+    one, two, three, four = (_text(rng) for _ in range(4))
+    rows = [(1, one), (1, two), (2, one), (1, "..."), (1, None), (1, ""), (None, three), (None, three), (None, four), (3, four)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or ""), "k", "r") for d, t in rows], COLUMNS)
+    _, out = _stage(spark, corpus, "near_copies", docs)
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, one), (1, two), (1, "..."), (1, None), (1, ""), (None, three), (3, four)], key=str)
