@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal numbers and dates.
 
 Card numbers (Luhn), IBANs (mod 97), social security numbers, phone numbers, IPv4 addresses, e-mail
-names and dates are found by pattern, validated, and replaced by a keyed permutation of their
+names and dates are found by pattern, validated (at shorter lengths too, where a match takes in what follows
+the value), and replaced by a keyed permutation of their
 own format (a Feistel network over digits or letters; other marks stay).  The same value
 gives the same pseudonym in every document, whatever its separators; check digits are made right again
 and dates stay dates.  ``Feistel.invert`` undoes a permutation with the key.
@@ -24,6 +25,7 @@ from airnet.llm.common import arrow, id_text, rows
 ROUNDS = 8
 FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), 73_049   # 1900-01-01 .. 2099-12-31
 DIGITS, LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+UPPER = LETTERS.upper()
 
 SPAN = StructType([StructField("kind", StringType(), False), StructField("start", IntegerType(), False),
                    StructField("end", IntegerType(), False), StructField("pseudonym", StringType(), False)])
@@ -32,7 +34,7 @@ PII_SCHEMA = StructType([StructField("doc_id", LongType()), StructField("text",
 
 PATTERNS = (
     ("email", re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._%+-]*(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b)")),
-    ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?\d){11,26}\b")),
+    ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b")),
     ("ip", re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)")),
     ("date", re.compile(r"(?<![\d-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\d-])")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
@@ -41,6 +43,21 @@ PATTERNS = (
 )
 
 
+#: Kinds whose pattern takes in what follows a value; their shorter lengths are tried too.
+SHORTER = ("iban", "card", "phone")
+_NEXT = re.compile(r"(?<=[ /])(?:\+\d|\(\d|0\d)")
+
+
+def _ends(kind: str, text: str, cut: int) -> bool:
+    """Whether a value may end at ``cut``: not inside a word or number."""
+    return cut == len(text) or not (text[cut].isalnum() or kind != "iban" and text[cut] == "-" and text[cut + 1:cut + 2].isdigit())
+
+
+def _odd(kind: str, s: str) -> bool:
+    """Whether a part of a longer match is no card by its groups: chance finds one in ten lists of numbers."""
+    return kind == "card" and any(len(g) < 4 for g in re.split("[ -]", s)[:-1])
+
+
 class Feistel:
     """Keyed permutation of the strings of one length over an alphabet."""
 
@@ -97,8 +114,16 @@ def luhn(payload: str) -> str:
     return str(-total % 10)
 
 
-def iban_check(country: str, digits: str) -> str:
-    number = digits + "".join(str(ord(c) - 55) for c in country) + "00"
+#: Characters of an IBAN by country; those of other countries have any length, and digits only.
+IBAN_LENGTH = {k: int(n) for n, ks in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FK,FI,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+    "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG "
+    "25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV "
+    "29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for k in ks.split(",")}
+
+
+def iban_check(country: str, account: str) -> str:
+    number = "".join(str(int(c, 36)) for c in account + country) + "00"
     return f"{98 - int(number) % 97:02d}"
 
 
@@ -128,10 +153,16 @@ class Pseudonyms:
 
     def _iban(self, s):
         d = s.replace(" ", "")
+        if d[:2] in IBAN_LENGTH and IBAN_LENGTH[d[:2]] != len(d) or d[:2] not in IBAN_LENGTH and not d[4:].isdigit():
+            return None
         if iban_check(d[:2], d[4:]) != d[2:4]:
             return None
-        new = self._feistel("iban" + d[:2]).apply(d[4:])
-        return s[:2] + _refill(s[2:], iban_check(d[:2], new) + new, DIGITS)
+        account, new = d[4:], d[4:]
+        for kind, alphabet in (("iban" + d[:2], DIGITS), ("iban letters" + d[:2], UPPER)):  # letters stay letters
+            part = "".join(c for c in account if c in alphabet)
+            if part:
+                new = _refill(new, self._feistel(kind, alphabet).apply(part), alphabet)
+        return s[:2] + _refill(s[2:], iban_check(d[:2], new) + new, DIGITS + UPPER)
 
     def _ssn(self, s):
         if s[:3] in ("000", "666") or s[0] == "9" or s[4:6] == "00" or s[7:] == "0000":
@@ -158,10 +189,14 @@ class Pseudonyms:
         return ".".join(str(int(x[i:i + 2], 16)) for i in range(0, 8, 2))
 
     def _date(self, s):
-        form = "%Y-%m-%d" if s[4] == "-" else f"%d{s[2]}%m{s[5]}%Y"
-        try:
-            day = dt.datetime.strptime(s, form).date().toordinal() - FIRST_DAY
-        except ValueError:
+        forms = ("%Y-%m-%d",) if s[4] == "-" else (f"%d{s[2]}%m{s[5]}%Y", f"%m{s[2]}%d{s[5]}%Y")
+        for form in forms:  # month first only where day first is no date
+            try:
+                day = dt.datetime.strptime(s, form).date().toordinal() - FIRST_DAY
+                break
+            except ValueError:
+                continue
+        else:
             return None
         if not 0 <= day < DAYS:
             return None
@@ -176,16 +211,47 @@ class Pseudonyms:
         x = "".join(c for c in s.lower() if c in alphabet)
         return _refill(s.lower(), self._feistel("email", alphabet).apply(x), alphabet)
 
+    def _longest(self, kind: str, pattern: re.Pattern, text: str, start: int, end: int, inside: bool) -> tuple[int, str] | None:
+        """End and pseudonym of the longest valid value that begins at ``start`` (``inside`` a failed match)."""
+        m = pattern.match(text, start, end)
+        if m is None:
+            return None
+        if kind == "phone":  # where another number begins, this one ends
+            for cut in range(m.end() - 1, start, -1):
+                if (_NEXT.match(text, cut) and (head := pattern.fullmatch(text, start, cut - 1))
+                        and (other := pattern.match(text, cut)) and self.of(kind, head[0]) and self.of(kind, other[0])):
+                    return cut - 1, self.of(kind, head[0])
+        if (kind not in SHORTER or _ends(kind, text, m.end())) and not (inside and _odd(kind, m[0])) and (new := self.of(kind, m[0])) is not None:
+            return m.end(), new
+        if kind in SHORTER:
+            for cut in range(m.end() - 1, start, -1):  # the pattern again, on all that is shorter
+                if (text[cut - 1].isalnum() and _ends(kind, text, cut) and (shorter := pattern.fullmatch(text, start, cut))
+                        and not _odd(kind, shorter[0]) and (new := self.of(kind, shorter[0])) is not None):
+                    return cut, new
+        return None
+
     def replace(self, text: str) -> tuple[str, list[dict]]:
-        """Text with pseudonyms, and the spans (in the original text); the first kind that fits wins."""
+        """Text with pseudonyms, and the spans (in the original text); the first kind that fits wins.
+
+        A match that is no valid value is tried at its shorter lengths, and the search goes on one
+        character behind its start.  Spans taken before bound a match.
+        """
         found: list[tuple[int, int, str, str]] = []
         for kind, pattern in PATTERNS:
-            for m in pattern.finditer(text):
-                i = bisect.bisect_left(found, (m.start(),))   # spans never overlap, so the neighbours tell
-                if (i == 0 or found[i - 1][1] <= m.start()) and (i == len(found) or found[i][0] >= m.end()):
-                    new = self.of(kind, m[0])
-                    if new is not None:
-                        found.insert(i, (m.start(), m.end(), kind, new))
+            at = failed = 0
+            while m := pattern.search(text, at):
+                start, end = m.span()
+                i = bisect.bisect_right(found, (start, len(text) + 1))   # spans never overlap, so the neighbours tell
+                if i and found[i - 1][1] > start:
+                    at = found[i - 1][1]
+                    continue
+                bound = found[i][0] if i < len(found) and found[i][0] < end else len(text)
+                hit = self._longest(kind, pattern, text, start, bound, start < failed)
+                if hit is None:
+                    at, failed = start + 1, max(failed, end)
+                else:
+                    found.insert(i, (start, hit[0], kind, hit[1]))
+                    at = hit[0]
         out, at = [], 0
         for a, b, _, new in found:
             out += [text[at:a], new]

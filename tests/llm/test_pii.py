@@ -36,3 +36,29 @@ def test_documents(spark):
     date = next(s.pseudonym for s in got[1].spans if s.kind == "date")
     assert got[2].text == f"again {date}" and got[3].text is None and got[4].text == "no data, version 2.0"
     assert pseudonymise(df.limit(0), KEY).count() == 0
+
+
+def test_values_beside_other_digits():
+    """A match that takes in what follows the value does not leave the value in clear."""
+    p = Pseudonyms(KEY)
+
+    def found(text):
+        return [(s["kind"], text[s["start"]:s["end"]]) for s in p.replace(text)[1]]
+
+    card = "4111 1111 1111 1111"
+    for after in (" 12/27", " 123", " 1", ", 12"):
+        assert found(card + after)[0] == ("card", card)
+    assert found(f"1234 {card}") == [("card", card)]
+    assert found("+1 415 555 0100 2024-05-05") == [("phone", "+1 415 555 0100"), ("date", "2024-05-05")]
+    assert found("030 1234567 030 7654321") == [("phone", "030 1234567"), ("phone", "030 7654321")]
+    assert found("+33 1 23 45 06 07 030 7654321") == [("phone", "+33 1 23 45 06 07"), ("phone", "030 7654321")]
+    assert found("+1 415 555 0100 12345678") == [("phone", "+1 415 555 0100")]
+    assert found("DE89 3704 0044 0532 0130 00 12") == [("iban", "DE89 3704 0044 0532 0130 00")]
+    for iban in ("GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606", "NL91 ABNA 0417 1643 00"):
+        assert found(f"{iban} AND MORE") == [("iban", iban)]
+        new = p.of("iban", iban).replace(" ", "")
+        assert iban_check(new[:2], new[4:]) == new[2:4] and p.of("iban", iban.replace(" ", "")) == new != iban.replace(" ", "")
+        assert [c.isalpha() for c in new] == [c.isalpha() for c in iban.replace(" ", "")]
+    assert p.of("date", "05/17/1980") != "05/17/1980"
+    assert found("05/17/1980") == [("date", "05/17/1980")] and found("13/17/1980") == []
+    assert found("XY12 NO ACCOUNT HERE AT ALL 12") == []
