@@ -1,8 +1,7 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
 
 1. ``quality_rules``     documents that fail the base rule or are robust outliers go;
-2. ``line_dedup``        lines that match an earlier line go, and documents of which no line of
-                         substance is left;
+2. ``line_dedup``        lines that match an earlier line go, and documents of which nothing is left;
 3. ``near_copies``       of each class of near copies the document of the smallest id stays (NULL ids last);
 4. ``decontamination``   documents that hold an item of the benchmark go;
 5. ``packing``           the rest is tokenised and packed: one row per piece.
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from airnet.llm.common import documents
 from airnet.llm.decontamination import contaminated
-from airnet.llm.line_dedup import MIN_TOKENS, line_dedup
+from airnet.llm.line_dedup import line_dedup
 from airnet.llm.ngram_join import near_copies
 from airnet.llm.packing import pack_documents
 from airnet.llm.quality_rules import quality_verdicts
@@ -57,8 +56,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = line_dedup(docs)
-    tokens = F.transform(F.split("text", "\n"), lambda x: F.size(F.array_remove(F.array_distinct(F.split(F.lower(x), " ")), "")))
-    out = out.where((F.size("removed_lines") == 0) | F.coalesce(F.array_max(tokens) >= MIN_TOKENS, F.lit(False)))
+    out = out.where((F.size("removed_lines") == 0) | F.col("text").rlike(r"\S"))
     changed = {"text": F.col("text"), "n_chars": F.when(F.size("removed_lines") == 0, F.col("row.n_chars"))
                .otherwise(F.length("text")) if "n_chars" in docs.columns else None}
     return out.select(*[(F.col(f"row.`{c}`") if changed.get(c) is None else changed[c].cast(docs.schema[c].dataType)).alias(c)

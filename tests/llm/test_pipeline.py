@@ -82,3 +82,12 @@ def test_near_copies_of_repeated_ids(spark, corpus):
     _, out = _stage(spark, corpus, "near_copies", docs)
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
     assert got == sorted([(1, one), (1, two), (1, "..."), (1, None), (1, ""), (None, three), (3, four)], key=str)
+
+
+def test_line_dedup_keeps_what_is_left(spark, corpus):
+    """A document that lost a line stays as long as it holds anything, in unspaced scripts too."""
+    line = "a line of many words that two of the documents hold"
+    rows = [(1, line), (2, f"{line}\n这一段文字没有空格但是完全干净"), (3, f"{line}\n \t"), (4, line)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t), "k", "r") for d, t in rows], COLUMNS)
+    _, out = _stage(spark, corpus, "line_dedup", docs)
+    assert {r.doc_id: r.text for r in out.collect()} == {1: line, 2: "这一段文字没有空格但是完全干净"}
