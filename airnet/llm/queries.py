@@ -94,3 +94,12 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its class of near copies, and the different texts it is linked to."""
     from airnet.llm.ngram_join import near_copies
     return near_copies(documents(spark, sf_dir)).drop("a", "b")
+
+
+@_query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from airnet.llm.byte_bpe import round_trip
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                      public_tokenizers.PATTERN)
