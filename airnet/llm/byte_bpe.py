@@ -40,7 +40,7 @@ GROUP_CHARS = 4 << 20    # texts whose missing chunks are encoded in one call
 SEGMENT = 1 << 20        # characters of a text cut into chunks at once
 
 # white space of Unicode (re's \s also holds four control characters)
-_WS = r"\t-\r \x85\xa0  -     　"
+_WS = r"\t-\r" + "".join(map(chr, [0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 _CUT = re.compile(f"(?<=[^{_WS}]) (?=[^{_WS}])")
 
