@@ -23,11 +23,13 @@ itself is taken whole.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
@@ -35,8 +37,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 from airnet.llm.common import arrow, id_text, rows, ship
 
 MAX_KEY = 64             # characters of a chunk that is kept in the cache
-CACHE_SIZE = 400_000     # chunks
-GROUP_CHARS = 4 << 20    # texts whose missing chunks are encoded in one call
+CACHE_SIZE = 200_000     # chunks
+GROUP_CHARS = 2 << 20    # texts whose missing chunks are encoded in one call
 SEGMENT = 1 << 20        # characters of a text cut into chunks at once
 
 # white space of Unicode (re's \s also holds four control characters)
@@ -50,6 +52,9 @@ OFFSET_SCHEMA = StructType([*IDS_SCHEMA, StructField("starts", ArrayType(Integer
 DECODED_SCHEMA = StructType([StructField("doc_id", LongType()), StructField("ids", BinaryType()),
                              StructField("decoded", BinaryType()), StructField("head", BinaryType()),
                              StructField("text", StringType()), StructField("tail", BinaryType())])
+ROUND_TRIP_SCHEMA = StructType([StructField("doc_id", LongType()), StructField("n_tokens", LongType(), False),
+                                StructField("ids_sha256", StringType(), False),
+                                StructField("decoded_sha256", StringType(), False)])
 
 
 def byte_table() -> dict[int, str]:
@@ -194,6 +199,25 @@ def _model(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
+def _parts(batch: pa.RecordBatch):
+    """The batch in slices of a few megabytes of text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        done = int(sizes[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, done + GROUP_CHARS, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _encoded(batches, model: ByteBpe):
+    """(doc ids, texts, ids) of each part of the batches."""
+    for batch in batches:
+        for part in _parts(batch):
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            yield part.column("doc_id").cast(pa.int64()), texts, model.encode(texts)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, *, offsets: bool = False) -> DataFrame:
     """``doc_id, ids`` (binary: little-endian unsigned 32-bit numbers) for every row of ``docs``
     (doc_id, text); with ``offsets`` also ``starts, ends`` in characters.
@@ -207,10 +231,8 @@ def encode(docs: DataFrame, path: str, pattern: str, *, offsets: bool = False) -
 
     def run(batches):
         model = _model(path, pattern)
-        for batch in batches:
-            doc_ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
-            ids = model.encode(texts)
-            columns = [doc_ids.cast(pa.int64()), pa.array(ids, schema.field("ids").type)]
+        for doc_ids, texts, ids in _encoded(batches, model):
+            columns = [doc_ids, pa.array(ids, schema.field("ids").type)]
             if offsets:
                 places = [model.offsets(t, i) for t, i in zip(texts, ids)]
                 columns += [pa.array([p[k] for p in places], schema.field(2 + k).type) for k in (0, 1)]
@@ -244,8 +266,16 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids and of the bytes that
-    decoding gives back; the rows of :func:`encode`."""
-    out = decode(encode(docs, path, pattern), path, pattern)
-    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids of :func:`encode` and of the
+    bytes that decoding these ids gives back, both in one pass over the texts."""
+    schema = arrow(ROUND_TRIP_SCHEMA)
+
+    def run(batches):
+        model = _model(path, pattern)
+        for doc_ids, _, ids in _encoded(batches, model):
+            yield pa.RecordBatch.from_arrays([
+                doc_ids, pa.array([len(i) // 4 for i in ids], pa.int64()),
+                pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
+                pa.array([hashlib.sha256(model.decode(i)).hexdigest() for i in ids], pa.string())], schema=schema)
+
+    return id_text(docs).mapInArrow(run, ROUND_TRIP_SCHEMA)
