@@ -103,3 +103,39 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from airnet.llm.byte_bpe import round_trip
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                       public_tokenizers.PATTERN)
+
+
+@_query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language and source: distances to the other sources, and the terms it uses more than its language."""
+    from airnet.llm.divergence import source_divergence
+    return source_divergence(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op13_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY lang),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS cnt,
+             1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (coalesce(n.n, 0)::HUGEINT + 5 * v.v) AS p,
+             1 + (1000000000::HUGEINT * (k.c + 5)) // (v.n::HUGEINT + 5 * v.v) AS q
+      FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source)
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pair AS (SELECT a.lang, a.source, b.source AS item,
+                coalesce((SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+                          WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+term AS (SELECT lang, source, term AS item, p - q AS value FROM p WHERE cnt > 0 AND p > q),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value,
+                  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+           UNION ALL
+           SELECT lang, source, 'term' AS part, item, value,
+                  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM term
+           QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) <= 50)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
+"""
