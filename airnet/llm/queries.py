@@ -139,3 +139,34 @@ ranked AS (SELECT lang, source, 'pair' AS part, item, value,
            QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) <= 50)
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
 """
+
+
+@_query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each benchmark item's ten best documents."""
+    from airnet.llm.lexical_search import search
+    return search(documents(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op11_lexical_search"] = r"""
+WITH dt AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+dn AS (SELECT row, doc_id, len(t)::BIGINT AS n, t FROM dt WHERE len(t) > 0),
+s AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM dn),
+i AS (SELECT item_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+iq AS (SELECT item_id, term, count(*) AS q FROM i GROUP BY ALL),
+w AS (SELECT row, unnest(t) AS term FROM dn),
+tf AS (SELECT row, term, count(*) AS tf FROM w WHERE term IN (SELECT term FROM iq) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wt AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, s),
+m AS (SELECT row, doc_id, 25 + (75 * n * nn) // l AS m FROM dn, s),
+sc AS (SELECT iq.item_id, m.doc_id, m.row,
+              sum(iq.q * wt.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m)))::BIGINT AS score
+       FROM iq JOIN tf USING (term) JOIN wt USING (term) JOIN m USING (row) GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+      FROM sc WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
