@@ -115,7 +115,8 @@ def stream_alerts(spark: SparkSession, directory: str, out_path: str, checkpoint
     if watermark:
         s = s.withWatermark("datetime", watermark)
     stats = windows.window_stats(s, "datetime", ["station"], list(measures), duration=duration, slide=slide)
-    return core.upsert_sink(stats, out_path, checkpoint, trigger_available_now=available_now)
+    return core.upsert_sink(stats, out_path, checkpoint, trigger_available_now=available_now,
+                            keys=["window_start", "window_end", "station"])
 
 
 __all__ = ["station_report", "sensor_models", "graph_diffusion", "stream_alerts", "STATION_LEVEL_COL"]

@@ -684,11 +684,20 @@ def q_stream_round_robin(spark, sf):
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS rows
 FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM events)
 GROUP BY window_start
-HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
 """)
 def q_stream_watermarked_counts(spark, sf):
+    """Every window, the open ones included."""
     ev = streaming.event_stream(spark, sf, "events.parquet").select("ts")
-    return streaming.stream_watermarked_counts(spark, ev, "ts", duration="1 hour", watermark="10 minutes")
+    out = streaming.stream_watermarked_counts(spark, ev, "ts", duration="1 hour", watermark="10 minutes")
+    return out.select("window_start", "window_end", "rows")
+
+
+@register("stream_window_stats_bounded", _win_stats_sql())
+def q_stream_window_stats_bounded(spark, sf):
+    """The same statistics with a watermark, so that the state stays bounded."""
+    out = streaming.stream_window_stats(spark, _sensor_stream(spark, sf), "ts", ["event_type"], ["value", "k"],
+                                        duration=WIN_DURATION, slide=WIN_SLIDE, watermark="10 minutes")
+    return _round_window_stats(out)
 
 
 # --------------------------------------------------------------------------- ML (P14, ML1-ML14)

@@ -51,12 +51,79 @@ def test_round_robin_stream(spark):
     assert len(got) == 1000 and all(got[i] == "abc"[i % 3] for i in got)
 
 
-def test_watermark_drops_only_open_windows(spark):
-    ev = streaming.event_stream(spark, SF, "events.parquet").select("ts")
-    out = streaming.stream_watermarked_counts(spark, ev, "ts", duration="1 day", watermark="10 minutes")
-    batch = spark.read.parquet(f"{SF}/events.parquet").groupBy(F.window("ts", "1 day")).count()
-    assert 0 < out.count() <= batch.count()
-    assert out.agg(F.sum("rows")).first()[0] <= 1000
+def _counts(frame):
+    return {r["window_start"]: r["rows"] for r in frame.collect()}
+
+
+def test_open_windows_are_returned_beside_the_emitted_ones(spark, tmp_dir):
+    ev, flat = _two_files(spark, tmp_dir)
+    want = _counts(ev.groupBy(F.window("ts", "1 day").alias("w")).agg(F.count("*").alias("rows"))
+                   .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "rows"))
+    s = streaming.event_stream(spark, flat, "*.parquet", max_files_per_trigger=1).select("ts")
+    out = streaming.stream_watermarked_counts(spark, s, "ts", duration="1 day", watermark="10 minutes")
+    assert _counts(out) == want
+    held = _counts(out.where("not final"))
+    assert set(held) == {max(want)}                       # the last day alone is open
+    assert out.where("final").count() == len(want) - 1
+
+
+def test_watermarked_counts_go_on_from_a_checkpoint(spark, tmp_dir):
+    ev, flat = _two_files(spark, tmp_dir)
+    first = os.path.join(tmp_dir, "grow")
+    os.makedirs(first)
+    os.link(os.path.join(flat, "part0.parquet"), os.path.join(first, "part0.parquet"))
+    path, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+
+    def run():
+        s = streaming.event_stream(spark, first, "*.parquet").select("ts")
+        return streaming.stream_watermarked_counts(spark, s, "ts", duration="1 day", watermark="10 minutes", path=path,
+                                                   checkpoint=ckpt)
+    half = run()
+    assert half.agg(F.sum("rows")).first()[0] == ev.where("ts < '2024-01-15'").count()
+    os.link(os.path.join(flat, "part1.parquet"), os.path.join(first, "part1.parquet"))
+    whole = run()
+    assert whole.agg(F.sum("rows")).first()[0] == ev.count()
+    assert whole.count() == whole.select("window_start").distinct().count()
+
+
+def _file_stream(spark, tmp_dir, name, rows):
+    d = os.path.join(tmp_dir, name)
+    for i, part in enumerate(rows):
+        spark.createDataFrame(part, "k string, v long").coalesce(1).write.mode("append").parquet(f"{d}/in{i:03d}")
+    flat = os.path.join(tmp_dir, name + "-flat")
+    os.makedirs(flat)
+    for i in range(len(rows)):
+        f = [p for p in os.listdir(f"{d}/in{i:03d}") if p.endswith(".parquet")][0]
+        os.link(f"{d}/in{i:03d}/{f}", f"{flat}/{i:03d}.parquet")
+        os.utime(f"{flat}/{i:03d}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
+    return streaming.event_stream(spark, flat, "*.parquet", max_files_per_trigger=1).groupBy("k").agg(F.max("v").alias("v"))
+
+
+def test_rows_of_a_new_checkpoint_are_newer(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "sink")
+    runs = [[[("a", 9)], [("b", 8)], [("c", 7)]], [[("a", 1)]]]
+    for i, rows in enumerate(runs):
+        streaming.run_until_done(streaming.upsert_sink(_file_stream(spark, tmp_dir, f"s{i}", rows), out, os.path.join(tmp_dir, f"c{i}")))
+    assert {r["k"]: r["v"] for r in streaming.latest_state(spark, out, ["k"]).collect()} == {"a": 1, "b": 8, "c": 7}
+
+
+def test_compaction_bounds_the_sink(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "sink")
+    rows = [[(f"k{i % 4}", i)] for i in range(13)]
+    q = streaming.upsert_sink(_file_stream(spark, tmp_dir, "s", rows), out, os.path.join(tmp_dir, "c"), keys=["k"], compact_every=3)
+    streaming.run_until_done(q)
+    want = {"k0": 12, "k1": 9, "k2": 10, "k3": 11}
+    assert {r["k"]: r["v"] for r in streaming.latest_state(spark, out, ["k"]).collect()} == want
+    assert len(os.listdir(out)) <= 4 and len(streaming.live_folders(spark, out)) <= 3
+    # a base that was written but not renamed, and covered folders that were not deleted, change nothing
+    os.makedirs(os.path.join(out, "_base-broken"))
+    before = streaming.live_folders(spark, out)
+    spark.createDataFrame([("k0", -1, 0, 0)], "k string, v long, __run long, __batch long").write.parquet(os.path.join(out, "b-0-5"))
+    assert streaming.live_folders(spark, out) == before
+    streaming.compact_sink(spark, out, ["k"])
+    streaming.compact_sink(spark, out, ["k"])
+    assert [f for f in os.listdir(out) if not f.startswith("_")] == ["base-1-12"]
+    assert {r["k"]: r["v"] for r in streaming.latest_state(spark, out, ["k"]).collect()} == want
 
 
 def test_stream_without_data_gives_empty_state(spark, tmp_dir):
