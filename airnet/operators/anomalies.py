@@ -10,40 +10,37 @@ result is identical to
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airnet.functions.columns import wall_clock_micros, zscore
 from airnet.operators._util import as_list, col_type
-from airnet.operators.sequence import default_chunk, frame_apply
+from airnet.operators.joins import hot_group_join
+from airnet.operators.sequence import frame_apply
 
 
 def rolling_stats(df: DataFrame, key, order, value: str, rows: int = 24, *,
                   mean_col: str | None = None, std_col: str | None = None,
-                  chunk: Column | None = None, chunk_unit: str = "hour",
                   block_rows: int = 1 << 20, hot_rows: int | None = None,
                   skew_safe: bool = True) -> DataFrame:
     """Trailing mean and *population* sd of ``value`` over the current row and the
     ``rows - 1`` previous rows of the same key, ordered by ``order``.
 
-    ``order`` should end with a unique column so the frame is deterministic.  ``chunk`` is
-    any expression non-decreasing in ``order[0]`` (default: ``date_trunc(chunk_unit)`` of a
-    time column); it only bounds the size of the numbering step, not the result.
+    ``order`` should end with a unique column so the frame is deterministic; its columns may be of any
+    type that sorts.
     """
     keys, order = as_list(key), as_list(order)
     mean_col = mean_col or f"{value}_mean"
     std_col = std_col or f"{value}_std"
     if rows < 1:
         raise ValueError("rows must be >= 1")
-    if chunk is None and skew_safe:
-        chunk = default_chunk(df, order[0], chunk_unit)
+
     def stats(frame, w):
         w = w.rowsBetween(-(rows - 1), 0)
         return (frame.withColumn(mean_col, F.avg(value).over(w))
                      .withColumn(std_col, F.stddev_pop(value).over(w)))
 
-    return frame_apply(df, keys, order, rows, stats, chunk=chunk if skew_safe else None,
-                       block_rows=block_rows, hot_rows=hot_rows)
+    return frame_apply(df, keys, order, rows, stats, split=skew_safe, block_rows=block_rows, hot_rows=hot_rows)
 
 
 def rolling_stats_range(df: DataFrame, key, ts: str, value: str, seconds: int = 24 * 3600, *,
@@ -124,21 +121,29 @@ def group_stats(df: DataFrame, group, value: str, *, mean_col: str = "group_mean
 
 
 def group_zscore(df: DataFrame, group, value: str, *, mean_col: str = "group_mean",
-                 std_col: str = "group_std", z_col: str = "z_score") -> DataFrame:
+                 std_col: str = "group_std", z_col: str = "z_score", hot_rows: int = 1 << 20) -> DataFrame:
     """Each row with the mean, sample sd and z-score of its group.
 
     Rows with a NULL group are dropped (inner-join semantics).  The statistics are a
-    partial aggregate (one row per group); the join back lets AQE broadcast them when they
-    are small at run time and split a hot group of the large side otherwise.
+    partial aggregate (one row per group); rows of groups beyond ``hot_rows`` meet them on several
+    tasks (:func:`airnet.operators.joins.hot_group_join`).
     """
     keys = as_list(group)
-    stats = group_stats(df, keys, value, mean_col=mean_col, std_col=std_col)
-    out = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))).join(stats, keys, "inner")
+    stats = df.groupBy(*keys).agg(F.avg(value).alias(mean_col), F.stddev_samp(value).alias(std_col),
+                                  F.count(F.lit(1)).alias("__rows"))
+    out = hot_group_join(df, stats, keys, count_col="__rows", hot_rows=hot_rows)
     return out.withColumn(z_col, zscore(value, mean_col, std_col))
 
 
 def group_outliers(df: DataFrame, group, value: str, *, threshold: float = 1.75,
-                   z_col: str = "z_score", **kw) -> DataFrame:
-    """Rows whose group z-score is strictly above ``threshold``, highest first."""
+                   z_col: str = "z_score", limit: int | None = None, tie: list[str] | None = None, **kw) -> DataFrame:
+    """Rows whose group z-score is strictly above ``threshold``, highest first.
+
+    ``limit`` makes it a top-k report; equal scores (to nine digits) go by ``tie``, else by group and value.
+    """
     out = group_zscore(df, group, value, z_col=z_col, **kw)
-    return out.where(F.col(z_col) > F.lit(threshold)).orderBy(F.col(z_col).desc())
+    out = out.where(F.col(z_col) > F.lit(threshold))
+    ties = [F.col(c) for c in (tie or [*as_list(group), value])]
+    if limit is None:
+        return out.orderBy(F.col(z_col).desc(), *ties)
+    return out.orderBy(F.round(z_col, 9).desc(), *ties).limit(limit)

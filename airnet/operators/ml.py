@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from airnet.functions.columns import hash_bucket
 from airnet.operators._util import as_list
+from airnet.operators.joins import hot_group_join
 
 
 def feature_stages(cat: str = "station", nums=("hour", "dayOfWeek", "month"), *,
@@ -124,11 +125,12 @@ def worst_predictions(pred: DataFrame, k: int = 10, *, tie=None, **kw) -> DataFr
 
 
 def group_mean_predictor(train: DataFrame, test: DataFrame, group, label: str = "label",
-                         prediction: str = "prediction") -> DataFrame:
+                         prediction: str = "prediction", *, hot_rows: int = 1 << 20) -> DataFrame:
     """Baseline model: predict the training mean label of the row's group (the fitted
     table has one row per group; groups unseen in training get the global mean)."""
     keys = as_list(group)
     means = train.groupBy(*keys).agg(F.avg(label).alias("__gm"))
+    sizes = test.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     overall = train.agg(F.avg(label)).scalar()  # one value, a scalar subquery
-    j = test.join(means, keys, "left")
+    j = hot_group_join(test, means.join(sizes, keys), keys, count_col="__rows", how="left", hot_rows=hot_rows)
     return j.withColumn(prediction, F.coalesce(F.col("__gm"), overall)).drop("__gm")

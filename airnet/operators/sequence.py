@@ -7,28 +7,23 @@ and cuts the key into blocks of ``block_rows`` positions; the last ``rows - 1``
 block are copied into the next block (marked ``__shift = 1``) so that a frame of ``rows``
 trailing rows computed per block equals the frame computed over the whole key.
 
-Position = row number inside ``(key, chunk)`` + rows of the key in earlier chunks.  The
-chunk counts form a small aggregate (one row per key and chunk).  ``chunk`` must be
-non-decreasing along ``order``; it only bounds the numbering step, never the result.
+Positions are a distributed prefix sum: rows are range-partitioned and sorted by (key, order), whatever
+their distribution (one hour, or one line, may hold most rows), and written once with their place
+in the partition; the rows of a key in earlier partitions come from a table with one row per
+key and partition.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from airnet.operators._util import as_list, col_type
+from airnet.operators._util import as_list
 from airnet.session import materialize
 
-HELPERS = ["__chunk", "__rn", "__off", "__idx", "__shift", "__blk"]
-_TIME_TYPES = ("timestamp", "timestamp_ntz", "date")
-
-
-def default_chunk(df: DataFrame, first_order: str, unit: str = "hour") -> Column | None:
-    """``date_trunc(unit)`` of a time column, else None (no blocking)."""
-    if col_type(df, first_order) in _TIME_TYPES:
-        return F.date_trunc(unit, F.col(first_order))
-    return None
+HELPERS = ["__pid", "__pos", "__off", "__idx", "__shift", "__blk"]
+_PLACE_BITS = 33   # of monotonically_increasing_id: the place in the partition
+OFFSET_ROWS = 1_000_000   # of the offsets table that is broadcast
 
 
 def _key_copies(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
@@ -44,29 +39,37 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str
     return left.join(right, on, how).drop(*[f"__r{c}" for c in cols])
 
 
-def position_in_key(df: DataFrame, keys, order, chunk: Column, *,
-                    copy_keys: bool = True) -> tuple[DataFrame, list[str]]:
-    """Add ``__idx``: exact 0-based position of the row inside its key along ``order``.
-    Returns the frame and the key columns to partition by.  Rows without a chunk (their first
-    order column is NULL) form a chunk of their own, ordered first like the NULLs themselves."""
+def sorted_places(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted by keys and order, written once with ``__pid`` (partition) and
+    ``__pos`` (place in it), so that later plans never see other bounds."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tagged = (df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+                .withColumn("__mid", F.monotonically_increasing_id()))
+    tagged = materialize(tagged, "places")
+    return (tagged.withColumn("__pid", F.shiftright(F.col("__mid"), _PLACE_BITS))
+                  .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).drop("__mid"))
+
+
+def position_in_key(df: DataFrame, keys, order, *, copy_keys: bool = True,
+                    partitions: int | None = None) -> tuple[DataFrame, list[str]]:
+    """Add ``__idx``: exact 0-based position of the row inside its key along ``order`` (NULLs first).
+    Returns the frame and the key columns to partition by."""
     keys, order = as_list(keys), as_list(order)
-    if copy_keys:
-        base, sk = _key_copies(df.withColumn("__chunk", chunk), keys)
-    else:
-        base, sk = df, keys
-    counts = base.groupBy(*sk, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
-    before = (Window.partitionBy(*sk).orderBy(F.col("__chunk").asc_nulls_first())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*sk, "__chunk", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
-    numbered = base.withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(*sk, "__chunk").orderBy(*order)))
-    numbered = _null_safe_join(numbered, offsets, [*sk, "__chunk"], "inner")
-    return numbered.withColumn("__idx", F.col("__off") + F.col("__rn") - F.lit(1)), sk
-
-
-def _blocked_hot(base: DataFrame, sk: list[str], order: list[str], rows: int, chunk: Column,
+    base, sk = _key_copies(df, keys) if copy_keys else (df, keys)
+    placed = sorted_places(base, sk, order, partitions)
+    sizes = placed.groupBy(*sk, "__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__start"))
+    before = Window.partitionBy(*sk).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(sizes.select(*sk, "__pid", (F.coalesce(F.sum("__n").over(before), F.lit(0))
+                                                      - F.col("__start")).alias("__off")), "offsets")
+    if offsets.count() <= OFFSET_ROWS:
+        offsets = F.broadcast(offsets)
+    out = _null_safe_join(placed, offsets, [*sk, "__pid"], "inner")
+    return out.withColumn("__idx", F.col("__off") + F.col("__pos")), sk
+
+
+def _blocked_hot(base: DataFrame, sk: list[str], order: list[str], rows: int,
                  block_rows: int) -> tuple[DataFrame, WindowSpec]:
-    numbered, _ = position_in_key(base, sk, order, chunk, copy_keys=False)
+    numbered, _ = position_in_key(base, sk, order, copy_keys=False)
     idx = F.col("__idx")
     halo = (F.pmod(idx, F.lit(block_rows)) >= F.lit(block_rows - (rows - 1))) & F.lit(rows > 1)
     shifts = F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -90,7 +93,7 @@ def hot_keys(base: DataFrame, sk: list[str], hot_rows: int, max_keys: int) -> Da
     return F.broadcast(found) if n <= max_keys else found
 
 
-def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, chunk: Column | None = None,
+def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, split: bool = True,
                 block_rows: int = 1 << 20, hot_rows: int | None = None,
                 max_hot_keys: int = 10000) -> DataFrame:
     """Evaluate ``fn(frame, window)`` -- window functions looking at most ``rows - 1``
@@ -101,24 +104,24 @@ def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, chunk: Column | No
     than ``block_rows + rows - 1`` of their rows.  All other keys use the plain window.
     Hot keys are found first (one cheap count job); with none, the plan is exactly the
     plain window.  At most ``total_rows / hot_rows`` keys can be hot; up to
-    ``max_hot_keys`` of them are broadcast, more are joined as a written table.  Without ``chunk`` every key uses the plain
-    window.
+    ``max_hot_keys`` of them are broadcast, more are joined as a written table.  With ``split`` false every
+    key uses the plain window.
     """
     keys, order = as_list(keys), as_list(order)
     plain = Window.partitionBy(*keys).orderBy(*order)
-    if chunk is None:
+    if not split:
         return finish(fn(df.withColumn("__shift", F.lit(0)), plain))
     if block_rows < rows:
         raise ValueError("block_rows must be >= rows")
     hot_rows = hot_rows or block_rows
-    base, sk = _key_copies(df.withColumn("__chunk", chunk), keys)
+    base, sk = _key_copies(df, keys)
     hot = hot_keys(base, sk, hot_rows, max_hot_keys)
     if hot is None:
         return finish(fn(df.withColumn("__shift", F.lit(0)), plain))
     flagged = _null_safe_join(base, hot.withColumn("__hot", F.lit(True)), sk, "left")
     cold = flagged.where(F.col("__hot").isNull()).withColumn("__shift", F.lit(0))
     cold_out = finish(fn(cold, Window.partitionBy(*sk).orderBy(*order)))
-    hot_frame, w = _blocked_hot(flagged.where(F.col("__hot")), sk, order, rows, chunk, block_rows)
+    hot_frame, w = _blocked_hot(flagged.where(F.col("__hot")), sk, order, rows, block_rows)
     hot_out = finish(fn(hot_frame, w))
     return cold_out.unionByName(hot_out)
 
@@ -131,17 +134,15 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 def sequence_edges(stops: DataFrame, line: str, order, station: str, *, src: str = "src",
-                   dst: str = "dst", line_out: str = "line", chunk: Column | None = None,
-                   block_rows: int = 1 << 20) -> DataFrame:
+                   dst: str = "dst", line_out: str = "line", block_rows: int = 1 << 20) -> DataFrame:
     """Consecutive stops of each line as edges ``(src, dst, line)``.
 
     Parallel edges (the same pair on two lines, or twice on one) are kept: the result is
-    a multigraph.  Pass ``chunk`` (non-decreasing along ``order``) to bound the work per
-    task for very long lines.
+    a multigraph.  Lines of more than ``block_rows`` stops are cut into blocks.
     """
     def lag_prev(frame, w):
         return frame.withColumn("__prev", F.lag(F.col(station), 1).over(w))
 
-    out = frame_apply(stops, [line], order, 2, lag_prev, chunk=chunk, block_rows=block_rows)
+    out = frame_apply(stops, [line], order, 2, lag_prev, block_rows=block_rows)
     out = out.where(F.col("__prev").isNotNull() & F.col(station).isNotNull())
     return out.select(F.col("__prev").alias(src), F.col(station).alias(dst), F.col(line).alias(line_out))

@@ -488,7 +488,7 @@ def _stops(spark, sf):
 
 def _edges(spark, sf):
     return sequence.sequence_edges(_stops(spark, sf), "l_orderkey", ["l_linenumber", "l_partkey"],
-                                   "l_partkey", chunk=F.col("l_linenumber"))
+                                   "l_partkey")
 
 
 _EDGES_SQL = """(SELECT src, dst, line FROM (
@@ -936,7 +936,65 @@ SELECT src, dst, line FROM (
 def q_sequence_edges_hot_line(spark, sf):
     li = load_table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey")
     return sequence.sequence_edges(li, "l_returnflag", ["l_orderkey", "l_linenumber", "l_partkey"], "l_partkey",
-                                   chunk=F.floor(F.col("l_orderkey") / F.lit(256)), block_rows=HOT_BLOCK_ROWS)
+                                   block_rows=HOT_BLOCK_ROWS)
+
+
+@register("sequence_edges_long_line", """
+SELECT src, dst, line FROM (
+    SELECT lag(l_partkey) OVER (PARTITION BY line ORDER BY l_orderkey, l_linenumber, l_partkey) AS src, l_partkey AS dst, line
+    FROM (SELECT CASE WHEN l_returnflag IN ('A', 'N') THEN 'long' ELSE l_returnflag END AS line, * FROM lineitem)) WHERE src IS NOT NULL
+""")
+def q_sequence_edges_long_line(spark, sf):
+    """One line holds two thirds of all stops."""
+    line = F.when(F.col("l_returnflag").isin("A", "N"), F.lit("long")).otherwise(F.col("l_returnflag"))
+    li = load_table(spark, sf, "lineitem").select(line.alias("line"), "l_orderkey", "l_linenumber", "l_partkey")
+    return sequence.sequence_edges(li, "line", ["l_orderkey", "l_linenumber", "l_partkey"], "l_partkey", block_rows=HOT_BLOCK_ROWS)
+
+
+@register("rolling_stats_hot_hour", f"""
+SELECT sensor, event_id, t, {rsql('avg(value) OVER w')} AS value_mean, {rsql('stddev_pop(value) OVER w')} AS value_std
+FROM (SELECT CASE WHEN event_type IN ('view', 'click') THEN -1 ELSE user_id END AS sensor, event_id, value,
+             CASE WHEN event_type IN ('view', 'click') THEN TIMESTAMP '2024-01-10 05:00:00' + INTERVAL 1 SECOND * (event_id % 1000)
+                  ELSE ts END AS t FROM events)
+WINDOW w AS (PARTITION BY sensor ORDER BY t, event_id ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+""")
+def q_rolling_stats_hot_hour(spark, sf):
+    """The rows of the hot key all lie in one hour, many at the same second."""
+    at = F.expr("timestampadd(SECOND, cast(event_id % 1000 as int), timestamp_ntz'2024-01-10 05:00:00')")
+    ev = _hot_key_events(spark, sf).withColumn("t", F.when(F.col("sensor") == -1, at).otherwise(F.col("ts")))
+    out = anomalies.rolling_stats(ev, "sensor", ["t", "event_id"], "value", 24, block_rows=HOT_BLOCK_ROWS)
+    return out.select("sensor", "event_id", "t", r6("value_mean").alias("value_mean"), r6("value_std").alias("value_std"))
+
+
+_HOT_GROUP_SQL = """(SELECT o_orderkey, k, o_totalprice, avg(o_totalprice) OVER g AS m, stddev_samp(o_totalprice) OVER g AS s
+   FROM (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN -1 ELSE o_custkey END AS k FROM orders)
+   WINDOW g AS (PARTITION BY k))"""
+
+
+def _hot_groups(spark, sf):
+    key = F.when(F.col("o_orderkey") % 2 == 0, F.lit(-1)).otherwise(F.col("o_custkey"))
+    return load_table(spark, sf, "orders").select("o_orderkey", key.alias("k"), "o_totalprice")
+
+
+@register("group_zscore_hot_group", f"""
+SELECT o_orderkey, k, {rsql('m')} AS group_mean, {rsql('s')} AS group_std, {rsql('(o_totalprice - m) / nullif(s, 0)')} AS z_score
+FROM {_HOT_GROUP_SQL}
+""")
+def q_group_zscore_hot_group(spark, sf):
+    """One group holds half of all rows."""
+    out = anomalies.group_zscore(_hot_groups(spark, sf), "k", "o_totalprice", hot_rows=HOT_BLOCK_ROWS)
+    return out.select("o_orderkey", "k", r6("group_mean").alias("group_mean"), r6("group_std").alias("group_std"),
+                      r6("z_score").alias("z_score"))
+
+
+@register("group_outliers_top50", f"""
+SELECT o_orderkey, k, {rsql('(o_totalprice - m) / s')} AS z_score FROM {_HOT_GROUP_SQL}
+WHERE s > 0 AND (o_totalprice - m) / s > 1.5 ORDER BY round((o_totalprice - m) / s, 9) DESC, o_orderkey LIMIT 50
+""")
+def q_group_outliers_top50(spark, sf):
+    out = anomalies.group_outliers(_hot_groups(spark, sf), "k", "o_totalprice", threshold=1.5, limit=50, tie=["o_orderkey"],
+                                   hot_rows=HOT_BLOCK_ROWS)
+    return out.select("o_orderkey", "k", r6("z_score").alias("z_score"))
 
 
 @register("rolling_stats_range", f"""

@@ -121,8 +121,7 @@ def test_struct_keys_with_nulls_keep_every_row(spark):
     rows = [(i, None if i % 3 == 0 else (i % 2, "x"), i, float(i % 5)) for i in range(120)]
     df = spark.createDataFrame(rows, "event_id long, k struct<a:int,b:string>, t long, v double")
     plain = anomalies.rolling_stats(df, "k", ["t", "event_id"], "v", 4, skew_safe=False)
-    blocked = anomalies.rolling_stats(df, "k", ["t", "event_id"], "v", 4, chunk=F.floor(F.col("t") / 10),
-                                      block_rows=8)
+    blocked = anomalies.rolling_stats(df, "k", ["t", "event_id"], "v", 4, block_rows=8)
     a = {r["event_id"]: (r["v_mean"], r["v_std"]) for r in plain.collect()}
     b = {r["event_id"]: (r["v_mean"], r["v_std"]) for r in blocked.collect()}
     assert len(b) == 120 and a.keys() == b.keys()

@@ -44,7 +44,7 @@ def test_blocked_edges_equal_plain(spark):
     stops = spark.createDataFrame(rows, "line string, seq int, station string")
     plain = sequence.sequence_edges(stops, "line", ["seq"], "station")
     blocked = sequence.sequence_edges(stops, "line", ["seq"], "station",
-                                      chunk=F.floor(F.col("seq") / 50), block_rows=7)
+                                      block_rows=7)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, blocked.collect()))
 
 

@@ -43,9 +43,8 @@ def test_hot_key_blocks_are_bounded(spark):
     # one key holds 3/4 of all rows; with block_rows=50 no window partition may exceed 50 + 23
     rows = [(i, "hot" if i % 4 else f"k{i % 13}", i) for i in range(4000)]
     df = spark.createDataFrame(rows, "id long, k string, t long")
-    base, sk = sequence._key_copies(df.withColumn("__chunk", F.floor(F.col("t") / 100)), ["k"])
-    hot_frame, _ = sequence._blocked_hot(base.where(F.col("k") == "hot"), sk, ["t", "id"], 24,
-                                         F.col("__chunk"), 50)
+    base, sk = sequence._key_copies(df, ["k"])
+    hot_frame, _ = sequence._blocked_hot(base.where(F.col("k") == "hot"), sk, ["t", "id"], 24, 50)
     sizes = [r["n"] for r in hot_frame.groupBy(*sk, "__blk").agg(F.count(F.lit(1)).alias("n")).collect()]
     # 60 real blocks plus one that only holds the halo of the last block
     assert max(sizes) <= 50 + 23 and len(sizes) == 61
@@ -84,8 +83,7 @@ def test_blocked_frame_equals_plain_window(spark, rows, block, hot_share, seed):
              float(rnd.randint(0, 9))) for i in range(300)]
     df = spark.createDataFrame(data, "id long, k string, t long, v double")
     plain = anomalies.rolling_stats(df, "k", ["t", "id"], "v", rows, skew_safe=False)
-    blocked = anomalies.rolling_stats(df, "k", ["t", "id"], "v", rows, chunk=F.floor(F.col("t") / 7),
-                                      block_rows=block)
+    blocked = anomalies.rolling_stats(df, "k", ["t", "id"], "v", rows, block_rows=block)
     a = {r["id"]: (round(r["v_mean"], 9), round(r["v_std"], 9)) for r in plain.collect()}
     b = {r["id"]: (round(r["v_mean"], 9), round(r["v_std"], 9)) for r in blocked.collect()}
     assert a == b
