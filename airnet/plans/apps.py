@@ -66,6 +66,7 @@ def sensor_models(long: DataFrame, measure: str = "pm", *, key: str = "datetime"
         out[f"{name}_worst"] = ml.worst_predictions(pred, k, tie=["station", "datetime"])
         if name == "lr":
             out["lr_summary"] = ml.lr_summary(spark, model)
+            out["lr_residuals"] = ml.lr_residuals(model, tr).select("station", "datetime", "label", "prediction", "residual")
     return out
 
 

@@ -804,12 +804,105 @@ def q_ml_lr_elastic(spark, sf):
     return m.transform(test).select("event_id", "station", "datetime", "label", "prediction")
 
 
-@register("ml_lr_summary")
-def q_ml_lr_summary(spark, sf):
+@register("ml_lr_summary_full")
+def q_ml_lr_summary_full(spark, sf):
     train, _ = _fitted_split(spark, sf)
     return ml.lr_summary(spark, ml.linear_regression(10, 0.3, 0.8).fit(train))
 
 
+def _elastic_sql(reg: float, alpha: float) -> str:
+    return f"""(SELECT *, my - coefficient * mx AS intercept,
+        sy * sy - 2 * coefficient * cov + coefficient * coefficient * sx * sx AS mse FROM (
+    SELECT *, sign(corr) * greatest(abs(corr) - {reg} * {alpha} / sy, 0) / (1 + {reg} * (1 - {alpha}) / sy) * sy / sx AS coefficient FROM (
+        SELECT avg(hour(ts)) AS mx, avg(value) AS my, stddev_pop(hour(ts)) AS sx, stddev_pop(value) AS sy,
+               covar_pop(value, hour(ts)) AS cov, corr(value, hour(ts)) AS corr, count(*) AS rows FROM events)))"""
+
+
+def _hour_model(spark, sf, reg: float, alpha: float):
+    f = VectorAssembler(inputCols=["hour"], outputCol="features").transform(_feature_frame(spark, sf))
+    return f, ml.linear_regression(200, reg, alpha, tol=1e-13).fit(f)
+
+
+@register("ml_lr_elastic_one", f"""
+SELECT 'closed' AS form, {rsql('coefficient', 5)} AS coefficient, {rsql('intercept', 4)} AS intercept FROM {_elastic_sql(0.3, 0.8)}
+UNION ALL SELECT 'fitted', {rsql('coefficient', 5)}, {rsql('intercept', 4)} FROM {_elastic_sql(0.3, 0.8)}
+""")
+def q_ml_lr_elastic_one(spark, sf):
+    """The elastic net of one feature: in closed form, and as MLlib fits it."""
+    closed = ml.elastic_net_one(_feature_frame(spark, sf), "hour", "label", 0.3, 0.8).select("coefficient", "intercept")
+    _, model = _hour_model(spark, sf, 0.3, 0.8)
+    fitted = ml.lr_summary(spark, model).select(F.col("coefficients")[0].alias("coefficient"), "intercept")
+    both = closed.withColumn("form", F.lit("closed")).unionByName(fitted.withColumn("form", F.lit("fitted")))
+    return both.select("form", r6("coefficient", 5).alias("coefficient"), r6("intercept", 4).alias("intercept"))
+
+
+@register("ml_lr_summary", f"""
+SELECT {rsql('coefficient', 5)} AS coefficient, {rsql('intercept', 4)} AS intercept, {rsql('sqrt(mse)', 5)} AS rmse,
+       {rsql('1 - mse / (sy * sy)', 5)} AS r2 FROM {_elastic_sql(0.3, 0.8)}
+""")
+def q_ml_lr_summary(spark, sf):
+    _, model = _hour_model(spark, sf, 0.3, 0.8)
+    s = ml.lr_summary(spark, model)
+    return s.select(r6(F.col("coefficients")[0], 5).alias("coefficient"), r6("intercept", 4).alias("intercept"),
+                    r6("rmse", 5).alias("rmse"), r6("r2", 5).alias("r2"))
+
+
+@register("ml_lr_residuals", f"""
+SELECT event_id, label, {rsql('b + a * h', 5)} AS prediction, {rsql('label - (b + a * h)', 5)} AS residual
+FROM (SELECT event_id, value AS label, hour(ts) AS h FROM events),
+     (SELECT regr_slope(value, hour(ts)) AS a, regr_intercept(value, hour(ts)) AS b FROM events)
+""")
+def q_ml_lr_residuals(spark, sf):
+    f, model = _hour_model(spark, sf, 0.0, 0.0)
+    out = ml.lr_residuals(model, f)
+    return out.select("event_id", "label", r6("prediction", 5).alias("prediction"), r6("residual", 5).alias("residual"))
+
+
+# the best split of one feature: the threshold with the largest fall of the squared error, the least of equals
+_STUMP_SQL = f"""
+WITH tr AS (SELECT hour(ts) AS h, value AS y FROM events WHERE {_SPLIT_SQL} = 'train'),
+     g AS (SELECT h, count(*) AS n, sum(y) AS s FROM tr GROUP BY h),
+     c AS (SELECT h, sum(n) OVER w AS nl, sum(s) OVER w AS sl FROM g WINDOW w AS (ORDER BY h)),
+     t AS (SELECT count(*) AS n, sum(y) AS s FROM tr),
+     b AS (SELECT h, sl / nl AS left_mean, (t.s - sl) / (t.n - nl) AS right_mean FROM c, t WHERE t.n > nl
+           ORDER BY sl * sl / nl + (t.s - sl) * (t.s - sl) / (t.n - nl) DESC, h LIMIT 1)
+SELECT e.event_id, e.value AS label, {rsql('CASE WHEN hour(e.ts) <= b.h THEN left_mean ELSE right_mean END')} AS prediction
+FROM events e, b WHERE {_SPLIT_SQL} = 'test'
+"""
+
+
+def _hour_split(spark, sf):
+    train, test = ml.train_test(_feature_frame(spark, sf), "event_id", 70)
+    hour = VectorAssembler(inputCols=["hour"], outputCol="features")
+    return hour.transform(train), hour.transform(test)
+
+
+@register("ml_tree_one_split", _STUMP_SQL)
+def q_ml_tree_one_split(spark, sf):
+    train, test = _hour_split(spark, sf)
+    out = ml.decision_tree(max_depth=1).fit(train).transform(test)
+    return out.select("event_id", "label", r6("prediction").alias("prediction"))
+
+
+@register("ml_forest_one_tree", _STUMP_SQL)
+def q_ml_forest_one_tree(spark, sf):
+    """A forest of one tree without bagging is the tree."""
+    train, test = _hour_split(spark, sf)
+    out = ml.random_forest(1, bootstrap=False, max_depth=1).fit(train).transform(test)
+    return out.select("event_id", "label", r6("prediction").alias("prediction"))
+
+
+@register("category_index", """
+SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS part, idx AS "partIndex"
+FROM lineitem JOIN (SELECT l_partkey, CAST(row_number() OVER (ORDER BY n DESC, CAST(l_partkey AS VARCHAR)) - 1 AS DOUBLE) AS idx
+                    FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey)) USING (l_partkey)
+""")
+def q_category_index(spark, sf):
+    """Categories indexed by frequency as a table, joined back; no label list on the driver."""
+    li = load_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return ml.index_categories(li, ml.category_index(li, "part"), "part").select("l_orderkey", "l_linenumber", "part", "partIndex")
+
+
 @register("ml_tree")
 def q_ml_tree(spark, sf):
     train, test = _fitted_split(spark, sf)
