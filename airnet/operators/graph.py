@@ -5,9 +5,9 @@ Vertices are keyed by station name (no driver-side id map).  One diffusion step
 and adds it:  ``p[k+1] = p[k] + alpha * A p[k]`` with ``A`` the symmetric adjacency
 counted with multiplicity (a parallel edge sends twice, a self-loop sends to itself
 twice).  The edge list is reduced once to ``(src, dst, weight)`` and persisted; each
-step joins it with the current state -- broadcast when a count proves it small, else with
-the weights hash-partitioned by ``(src, salt)`` (hubs salted) so only the state moves --
-and sums by destination (partial + final aggregate).
+step joins it with the current state, the weights hash-partitioned by ``(src, salt)`` (hubs salted) so
+that only the state moves, and sums by destination (partial + final aggregate).  All states
+lie in one store, partitioned by iteration.
 """
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airnet.session import ensure_checkpoint_dir, materialize
+from airnet.session import materialize, scratch_path
 
 
 def graph_vertices(edges: DataFrame, src: str = "src", dst: str = "dst", *, name: str = "name",
@@ -116,20 +116,15 @@ def partitioned_weights(weights: DataFrame, *, partitions: int, hot_degree: int,
 
 
 def diffuse_step(state: DataFrame, weights: DataFrame, alpha: float, *, name: str = "name",
-                 value: str = "value", hubs: DataFrame | None = None, salts: int = 1,
-                 broadcast_state: bool = False) -> DataFrame:
+                 value: str = "value", hubs: DataFrame | None = None, salts: int = 1) -> DataFrame:
     """One step ``p + alpha * A p``; vertices that receive nothing keep their value.
 
-    ``broadcast_state``: the caller has checked that the state is small; every edge
-    partition then joins it locally (no shuffle of the edges, hubs need no care).
-    Otherwise, with ``hubs`` (see :func:`partitioned_weights`) ``weights`` carries a
-    ``salt`` column and each hub's state is replicated over its salts.
+    With ``hubs`` (see :func:`partitioned_weights`) ``weights`` carries a ``salt`` column and each
+    hub's state is copied to its salts.  Whether the state is broadcast is Spark's choice by its size.
     """
     p = state.select(F.col(name).alias("src"), F.col(value).alias("__p"))
     keys = ["src"]
-    if broadcast_state:
-        p = F.broadcast(p)
-    elif hubs is not None:
+    if hubs is not None:
         keys.append("salt")
         fan = F.when(F.col("__hub"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
         p = p.join(hubs, "src", "left").withColumn("salt", F.explode(fan)).drop("__hub")
@@ -144,49 +139,40 @@ def diffuse_step(state: DataFrame, weights: DataFrame, alpha: float, *, name: st
 def diffuse(state: DataFrame, edges: DataFrame, alpha: float = 0.10, steps: int = 5, *,
             name: str = "name", value: str = "value", src: str = "src", dst: str = "dst",
             snapshots: bool = False, checkpoint_every: int = 2, partitions: int | None = None,
-            broadcast_rows: int = 2_000_000, hot_degree: int = 1 << 20, salts: int = 64) -> DataFrame:
+            hot_degree: int = 1 << 20, salts: int = 64) -> DataFrame:
     """Run ``steps`` diffusion steps.
 
     Returns the final state, or with ``snapshots`` every state ``0..steps`` tagged with
-    ``iter``.  The symmetric edge weights are computed once and persisted.  The initial
-    state is written once and counted: up to ``broadcast_rows`` vertices it is broadcast
-    at every step (a checked size), so the edges are never shuffled.  Beyond that the
-    weights are hash-partitioned by ``(src, salt)`` once, so each step shuffles only the
-    state, and a hub (more than ``hot_degree`` edges) is split over ``salts`` tasks.
-    States are cut from their lineage by writing them as parquet into the shared
-    checkpoint folder (``spark.checkpoint.dir``): every ``checkpoint_every`` steps and the
-    final one, and every state when snapshots are kept.  A lost executor recomputes at
-    most ``checkpoint_every`` steps; a state is computed once.
+    ``iter``.  The symmetric edge weights are computed once, hash-partitioned by ``(src, salt)`` and
+    persisted, so each step shuffles only the state, and a hub (more than ``hot_degree`` edges) is
+    split over ``salts`` tasks; the path is the same at every size.
+    States are cut from their lineage in one store below the shared
+    checkpoint folder (``spark.checkpoint.dir``), a folder per iteration: every ``checkpoint_every``
+    steps and the final one, and every state when snapshots are kept, which are then read as
+    one table partitioned by ``iter``.  A lost executor recomputes at most ``checkpoint_every`` steps.
     """
     if steps < 0:
         raise ValueError("steps must be >= 0")
     spark = state.sparkSession
-    ensure_checkpoint_dir(spark)
-    cur = materialize(state.select(name, value, *[c for c in state.columns if c not in (name, value)]),
-                      "diffusion-state")
-    small = cur.count() <= broadcast_rows
-    weights = symmetric_weights(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
-    base, hubs = weights, None
-    if not small:
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        weights, hubs = partitioned_weights(base, partitions=n, hot_degree=hot_degree, salts=salts)
-        weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
-        weights.count()  # fill the partitioned cache from the base cache, then drop the base
-        base.unpersist()
-    states = [cur.withColumn("iter", F.lit(0))]
+    store = scratch_path(spark, "diffusion")
+
+    def stored(frame: DataFrame, k: int) -> DataFrame:
+        frame.write.parquet(f"{store}/iter={k}")
+        return spark.read.parquet(f"{store}/iter={k}")
+
+    cur = stored(state.select(name, value, *[c for c in state.columns if c not in (name, value)]), 0)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = symmetric_weights(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
+    weights, hubs = partitioned_weights(base, partitions=n, hot_degree=hot_degree, salts=salts)
+    weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
+    weights.count()  # fill the partitioned cache from the base cache, then drop the base
+    base.unpersist()
     for k in range(1, steps + 1):
-        cur = diffuse_step(cur, weights, alpha, name=name, value=value, hubs=hubs, salts=salts,
-                           broadcast_state=small)
+        cur = diffuse_step(cur, weights, alpha, name=name, value=value, hubs=hubs, salts=salts)
         if snapshots or k == steps or (checkpoint_every and k % checkpoint_every == 0):
-            cur = materialize(cur, "diffusion-state")
-        states.append(cur.withColumn("iter", F.lit(k)))
+            cur = stored(cur, k)
     weights.unpersist()
-    if not snapshots:
-        return cur
-    out = states[0]
-    for s in states[1:]:
-        out = out.unionByName(s)
-    return out
+    return spark.read.parquet(store) if snapshots else cur
 
 
 def snapshot_bounds(snaps: DataFrame, *, value: str = "value", iter_col: str = "iter") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airnet.functions.columns import POLLUTION_LEVELS, ordinal_expr
 from airnet.functions.names import unique_names
-from airnet.operators._util import as_list
+from airnet.operators._util import as_list, quoted
 
 DATE_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 
@@ -19,11 +19,20 @@ def drop_nulls(df: DataFrame, subset=None) -> DataFrame:
     return df.na.drop(how="any", subset=as_list(subset) or None)
 
 
-def drop_dups(df: DataFrame, keys=None) -> DataFrame:
-    """Drop duplicate rows (or rows repeating ``keys``).  Hash aggregate with map-side
+def drop_dups(df: DataFrame, keys=None, order=None) -> DataFrame:
+    """Drop duplicate rows, or of the rows that share ``keys`` all but the first by ``order`` (default: by all
+    other columns), so the kept row never depends on partitions.  Hash aggregate with map-side
     combine, so a key repeated on a third of the rows is collapsed before the shuffle."""
     ks = as_list(keys)
-    return df.dropDuplicates(ks) if ks else df.dropDuplicates()
+    rest = [c for c in df.columns if c not in ks]
+    if not ks or not rest:
+        return df.dropDuplicates(ks) if ks else df.dropDuplicates()
+
+    def packed(names):
+        return F.struct(*[quoted(c) for c in names])
+    first = F.min_by(packed(rest), packed([*as_list(order), *[c for c in rest if c not in as_list(order)]]))
+    out = df.groupBy(*[quoted(c) for c in ks]).agg(first.alias("__first"))
+    return out.select(*[quoted(c) if c in ks else F.col("__first").getField(c).alias(c) for c in df.columns])
 
 
 def keep_matching(df: DataFrame, col: str, regex: str = DATE_PREFIX) -> DataFrame:
@@ -72,9 +81,6 @@ def wide_to_long(df: DataFrame, ids, var_name: str = "station", value_name: str
     ids = as_list(ids)
     vals = as_list(values) or [c for c in df.columns if c not in ids]
 
-    def quoted(name: str) -> Column:
-        return F.col("`" + name.replace("`", "``") + "`")
-
     typed = df.select(*[quoted(c) for c in ids], *[quoted(c).try_cast(value_type).alias(c) for c in vals])
     out = typed.unpivot([quoted(c) for c in ids], [quoted(c) for c in vals], var_name, value_name)
     return out.where(F.col(value_name).isNotNull()) if drop_null else out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from airnet.functions.columns import hex_gradient, line_color, minmax_clamped
 from airnet.operators.graph import with_bounds
+from airnet.operators.sequence import position_in_key
 
 # ---- fixed values: DOT layout of the rendered graph ----------------------------------------
 DOT_NODE_FMT = '  %s [label="%s", fillcolor="%s"];'
@@ -76,6 +77,43 @@ def dot_document(node_lines: DataFrame, edge_lines: DataFrame, title: str, *,
     return hdr.unionByName(nodes).unionByName(edges)
 
 
+def dot_documents(node_lines: DataFrame, edge_lines: DataFrame, iterations: list[int], title: str = "iteration %s", *,
+                  iter_col: str = "iter", node_text: str = "line", edge_text: str = "line_text",
+                  node_key: str = "vertex_id", edge_key=("src", "dst", "line")) -> DataFrame:
+    """The DOT documents of several iterations as rows ``(iter, line_no, value)``, ``line_no`` from 0: header,
+    nodes by id, edges by their two ids and label, footer.
+
+    The line numbers are a distributed prefix sum, so no document passes through one task.
+    ``title`` takes the iteration.
+    """
+    spark = node_lines.sparkSession
+    its = spark.createDataFrame([(int(i),) for i in iterations], f"{iter_col} int")
+    text = [F.format_string(h, F.format_string(title, F.col(iter_col))) if "%s" in h else F.lit(h) for h in DOT_HEADER]
+    fixed = F.explode(F.array(*[F.struct(F.lit(0 if i < len(text) else 3).alias("section"), F.lit(i).cast("long").alias("k1"), t.alias("value"))
+                                for i, t in enumerate([*text, F.lit(DOT_FOOTER)])]))
+    blank = [F.lit(0).cast("long").alias("k2"), F.lit("").alias("k3")]
+    frame = its.select(iter_col, fixed.alias("f")).select(iter_col, "f.section", "f.k1", *blank, "f.value")
+    nodes = (node_lines.where(F.col(iter_col).isin(list(iterations)))
+             .select(F.col(iter_col).cast("int").alias(iter_col), F.lit(1).alias("section"), F.col(node_key).cast("long").alias("k1"), *blank,
+                     F.col(node_text).alias("value")))
+    a, b, c = edge_key
+    every = F.explode(F.array(*[F.lit(int(i)) for i in iterations])) if iterations else F.explode(F.array().cast("array<int>"))
+    edges = edge_lines.select(every.alias(iter_col), F.lit(2).alias("section"), F.col(a).cast("long").alias("k1"),
+                              F.col(b).cast("long").alias("k2"), F.col(c).cast("string").alias("k3"), F.col(edge_text).alias("value"))
+    lines = frame.unionByName(nodes).unionByName(edges)
+    placed, _ = position_in_key(lines, [iter_col], ["section", "k1", "k2", "k3"])
+    return placed.select(iter_col, F.col("__idx").alias("line_no"), "value")
+
+
+def write_dots(docs: DataFrame, path: str, *, iter_col: str = "iter", partitions: int | None = None) -> None:
+    """Write the documents of :func:`dot_documents`, one folder ``iter=<k>`` each; its part files, in name order,
+    are the document (global range sort, no single task)."""
+    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (docs.repartitionByRange(n, iter_col, "line_no").sortWithinPartitions(iter_col, "line_no").select(iter_col, "value")
+         .write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+         .partitionBy(iter_col).text(path))  # nothing but the documents' folders
+
+
 def write_dot(doc: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write a DOT document as ordered text part files (global range sort, no single task)."""
     keys = ["section", "k1", "k2", "k3"]

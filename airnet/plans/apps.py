@@ -14,7 +14,7 @@ from airnet.sources.csv import STATION_LEVEL_COL, ingest
 STATION, LINE, LON, LAT = "Nom de la Station", "Nom de la ligne", "stop_lon", "stop_lat"
 
 
-def station_report(spark: SparkSession, paths: dict[str, str], *, reference: str = "Cergy Préfecture",
+def station_report(spark: SparkSession, paths: dict[str, str], *, reference: str,
                    lon_min: float = 2.5, peak_threshold: float = 2.5, outlier_threshold: float = 1.75,
                    rows: int = 24, sided: str = "up", k: int = 20) -> dict[str, DataFrame]:
     """Ingest the station table and the wide sensor files, then every analysis of the
@@ -97,10 +97,9 @@ def graph_diffusion(lines: DataFrame, stations: DataFrame, out_dir: str | None =
     if out_dir:
         # iterations without any positive value get no file (bounded: steps + 1 rows)
         its = [r["iter"] for r in bounds.where(F.col("max_pos").isNotNull()).select("iter").collect()]
-        for it in sorted(its):
-            nodes = style.dot_node_lines(colored.where(F.col("iter") == it), id_col="vertex_id", label="name")
-            doc = style.dot_document(nodes, edge_lines, f"Pollution diffusion - iteration {it}")
-            style.write_dot(doc, f"{out_dir.rstrip('/')}/iter={it}")
+        nodes = style.dot_node_lines(colored, id_col="vertex_id", label="name")
+        out["documents"] = style.dot_documents(nodes, edge_lines, sorted(its), "Pollution diffusion - iteration %s")
+        style.write_dots(out["documents"], out_dir)
     return out
 
 

@@ -159,6 +159,16 @@ def q_dedup_keys(spark, sf):
     return li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("copies"))
 
 
+@register("dedup_keys_first", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_extendedprice, l_partkey) = 1
+""")
+def q_dedup_keys_first(spark, sf):
+    """Of the rows that share a key the one of the least price stays."""
+    li = load_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return reshape.drop_dups(li, ["l_orderkey", "l_linenumber"], order=["l_extendedprice"])
+
+
 @register("profile_nulls", f"""
 SELECT 'event_id' AS "column", avg(CASE WHEN event_id IS NULL THEN 1.0 ELSE 0.0 END) AS null_fraction, count(*) AS rows FROM {_EV_NULLS_SQL}
 UNION ALL SELECT 'ts', avg(CASE WHEN ts IS NULL THEN 1.0 ELSE 0.0 END), count(*) FROM {_EV_NULLS_SQL}
@@ -204,6 +214,25 @@ def q_profile_concat_columns(spark, sf):
         _documents_profiled(spark, sf).select("lang", "source", "lang_source"))
 
 
+_WIDE = 48
+
+
+@register("profile_wide_table", f"""
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem)
+SELECT 'equal' AS kind, 'm' || i || ', m' || j AS columns FROM range({_WIDE}) a(i), range({_WIDE}) b(j) WHERE i < j AND i % 40 = j % 40
+UNION ALL SELECT 'concat', 'key = l_orderkey, l_linenumber' FROM t HAVING bool_and(l_orderkey || '-' || l_linenumber = concat_ws('-', l_orderkey, l_linenumber))
+""")
+def q_profile_wide_table(spark, sf):
+    """A table of 51 number columns, some of them equal, one a key made of two others with a separator."""
+    li = load_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"),
+        *[((F.col("l_partkey") * (i % 40 + 2) + F.col("l_linenumber") * (i % 40)) % 997).alias(f"m{i}") for i in range(_WIDE)])
+    equal = profile.profile_equal_columns(li).where("equal").select(F.lit("equal").alias("kind"), F.concat_ws(", ", "column_a", "column_b").alias("columns"))
+    made = profile.profile_concat_columns(li, sep="-", numbers=True, only_true=True).select(
+        F.lit("concat").alias("kind"), F.concat("column", F.lit(" = "), F.concat_ws(", ", "part_a", "part_b")).alias("columns"))
+    return equal.unionByName(made)
+
+
 # --------------------------------------------------------------------------- parsing (C7, C9, C10)
 def _ts_text(spark, sf):
     """A text column mixing ``yyyy-MM-dd HH:mm:ssZ`` stamps with non-date text (props)."""
@@ -495,8 +524,10 @@ _EDGES_SQL = """(SELECT src, dst, line FROM (
     SELECT lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS src,
            l_partkey AS dst, l_orderkey AS line FROM lineitem) WHERE src IS NOT NULL)"""
 _VERTS_SQL = "(SELECT DISTINCT l_partkey AS name FROM lineitem WHERE l_partkey IS NOT NULL)"
-_SCORES_SQL = """(SELECT p_partkey AS station, CAST(avg(p_size) AS DOUBLE) AS score FROM part
-    WHERE p_size > 10 GROUP BY p_partkey)"""
+# Levels of the graph's stations: brands 1 to 20; any other brand has no score.
+STATION_LEVELS = {f"Brand#{i}": i for i in range(1, 21)}
+_SCORES_SQL = """(SELECT p_partkey AS station, CAST(avg(level) AS DOUBLE) AS score
+    FROM (SELECT p_partkey, CAST(substr(p_brand, 7) AS INTEGER) AS level FROM part) WHERE level <= 20 GROUP BY p_partkey)"""
 _SEED_SQL = f"""(SELECT v.name, coalesce(s.score, 0.0) AS value, s.score IS NOT NULL AS observed
     FROM {_VERTS_SQL} v LEFT JOIN {_SCORES_SQL} s ON v.name = s.station)"""
 
@@ -517,8 +548,8 @@ def q_dense_ids(spark, sf):
 
 
 def _scores(spark, sf):
-    p = load_table(spark, sf, "part").where(F.col("p_size") > 10)
-    return aggregates.key_scores(p, "p_partkey", "p_size", out_key="station")
+    p = reshape.ordinal_encode(load_table(spark, sf, "part"), "p_brand", STATION_LEVELS, "level")
+    return aggregates.key_scores(p, "p_partkey", "level", out_key="station")
 
 
 def _seeded(spark, sf):
@@ -624,17 +655,19 @@ def q_edge_colors(spark, sf):
 _IDS_SQL = f"(SELECT CAST(dense_rank() OVER (ORDER BY name) - 1 AS BIGINT) AS vertex_id, name FROM {_VERTS_SQL})"
 
 
-@register("dot_node_lines", _diffusion_ctes() + f"""
-SELECT i.vertex_id, '  ' || CAST(i.vertex_id AS VARCHAR) || ' [label="' || replace(CAST(c.name AS VARCHAR), '"', '''')
-       || '", fillcolor="' || c.color || '"];' AS line
-FROM (SELECT name, {_COLOR_SQL} AS color FROM {_SCALED_SQL} WHERE iter = {STEPS}) c
-JOIN {_IDS_SQL} i ON i.name = c.name
-""")
+_NODE_LINES_SQL = f"""(SELECT c.iter, i.vertex_id, '  ' || CAST(i.vertex_id AS VARCHAR) || ' [label="'
+        || replace(CAST(c.name AS VARCHAR), '"', '\'\'') || '", fillcolor="' || c.color || '"];' AS line
+    FROM (SELECT name, iter, {_COLOR_SQL} AS color FROM {_SCALED_SQL}) c JOIN {_IDS_SQL} i ON i.name = c.name)"""
+
+
+def _node_lines(spark, sf):
+    nodes = style.node_colors(_snapshots(spark, sf)).join(graph.dense_ids(graph.stops_vertices(_stops(spark, sf), "l_partkey")), "name")
+    return style.dot_node_lines(nodes, id_col="vertex_id", label="name")
+
+
+@register("dot_node_lines", _diffusion_ctes() + f"\nSELECT CAST(iter AS INTEGER) AS iter, vertex_id, line FROM {_NODE_LINES_SQL}")
 def q_dot_node_lines(spark, sf):
-    snaps = style.node_colors(_snapshots(spark, sf)).where(F.col("iter") == STEPS)
-    ids = graph.dense_ids(graph.stops_vertices(_stops(spark, sf), "l_partkey"))
-    nodes = snaps.join(ids, "name")
-    return style.dot_node_lines(nodes, id_col="vertex_id", label="name").select("vertex_id", "line")
+    return _node_lines(spark, sf).select(F.col("iter").cast("int").alias("iter"), "vertex_id", "line")
 
 
 @register("dot_edge_lines", f"""
@@ -643,11 +676,39 @@ SELECT '  ' || CAST(a.vertex_id AS VARCHAR) || ' -- ' || CAST(b.vertex_id AS VAR
 FROM {_EDGES_SQL} e JOIN {_IDS_SQL} a ON a.name = e.src JOIN {_IDS_SQL} b ON b.name = e.dst
 """)
 def q_dot_edge_lines(spark, sf):
+    return _edge_lines(spark, sf).select("line_text")
+
+
+def _edge_lines(spark, sf):
     ids = graph.dense_ids(graph.stops_vertices(_stops(spark, sf), "l_partkey"))
     e = style.edge_colors(_edges(spark, sf))
     e = (e.join(ids.select(F.col("name").alias("src"), F.col("vertex_id").alias("src_id")), "src")
           .join(ids.select(F.col("name").alias("dst"), F.col("vertex_id").alias("dst_id")), "dst"))
-    return style.dot_edge_lines(e, src="src_id", dst="dst_id").select("line_text")
+    return style.dot_edge_lines(e, src="src_id", dst="dst_id").select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"), "line", "line_text")
+
+
+_DOT_TITLE = "Diffusion - iteration %s"
+_DOT_FRAME_SQL = " UNION ALL ".join(
+    f"SELECT {0 if i < len(style.DOT_HEADER) else 3} AS section, {i} AS k1, "
+    + ("replace('" + h.replace("'", "''") + "', '%s', replace('" + _DOT_TITLE + "', '%s', CAST(iter AS VARCHAR)))") + " AS value, iter FROM its"
+    for i, h in enumerate([*style.DOT_HEADER, style.DOT_FOOTER]))
+
+
+@register("dot_document", _diffusion_ctes() + f""",
+its AS (SELECT unnest(range({STEPS + 1})) AS iter),
+e AS (SELECT a.vertex_id AS k1, b.vertex_id AS k2, CAST(e.line AS VARCHAR) AS k3,
+             '  ' || CAST(a.vertex_id AS VARCHAR) || ' -- ' || CAST(b.vertex_id AS VARCHAR) || ' [color="'
+             || {_LINE_COLOR_SQL} || '", label="' || CAST(e.line AS VARCHAR) || '"];' AS value
+      FROM {_EDGES_SQL} e JOIN {_IDS_SQL} a ON a.name = e.src JOIN {_IDS_SQL} b ON b.name = e.dst),
+doc AS (SELECT iter, section, k1, 0 AS k2, '' AS k3, value FROM ({_DOT_FRAME_SQL})
+        UNION ALL SELECT iter, 1, vertex_id, 0, '', line FROM {_NODE_LINES_SQL}
+        UNION ALL SELECT its.iter, 2, k1, k2, k3, value FROM e, its)
+SELECT CAST(iter AS INTEGER) AS iter, row_number() OVER (PARTITION BY iter ORDER BY section, k1, k2, k3) - 1 AS line_no, value FROM doc
+""")
+def q_dot_document(spark, sf):
+    """One ordered document per iteration."""
+    docs = style.dot_documents(_node_lines(spark, sf), _edge_lines(spark, sf), list(range(STEPS + 1)), _DOT_TITLE)
+    return docs.select(F.col("iter").cast("int").alias("iter"), F.col("line_no").cast("long").alias("line_no"), "value")
 
 
 # --------------------------------------------------------------------------- streaming (S7, S8, ST1-ST8)

@@ -12,10 +12,11 @@ from __future__ import annotations
 import csv
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airnet.functions import names as _names
+from airnet.operators._util import quoted
 from airnet.operators.reshape import DATE_PREFIX, parse_utc
 from airnet.session import materialize
 
@@ -23,10 +24,6 @@ BROADCAST_BYTES = 8 << 20   # header text that is broadcast; more is joined by f
 MAX_COLUMNS = 20_000        # of a wide result; a long result has no such bound
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _lines(spark: SparkSession, path) -> DataFrame:
     """Lines that are not blank: ``file, block, value, at`` (``at`` counts up by one inside a split)."""
     text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"),
@@ -84,8 +81,8 @@ def wide_csv_to_long(spark: SparkSession, path, measure: str = "pm", *, row_inde
     long = rows.select(F.col("cells")[0].alias(time_col), F.explode(pairs).alias("pair"))
     long = parse_utc(long, time_col, fmt)
     value = F.col("pair.cell").try_cast(value_type)
-    return (long.select(_quoted(time_col), F.col("pair.name").alias(var_name), value.alias(measure))
-            .where(_quoted(var_name).isNotNull() & _quoted(measure).isNotNull()))
+    return (long.select(quoted(time_col), F.col("pair.name").alias(var_name), value.alias(measure))
+            .where(quoted(var_name).isNotNull() & quoted(measure).isNotNull()))
 
 
 def read_wide_csv(spark: SparkSession, path, *, row_index: int = 2, sep: str = ",", first: str = "datetime",

@@ -33,7 +33,7 @@ def test_station_report_and_models(spark, tmp_dir):
         paths[name] = os.path.join(tmp_dir, f"{name}.csv")
         with open(paths[name], "w", encoding="utf-8") as f:
             f.write(text)
-    rep = apps.station_report(spark, paths)
+    rep = apps.station_report(spark, paths, reference="Cergy Préfecture")
     assert rep["stations"].count() == 8  # duplicate row dropped
     assert rep["measures"].count() == 180 - 6
     peaks = rep["pm10_peaks"].collect()

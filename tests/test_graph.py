@@ -153,9 +153,9 @@ def test_salted_hub_diffusion_matches_matrix(spark):
     p0 = {n: float(i % 5) for i, n in enumerate(names)}
     state = spark.createDataFrame(list(p0.items()), "name string, value double")
     exp = _matrix_diffusion(names, pairs, p0, 0.05, 3)
-    for kw in ({"broadcast_rows": 0, "hot_degree": 5, "salts": 4},   # partitioned, hub salted
-               {"broadcast_rows": 0},                                # partitioned, no hub
-               {}):                                                  # broadcast state
+    for kw in ({"hot_degree": 5, "salts": 4},   # hub salted
+               {"checkpoint_every": 0},          # states written at the end only
+               {}):
         got = {r["name"]: r["value"] for r in graph.diffuse(state, edges, 0.05, 3, **kw).collect()}
         for k in exp:
             assert got[k] == pytest.approx(exp[k], rel=1e-12)
@@ -164,3 +164,32 @@ def test_salted_hub_diffusion_matches_matrix(spark):
     assert w.where(F.col("src") == "H").select("salt").distinct().count() > 1
     w2, none = graph.partitioned_weights(graph.symmetric_weights(edges), partitions=8, hot_degree=1000, salts=4)
     assert none is None and "salt" not in w2.columns
+
+
+def test_dot_documents_have_a_line_order(spark, net, tmp_dir):
+    stops, edges = net
+    ids = graph.dense_ids(graph.stops_vertices(stops, "station"))
+    seeded = graph.seed_vertices(graph.stops_vertices(stops, "station"), spark.createDataFrame([("A", 1.0)], "station string, score double"))
+    snaps = graph.diffuse(seeded.select("name", "value"), edges, 0.1, 2, snapshots=True)
+    nodes = style.dot_node_lines(style.node_colors(snaps).join(ids, "name"), id_col="vertex_id", label="name")
+    e = style.edge_colors(edges)
+    e = (e.join(ids.select(F.col("name").alias("src"), F.col("vertex_id").alias("s")), "src")
+          .join(ids.select(F.col("name").alias("dst"), F.col("vertex_id").alias("d")), "dst"))
+    el = style.dot_edge_lines(e, src="s", dst="d").select(F.col("s").alias("src"), F.col("d").alias("dst"), "line", "line_text")
+    docs = style.dot_documents(nodes, el, [0, 2], "step %s")
+    n = 5 + ids.count() + edges.count()
+    got = {}
+    for r in docs.collect():
+        got.setdefault(r["iter"], {})[r["line_no"]] = r["value"]
+    assert set(got) == {0, 2}
+    for it, doc in got.items():
+        assert sorted(doc) == list(range(n)) and doc[0] == "graph metro {" and doc[n - 1] == "}" and f'"step {it}"' in doc[1]
+        assert [int(doc[i].split()[0]) for i in range(4, 4 + ids.count())] == list(range(ids.count()))
+        pairs = [tuple(map(int, doc[i].split(" [")[0].split(" -- "))) for i in range(4 + ids.count(), n - 1)]
+        assert pairs == sorted(pairs)
+    style.write_dots(docs, os.path.join(tmp_dir, "dots"), partitions=3)
+    for it, doc in got.items():
+        folder = os.path.join(tmp_dir, "dots", f"iter={it}")
+        text = "".join(open(os.path.join(folder, p)).read() for p in sorted(os.listdir(folder)) if p.startswith("part-"))
+        assert text.splitlines() == [doc[i] for i in range(n)]
+    assert style.dot_documents(nodes, el, []).count() == 0
