@@ -10,13 +10,13 @@ result is identical to
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airnet.functions.columns import wall_clock_micros, zscore
-from airnet.operators._util import as_list, col_type
+from airnet.operators._util import as_list, col_type, quoted
 from airnet.operators.joins import hot_group_join
-from airnet.operators.sequence import frame_apply
+from airnet.operators.sequence import frame_apply, key_copies, null_safe_join
 
 
 def rolling_stats(df: DataFrame, key, order, value: str, rows: int = 24, *,
@@ -43,37 +43,96 @@ def rolling_stats(df: DataFrame, key, order, value: str, rows: int = 24, *,
     return frame_apply(df, keys, order, rows, stats, split=skew_safe, block_rows=block_rows, hot_rows=hot_rows)
 
 
+def _merged(parts: list[tuple[Column, Column, Column]]) -> tuple[Column, Column, Column]:
+    """(count, mean, sum of squared deviations) of the union of parts given as such; an empty part has count 0."""
+    parts = [(F.coalesce(n, F.lit(0)), F.coalesce(m, F.lit(0.0)), F.coalesce(q, F.lit(0.0))) for n, m, q in parts]
+    n = sum((p[0] for p in parts[1:]), parts[0][0])
+    mean = F.try_divide(sum((p[0] * p[1] for p in parts[1:]), parts[0][0] * parts[0][1]), n)
+    spread = [p[2] + p[0] * (p[1] - mean) * (p[1] - mean) for p in parts]
+    return n, mean, sum(spread[1:], spread[0])
+
+
+def _full_buckets(rows: DataFrame, sk: list[str], value: str, parts: int) -> DataFrame:
+    """Per key and bucket ``__b``: count, mean and squared deviations of the ``parts - 1`` buckets before it."""
+    v = F.col(value)
+    sums = (rows.groupBy(*sk, "__b").agg(F.count(v).alias("__n"), F.avg(v).alias("__m"), F.var_pop(v).alias("__q"))
+                .withColumn("__q", F.col("__q") * F.col("__n")))
+    coarse = F.floor(F.col("__b") / F.lit(4 * parts))
+    halo = F.pmod(F.col("__b"), F.lit(4 * parts)) > F.lit(3 * parts)
+    dealt = (sums.withColumn("__copy", F.explode(F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+                 .withColumn("__c", coarse + F.col("__copy")))
+    stretch = Window.partitionBy(*sk, "__c")
+    before = stretch.orderBy("__b").rangeBetween(-(parts - 1), -1)
+    off = F.col("__m") - F.col("__ref")    # from a value in the middle, so that the sums stay small
+    out = (dealt.withColumn("__ref", F.avg("__m").over(stretch))
+                .withColumn("__fn", F.sum("__n").over(before)).withColumn("__fs", F.sum(F.col("__n") * off).over(before))
+                .withColumn("__fq", F.sum(F.col("__q") + F.col("__n") * off * off).over(before)))
+    mean = F.try_divide(F.col("__fs"), F.col("__fn"))
+    return out.where("__copy = 0").select(*sk, "__b", "__fn", (F.col("__ref") + mean).alias("__fm"),
+                                          F.greatest(F.col("__fq") - F.col("__fs") * mean, F.lit(0.0)).alias("__fq"))
+
+
 def rolling_stats_range(df: DataFrame, key, ts: str, value: str, seconds: int = 24 * 3600, *,
-                        bucket_seconds: int | None = None, mean_col: str | None = None,
+                        parts: int = 32, bucket_rows: int = 1 << 20, mean_col: str | None = None,
                         std_col: str | None = None, count_col: str | None = None) -> DataFrame:
     """Trailing mean, population sd and row count of ``value`` over the rows of the same
     key whose time lies in ``[t - seconds, t]`` (a time frame, unlike the row frame of
     :func:`rolling_stats`; rows at equal times are peers and all included).
 
-    Always skew-safe with a single shuffle: rows go to time buckets of ``bucket_seconds``
-    (>= ``seconds``, default 4x) and every row within ``seconds`` of the next bucket is
-    copied there as a halo, so each ``(key, bucket)`` window sees exactly the rows its frame
-    needs.  Extra rows: about ``seconds / bucket_seconds`` of the input.
+    Time is cut into buckets of ``seconds / parts``.  The buckets that lie wholly in a frame enter as
+    partial sums, from a window over the bucket table; rows meet rows only in the bucket of ``t`` and in that of
+    ``t - seconds``, as running sums from one end.  So no task holds more than one key's rows of two buckets,
+    and the work grows with the rows, not with the rows per frame.  Where a bucket has more than
+    ``bucket_rows`` rows the buckets are cut eight times finer, as long as that parts it (rows at one time are
+    never parted).  ``parts`` must divide ``seconds`` in microseconds.  Rows with a NULL time have the NULL
+    times of their key as their frame.
     """
     keys = as_list(key)
     mean_col = mean_col or f"{value}_mean"
     std_col = std_col or f"{value}_std"
     count_col = count_col or f"{value}_count"
     width = int(seconds) * 1_000_000
-    bucket = int(bucket_seconds or 4 * seconds) * 1_000_000
-    if bucket < width:
-        raise ValueError("bucket_seconds must be >= seconds")
-    t = F.col("__t")
-    d = df.withColumn("__t", wall_clock_micros(ts) if col_type(df, ts) == "timestamp_ntz"
-                      else F.unix_micros(F.col(ts)))
-    b = F.floor(t / F.lit(bucket))
-    halo = t >= (b + F.lit(1)) * F.lit(bucket) - F.lit(width)
-    d = (d.withColumn("__shift", F.explode(F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-          .withColumn("__b", b + F.col("__shift")))
-    w = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(-width, 0)
-    out = (d.withColumn(mean_col, F.avg(value).over(w)).withColumn(std_col, F.stddev_pop(value).over(w))
-            .withColumn(count_col, F.count(value).over(w)))
-    return out.where(F.col("__shift") == 0).drop("__t", "__shift", "__b")
+    if parts < 2 or width % parts:
+        raise ValueError("parts must be at least 2 and divide the frame in microseconds")
+    base, sk = key_copies(df, keys)
+    base = base.withColumn("__t", wall_clock_micros(ts) if col_type(df, ts) == "timestamp_ntz" else F.unix_micros(F.col(ts)))
+
+    def bucket(n: int) -> Column:
+        return F.floor(F.col("__t") / F.lit(width // n))
+
+    def fullest(n: int) -> int:
+        counts = base.where("__t is not null").groupBy(*sk, bucket(n).alias("__b")).agg(F.count(F.lit(1)).alias("n"))
+        return counts.agg(F.max("n")).first()[0] or 0
+
+    most = fullest(parts)
+    while most > bucket_rows and width % (8 * parts) == 0:
+        finer = fullest(8 * parts)
+        if finer == most:
+            break
+        parts, most = 8 * parts, finer
+
+    timed = base.where("__t is not null").withColumn("__b", bucket(parts))
+    v = F.col(value)
+    own = timed.withColumn("__edge", F.lit(False))
+    # each row also stands one frame later, where it is at the far edge of the rows there
+    late = timed.select(*sk, (F.col("__t") + F.lit(width)).alias("__t"), (F.col("__b") + F.lit(parts)).alias("__b"), v.alias(value),
+                        F.lit(True).alias("__edge"))
+    both = own.unionByName(late, allowMissingColumns=True)
+    here = Window.partitionBy(*sk, "__b")
+    until, since = here.orderBy("__t"), here.orderBy(F.col("__t").desc())
+    until, since = (w.rangeBetween(Window.unboundedPreceding, Window.currentRow) for w in (until, since))
+    near, far = F.when(~F.col("__edge"), v), F.when(F.col("__edge"), v)
+    for name, x, w in (("a", near, until), ("z", far, since)):
+        both = (both.withColumn(f"__{name}n", F.count(x).over(w)).withColumn(f"__{name}m", F.avg(x).over(w))
+                    .withColumn(f"__{name}q", F.var_pop(x).over(w) * F.col(f"__{name}n")))
+    joined = null_safe_join(both.where("not __edge"), _full_buckets(timed, sk, value, parts), [*sk, "__b"], "left")
+    n, mean, spread = _merged([(F.col(f"__{p}n"), F.col(f"__{p}m"), F.col(f"__{p}q")) for p in "afz"])
+
+    out = joined.select(*[quoted(c) for c in df.columns], mean.alias(mean_col),
+                        F.sqrt(F.try_divide(spread, n)).alias(std_col), n.cast("long").alias(count_col))
+    none = base.where("__t is null")
+    sums = none.groupBy(*sk).agg(F.avg(v).alias(mean_col), F.stddev_pop(v).alias(std_col), F.count(v).alias(count_col))
+    return out.unionByName(null_safe_join(none, sums, sk, "inner").select(*out.columns))
 
 
 def rolling_zscore(df: DataFrame, key, order, value: str, rows: int = 24, *,

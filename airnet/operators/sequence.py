@@ -26,14 +26,14 @@ _PLACE_BITS = 33   # of monotonically_increasing_id: the place in the partition
 OFFSET_ROWS = 1_000_000   # of the offsets table that is broadcast
 
 
-def _key_copies(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+def key_copies(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     """Copies of the keys under names of our own; joins on them are null-safe, so a key of any
     type and a NULL key are ordinary groups."""
     names = [f"__kv{i}" for i in range(len(keys))]
     return df.withColumns({n: F.col(k) for n, k in zip(names, keys)}), names
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str) -> DataFrame:
     right = right.withColumnsRenamed({c: f"__r{c}" for c in cols})
     on = [F.col(c).eqNullSafe(F.col(f"__r{c}")) for c in cols]
     return left.join(right, on, how).drop(*[f"__r{c}" for c in cols])
@@ -55,7 +55,7 @@ def position_in_key(df: DataFrame, keys, order, *, copy_keys: bool = True,
     """Add ``__idx``: exact 0-based position of the row inside its key along ``order`` (NULLs first).
     Returns the frame and the key columns to partition by."""
     keys, order = as_list(keys), as_list(order)
-    base, sk = _key_copies(df, keys) if copy_keys else (df, keys)
+    base, sk = key_copies(df, keys) if copy_keys else (df, keys)
     placed = sorted_places(base, sk, order, partitions)
     sizes = placed.groupBy(*sk, "__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__start"))
     before = Window.partitionBy(*sk).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -63,7 +63,7 @@ def position_in_key(df: DataFrame, keys, order, *, copy_keys: bool = True,
                                                       - F.col("__start")).alias("__off")), "offsets")
     if offsets.count() <= OFFSET_ROWS:
         offsets = F.broadcast(offsets)
-    out = _null_safe_join(placed, offsets, [*sk, "__pid"], "inner")
+    out = null_safe_join(placed, offsets, [*sk, "__pid"], "inner")
     return out.withColumn("__idx", F.col("__off") + F.col("__pos")), sk
 
 
@@ -114,11 +114,11 @@ def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, split: bool = True
     if block_rows < rows:
         raise ValueError("block_rows must be >= rows")
     hot_rows = hot_rows or block_rows
-    base, sk = _key_copies(df, keys)
+    base, sk = key_copies(df, keys)
     hot = hot_keys(base, sk, hot_rows, max_hot_keys)
     if hot is None:
         return finish(fn(df.withColumn("__shift", F.lit(0)), plain))
-    flagged = _null_safe_join(base, hot.withColumn("__hot", F.lit(True)), sk, "left")
+    flagged = null_safe_join(base, hot.withColumn("__hot", F.lit(True)), sk, "left")
     cold = flagged.where(F.col("__hot").isNull()).withColumn("__shift", F.lit(0))
     cold_out = finish(fn(cold, Window.partitionBy(*sk).orderBy(*order)))
     hot_frame, w = _blocked_hot(flagged.where(F.col("__hot")), sk, order, rows, block_rows)

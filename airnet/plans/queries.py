@@ -1164,6 +1164,19 @@ def q_rolling_stats_range(spark, sf):
                       r6("value_std").alias("value_std"), "value_count")
 
 
+@register("rolling_stats_range_dense", f"""
+SELECT event_id, {rsql('avg(value) OVER w')} AS value_mean, {rsql('stddev_pop(value) OVER w')} AS value_std, count(value) OVER w AS value_count
+FROM (SELECT event_id, event_type, value, TIMESTAMP '2024-01-10 00:00:00' + INTERVAL 1 SECOND * (event_id * 17 % 172800) AS t FROM events)
+WINDOW w AS (PARTITION BY event_type ORDER BY t RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW)
+""")
+def q_rolling_stats_range_dense(spark, sf):
+    """All rows of few keys within two days: a frame holds thousands of rows."""
+    at = F.expr("timestampadd(SECOND, cast(event_id * 17 % 172800 as int), timestamp_ntz'2024-01-10 00:00:00')")
+    ev = _events(spark, sf).select("event_id", "event_type", "value", at.alias("t"))
+    out = anomalies.rolling_stats_range(ev, "event_type", "t", "value", 24 * 3600, bucket_rows=HOT_BLOCK_ROWS)
+    return out.select("event_id", r6("value_mean").alias("value_mean"), r6("value_std").alias("value_std"), "value_count")
+
+
 _STATION_STREAM_SQL = f"""
 WITH keys AS (SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS idx
               FROM (SELECT DISTINCT c_name FROM customer WHERE c_name IS NOT NULL) ORDER BY c_name LIMIT 20),

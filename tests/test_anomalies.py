@@ -94,7 +94,7 @@ def test_profiles(spark):
 
 def test_range_frame_equals_plain_range_window(spark):
     df = _series(spark, n_hot=2000)
-    out = anomalies.rolling_stats_range(df, "k", "ts", "v", 3 * 3600, bucket_seconds=3 * 3600)
+    out = anomalies.rolling_stats_range(df, "k", "ts", "v", 3 * 3600)
     t = F.unix_micros(F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp"))
     w = Window.partitionBy("k").orderBy("__t").rangeBetween(-3 * 3600 * 1_000_000, 0)
     plain = (df.withColumn("__t", t).withColumn("m", F.avg("v").over(w)).withColumn("s", F.stddev_pop("v").over(w))

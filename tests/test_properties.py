@@ -43,7 +43,7 @@ def test_hot_key_blocks_are_bounded(spark):
     # one key holds 3/4 of all rows; with block_rows=50 no window partition may exceed 50 + 23
     rows = [(i, "hot" if i % 4 else f"k{i % 13}", i) for i in range(4000)]
     df = spark.createDataFrame(rows, "id long, k string, t long")
-    base, sk = sequence._key_copies(df, ["k"])
+    base, sk = sequence.key_copies(df, ["k"])
     hot_frame, _ = sequence._blocked_hot(base.where(F.col("k") == "hot"), sk, ["t", "id"], 24, 50)
     sizes = [r["n"] for r in hot_frame.groupBy(*sk, "__blk").agg(F.count(F.lit(1)).alias("n")).collect()]
     # 60 real blocks plus one that only holds the halo of the last block
