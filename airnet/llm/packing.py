@@ -21,6 +21,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right, insort
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -33,6 +34,7 @@ POOL = 2_048           # pending pieces of a task (each below the largest tier)
 CACHE_SIZE = 500_000
 STEP_TOKENS = 8 * 4096
 PUNCT = ".,;:!?#*$%&"
+SCRIPTS_END = chr(0x530)   # Latin, Greek and Cyrillic lie before it
 
 PIECE_SCHEMA = StructType(
     [StructField("doc_id", LongType())]
@@ -46,7 +48,9 @@ class WordEncoder:
 
     White space ends every pre-token of the tokenizer and is dropped, so a text's ids are
     those of its white-space separated words in a row.  A word of letters and trailing
-    punctuation is encoded as these two parts, which the tokenizer separates as well.
+    punctuation is encoded as these two parts, which the tokenizer separates as well, if the word is still
+    all letters in lower case (a dotted capital I is not: its dot would join the punctuation)
+    and its script is one whose letters all versions of Unicode agree on; any other word is encoded whole.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -54,8 +58,10 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.end = end_id.to_bytes(4, "little")
         vocab = self.tok.get_vocab()
-        self.closes = frozenset(i for t, i in vocab.items() if t.endswith("</w>"))
-        self.cache: dict[str, bytes] = {}
+        self.closing = np.zeros(max(vocab.values()) + 1, bool)
+        self.closing[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.cache: dict[str, bytes] = {}   # by word
+        self.cores: dict[str, bytes] = {}   # by the letters of a word, ASCII in lower case
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -65,28 +71,34 @@ class WordEncoder:
         out = {}
         for at in range(0, len(words), 2_000):
             part = words[at:at + 2_000]
-            ids, found, closes = self._encode([" ".join(part)])[0], [], self.closes
-            begin = 0
-            for i, x in enumerate(ids):
-                if x in closes:
-                    found.append(ids[begin:i + 1])
-                    begin = i + 1
-            if len(found) != len(part) or begin != len(ids):  # a word that breaks the rule
-                found = self._encode(part)
-            out.update((w, pack_ids(x)) for w, x in zip(part, found))
+            ids = np.array(self._encode([" ".join(part)])[0], "<u4")
+            stops = np.flatnonzero(self.closing[ids]) + 1
+            if len(stops) == len(part) and stops[-1] == len(ids):
+                raw, stops = ids.tobytes(), (4 * stops).tolist()
+                out.update(zip(part, [raw[a:b] for a, b in zip([0, *stops], stops)]))
+            else:  # a word that breaks the rule
+                out.update(zip(part, map(pack_ids, self._encode(part))))
         return out
 
     def add(self, words: set[str]) -> None:
-        if len(self.cache) + len(words) > CACHE_SIZE:
-            self.cache.clear()
-        split = {w: w.rstrip(PUNCT) for w in words}
-        plain = {w: core for w, core in split.items() if core.isalpha()}
-        known = self._letters(list({c.lower() if c.isascii() else c for c in plain.values()}))
-        ends = list({w[len(c):] for w, c in plain.items()} - {""})
+        plain, other = [], []
+        for w in words:
+            core = w.rstrip(PUNCT)
+            if core.isascii():
+                if core.isalpha():
+                    plain.append((w, core.lower(), w[len(core):]))
+                    continue
+            elif core.isalpha() and max(core) < SCRIPTS_END and core.lower().isalpha():
+                plain.append((w, core, w[len(core):]))
+                continue
+            other.append(w)
+        known = self.cores
+        if len(known) > CACHE_SIZE:
+            known.clear()
+        known.update(self._letters(list({core for _, core, _ in plain}.difference(known))))
+        ends = list({end for _, _, end in plain} - {""})
         known_ends = dict(zip(ends, map(pack_ids, self._encode(ends))), **{"": b""})
-        for w, core in plain.items():
-            self.cache[w] = known[core.lower() if core.isascii() else core] + known_ends[w[len(core):]]
-        other = [w for w in words if w not in plain]
+        self.cache.update((w, known[core] + known_ends[end]) for w, core, end in plain)
         self.cache.update(zip(other, map(pack_ids, self._encode(other))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -96,21 +108,20 @@ class WordEncoder:
             # separators x1c-x1f split words for Python but not for the tokenizer
             part = [t.split() if t.isprintable() or not any(c in t for c in "\x1c\x1d\x1e\x1f") else None
                     for t in texts[at:at + 256]]
-            cache = self.cache
-            missing = {w for words in part if words for w in words if w not in cache}
-            if missing:
-                seen = len(cache)
-                self.add(missing)
-                if len(self.cache) < seen:  # emptied: the other words of these texts again
-                    self.add({w for words in part if words for w in words if w not in self.cache})
-            for words, t in zip(part, texts[at:at + 256]):
-                body = pack_ids(self._encode([t])[0]) if words is None else b"".join([self.cache[w] for w in words])
+            words = set().union(*[x for x in part if x])
+            missing = words.difference(self.cache)
+            if len(self.cache) + len(missing) > CACHE_SIZE:
+                self.cache.clear()
+                missing = words
+            self.add(missing)
+            ids_of = self.cache.__getitem__
+            for own, t in zip(part, texts[at:at + 256]):
+                body = pack_ids(self._encode([t])[0]) if own is None else b"".join(map(ids_of, own))
                 out.append(body + self.end)
         return out
 
 
 def pack_ids(ids: list[int]) -> bytes:
-    import numpy as np
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
