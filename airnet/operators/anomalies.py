@@ -72,14 +72,27 @@ def _full_buckets(rows: DataFrame, sk: list[str], value: str, parts: int) -> Dat
                                           F.greatest(F.col("__fq") - F.col("__fs") * mean, F.lit(0.0)).alias("__fq"))
 
 
+def _sliding_range(base: DataFrame, sk: list[str], value: str, width: int, mean_col: str, std_col: str, count_col: str) -> DataFrame:
+    """The statistics by windows over four frames of a key and the copied end of the four before."""
+    stretch = F.floor(F.col("__t") / F.lit(4 * width))
+    halo = F.col("__t") >= (stretch + F.lit(1)) * F.lit(4 * width) - F.lit(width)
+    d = (base.withColumn("__shift", F.explode(F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+             .withColumn("__b", stretch + F.col("__shift")))
+    w = Window.partitionBy(*sk, "__b").orderBy("__t").rangeBetween(-width, 0)
+    return (d.withColumn(mean_col, F.avg(value).over(w)).withColumn(std_col, F.stddev_pop(value).over(w))
+             .withColumn(count_col, F.count(value).over(w)).where("__shift = 0"))
+
+
 def rolling_stats_range(df: DataFrame, key, ts: str, value: str, seconds: int = 24 * 3600, *,
-                        parts: int = 32, bucket_rows: int = 1 << 20, mean_col: str | None = None,
+                        parts: int = 32, bucket_rows: int = 1 << 20, dense_rows: int = 10_000, mean_col: str | None = None,
                         std_col: str | None = None, count_col: str | None = None) -> DataFrame:
     """Trailing mean, population sd and row count of ``value`` over the rows of the same
     key whose time lies in ``[t - seconds, t]`` (a time frame, unlike the row frame of
     :func:`rolling_stats`; rows at equal times are peers and all included).
 
-    Time is cut into buckets of ``seconds / parts``.  The buckets that lie wholly in a frame enter as
+    While no key has more than ``dense_rows`` rows in four frames, each (key, four frames) is one window that
+    slides over its rows, those within a frame of the next one copied there: one shuffle.  Beyond that,
+    time is cut into buckets of ``seconds / parts``.  The buckets that lie wholly in a frame enter as
     partial sums, from a window over the bucket table; rows meet rows only in the bucket of ``t`` and in that of
     ``t - seconds``, as running sums from one end.  So no task holds more than one key's rows of two buckets,
     and the work grows with the rows, not with the rows per frame.  Where a bucket has more than
@@ -104,6 +117,11 @@ def rolling_stats_range(df: DataFrame, key, ts: str, value: str, seconds: int =
         counts = base.where("__t is not null").groupBy(*sk, bucket(n).alias("__b")).agg(F.count(F.lit(1)).alias("n"))
         return counts.agg(F.max("n")).first()[0] or 0
 
+    whole = F.floor(F.col("__t") / F.lit(4 * width))
+    crowd = base.groupBy(*sk, whole.alias("__b")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if crowd <= dense_rows:
+        return _sliding_range(base, sk, value, width, mean_col, std_col, count_col).select(
+            *[quoted(c) for c in df.columns], mean_col, std_col, count_col)
     most = fullest(parts)
     while most > bucket_rows and width % (8 * parts) == 0:
         finer = fullest(8 * parts)

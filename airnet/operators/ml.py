@@ -58,7 +58,7 @@ def category_index(df: DataFrame, col: str, *, out: str | None = None, rows_col:
     """
     counts = (df.where(F.col(f"`{col}`").isNotNull()).groupBy(F.col(f"`{col}`").alias("__c"))
               .agg(F.count(F.lit(1)).alias(rows_col)).withColumn("__fall", -F.col(rows_col)))
-    placed, _ = position_in_key(counts, [], ["__fall", "__c"])
+    placed, _ = position_in_key(counts, [], ["__fall", "__c"], n_keys=1)
     return placed.select(F.col("__c").alias(col), F.col("__idx").cast("double").alias(out or f"{col}Index"), rows_col)
 
 

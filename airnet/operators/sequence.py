@@ -50,26 +50,34 @@ def sorted_places(df: DataFrame, keys: list[str], order: list[str], partitions:
                   .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).drop("__mid"))
 
 
-def position_in_key(df: DataFrame, keys, order, *, copy_keys: bool = True,
-                    partitions: int | None = None) -> tuple[DataFrame, list[str]]:
+def position_in_key(df: DataFrame, keys, order, *, copy_keys: bool = True, partitions: int | None = None,
+                    n_keys: int | None = None) -> tuple[DataFrame, list[str]]:
     """Add ``__idx``: exact 0-based position of the row inside its key along ``order`` (NULLs first).
-    Returns the frame and the key columns to partition by."""
+    Returns the frame and the key columns to partition by.
+
+    The offsets have at most one row per partition and one more per key; with ``n_keys``, a bound that the
+    caller knows, they need not be counted before they are broadcast."""
     keys, order = as_list(keys), as_list(order)
     base, sk = key_copies(df, keys) if copy_keys else (df, keys)
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = sorted_places(base, sk, order, partitions)
     sizes = placed.groupBy(*sk, "__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__start"))
     before = Window.partitionBy(*sk).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(sizes.select(*sk, "__pid", (F.coalesce(F.sum("__n").over(before), F.lit(0))
-                                                      - F.col("__start")).alias("__off")), "offsets")
-    if offsets.count() <= OFFSET_ROWS:
+    offsets = sizes.select(*sk, "__pid", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__start")).alias("__off"))
+    if n_keys is None:
+        offsets = materialize(offsets, "offsets")
+        small = offsets.count() <= OFFSET_ROWS
+    else:
+        small = n_keys + partitions <= OFFSET_ROWS
+    if small:
         offsets = F.broadcast(offsets)
     out = null_safe_join(placed, offsets, [*sk, "__pid"], "inner")
     return out.withColumn("__idx", F.col("__off") + F.col("__pos")), sk
 
 
 def _blocked_hot(base: DataFrame, sk: list[str], order: list[str], rows: int,
-                 block_rows: int) -> tuple[DataFrame, WindowSpec]:
-    numbered, _ = position_in_key(base, sk, order, copy_keys=False)
+                 block_rows: int, n_keys: int | None = None) -> tuple[DataFrame, WindowSpec]:
+    numbered, _ = position_in_key(base, sk, order, copy_keys=False, n_keys=n_keys)
     idx = F.col("__idx")
     halo = (F.pmod(idx, F.lit(block_rows)) >= F.lit(block_rows - (rows - 1))) & F.lit(rows > 1)
     shifts = F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -78,19 +86,19 @@ def _blocked_hot(base: DataFrame, sk: list[str], order: list[str], rows: int,
     return blocked, Window.partitionBy(*sk, "__blk").orderBy("__idx")
 
 
-def hot_keys(base: DataFrame, sk: list[str], hot_rows: int, max_keys: int) -> DataFrame | None:
+def hot_keys(base: DataFrame, sk: list[str], hot_rows: int, max_keys: int) -> tuple[DataFrame | None, int]:
     """Keys with more than ``hot_rows`` rows, found by a partial-aggregate count and written.
 
-    Returns None when there is none and a broadcast when there are at most ``max_keys``; a longer
-    list is joined as a plain table, so that AQE can split a hot key's partition.
+    Returns them with their number: None when there is none, a broadcast when there are at most ``max_keys``; a
+    longer list is joined as a plain table, so that AQE can split a hot key's partition.
     """
     agg = (base.groupBy(*sk).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > F.lit(hot_rows))
                .select(*sk))
     found = materialize(agg, "hot-keys")
     n = found.count()
     if not n:
-        return None
-    return F.broadcast(found) if n <= max_keys else found
+        return None, 0
+    return (F.broadcast(found) if n <= max_keys else found), n
 
 
 def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, split: bool = True,
@@ -115,13 +123,13 @@ def frame_apply(df: DataFrame, keys, order, rows: int, fn, *, split: bool = True
         raise ValueError("block_rows must be >= rows")
     hot_rows = hot_rows or block_rows
     base, sk = key_copies(df, keys)
-    hot = hot_keys(base, sk, hot_rows, max_hot_keys)
+    hot, n_hot = hot_keys(base, sk, hot_rows, max_hot_keys)
     if hot is None:
         return finish(fn(df.withColumn("__shift", F.lit(0)), plain))
     flagged = null_safe_join(base, hot.withColumn("__hot", F.lit(True)), sk, "left")
     cold = flagged.where(F.col("__hot").isNull()).withColumn("__shift", F.lit(0))
     cold_out = finish(fn(cold, Window.partitionBy(*sk).orderBy(*order)))
-    hot_frame, w = _blocked_hot(flagged.where(F.col("__hot")), sk, order, rows, block_rows)
+    hot_frame, w = _blocked_hot(flagged.where(F.col("__hot")), sk, order, rows, block_rows, n_hot)
     hot_out = finish(fn(hot_frame, w))
     return cold_out.unionByName(hot_out)
 

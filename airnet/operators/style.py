@@ -101,7 +101,7 @@ def dot_documents(node_lines: DataFrame, edge_lines: DataFrame, iterations: list
     edges = edge_lines.select(every.alias(iter_col), F.lit(2).alias("section"), F.col(a).cast("long").alias("k1"),
                               F.col(b).cast("long").alias("k2"), F.col(c).cast("string").alias("k3"), F.col(edge_text).alias("value"))
     lines = frame.unionByName(nodes).unionByName(edges)
-    placed, _ = position_in_key(lines, [iter_col], ["section", "k1", "k2", "k3"])
+    placed, _ = position_in_key(lines, [iter_col], ["section", "k1", "k2", "k3"], n_keys=len(iterations))
     return placed.select(iter_col, F.col("__idx").alias("line_no"), "value")
 
 

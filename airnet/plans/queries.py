@@ -1173,7 +1173,7 @@ def q_rolling_stats_range_dense(spark, sf):
     """All rows of few keys within two days: a frame holds thousands of rows."""
     at = F.expr("timestampadd(SECOND, cast(event_id * 17 % 172800 as int), timestamp_ntz'2024-01-10 00:00:00')")
     ev = _events(spark, sf).select("event_id", "event_type", "value", at.alias("t"))
-    out = anomalies.rolling_stats_range(ev, "event_type", "t", "value", 24 * 3600, bucket_rows=HOT_BLOCK_ROWS)
+    out = anomalies.rolling_stats_range(ev, "event_type", "t", "value", 24 * 3600, bucket_rows=HOT_BLOCK_ROWS, dense_rows=0)
     return out.select("event_id", r6("value_mean").alias("value_mean"), r6("value_std").alias("value_std"), "value_count")
 
 

@@ -20,11 +20,12 @@ def _rows(seed, n=500):
     return out
 
 
-@pytest.mark.parametrize("kind,parts,bucket_rows", [("timestamp_ntz", 32, 1 << 20), ("timestamp", 2, 1 << 20), ("timestamp_ntz", 4, 20)])
-def test_equals_direct_sums(spark, kind, parts, bucket_rows):
+@pytest.mark.parametrize("kind,parts,bucket_rows,dense", [("timestamp_ntz", 32, 1 << 20, 0), ("timestamp", 2, 1 << 20, 0),
+                                                          ("timestamp_ntz", 4, 20, 0), ("timestamp_ntz", 8, 20, 10_000)])
+def test_equals_direct_sums(spark, kind, parts, bucket_rows, dense):
     rows = _rows(parts)
     df = spark.createDataFrame(rows, f"id long, k string, t {kind}, v double")
-    got = anomalies.rolling_stats_range(df, "k", "t", "v", 3600, parts=parts, bucket_rows=bucket_rows)
+    got = anomalies.rolling_stats_range(df, "k", "t", "v", 3600, parts=parts, bucket_rows=bucket_rows, dense_rows=dense)
     assert got.columns == ["id", "k", "t", "v", "v_mean", "v_std", "v_count"]
     got = {r["id"]: r for r in got.collect()}
     assert len(got) == len(rows)
@@ -46,7 +47,7 @@ def test_no_task_holds_a_dense_key(spark):
     df = spark.range(5000).select(F.lit("k").alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("t"), F.col("id").cast("double").alias("v"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = anomalies.rolling_stats_range(df, "k", "t", "v", 24 * 3600)
+        out = anomalies.rolling_stats_range(df, "k", "t", "v", 24 * 3600, dense_rows=1000)
         placed = out.select("v_count", F.spark_partition_id().alias("p"))
         sizes = [r["n"] for r in placed.groupBy("p").agg(F.count("v_count").alias("n"), F.sum("v_count")).collect()]
     finally:
