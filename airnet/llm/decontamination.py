@@ -9,13 +9,17 @@ against all documents.
    the projected matrix from its Gram sum.  Tasks give partial sums of fixed size, added per
    block of features.  The space is fitted on the benchmark's passages because a corpus's
    own leading directions are its function words, in which single items can't be told apart.
-3. **Candidates.**  Each document is cut into passages of ``2 * STRIDE`` words, one every
-   ``STRIDE``.  All passages are projected and compared with all items of the block: a
-   candidate has cosine ``COSINE`` or more and holds at least the share ``COVER`` of the item's
-   latent length (an item may fill only part of a passage).
+3. **Candidates.**  Each document is cut into passages of ``2 * s`` words, one every ``s``, for the
+   strides ``s`` that the block's items ask for: ``STRIDE``, and finer ones for items of fewer than 16
+   words, which a long passage would drown.  Items beyond ``2 * STRIDE`` words are searched by
+   overlapping segments of that length.  All passages are projected and compared with all queries
+   of their stride: a candidate has cosine ``COSINE`` or more and holds at least the share ``COVER``
+   of the query's latent length (an item may fill only part of a passage).
 4. **Checks.**  Around a candidate the longest common subsequence of words with the item is
    found (bit-parallel); a hit needs ``LCS`` of the item's words in order and ``ANSWER`` of
-   the rarest words of its last sentence, the answer, so shared phrasing alone is no hit.
+   the rarest words of its last sentence, the answer, so shared phrasing alone is no hit.  Items
+   of fewer than 16 words need ``SHORT`` of them at least (all, if they have no more), within one
+   and a half times their length.
 
 Nothing is shuffled but the counts and partial sums; what is broadcast is bounded by
 ``BLOCK_CHARS`` of benchmark text and ``RANK`` numbers per word of it.
@@ -42,8 +46,11 @@ COVER = 0.55
 LCS = 0.6
 ANSWER = 0.5
 BLOCK_CHARS = 2_000_000    # benchmark text of one block
-MIN_WORDS = 4              # items of fewer words prove nothing and are not searched
+MIN_WORDS = 3              # items of fewer words prove nothing and are not searched
+SHORT = 6                  # words of a short item that must be there
+SCALES = ((8, 4), (16, 8))  # items below so many words are searched at this stride
 DOCS = 256                 # documents handled at once in a task
+PIECE = 16_384             # units projected at once (a multiple of STRIDE): bounds the memory of a text of any length
 FEATURE_BLOCK = 256
 
 HIT_SCHEMA = StructType([
@@ -81,6 +88,16 @@ def lcs_length(item: dict[bytes, int], size: int, words: list[bytes]) -> int:
     return size - (v & full).bit_count()
 
 
+def stride_of(size: int) -> int:
+    """Stride of the passages that an item of so many words is compared with."""
+    return next((s for below, s in SCALES if size < below), STRIDE)
+
+
+def segments(words: list[bytes]) -> list[list[bytes]]:
+    """The item itself, or its overlapping passages of ``2 * STRIDE`` words if it is longer."""
+    return [words[at:at + 2 * STRIDE] for at in range(0, max(1, len(words) - STRIDE), STRIDE)]
+
+
 class Block:
     """Items of one block and, once fitted, their latent vectors; sent to the tasks."""
 
@@ -101,9 +118,16 @@ class Block:
     def fit(self, idf: np.ndarray, v: np.ndarray) -> None:
         self.idf = idf
         self.project = np.ascontiguousarray((idf[:, None] * v).astype(np.float32))   # word -> latent
-        q = np.stack([self.project[[self.vocab[w] for w in words]].sum(axis=0) for _, words, _ in self.items])
-        self.length = np.maximum(np.linalg.norm(q, axis=1), 1e-6).astype(np.float32)
-        self.queries = np.ascontiguousarray((q / self.length[:, None]).T.astype(np.float32))
+        self.queries: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # stride -> unit vectors, lengths, items
+        parts: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for j, (_, words, _) in enumerate(self.items):
+            for part in segments(words):
+                parts.setdefault(stride_of(len(words)), []).append((j, self.project[[self.vocab[w] for w in part]].sum(axis=0)))
+        for stride, found in parts.items():
+            q = np.stack([v for _, v in found])
+            length = np.maximum(np.linalg.norm(q, axis=1), 1e-6).astype(np.float32)
+            self.queries[stride] = (np.ascontiguousarray((q / length[:, None]).T.astype(np.float32)), length,
+                                    np.array([j for j, _ in found]))
         self.answers = [self._rare(words, answer) for _, words, answer in self.items]
 
     def _rare(self, words: list[bytes], answer: list[bytes]) -> list[bytes]:
@@ -211,24 +235,79 @@ def _fit(docs: DataFrame, block: Block, rank: int) -> None:
             idf[ids] = np.maximum(idf[ids], 0.5)
     spark = docs.sparkSession
     passages = []
-    for _, words, _ in block.items:          # long items as overlapping passages
-        for at in range(0, max(1, len(words) - STRIDE), STRIDE):
-            ids = [block.vocab[w] for w in words[at:at + 2 * STRIDE]]
-            passages.append((ids, [float(idf[i]) for i in ids]))
+    for _, words, _ in block.items:
+        for part in segments(words):
+            ids = [block.vocab[w] for w in part]
+            counts = np.bincount(np.unique(ids, return_inverse=True)[1])
+            size = float(np.sqrt(((idf[np.unique(ids)] * counts) ** 2).sum())) or 1.0  # unit rows: short items count as much
+            passages.append((ids, [float(idf[i]) / size for i in ids]))
     frame = spark.createDataFrame(passages, _ROW).repartition(max(1, min(64, len(passages) // 256)))
     block.fit(idf, randomised_svd(frame, len(block.vocab), min(rank, len(passages), len(block.vocab))))
 
 
+def _units(block: Block, feature: np.ndarray, unit: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Latent sums of the units ``lo`` to ``hi`` (exclusive); word by word of all units at once, longest first."""
+    z = np.zeros((hi - lo, block.project.shape[1]), np.float32)
+    begin, end = np.searchsorted(unit, (lo, hi))
+    there, start, count = np.unique(unit[begin:end], return_index=True, return_counts=True)
+    order = np.argsort(-count, kind="stable")
+    there, start, count = there[order] - lo, start[order] + begin, count[order]
+    for at in range(0, len(there), 1024):          # few enough units that their sums stay in the cache
+        most = count[at:at + 1024]
+        first = start[at:at + 1024]
+        total = block.project[feature[first]]
+        for k in range(1, int(most[0])):
+            m = int(np.searchsorted(-most, -k, "left"))   # units with more than k words
+            total[:m] += block.project.take(feature[first[:m] + k], axis=0)
+        z[there[at:at + 1024]] = total
+    return z
+
+
+def _candidates(block: Block, feature: np.ndarray, unit: np.ndarray, total: int, stride: int) -> dict[int, list]:
+    """For each stride: (passages, items, cosines) of all candidates; units are of ``stride`` words."""
+    found: dict[int, list] = {s: [] for s in block.queries}
+    for lo in range(0, total, PIECE):
+        hi = min(total, lo + PIECE)
+        z = _units(block, feature, unit, lo, min(total, hi + STRIDE // stride))   # the next piece's first unit of every stride
+        for s, (queries, length, owner) in block.queries.items():
+            k = s // stride
+            x = z[:len(z) // k * k].reshape(-1, k, z.shape[1]).sum(axis=1) if k > 1 else z
+            x = x[:(hi - lo) // k + 1]
+            x = x[:-1] + x[1:]                                 # passages of two units
+            size = np.sqrt(np.einsum("ij,ij->i", x, x))
+            some = np.nonzero(size >= COVER * length.min())[0]
+            for a in range(0, len(some), 8192):
+                at = some[a:a + 8192]
+                dot = x[at] @ queries
+                p, q = np.nonzero((dot >= COVER * length[None, :]) & (dot >= COSINE * size[at][:, None]))
+                found[s].append((at[p] + lo // k, owner[q], dot[p, q] / size[at[p]]))
+    return found
+
+
+def _share(block: Block, j: int, region: list[bytes], lcs: float) -> float:
+    """Share of the item's words that stand in order in the region, 0 if too few."""
+    mask, n = block.masks[j], len(block.items[j][1])
+    common = lcs_length(mask, n, region)
+    if stride_of(n) == STRIDE:
+        return common / n if common >= lcs * n else 0.0
+    needed, span = max(lcs * n, min(n, SHORT)), n + n // 2
+    if common < needed:
+        return 0.0
+    common = max(lcs_length(mask, n, region[i:i + span]) for i in range(max(1, len(region) - span + 1)))
+    return common / n if common >= needed else 0.0
+
+
 def _search(block: Block, ids: list, texts: list, lcs: float, answer: float) -> list[tuple]:
     """Hits of the block's items in some documents."""
     docs = [words_of(t) for t in texts]
     get = block.vocab.get
-    feature, unit, starts, total = [], [], [], 0
+    stride = min(block.queries)
+    feature, unit, starts, total = [], [], [], 0       # starts: the documents' first units of STRIDE words
     for words in docs:
         f = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
         at = np.nonzero(f >= 0)[0]
         feature.append(f[at])
-        unit.append(at // STRIDE + total)
+        unit.append(at // stride + total * (STRIDE // stride))
         starts.append(total)
         total += -(-len(words) // STRIDE) + 1          # an empty unit parts documents
     feature, unit = np.concatenate(feature), np.concatenate(unit)
@@ -236,37 +315,35 @@ def _search(block: Block, ids: list, texts: list, lcs: float, answer: float) ->
     feature, unit = feature[live], unit[live]
     if not len(feature):
         return []
-    first = np.nonzero(np.diff(unit, prepend=-1))[0]
-    z = np.zeros((total + 1, block.project.shape[1]), np.float32)
-    for lo in range(0, len(first), 4096):
-        part = first[lo:lo + 4096]
-        end = first[lo + 4096] if lo + 4096 < len(first) else len(feature)
-        z[unit[part]] = np.add.reduceat(block.project[feature[part[0]:end]], part - part[0], axis=0)
-    z = z[:-1] + z[1:]                                 # passages of two units
-    size = np.sqrt(np.einsum("ij,ij->i", z, z))
-    some = np.nonzero(size >= COVER * block.length.min())[0]
     found: dict[tuple[int, int], list[tuple[int, float]]] = {}
-    for lo in range(0, len(some), 8192):
-        at = some[lo:lo + 8192]
-        dot = z[at] @ block.queries
-        p, q = np.nonzero((dot >= COVER * block.length[None, :]) & (dot >= COSINE * size[at][:, None]))
-        for i, j in zip(p.tolist(), q.tolist()):
-            d = int(np.searchsorted(starts, at[i], "right")) - 1
-            found.setdefault((d, j), []).append((int(at[i]) - starts[d], float(dot[i, j] / size[at[i]])))
-    hits = []
-    for (d, j), units in found.items():
-        item, words, _ = block.items[j]
-        best, n = None, len(words)
+    begins = np.array(starts)
+    for s, parts in _candidates(block, feature, unit, total * (STRIDE // stride), stride).items():
+        for at, item, cosine in parts:
+            d = np.searchsorted(begins, at * s // STRIDE, "right") - 1
+            first = at * s - begins[d] * STRIDE        # the passage's first word in its document
+            for key, w, c in zip(zip(d.tolist(), item.tolist()), first.tolist(), cosine.tolist()):
+                found.setdefault(key, []).append((w, c))
+    hits, held = [], {}
+    for (d, j), passages in found.items():
         rare = block.answers[j]
-        for u, cosine in units:
-            begin = max(0, u * STRIDE - n)
-            region = docs[d][begin:(u + 2) * STRIDE + n]
-            share = lcs_length(block.masks[j], n, region) / n
-            if share >= lcs and (best is None or share > best[1]):
+        if d not in held:
+            held[d] = frozenset(docs[d])
+        if sum(w in held[d] for w in rare) < answer * len(rare):    # what the document lacks, no passage has
+            continue
+        item, words, _ = block.items[j]
+        best, n, width, behind = None, len(words), 2 * stride_of(len(words)), -1
+        for w, cosine in sorted(passages):
+            if w < behind:                             # the region of an earlier segment holds this one
+                continue
+            region = docs[d][max(0, w - n):w + width + n]
+            share = _share(block, j, region, lcs)
+            if share and (best is None or share > best[1]):
                 there = set(region)
-                given = sum(w in there for w in rare) / len(rare)
+                given = sum(x in there for x in rare) / len(rare)
                 if given >= answer:
-                    best = (cosine, share, given, u * STRIDE)
+                    best = (cosine, share, given, max(0, w))
+                    if n > width:
+                        behind = w + n - width
         if best:
             hits.append((ids[d], item, *best))
     return hits
