@@ -189,12 +189,20 @@ def test_quality_outliers(spark):
     assert all(kept[d] for d, *_ in clean) and not any(kept[d] for d, *_ in junk)
 
 
-def _removed(texts, threshold=0.8, least=5):
+def _line_tokens(line):
+    line = line.lower()
+    if re.search(r"[\u4e00-\u9fff\u3040-\u30ff\u0e00-\u0e7f]", line):
+        c = re.sub(r"\s", "", line)
+        return {c[i:i + 2] for i in range(max(1, len(c) - 1))}
+    return set(line.split())
+
+
+def _removed(texts, threshold=0.8):
     seen, gone = [], collections.defaultdict(set)
     for d in sorted(texts):
         for i, line in enumerate((texts[d] or "").split("\n")):
-            s = {w for w in line.lower().split(" ") if w}
-            if len(s) < least:
+            s = _line_tokens(line)
+            if not s:
                 continue
             if any(len(s & o) >= threshold * len(s | o) - 1e-9 for o in seen):
                 gone[d].add(i)
@@ -232,6 +240,23 @@ def test_line_dedup_group(spark):
     assert {r.row.doc_id for r in line_dedup(df).where("size(removed_lines) > 0").collect()} == {d for d in gone if gone[d]}
 
 
+def test_line_dedup_of_short_and_unspaced_lines(spark):
+    """Lines of one to five words, tabs for spaces, scripts without spaces: against brute force."""
+    from airnet.llm.line_dedup import line_dedup
+    rng = np.random.default_rng(4)
+    han = "".join(chr(0x4e00 + int(i)) for i in rng.integers(0, 900, 190))
+    thai = "".join(chr(0x0e01 + int(i)) for i in rng.integers(0, 40, 60))
+    texts = {0: f"Les.\na b c d\n{han}\na\tb\tc\td\te f\n字\n\n \t\n{thai}\nsel.\na b c d x",
+             1: f"les.\nd c b a\n{han[:95]}改{han[96:]}\na b c d e f\r\n字\n\n\u3000\n{thai[:20]} {thai[20:]}\n.sel",
+             2: f"{han[::-1]}\na b c\nc a b\na b d\nLes. Les.\nles . \n漢字\n字漢\na\xa0b c d\x0b"}
+    for d in range(3, 40):
+        texts[d] = "\n".join(" ".join(rng.choice(list("abcdefgh"), rng.integers(1, 7))) for _ in range(4))
+    gone = _removed(texts)
+    assert gone[1] >= {0, 1, 2, 3, 4, 7} and 8 not in gone[1] and 0 not in gone[2]
+    got = {r.row.doc_id: set(r.removed_lines) for r in line_dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == {d: set(gone[d]) for d in texts}
+
+
 def _shingles(t):
     w = re.findall(r"\w+", (t or "").lower())
     k = min(5, len(w))
