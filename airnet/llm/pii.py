@@ -1,11 +1,11 @@
 """Format-preserving pseudonyms for personal numbers and dates.
 
-Card numbers (Luhn), IBANs (mod 97), social security numbers, phone numbers, IPv4 addresses, e-mail
-names and dates are found by pattern, validated (at shorter lengths too, where a match takes in what follows
-the value), and replaced by a keyed permutation of their
+Card numbers (Luhn), IBANs (mod 97), social security numbers, phone numbers, IPv4 and IPv6 addresses, e-mail
+addresses (name and domain, in any script) and dates of the years 1000 to 2999 are found by pattern, validated (at
+shorter lengths too, where a match takes in what follows the value), and replaced by a keyed permutation of their
 own format (a Feistel network over digits or letters; other marks stay).  The same value
-gives the same pseudonym in every document, whatever its separators; check digits are made right again
-and dates stay dates.  ``Feistel.invert`` undoes a permutation with the key.
+gives the same pseudonym in every document, whatever its separators, and never itself; check digits are made right
+again and dates stay dates within 200 years.  ``Feistel.invert`` undoes a permutation with the key.
 
 Rows are handled one by one in parallel; nothing is shuffled or collected.
 """
@@ -14,7 +14,10 @@ from __future__ import annotations
 import bisect
 import datetime as dt
 import hashlib
+import ipaddress
 import re
+from functools import lru_cache
+from math import gcd
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +26,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from airnet.llm.common import arrow, id_text, rows
 
 ROUNDS = 8
-FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), 73_049   # 1900-01-01 .. 2099-12-31
+ERA = 200                  # years within which a date moves; 1900 to 2099 is one of them
 DIGITS, LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 UPPER = LETTERS.upper()
 
@@ -33,16 +36,21 @@ PII_SCHEMA = StructType([StructField("doc_id", LongType()), StructField("text",
                          StructField("n_found", LongType(), False), StructField("spans", ArrayType(SPAN, False), False)])
 
 PATTERNS = (
-    ("email", re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._%+-]*(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b)")),
+    ("email", re.compile(r"(?<![\w.%+-])[\w.%+-]++@(?:[\w-]+\.)+[^\W\d_]{2,}(?!\w)")),
     ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b")),
     ("ip", re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)")),
-    ("date", re.compile(r"(?<![\d-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\d-])")),
+    ("ipv6", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")),
+    ("date", re.compile(r"(?<![\d-])(?:[12]\d{3}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.][12]\d{3})(?![\d-])")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
     ("card", re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])")),
     ("phone", re.compile(r"(?<![\w+])(?:\+\d|\(\d|0\d|\d{3}[-. ]\d{3}[-. ]\d{4})[\d ()./-]{0,20}(?<=\d)(?!\w)")),
 )
 
 
+#: What a text must hold for a kind to occur; the others need a digit.
+NEEDS = {"email": "@", "ipv6": ":"}
+_DIGIT = re.compile("[0-9]")
+
 #: Kinds whose pattern takes in what follows a value; their shorter lengths are tried too.
 SHORTER = ("iban", "card", "phone")
 _NEXT = re.compile(r"(?<=[ /])(?:\+\d|\(\d|0\d)")
@@ -58,8 +66,19 @@ def _odd(kind: str, s: str) -> bool:
     return kind == "card" and any(len(g) < 4 for g in re.split("[ -]", s)[:-1])
 
 
+@lru_cache(maxsize=256)
+def script_alphabet(block: int) -> str:
+    """Lower-case letters and digits of 64 code points beyond ASCII."""
+    return "".join(c for c in map(chr, range(block * 64, block * 64 + 64)) if c.isalnum() and c.lower() == c)
+
+
 class Feistel:
-    """Keyed permutation of the strings of one length over an alphabet."""
+    """Keyed permutation, without fixed points, of the strings of one length over an alphabet.
+
+    A string goes through the rounds, moves on by a keyed distance among all strings of its length,
+    and goes back through the rounds: one cycle, so that no string is its own pseudonym, also
+    when a caller walks on to the next valid one.
+    """
 
     def __init__(self, key: bytes, kind: str, alphabet: str = DIGITS):
         self.key, self.kind, self.alphabet = key, kind.encode(), alphabet
@@ -86,23 +105,31 @@ class Feistel:
                 value //= base
         return "".join(reversed(out))
 
-    def apply(self, s: str) -> str:
+    def _shifted(self, s: str, sign: int) -> str:
+        n = len(s)
         a, b, p, q = self._numbers(s)
         for i in range(ROUNDS):
             if i % 2:
-                b = (b + self._round(i, a, len(s))) % q
+                b = (b + self._round(i, a, n)) % q
             else:
-                a = (a + self._round(i, b, len(s))) % p
-        return self._text(a, b, len(s))
-
-    def invert(self, s: str) -> str:
-        a, b, p, q = self._numbers(s)
+                a = (a + self._round(i, b, n)) % p
+        size = p * q
+        step = 1 + self._round(ROUNDS, 0, n) % (size - 1) if size > 2 else size - 1
+        while gcd(step, size) != 1:     # a distance that visits every string
+            step = step % (size - 1) + 1
+        a, b = divmod((a * q + b + sign * step) % size, q)
         for i in reversed(range(ROUNDS)):
             if i % 2:
-                b = (b - self._round(i, a, len(s))) % q
+                b = (b - self._round(i, a, n)) % q
             else:
-                a = (a - self._round(i, b, len(s))) % p
-        return self._text(a, b, len(s))
+                a = (a - self._round(i, b, n)) % p
+        return self._text(a, b, n)
+
+    def apply(self, s: str) -> str:
+        return self._shifted(s, 1)
+
+    def invert(self, s: str) -> str:
+        return self._shifted(s, -1)
 
 
 def luhn(payload: str) -> str:
@@ -188,28 +215,59 @@ class Pseudonyms:
         x = f.apply(x)
         return ".".join(str(int(x[i:i + 2], 16)) for i in range(0, 8, 2))
 
+    def _ipv6(self, s):
+        try:
+            address = ipaddress.IPv6Address(s)
+        except ValueError:
+            return None
+        if sum(g != "" for g in s.split(":")) < 2 or not _DIGIT.search(s):
+            return None                                    # "::" and the like mark names in program text
+        new = self._feistel("ipv6", "0123456789abcdef").apply(f"{int(address):032x}")
+        return str(ipaddress.IPv6Address(int(new, 16)))
+
     def _date(self, s):
-        forms = ("%Y-%m-%d",) if s[4] == "-" else (f"%d{s[2]}%m{s[5]}%Y", f"%m{s[2]}%d{s[5]}%Y")
-        for form in forms:  # month first only where day first is no date
+        x, y, z = parts = re.split("[-/.]", s)
+        # month first only where day first is no date
+        orders = ((0, 1, 2),) if len(x) == 4 else ((2, 1, 0), (2, 0, 1))
+        for order in orders:
             try:
-                day = dt.datetime.strptime(s, form).date().toordinal() - FIRST_DAY
+                day = dt.date(*[int(parts[i]) for i in order])
                 break
             except ValueError:
                 continue
         else:
             return None
-        if not 0 <= day < DAYS:
-            return None
-        f, d = self._feistel("date"), f"{day:05d}"
-        while True:
+        era = (day.year - 100) // ERA * ERA + 100
+        first, last = dt.date(max(era, 1000), 1, 1).toordinal(), dt.date(min(era + ERA, 3000), 1, 1).toordinal()
+        f, d = self._feistel(f"date{era}"), f"{day.toordinal() - first:05d}"
+        while True:  # walk the cycle until the result is a day of the era
             d = f.apply(d)
-            if int(d) < DAYS:
-                return dt.date.fromordinal(FIRST_DAY + int(d)).strftime(form)
+            if int(d) < last - first:
+                break
+        new = dt.date.fromordinal(first + int(d))
+        two = "" if 1 in map(len, parts) else "02"         # one-digit days and months stay without a zero
+        places = [""] * 3
+        for i, v in zip(order, (str(new.year), format(new.month, two), format(new.day, two))):
+            places[i] = v
+        seps = re.findall("[-/.]", s)
+        return places[0] + seps[0] + places[1] + seps[1] + places[2]
+
+    def _word(self, kind: str, s: str) -> str:
+        """``s`` with its letters and digits permuted: ASCII ones, and those of each block beyond, among themselves."""
+        new = s
+        blocks = sorted({ord(c) >> 6 for c in s if c > "\x7f" and c.isalnum()})
+        for name, alphabet in [(kind, LETTERS + DIGITS)] + [(f"{kind}{b}", script_alphabet(b)) for b in blocks]:
+            part = "".join(c for c in s if c in alphabet)
+            if part and len(alphabet) > 1:
+                new = _refill(new, self._feistel(name, alphabet).apply(part), alphabet)
+        return new
 
     def _email(self, s):
-        alphabet = LETTERS + DIGITS
-        x = "".join(c for c in s.lower() if c in alphabet)
-        return _refill(s.lower(), self._feistel("email", alphabet).apply(x), alphabet)
+        name, _, domain = s.lower().rpartition("@")
+        if not any(c.isalnum() for c in name):
+            return None
+        *labels, top = domain.split(".")
+        return f"{self._word('email', name)}@{'.'.join(self._word('domain', x) for x in labels)}.{top}"
 
     def _longest(self, kind: str, pattern: re.Pattern, text: str, start: int, end: int, inside: bool) -> tuple[int, str] | None:
         """End and pseudonym of the longest valid value that begins at ``start`` (``inside`` a failed match)."""
@@ -237,7 +295,10 @@ class Pseudonyms:
         character behind its start.  Spans taken before bound a match.
         """
         found: list[tuple[int, int, str, str]] = []
+        digits = _DIGIT.search(text)
         for kind, pattern in PATTERNS:
+            if not (NEEDS[kind] in text if kind in NEEDS else digits):
+                continue
             at = failed = 0
             while m := pattern.search(text, at):
                 start, end = m.span()
@@ -263,7 +324,9 @@ def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
     """``doc_id, text, n_found, spans`` of every row of ``docs`` (doc_id, text).
 
     NULL text stays NULL with no spans; NULL ids and repeated rows are kept.  Only ``doc_id`` and
-    ``text`` are read, so other columns may have any name; an empty table gives no rows.
+    ``text`` are read, so other columns may have any name; an empty table gives no rows.  Texts of any
+    length are searched whole, in time that grows with their length.  Of kinds that fit at one
+    place the first of ``PATTERNS`` wins.
     """
     schema = arrow(PII_SCHEMA)
 
