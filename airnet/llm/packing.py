@@ -23,6 +23,7 @@ from bisect import bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -31,7 +32,8 @@ from airnet.llm.common import arrow, id_text, rows
 
 TIERS = (4096, 2048, 1024, 512)
 POOL = 2_048           # pending pieces of a task (each below the largest tier)
-CACHE_SIZE = 500_000
+CACHE_SIZE = 800_000     # words; their ids lie in one array
+SLICE_BYTES = 1 << 23    # of texts whose words are looked up at once; a longer text is one slice
 STEP_TOKENS = 8 * 4096
 PUNCT = ".,;:!?#*$%&"
 SCRIPTS_END = chr(0x530)   # Latin, Greek and Cyrillic lie before it
@@ -60,66 +62,104 @@ class WordEncoder:
         vocab = self.tok.get_vocab()
         self.closing = np.zeros(max(vocab.values()) + 1, bool)
         self.closing[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.cache: dict[str, bytes] = {}   # by word
-        self.cores: dict[str, bytes] = {}   # by the letters of a word, ASCII in lower case
+        # row of each known word; the ids of row i lie at data[at[i]:at[i + 1]]
+        self.row: dict[str, int] = {}
+        self.at, self.data = np.zeros(1 << 16, np.int64), np.empty(1 << 18, "<u4")
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, words: list[str]) -> dict[str, bytes]:
+    def _store(self, words: list[str], ids: np.ndarray, length: np.ndarray) -> None:
+        """New rows: words not known yet, their ids in a row and the number of each."""
+        n, k = len(self.row), len(words)
+        self.row.update(zip(words, range(n, n + k)))
+        self.at, self.data = _room(self.at, n + k + 1), _room(self.data, int(self.at[n]) + len(ids))
+        self.data[self.at[n]:self.at[n] + len(ids)] = ids
+        self.at[n + 1:n + k + 1] = self.at[n] + np.cumsum(length)
+
+    def _apart(self, words: list[str]) -> None:
+        ids = self._encode(words)
+        self._store(words, np.array([x for i in ids for x in i], "<u4"), np.array(list(map(len, ids)), np.int64))
+
+    def _letters(self, words: list[str]) -> None:
         """Each word is letters only, hence one pre-token that ends with a closing piece."""
-        out = {}
         for at in range(0, len(words), 2_000):
             part = words[at:at + 2_000]
             ids = np.array(self._encode([" ".join(part)])[0], "<u4")
             stops = np.flatnonzero(self.closing[ids]) + 1
             if len(stops) == len(part) and stops[-1] == len(ids):
-                raw, stops = ids.tobytes(), (4 * stops).tolist()
-                out.update(zip(part, [raw[a:b] for a, b in zip([0, *stops], stops)]))
+                self._store(part, ids, np.diff(stops, prepend=0))
             else:  # a word that breaks the rule
-                out.update(zip(part, map(pack_ids, self._encode(part))))
-        return out
-
-    def add(self, words: set[str]) -> None:
-        plain, other = [], []
+                self._apart(part)
+
+    def _laid(self, rows_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows in a row, and where each begins (and the last ends)."""
+        start = self.at[rows_]
+        n = self.at[rows_ + 1] - start
+        ends = np.zeros(len(rows_) + 1, np.int64)
+        np.cumsum(n, out=ends[1:])
+        place = np.arange(ends[-1])
+        place += np.repeat(start - ends[:-1], n)
+        return self.data[place], ends
+
+    def add(self, words: list[str]) -> None:
+        """Rows for different words, none of them known."""
+        letters, tailed, other = [], [], []
         for w in words:
             core = w.rstrip(PUNCT)
-            if core.isascii():
-                if core.isalpha():
-                    plain.append((w, core.lower(), w[len(core):]))
-                    continue
-            elif core.isalpha() and max(core) < SCRIPTS_END and core.lower().isalpha():
-                plain.append((w, core, w[len(core):]))
-                continue
-            other.append(w)
-        known = self.cores
-        if len(known) > CACHE_SIZE:
-            known.clear()
-        known.update(self._letters(list({core for _, core, _ in plain}.difference(known))))
-        ends = list({end for _, _, end in plain} - {""})
-        known_ends = dict(zip(ends, map(pack_ids, self._encode(ends))), **{"": b""})
-        self.cache.update((w, known[core] + known_ends[end]) for w, core, end in plain)
-        self.cache.update(zip(other, map(pack_ids, self._encode(other))))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+            if core.isalpha() and (core.isascii() or max(core) < SCRIPTS_END and core.lower().isalpha()):
+                if len(core) == len(w):
+                    letters.append(w)
+                else:
+                    tailed.append((w, core, w[len(core):]))
+            else:
+                other.append(w)
+        row = self.row
+        self._letters(letters)
+        self._letters(list({core for _, core, _ in tailed}.difference(row)))
+        self._apart(other)
+        self._apart(list({end for _, _, end in tailed}.difference(row)))
+        tailed = [x for x in tailed if x[0] not in row]
+        both = np.array([row[x] for _, core, end in tailed for x in (core, end)], np.int64)
+        ids, ends = self._laid(both)
+        self._store([w for w, _, _ in tailed], ids, np.diff(ends[::2]))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id behind them."""
-        out = []
-        for at in range(0, len(texts), 256):
-            # separators x1c-x1f split words for Python but not for the tokenizer
-            part = [t.split() if t.isprintable() or not any(c in t for c in "\x1c\x1d\x1e\x1f") else None
-                    for t in texts[at:at + 256]]
-            words = set().union(*[x for x in part if x])
-            missing = words.difference(self.cache)
-            if len(self.cache) + len(missing) > CACHE_SIZE:
-                self.cache.clear()
-                missing = words
-            self.add(missing)
-            ids_of = self.cache.__getitem__
-            for own, t in zip(part, texts[at:at + 256]):
-                body = pack_ids(self._encode([t])[0]) if own is None else b"".join(map(ids_of, own))
-                out.append(body + self.end)
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        # separators x1c-x1f split words for Arrow but not for the tokenizer
+        apart = np.flatnonzero(pc.match_substring_regex(texts, "[\x1c-\x1f]").to_numpy(zero_copy_only=False))
+        out: list[bytes] = []
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE_BYTES, "right")))
+            out += self._slice(texts.slice(at, stop - at))
+            at = stop
+        for i in apart.tolist():
+            out[i] = pack_ids(self._encode([texts[i].as_py()])[0]) + self.end
         return out
 
+    def _slice(self, texts: pa.Array) -> list[bytes]:
+        """As ``encode``: the different words of the texts are looked up once, their ids laid out by place."""
+        parts = pc.utf8_split_whitespace(texts)
+        each = parts.flatten().dictionary_encode()
+        codes, words = each.indices.to_numpy(), each.dictionary.to_numpy(zero_copy_only=False).tolist()
+        missing = [w for w in words if w not in self.row]
+        if len(self.row) + len(missing) > CACHE_SIZE:
+            self.row.clear()
+            missing = words
+        self.add(missing)
+        ids, ends = self._laid(np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))[codes])
+        raw, ends = ids.tobytes(), 4 * ends
+        bounds = ends[parts.offsets.to_numpy() - parts.offsets[0].as_py()].tolist()
+        return [raw[a:b] + self.end for a, b in zip(bounds, bounds[1:])]
+
+
+def _room(x: np.ndarray, n: int) -> np.ndarray:
+    """``x`` with room for ``n`` values at least."""
+    return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
+
 
 def pack_ids(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
@@ -260,10 +300,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, tie
         packer = Packer(TaskContext.get().partitionId(), emit, tiers, step_tokens, pool)
         encoder = _encoder(tokenizer_path, end_id)
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for at in range(0, len(ids), 256):
-                encoded = encoder.encode([t or "" for t in texts[at:at + 256]])
-                for doc_id, x in zip(ids[at:at + 256], encoded):
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for at in range(0, len(ids), 2_000):
+                for doc_id, x in zip(ids[at:at + 2_000], encoder.encode(texts.slice(at, 2_000))):
                     packer.add(doc_id, x)
                 if len(out) > 10_000:
                     yield flush()

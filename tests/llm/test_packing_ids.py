@@ -2,6 +2,8 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from airnet.llm import packing
@@ -33,3 +35,19 @@ def test_a_full_cache_changes_nothing(encoder, monkeypatch):
     want = encoder.encode(texts)
     monkeypatch.setattr(packing, "CACHE_SIZE", 50)
     assert packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 2).encode(texts) == want
+
+
+def test_white_space_is_that_of_the_tokenizer():
+    """Words are split by Arrow; every character that parts them there does so for str.split too, and the reverse."""
+    texts = [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    got = pc.utf8_split_whitespace(pa.array(texts)).to_pylist()
+    assert [t for t, x in zip(texts, got) if x != t.split()] == []
+
+
+def test_long_texts_and_slices(encoder, monkeypatch):
+    """Texts beyond a slice, many slices, NULL and empty texts among them."""
+    texts = _texts(500, 3) + [" ".join(_texts(3_000, 4)), None, "", " \t "]
+    want = encoder.encode(pa.array(texts, pa.string()))
+    monkeypatch.setattr(packing, "SLICE_BYTES", 100)
+    got = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 2).encode(pa.array(texts, pa.string()))
+    assert got == want == [packing.pack_ids([*i, 2]) for i in encoder._encode([t or "" for t in texts])]
