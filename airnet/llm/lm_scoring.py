@@ -6,16 +6,18 @@ symbol is the escape and its bytes.  Every code bit is predicted from several co
 
 * its place in the code alone (order 0), exactly from the symbol counts;
 * hashed (last frequent symbol, place), which tells the language and register, and (two previous
-  symbols, place): bit counts in tables of ``SLOTS`` slots, gathered from all training texts;
-* spelled bytes: hashed contexts of two to five bytes before, gathered from all training words
+  symbols, place): bit counts in tables of ``SLOTS`` slots, gathered from all training texts, each
+  resting on the shorter context's prediction as a prior worth ``STRENGTH`` bits;
+* other frequent words, listed with their discounted counts, are one more choice after the escape;
+* spelled bytes of the words that are left: hashed contexts of two to five bytes before, gathered from all training words
   without a symbol, each once, and mixed by their evidence.
 
 The predictions' log odds are mixed with weights that a gate selects (how often the two hashed
 contexts were seen) and that are learned online: after each word they move along the gradient
 of the coding cost.  An adaptive stage then refines the mixed probability by what it predicted
 before.  Weights and adaptive stage start anew every ``SEGMENT`` words, so that long texts
-run side by side; the contexts run on.  The score is the log10 probability of all bits, a
-proper distribution over word sequences; ``bits_per_byte`` divides it by the text's bytes.
+run side by side; the contexts run on.  The score is the log10 probability of all bits; over all
+word sequences the probabilities sum to at most 1; ``bits_per_byte`` divides it by the text's bytes.
 
 Scale: word counts are a grouped aggregate; tables are partial sums of fixed-size blocks.  Only
 the most frequent words (``SYMBOLS`` and ``KNOWN``, at most ``MAX_WORD`` bytes each) and the
@@ -47,8 +49,11 @@ SPELL_SLOTS = 1 << 20
 SPELL_ORDERS = (2, 3, 4, 5)
 FREQUENT = 256             # symbols that serve as the wide context
 SEGMENT = 256
+STRENGTH = (3.0, 3.0)      # of the shorter context's prediction as a prior, in seen bits
+START = (0.3, 0.3, 0.4)     # mixing weights at the begin of a segment
 RATE = 0.02                # of the mixing weights
 APM_RATE = 0.02
+PRIOR = 0.4                # of each bit in a context table
 BLOCK = 1 << 15            # slots in a partial sum
 FLUSH = 300_000            # different words a counting task holds
 BUFFER = 1_200_000         # code bits handled at once
@@ -191,14 +196,30 @@ class Model:
         self.code = Code([max(escape, 1), max(counts[0], 1)] + counts[1:])
         self.tables: list[tuple[np.ndarray, np.ndarray]] = []
         self.ready: list[np.ndarray] = []
+        self.listed: dict[bytes, float] = {}   # -ln P of a word without a symbol, the escape given
+        self.unlisted = 0.0                    # -ln P of any other word, before its bytes
+
+    def list_words(self, counts: dict[bytes, int], all_tokens: int, once: int, twice: int) -> None:
+        """Words without a symbol that are listed with their counts: after an escape each has its
+        discounted share of the ``all_tokens`` tokens without a symbol; what is left is spelled.
+        The discount is that of words seen ``once`` and ``twice`` (numbers of words)."""
+        discount = once / (once + 2 * twice) if once else 0.5
+        rest = all_tokens + 1.0
+        for w, n in counts.items():
+            if w not in self.number:
+                self.listed[w] = math.log((all_tokens + 1) / (n - discount * 0.999))
+                rest -= n - discount * 0.999
+        self.unlisted = math.log((all_tokens + 1) / rest)
 
     def prepare(self) -> None:
-        """The tables as scoring reads them, once per task: log odds (0 without evidence) of the
-        contexts, and (weight times log odds, weight) side by side for the spelling orders."""
+        """The tables as scoring reads them, once per task: (ones, all) of the contexts, and
+        (weight times log odds, weight) of the spelling orders, side by side."""
         for k, (odds, seen) in enumerate(self.tables):
             odds = odds.astype(np.float32)
             if k < 2:
-                self.ready.append(odds * (seen > 0))
+                every = np.exp2(seen.astype(np.float32) / 8) - 1
+                ones = (every + 2 * PRIOR) / (1 + np.exp(-odds)) - PRIOR
+                self.ready.append(np.stack([np.clip(ones, 0, every), every], axis=1))
             else:
                 weight = seen.astype(np.float32) * np.float32(k - 1)
                 self.ready.append(np.stack([weight * odds, weight], axis=1))
@@ -324,7 +345,7 @@ def gather(train: DataFrame, counts: DataFrame, model) -> list[tuple[np.ndarray,
     def packed(key, total) -> tuple:
         # log odds and the size of the evidence: 3 bytes a slot
         ones, every = total.reshape(2, BLOCK).astype(float)
-        prior = 0.4 if key[0] < 2 else 0.05
+        prior = PRIOR if key[0] < 2 else 0.05
         p = (ones + prior) / (every + 2 * prior)
         seen = np.minimum(np.log2(every + 1) * 8, 255).astype("u1")
         return (*key, np.log(p / (1 - p)).astype("<f2").tobytes() + seen.tobytes())
@@ -387,14 +408,17 @@ def mix(model: Model, flat: np.ndarray, c1: np.ndarray, c2: np.ndarray, segment:
     size = code.lengths[flat[order]]
     first = np.cumsum(size) - size                          # first bit of each symbol
     gate = np.zeros(len(flat), np.int64)
+    p = 1 / (1 + np.exp(-inputs[:, 0]))
     for k, c in enumerate((token_c1, token_c2)):
         slot = slots(c[place], node, SLOTS)
-        inputs[:, 1 + k] = model.ready[k].take(slot)
+        found = model.ready[k].take(slot, axis=0)           # what was seen, on the shorter context's prediction
+        p = (found[:, 0] + np.float32(STRENGTH[k]) * p) / (found[:, 1] + np.float32(STRENGTH[k]))
+        np.clip(p, 1e-6, 1 - 1e-6, out=p)
+        inputs[:, 1 + k] = np.log(p / (1 - p))
         gate = gate * 6 + np.minimum(model.tables[k][1].take(slot[first]) >> 4, 5)
     seg_sorted = segment[order]
     gate += seg_sorted * 36
-    start = np.array([0.35, 0.45, 0.35], np.float32)
-    weights = np.tile(start, (n_seg * 36, 1))
+    weights = np.tile(np.array(START, np.float32), (n_seg * 36, 1))
     # adaptive stage: 24 cells of log odds, start at their middle
     cells = np.tile(((np.arange(24) - 11.5) * 0.75).astype(np.float32), n_seg)
     bounds = np.searchsorted(step[order], np.arange(int(step.max()) + 2))
@@ -427,14 +451,16 @@ def score_texts(model: Model, texts: list[list[bytes]], spelled: dict[bytes, flo
     if not model.ready:
         model.prepare()
     symbols = [model.symbols(w) for w in texts]
-    new = {w for ws, s in zip(texts, symbols) for w in [ws[i] for i in np.nonzero(s == 0)[0].tolist()] if w not in spelled}
+    escaped = [[ws[i] for i in np.nonzero(s == 0)[0].tolist()] for ws, s in zip(texts, symbols)]
+    every = set().union(*escaped).difference(model.listed)
+    new = every.difference(spelled)
     if len(spelled) + len(new) > SPELL_CACHE:
         spelled.clear()
-        new = {w for ws, s in zip(texts, symbols) for w in [ws[i] for i in np.nonzero(s == 0)[0].tolist()]}
-    listed = sorted(new)
-    for at in range(0, len(listed), 10_000):
-        part = listed[at:at + 10_000]
-        spelled.update(zip(part, spell_costs(model, part).tolist()))
+        new = every
+    new = sorted(new)
+    for at in range(0, len(new), 10_000):
+        part = new[at:at + 10_000]
+        spelled.update(zip(part, (spell_costs(model, part) + model.unlisted).tolist()))
     flat, c1, c2 = model.contexts(symbols)
     sizes = [len(s) for s in symbols]
     segment = np.concatenate([np.arange(n) // SEGMENT for n in sizes])
@@ -443,8 +469,9 @@ def score_texts(model: Model, texts: list[list[bytes]], spelled: dict[bytes, flo
     fresh[1:] = (segment[1:] != segment[:-1]) | (text[1:] != text[:-1])
     costs = mix(model, flat, c1, c2, np.cumsum(fresh) - 1)
     total = np.bincount(text, weights=costs, minlength=len(sizes))
-    for i, (ws, s) in enumerate(zip(texts, symbols)):
-        total[i] += sum([spelled[ws[j]] for j in np.nonzero(s == 0)[0].tolist()])
+    listed = model.listed
+    for i, words in enumerate(escaped):
+        total[i] += sum([listed[w] if w in listed else spelled[w] for w in words])
     return (-total / math.log(10)).tolist()
 
 
@@ -470,6 +497,9 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     symbol_words = [bytes(r["w"]) for r in top[:SYMBOLS] if r["n"] > 1]
     symbol_counts = [r["n"] for r in top[:SYMBOLS] if r["n"] > 1]
     model = Model(symbol_words, [ends] + symbol_counts, n_total - ends - sum(symbol_counts))
+    sizes = {r["n"]: r["words"] for r in counts.where((F.col("n") <= 2) & (F.col("w") != F.lit(b"")))
+             .groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()}   # at most two rows
+    without = n_total - ends - sum(symbol_counts)
     first = spark.sparkContext.broadcast(model)
     model.tables = gather(train, counts, first)
     shared = spark.sparkContext.broadcast((model, {bytes(r["w"]): r["n"] for r in top}))
@@ -478,6 +508,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         m, known = shared.value
+        if not m.listed:
+            m.list_words(known, without, sizes.get(1, 0), sizes.get(2, 0))
         spelled: dict[bytes, float] = {}
         logs = {w: math.log10(n + 1) for w, n in known.items()}
         task, row = TaskContext.get().partitionId(), 0

@@ -420,6 +420,65 @@ def test_lm_is_a_distribution():
     assert math.isclose(sum(2.0 ** -n for n in code.lengths), 1.0)
 
 
+def test_lm_mixing_against_plain_loops():
+    """Costs of ``mix`` against a mixer written bit by bit, over several segments."""
+    from airnet.llm import lm_scoring as L
+    words = [b"a", b"b", b"c", b"d"]
+    model = L.Model(words, [5, 9, 7, 4, 2], 3)
+    rng = np.random.default_rng(2)
+    sizes = [L.SLOTS, L.SLOTS] + [L.SPELL_SLOTS] * len(L.SPELL_ORDERS)
+    model.tables = [(rng.normal(0, 1, s).astype(np.float16), rng.integers(0, 60, s).astype(np.uint8)) for s in sizes]
+    model.prepare()
+    texts = [model.symbols([words[i] for i in rng.integers(0, 4, n)]) for n in (0, 3, 40)]
+    flat, c1, c2 = model.contexts(texts)
+    segment = np.repeat([0, 1, 2, 3], [1, 4, 21, 20])
+    got = L.mix(model, flat, c1, c2, segment)
+    code, want = model.code, []
+    for seg in range(4):
+        weights, cells = {}, [(i - 11.5) * 0.75 for i in range(24)]
+        for j in np.flatnonzero(segment == seg):
+            cost, gate, xs, zs, moves = 0.0, None, [], [], {}
+            for at in range(code.at[flat[j]], code.at[flat[j] + 1]):
+                node, bit = code.nodes[at], int(code.bits[at])
+                x = [float(code.stretch[node])]
+                p, seen = 1 / (1 + math.exp(-x[0])), []
+                for k, c in enumerate((c1, c2)):
+                    slot = int(L.slots(c[j:j + 1], code.hashes[node:node + 1], L.SLOTS)[0])
+                    odds, size = float(model.tables[k][0][slot]), int(model.tables[k][1][slot])
+                    seen.append(min(size >> 4, 5))
+                    every = 2 ** (size / 8) - 1
+                    ones = min(max((every + 2 * L.PRIOR) / (1 + math.exp(-odds)) - L.PRIOR, 0), every)
+                    p = min(max((ones + L.STRENGTH[k] * p) / (every + L.STRENGTH[k]), 1e-6), 1 - 1e-6)
+                    x.append(math.log(p / (1 - p)))
+                gate = gate or tuple(seen)
+                w = weights.setdefault(gate, list(L.START))
+                z = min(max(sum(a * b for a, b in zip(w, x)), -14), 14)
+                cell = min(max(int(z / 0.75 + 12), 0), 23)
+                y = 0.7 * z + 0.3 * cells[cell]
+                cost += math.log(1 + math.exp(-y if bit else y))
+                xs.append(x)
+                zs.append(bit - 1 / (1 + math.exp(-z)))
+                q = 1 / (1 + math.exp(-cells[cell]))
+                moves[cell] = cells[cell] + L.APM_RATE * (bit - q) / max(q * (1 - q), 0.05)
+            weights[gate] = [a + L.RATE * sum(e * x[i] for e, x in zip(zs, xs)) for i, a in enumerate(weights[gate])]
+            for cell, value in moves.items():
+                cells[cell] = value
+            want.append(cost)
+    assert np.allclose(got, want, rtol=1e-3, atol=1e-4)
+
+
+def test_lm_listed_words():
+    """Words listed after the escape have their discounted shares; all choices sum to 1."""
+    from airnet.llm import lm_scoring as L
+    model = L.Model([b"a"], [5, 9], 12)
+    model.list_words({b"a": 9, b"x": 4, b"y": 1, b"z": 1}, 12, 8, 2)
+    shares = [math.exp(-v) for v in model.listed.values()] + [math.exp(-model.unlisted)]
+    assert set(model.listed) == {b"x", b"y", b"z"} and math.isclose(sum(shares), 1.0) and min(shares) > 0
+    model = L.Model([], [0], 0)
+    model.list_words({}, 0, 0, 0)
+    assert model.unlisted == 0.0
+
+
 @pytest.mark.parametrize("share", [0.26, 0.3, 0.45])
 def test_quality_outliers_of_a_junk_source(spark, share):
     """A source of which nearly half is junk: all of it goes, and the clean texts stay."""
