@@ -24,10 +24,17 @@ def _wide_files(cells: DataFrame, names: DataFrame, label: str) -> str:
     """Files of wide rows.  ``cells``: bucket, t, name, text; ``names``: bucket, name, place (its column).
     Each file has a short title, an empty second row, its header and a row per time; cells that are missing say n/d."""
     header = names.groupBy("bucket").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "name"))), lambda x: x["name"]).alias("names"))
-    rows = cells.groupBy("bucket", "t").agg(F.map_from_entries(F.collect_list(F.struct("name", "text"))).alias("m"))
-    body = rows.join(header, "bucket").select(
-        "bucket", F.concat(F.lit("2"), F.col("t")).alias("seq"),
-        F.concat_ws(",", F.concat("t", F.lit("Z")), F.transform("names", lambda n: F.coalesce(F.try_element_at("m", n), F.lit("n/d")))).alias("line"))
+    at = header.select("bucket", F.posexplode("names").alias("i", "name"))
+    rows = cells.join(at, ["bucket", "name"]).groupBy("bucket", "t").agg(F.array_sort(F.collect_list(F.struct("i", "text"))).alias("m"))
+
+    def missing(start, end):  # the cells from one column to the one before another
+        return F.repeat(F.lit(",n/d"), (end - start).cast("int"))
+
+    filled = F.transform("m", lambda x, j: F.concat(missing(F.coalesce(F.get("m", j - 1)["i"] + 1, F.lit(0)), x["i"]), F.lit(","),
+                                                    F.coalesce(x["text"], F.lit("n/d"))))
+    rest = missing(F.element_at("m", -1)["i"] + 1, F.col("width"))
+    body = rows.join(header.select("bucket", F.size("names").alias("width")), "bucket").select(
+        "bucket", F.concat(F.lit("2"), F.col("t")).alias("seq"), F.concat(F.col("t"), F.lit("Z"), F.array_join(filled, ""), rest).alias("line"))
     top = header.select("bucket", F.explode(F.array(
         F.struct(F.lit("0").alias("seq"), F.lit("Title").alias("line")), F.struct(F.lit("10").alias("seq"), F.lit("unit,-").alias("line")),
         F.struct(F.lit("11").alias("seq"), F.concat_ws(",", F.lit("time"), "names").alias("line")))).alias("x")).select("bucket", "x.*")

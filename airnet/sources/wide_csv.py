@@ -2,8 +2,9 @@
 
 A folder may hold files whose columns differ in number and order, each with title lines
 before the header.  The header of every file is read first, into a table keyed by the file's path;
-rows are then split to an explicit width and meet their own file's header, so a short
+each row is then split into an array of its own cells and meets its own file's header, so a short
 title line cannot narrow the table and a column always keeps the name its own file gives it.
+No plan holds a column per cell, so its size does not grow with the width of the files.
 
 The headers cost two scans of the lines as text (no cell is parsed); the rows are parsed once.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 import csv
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airnet.functions import names as _names
@@ -54,17 +55,31 @@ def header_table(spark: SparkSession, path, *, row_index: int = 2, sep: str = ",
     return headers
 
 
+def _regex(text: str) -> str:
+    return "".join(f"\\x{{{ord(c):x}}}" for c in text)
+
+
+def split_cells(line: Column, sep: str = ",") -> Column:
+    """The cells of a line as an array, as ``from_csv`` reads them: an empty cell is NULL; a quoted one may hold the
+    separator, and text behind its closing quote belongs to it."""
+    mark = _regex(sep)
+    plain = F.split(line, mark, -1)
+    quoted_cell = r'"[^"\\]*+(?:\\.[^"\\]*+)*+(?:"(?:\\.)*+|\\?\z)'   # possessive: no stack grows with the cell
+    cell = rf"(?s){mark}((?:{quoted_cell})?.*?)(?={mark}|\z)"
+    # each match starts with a separator, so that none is empty
+    parted = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(cell), 1)
+    read = F.transform(parted, lambda c: F.when(c.startswith('"'), F.from_csv(c, "c string", {"sep": sep})["c"]).when(c != "", c))
+    return F.when(F.contains(line, F.lit('"')), read).otherwise(F.transform(plain, lambda c: F.when(c != "", c)))
+
+
 def _rows(spark: SparkSession, path, headers: DataFrame, sep: str, data_regex: str) -> DataFrame:
     """``names, cells`` of every line whose first cell matches ``data_regex``."""
-    size = headers.agg(F.max(F.size("names")).alias("width"), F.sum(F.octet_length("line")).alias("bytes")).first()
-    width = size["width"] or 1
-    schema = ", ".join(f"c{i} string" for i in range(width))
+    size = headers.agg(F.sum(F.octet_length("line"))).first()[0]
     held = headers.select("file", "names")
-    if (size["bytes"] or 0) <= BROADCAST_BYTES:
+    if (size or 0) <= BROADCAST_BYTES:
         held = F.broadcast(held)
-    parsed = _lines(spark, path).select("file", F.from_csv("value", schema, {"sep": sep}).alias("c"))
-    cells = parsed.select("file", F.array(*[F.col(f"c.c{i}") for i in range(width)]).alias("cells"))
-    return cells.where(F.col("cells")[0].rlike(data_regex)).join(held, "file").select("names", "cells")
+    cells = _lines(spark, path).select("file", split_cells(F.col("value"), sep).alias("cells"))
+    return cells.where(F.get("cells", F.lit(0)).rlike(data_regex)).join(held, "file").select("names", "cells")
 
 
 def wide_csv_to_long(spark: SparkSession, path, measure: str = "pm", *, row_index: int = 2, sep: str = ",",

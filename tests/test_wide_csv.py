@@ -94,3 +94,26 @@ def test_ingest_reads_folders(spark, folder):
 def test_no_files(spark, tmp_dir):
     open(os.path.join(tmp_dir, "e.csv"), "w").close()
     assert wide_csv_to_long(spark, tmp_dir).count() == 0 and read_raw_csv(spark, tmp_dir).count() == 0
+
+
+def test_cells_are_those_of_from_csv(spark):
+    from airnet.sources.wide_csv import split_cells
+    lines = ["a,b", ",", "a,,", '"a,b",c', '"a""b",c', '"a,b"c,d', '"a\\"b,c",d', '"",x', ',"",', ' "a,b",c', '"a" ,b', '"x', 'a,"b', ' a , b ', '"b,\\']
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    for sep in (",", ";", "|"):
+        swapped = F.translate("line", ",", sep)
+        old = F.from_csv(swapped, "c0 string, c1 string, c2 string, c3 string", {"sep": sep})
+        got = frame.select("line", F.array(*[old[f"c{i}"] for i in range(4)]).alias("old"),
+                           F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.get(split_cells(swapped, sep), i)).alias("new"))
+        assert [(r["line"], r["new"]) for r in got.collect()] == [(r["line"], r["old"]) for r in got.collect()]
+
+
+def test_files_wider_than_a_plan_can_be(spark, tmp_dir):
+    n = 30_000
+    with open(os.path.join(tmp_dir, "w.csv"), "w") as f:
+        f.write("t\nu\n" + ",".join(["time", *(f"S{i}" for i in range(n))]) + "\n")
+        for start in ("2024-01-01 00:00:00Z", '"2024-01-01 01:00:00Z"'):
+            f.write(",".join([start, *map(str, range(n))]) + "\n")
+    long = wide_csv_to_long(spark, tmp_dir)
+    assert tuple(long.agg(F.count("*"), F.sum("pm"), F.countDistinct("station")).first()) == (2 * n, n * (n - 1.0), n)
+    assert not long.where(F.concat(F.lit("S"), F.col("pm").cast("int")) != F.col("station")).count()
