@@ -13,9 +13,13 @@ from airnet.sources.tables import load_table
 
 
 def _write_files(lines: DataFrame, label: str) -> str:
-    """One text file per ``bucket``, its ``line`` s in the order of ``seq``."""
+    """One text file per ``bucket``, its ``line`` s in the order of ``seq``.
+
+    Dealt by a hash of its own: a union of parts that are each dealt by ``bucket`` already would not be dealt
+    again, and parts that are then coalesced apart leave a bucket's lines in several files.
+    """
     path = scratch_path(lines.sparkSession, label)
-    (lines.repartition("bucket").sortWithinPartitions("bucket", "seq").select("bucket", F.col("line").alias("value"))
+    (lines.repartition(F.xxhash64("bucket")).sortWithinPartitions("bucket", "seq").select("bucket", F.col("line").alias("value"))
      .write.partitionBy("bucket").text(path))
     return path
 

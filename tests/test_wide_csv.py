@@ -117,3 +117,21 @@ def test_files_wider_than_a_plan_can_be(spark, tmp_dir):
     long = wide_csv_to_long(spark, tmp_dir)
     assert tuple(long.agg(F.count("*"), F.sum("pm"), F.countDistinct("station")).first()) == (2 * n, n * (n - 1.0), n)
     assert not long.where(F.concat(F.lit("S"), F.col("pm").cast("int")) != F.col("station")).count()
+
+
+def test_one_file_for_each_bucket(spark):
+    from airnet.plans.csv_queries import _wide_files, _write_files
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(9_999)), lambda i: F.md5(F.concat_ws("|", "id", i))), "")
+    head = spark.range(60).groupBy((F.col("id") % 20).alias("bucket")).agg(F.max(text).alias("line"))   # more than one partition of them
+    parts = head.select("bucket", F.lit(1).alias("seq"), F.concat("line", F.col("bucket").cast("string")).alias("line")).unionByName(
+        head.select("bucket", F.lit(0).alias("seq"), F.lit("t").alias("line")))
+    read = spark.read.text(_write_files(parts, "test")).groupBy("bucket").agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"), F.count("*"))
+    assert {tuple(r)[1:] for r in read.collect()} == {(1, 2)}
+
+    cells = spark.createDataFrame([(0, "2024-01-01 00:00:00", "b", "1"), (0, "2024-01-01 01:00:00", "a", "2"), (0, "2024-01-01 01:00:00", "d", "3"),
+                                   (0, "2024-01-01 02:00:00", "c", None), (1, "2024-01-02 00:00:00", "z", "4")],
+                                  "bucket int, t string, name string, text string")
+    path = _wide_files(cells, cells.select("bucket", "name", F.col("name").alias("place")).distinct(), "test")
+    lines = spark.read.text(path).where("bucket = 0")
+    assert [r["value"] for r in lines.collect()] == [
+        "Title", "unit,-", "time,a,b,c,d", "2024-01-01 00:00:00Z,n/d,1,n/d,n/d", "2024-01-01 01:00:00Z,2,n/d,n/d,3", "2024-01-01 02:00:00Z,n/d,n/d,n/d,n/d"]
