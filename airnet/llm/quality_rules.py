@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from airnet.llm.common import arrow, rows, ship
+from airnet.llm.common import arrow, batches, rows, ship
 from airnet.session import materialize
 
 WHITE = b" \t\n\r\x0b\x0c"
@@ -46,6 +46,8 @@ CANDIDATES = 3          # starts of each group that are concentrated over all it
 FALL = 1e-4             # a smaller fall of the determinant's logarithm is none
 ROUNDS = 30             # of reweighting, should two sets of documents take turns
 MIN_GROUP = 200
+#: Texts that go to Python at once; a task holds them several times over, outside of the JVM's heap.
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 #: One in a million documents of a normal group lies beyond the cut-off.
 LEVEL = 1 - 1e-6
 FEATURES = ("f_length", "f_symbols", "f_dup_lines", "f_repeats", "f_letters")
@@ -318,8 +320,9 @@ def quality_verdicts(docs: DataFrame, *, lang: str = "lang", source: str = "sour
     """
     stats = document_stats(docs, lang, source)
     null = F.lit("\x00")
-    stats = materialize(stats.withColumnsRenamed({"__0": "lang", "__1": "source"})
-                        .withColumns({"lang": F.coalesce("lang", null), "source": F.coalesce("source", null)}), "stats")
+    with batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        stats = materialize(stats.withColumnsRenamed({"__0": "lang", "__1": "source"})
+                            .withColumns({"lang": F.coalesce("lang", null), "source": F.coalesce("source", null)}), "stats")
     passed = stats.where(~F.col("base_failed"))
     found = materialize(robust_estimates(passed, min_group), "estimates")
 

@@ -26,3 +26,20 @@ def test_line_dedup_keeps_odd_columns(spark):
     assert out.columns == [f.name for f in SCHEMA.fields]
     assert sorted((r["doc_id"], r["text"], r["a`b.c"]) for r in out.collect()) == [
         (1, WORDS, "x"), (2, "and a second line that is found nowhere else", "y")]
+
+
+def test_quality_rules_send_few_texts_at_once(spark, monkeypatch):
+    from airnet.llm import quality_rules
+    seen, write = [], quality_rules.materialize
+    keys = [f"spark.sql.execution.arrow.{k}" for k in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+
+    def spy(frame, label="state"):
+        seen.append((label, *[spark.conf.get(k) for k in keys]))
+        return write(frame, label)
+
+    before = [spark.conf.get(k) for k in keys]
+    monkeypatch.setattr(quality_rules, "materialize", spy)
+    docs = spark.createDataFrame([(i, "a b c", "en", "x") for i in range(3)], "doc_id long, text string, lang string, source string")
+    assert quality_rules.quality_verdicts(docs).count() == 3
+    assert seen[0][0] == "stats" and int(seen[0][1]) <= 500 and int(seen[0][2].rstrip("b")) <= 4 << 20
+    assert [spark.conf.get(k) for k in keys] == before
