@@ -5,8 +5,8 @@ Vertices are keyed by station name (no driver-side id map).  One diffusion step
 and adds it:  ``p[k+1] = p[k] + alpha * A p[k]`` with ``A`` the symmetric adjacency
 counted with multiplicity (a parallel edge sends twice, a self-loop sends to itself
 twice).  The edge list is reduced once to ``(src, dst, weight)`` and persisted; each
-step joins it with the current state, the weights hash-partitioned by ``(src, salt)`` (hubs salted) so
-that only the state moves, and sums by destination (partial + final aggregate).  All states
+step joins it with the current state, the weights hash-partitioned by ``(src, salt)`` (hubs salted) and sorted
+once so that only the state moves, and sums by destination (partial + final aggregate).  All states
 lie in one store, partitioned by iteration.
 """
 from __future__ import annotations
@@ -85,14 +85,15 @@ def mapped_counts(vertices: DataFrame, scores: DataFrame, *, name: str = "name",
 def symmetric_weights(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """``(src, dst, weight)``: each undirected edge in both directions, parallel edges
     summed into the weight (a self-loop appears with weight 2 per copy)."""
-    both = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).union(
-        edges.select(F.col(dst).alias("src"), F.col(src).alias("dst")))
+    there = F.struct(F.col(src).alias("src"), F.col(dst).alias("dst"))
+    back = F.struct(F.col(dst).alias("src"), F.col(src).alias("dst"))
+    both = edges.select(F.explode(F.array(there, back)).alias("e")).select("e.*")  # the edges are computed once
     return both.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
 def partitioned_weights(weights: DataFrame, *, partitions: int, hot_degree: int, salts: int,
                         max_hot: int = 10000) -> tuple[DataFrame, DataFrame | None]:
-    """Edge weights hash-partitioned by ``(src, salt)`` for repeated joins on ``src``.
+    """Edge weights hash-partitioned by ``(src, salt)`` and sorted, for repeated merge joins on ``src``.
 
     A source with more than ``hot_degree`` edges (a hub) has its edges spread over
     ``salts`` salts by destination; its state row is replicated once per salt at each
@@ -110,9 +111,9 @@ def partitioned_weights(weights: DataFrame, *, partitions: int, hot_degree: int,
                 if len(found) <= max_hot else deg).withColumn("__hub", F.lit(True))
         salt = F.when(F.col("__hub"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0))
         weights = weights.join(hubs, "src", "left").withColumn("salt", salt.cast("int")).drop("__hub")
-        return weights.repartition(partitions, "src", "salt"), hubs
+        return weights.repartition(partitions, "src", "salt").sortWithinPartitions("src", "salt"), hubs
     # no hub: a constant salt would be folded out of the join keys, so partition by src only
-    return weights.repartition(partitions, "src"), None
+    return weights.repartition(partitions, "src").sortWithinPartitions("src"), None
 
 
 def diffuse_step(state: DataFrame, weights: DataFrame, alpha: float, *, name: str = "name",
