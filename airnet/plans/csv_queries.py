@@ -29,7 +29,8 @@ def _wide_files(cells: DataFrame, names: DataFrame, label: str) -> str:
     Each file has a short title, an empty second row, its header and a row per time; cells that are missing say n/d."""
     header = names.groupBy("bucket").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "name"))), lambda x: x["name"]).alias("names"))
     at = header.select("bucket", F.posexplode("names").alias("i", "name"))
-    rows = cells.join(at, ["bucket", "name"]).groupBy("bucket", "t").agg(F.array_sort(F.collect_list(F.struct("i", "text"))).alias("m"))
+    named = F.coalesce("name", F.raise_error(F.lit("a cell without a column name")))  # the join would lose it
+    rows = cells.withColumn("name", named).join(at, ["bucket", "name"]).groupBy("bucket", "t").agg(F.array_sort(F.collect_list(F.struct("i", "text"))).alias("m"))
 
     def missing(start, end):  # the cells from one column to the one before another
         return F.repeat(F.lit(",n/d"), (end - start).cast("int"))
