@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, DoubleType, FloatType, IntegerType, LongType, StructField,
                                StructType)
 
-from airnet.llm.common import arrow, id_text, rows
+from airnet.llm.common import arrow, id_text, lean, rows
 
 STRIDE = 32
 RANK = 192
@@ -155,7 +155,7 @@ def document_frequencies(docs: DataFrame, vocab: dict[bytes, int]) -> np.ndarray
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at], pa.int64())], schema=schema)
 
     out = np.zeros(len(vocab) + 1, np.int64)
-    for f, n in id_text(docs).select("text").mapInArrow(run, _DF).groupBy("f").agg(F.sum("n")).collect():
+    for f, n in id_text(docs).select("text").mapInArrow(lean(run), _DF).groupBy("f").agg(F.sum("n")).collect():
         out[f] = n
     return out
 
@@ -177,7 +177,7 @@ def _summed(rows_: DataFrame, make, features: int, width: int) -> np.ndarray:
         total = sum(np.frombuffer(x, "<f8") for x in pdf["part"])
         return pd.DataFrame({"block": [key[0]], "part": [np.asarray(total, "<f8").tobytes()]})
 
-    found = rows_.mapInArrow(run, _PART).groupBy("block").applyInPandas(add, _PART).collect()
+    found = rows_.mapInArrow(lean(run), _PART).groupBy("block").applyInPandas(add, _PART).collect()
     out = np.zeros((features, width))
     for block, part in found:
         p = np.frombuffer(part, "<f8").reshape(-1, width)
@@ -378,7 +378,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK, lcs
                 cols = list(zip(*hits)) or [[] for _ in schema]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-        found = id_text(docs).mapInArrow(run, HIT_SCHEMA)
+        found = id_text(docs).mapInArrow(lean(run), HIT_SCHEMA)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], HIT_SCHEMA)
 

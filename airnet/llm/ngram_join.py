@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StructField, StructType)
 
-from airnet.llm.common import arrow, rows, ship
+from airnet.llm.common import arrow, batches as small_batches, lean, rows, ship
 from airnet.session import materialize
 
 N = 5
@@ -36,6 +35,8 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 MAX_HASHES = 128
 BLOCK_ROWS = 512
+#: Texts that go to Python at once; a task holds them several times over, outside of the JVM's heap.
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 BLOCK_SHINGLES = 1 << 20
 BROADCAST_ROWS = 250_000      # of 16 bytes each
 WORD_CACHE = 400_000
@@ -62,7 +63,7 @@ def choose_bands(threshold: float, recall: float, most: int = MAX_HASHES) -> tup
 
 
 class Shingler:
-    """Shingle sets and band hashes of texts; words are hashed once per worker (bounded cache)."""
+    """Shingle sets and band hashes of texts; words are hashed once per task (bounded cache)."""
 
     def __init__(self, n: int, bands: int, rows_: int, seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -110,11 +111,6 @@ def set_key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-@lru_cache(maxsize=2)
-def _shingler(n: int, bands: int, rows_: int) -> Shingler:
-    return Shingler(n, bands, rows_)
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text and a 128-bit content hash (a, b), in which NULL differs from the empty text."""
     ship(docs.sparkSession)
@@ -127,7 +123,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows_: int) -> DataFrame:
     schema = arrow(SIGNATURE_SCHEMA)
 
     def run(batches):
-        s = _shingler(n, bands, rows_)
+        s = Shingler(n, bands, rows_)
         for batch in batches:
             out = []
             for doc_id, text, a, b in rows(batch, "doc_id", "text", "a", "b"):
@@ -136,7 +132,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows_: int) -> DataFrame:
             cols = list(zip(*out)) or [[] for _ in schema]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-    return keyed(docs).mapInArrow(run, SIGNATURE_SCHEMA)
+    return keyed(docs).mapInArrow(lean(run), SIGNATURE_SCHEMA)
 
 
 def _small(side: DataFrame) -> DataFrame:
@@ -148,14 +144,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     schema = arrow(SET_SCHEMA)
 
     def run(batches):
-        s = _shingler(n, 1, 1)
+        s = Shingler(n, 1, 1)
         for batch in batches:
             found = [s.shingles(text) for (text,) in rows(batch, "text")]
             yield pa.RecordBatch.from_arrays([pa.array([set_key(x) for x in found], pa.binary()),
                                               pa.array([x.tobytes() for x in found], pa.binary())], schema=schema)
 
     first = keyed(docs).join(_small(wanted), ["a", "b"], "left_semi").select("text")
-    return first.mapInArrow(run, SET_SCHEMA).dropDuplicates(["key"])
+    return first.mapInArrow(lean(run), SET_SCHEMA).dropDuplicates(["key"])
 
 
 def _compare(keys: list[bytes], sets: list[np.ndarray], sides: np.ndarray, kept: np.ndarray, bucket: int,
@@ -252,7 +248,7 @@ def _verify(members: DataFrame, threshold: float) -> DataFrame:
             yield batch_of(close())
 
     keys = ["bucket", "p", "q"]
-    return members.repartition(*keys).sortWithinPartitions(*keys).select(*cols).mapInArrow(run, LINK_SCHEMA)
+    return members.repartition(*keys).sortWithinPartitions(*keys).select(*cols).mapInArrow(lean(run), LINK_SCHEMA)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -291,7 +287,8 @@ def near_copies(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, re
     ids never name a class.  Other columns are not read.
     """
     bands, rows_ = choose_bands(threshold, recall)
-    signed = materialize(signatures(docs, n, bands, rows_), "signatures")
+    with small_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        signed = materialize(signatures(docs, n, bands, rows_), "signatures")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "a", "b"))
     classes = materialize(
         signed.where("n > 0").groupBy("key")
@@ -316,7 +313,8 @@ def near_copies(docs: DataFrame, *, n: int = N, threshold: float = THRESHOLD, re
     meets = materialize(meets.select("key", F.array(*[f"k{i}" for i in range(bands)]).alias("kept")), "meets")
 
     wanted = materialize(classes.join(meets.select("key"), "key", "left_semi").select("a", "b"), "wanted")
-    sets = materialize(_sets(docs, wanted, n).join(meets, "key", "inner"), "sets")
+    with small_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        sets = materialize(_sets(docs, wanted, n).join(meets, "key", "inner"), "sets")
 
     blocks = F.greatest(F.ceil(F.col("c") / F.lit(BLOCK_ROWS)), F.ceil(F.col("s") / F.lit(BLOCK_SHINGLES))).cast("int")
     placed = (met.select("key", F.col("keep").alias("bucket"), blocks.alias("blocks")).distinct()

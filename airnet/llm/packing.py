@@ -28,14 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from airnet.llm.common import arrow, id_text, rows
+from airnet.llm.common import arrow, give_back, id_text, lean
 
 TIERS = (4096, 2048, 1024, 512)
 POOL = 2_048           # pending pieces of a task (each below the largest tier)
 CACHE_SIZE = 800_000     # words; their ids lie in one array
-SLICE_BYTES = 1 << 23    # of texts whose words are looked up at once; a longer text is one slice
+SLICE_BYTES = 1 << 21    # of texts whose words are looked up at once; a longer text is one slice
 STEP_TOKENS = 8 * 4096
 PUNCT = ".,;:!?#*$%&"
+SLICE_ROWS = 500
 SCRIPTS_END = chr(0x530)   # Latin, Greek and Cyrillic lie before it
 
 PIECE_SCHEMA = StructType(
@@ -301,12 +302,13 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, tie
         encoder = _encoder(tokenizer_path, end_id)
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(ids), 2_000):
-                for doc_id, x in zip(ids[at:at + 2_000], encoder.encode(texts.slice(at, 2_000))):
+            for at in range(0, len(ids), SLICE_ROWS):
+                for doc_id, x in zip(ids[at:at + SLICE_ROWS], encoder.encode(texts.slice(at, SLICE_ROWS))):
                     packer.add(doc_id, x)
+                give_back()
                 if len(out) > 10_000:
                     yield flush()
         packer.finish()
         yield flush()
 
-    return id_text(docs).mapInArrow(pack, PIECE_SCHEMA)
+    return id_text(docs).mapInArrow(lean(pack), PIECE_SCHEMA)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from airnet.llm.common import batches
 from airnet.llm.decontamination import contaminated
 from airnet.llm.line_dedup import line_dedup
 from airnet.llm.ngram_join import near_copies
@@ -27,6 +28,8 @@ from airnet.session import materialize
 from airnet.sources.tables import load_table
 
 BROADCAST_ROWS = 1_000_000   # of one 64-bit number each
+#: Texts that go to Python at once; a task holds them several times over, outside of the JVM's heap.
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 
 def _row_hash() -> Column:
@@ -83,10 +86,12 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hits = contaminated(_hashed(docs), load_table(spark, sf_dir, "benchmark"))
-    return _without(docs, hits.select(F.col("doc_id").alias("h")))
+    with batches(spark, BATCH_ROWS, BATCH_BYTES):
+        hits = contaminated(_hashed(docs), load_table(spark, sf_dir, "benchmark"))
+        return _without(docs, hits.select(F.col("doc_id").alias("h")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    with batches(spark, BATCH_ROWS, BATCH_BYTES):
+        return materialize(pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")), "pieces")

@@ -43,3 +43,42 @@ def test_quality_rules_send_few_texts_at_once(spark, monkeypatch):
     assert quality_rules.quality_verdicts(docs).count() == 3
     assert seen[0][0] == "stats" and int(seen[0][1]) <= 500 and int(seen[0][2].rstrip("b")) <= 4 << 20
     assert [spark.conf.get(k) for k in keys] == before
+
+
+def test_a_task_gives_its_memory_back():
+    import subprocess
+    import sys
+    code = """
+import re
+from airnet.llm.common import lean
+
+def held():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) >> 10
+
+def run(batches):
+    blocks = [bytearray(2_000) for _ in range(100_000)]
+    keep.extend(blocks[::2_000])     # what stays lies among what goes
+    yield from batches
+
+keep, before = [], held()
+assert list(lean(run)([1, 2])) == [1, 2]
+print(held() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 60  # of 200 MB
+
+
+def test_workers_get_few_texts_at_once(spark, monkeypatch):
+    from airnet.llm import ngram_join
+    seen, write = {}, stages.materialize
+
+    def noted(df, label="state"):
+        seen[label] = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        return write(df, label)
+
+    monkeypatch.setattr(stages, "materialize", noted)
+    monkeypatch.setattr(ngram_join, "materialize", noted)
+    docs = spark.createDataFrame([(i, WORDS + " again" * (i % 2), "q", None, None) for i in range(4)], SCHEMA)
+    ngram_join.near_copies(docs)
+    assert stages.packing(spark, docs, "").count() >= 4
+    assert max(seen[k] for k in ("signatures", "sets", "pieces")) <= 500
