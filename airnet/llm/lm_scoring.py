@@ -28,6 +28,7 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
+from collections import Counter
 from itertools import repeat
 
 import numpy as np
@@ -85,6 +86,18 @@ def _batch(out: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
 
+def _scored_batch(heads: list[tuple], scores: list[float], rare: list[dict[bytes, int]], schema: pa.Schema) -> pa.RecordBatch:
+    """Rows of ``SCORED``: what stands before the score, the scores, the words with no broadcast count."""
+    cols = list(zip(*heads)) or [[] for _ in schema[:-2]]
+    cols = [pa.array(c, f.type) for c, f in zip([*cols, scores], schema)]
+    kind = schema.field("rare").type
+    fields = [kind.value_type.field(i) for i in range(2)]
+    words = pa.array([w for r in rare for w in r], fields[0].type), pa.array([m for r in rare for m in r.values()], fields[1].type)
+    ends = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
+    cols.append(pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(words, fields=fields), type=kind))
+    return pa.RecordBatch.from_arrays(cols, schema=schema)
+
+
 # ---- counts ---------------------------------------------------------------------------------------
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -92,7 +105,6 @@ def word_counts(train: DataFrame) -> DataFrame:
     schema = arrow(_COUNT)
 
     def run(batches):
-        from collections import Counter
         seen: Counter = Counter()
         for batch in batches:
             for (text,) in rows(batch, "text"):
@@ -163,6 +175,7 @@ class Code:
         total = np.bincount(self.nodes, weights=owner, minlength=self.size)
         p = (ones + 0.02) / (total + 0.04)
         self.stretch = np.log(p / (1 - p)).astype(np.float32)
+        self.alone = 1 / (1 + np.exp(-self.stretch))            # order 0 alone
         self.hashes = hashed(np.arange(self.size) + (1 << 40))
 
     def expand(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +189,9 @@ class Code:
 
 def slots(context: np.ndarray, node: np.ndarray, size: int) -> np.ndarray:
     """Table slots of (context, node), both hashed already: the high bits of their sum."""
-    return ((context + node) >> np.uint64(64 - size.bit_length() + 1)).view(np.int64)
+    out = context + node
+    out >>= np.uint64(64 - size.bit_length() + 1)
+    return out.view(np.int64)
 
 
 def hashed(x: np.ndarray) -> np.ndarray:
@@ -196,7 +211,9 @@ class Model:
         self.code = Code([max(escape, 1), max(counts[0], 1)] + counts[1:])
         self.tables: list[tuple[np.ndarray, np.ndarray]] = []
         self.ready: list[np.ndarray] = []
+        self.place = {w: i for i, w in enumerate(words)}   # of the symbols' words, then of the listed ones
         self.listed: dict[bytes, float] = {}   # -ln P of a word without a symbol, the escape given
+        self.list_costs = np.full(len(words) + 1, np.nan)   # the same by place; none for a word without a place (-1)
         self.unlisted = 0.0                    # -ln P of any other word, before its bytes
 
     def list_words(self, counts: dict[bytes, int], all_tokens: int, once: int, twice: int) -> None:
@@ -210,6 +227,8 @@ class Model:
                 self.listed[w] = math.log((all_tokens + 1) / (n - discount * 0.999))
                 rest -= n - discount * 0.999
         self.unlisted = math.log((all_tokens + 1) / rest)
+        self.place = {w: i for i, w in enumerate([*self.words, *self.listed])}
+        self.list_costs = np.array([*[math.nan] * len(self.words), *self.listed.values(), math.nan])
 
     def prepare(self) -> None:
         """The tables as scoring reads them, once per task: (ones, all) of the contexts, and
@@ -224,6 +243,15 @@ class Model:
                 weight = seen.astype(np.float32) * np.float32(k - 1)
                 self.ready.append(np.stack([weight * odds, weight], axis=1))
 
+    def places(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.place.get, words, repeat(-1)), np.int32, len(words))
+
+    def symbols_at(self, places: np.ndarray) -> np.ndarray:
+        """As ``symbols``, of words whose places are known."""
+        out = np.ones(len(places) + 1, np.int32)
+        out[:-1] = np.where((places >= 0) & (places < len(self.words)), places + 2, 0)
+        return out
+
     def symbols(self, words: list[bytes]) -> np.ndarray:
         out = np.empty(len(words) + 1, np.int32)
         out[:-1] = np.fromiter(map(self.number.get, words, repeat(0)), np.int32, len(words))
@@ -286,7 +314,9 @@ def gather(train: DataFrame, counts: DataFrame, model) -> list[tuple[np.ndarray,
         return {t: np.zeros(2 * sizes[t], np.uint32) for t in tables}  # zeros and ones of a slot side by side
 
     def add(sums: np.ndarray, slot: np.ndarray, bit: np.ndarray) -> None:
-        np.add.at(sums, (slot * 2 + bit).ravel(), np.uint32(1))
+        slot <<= 1
+        slot += bit
+        np.add.at(sums, slot.ravel(), np.uint32(1))
 
     def blocks(sums: dict[int, np.ndarray]):
         for t, s in sums.items():
@@ -313,7 +343,7 @@ def gather(train: DataFrame, counts: DataFrame, model) -> list[tuple[np.ndarray,
             for (text,) in rows(batch, "text"):
                 texts.append(m.symbols(words_of(text)))
                 held += len(texts[-1])
-                if held > 300_000:
+                if held * 10 > BUFFER:
                     close(texts)
                     texts, held = [], 0
         if texts:
@@ -378,7 +408,9 @@ def gather(train: DataFrame, counts: DataFrame, model) -> list[tuple[np.ndarray,
 
 def _cost(z: np.ndarray, bit: np.ndarray) -> np.ndarray:
     """-ln P(bit) for log odds z of a one."""
-    return np.log(1 + np.exp(np.where(bit > 0, -z, z)))
+    out = np.exp(np.where(bit > 0, -z, z))
+    out += 1
+    return np.log(out, out=out)
 
 
 def spell_costs(model: Model, words: list[bytes]) -> np.ndarray:
@@ -402,43 +434,47 @@ def mix(model: Model, flat: np.ndarray, c1: np.ndarray, c2: np.ndarray, segment:
     index, place = code.expand(flat[order])
     node, bit = code.nodes[index], code.bits[index]
     token_c1, token_c2 = c1[order], c2[order]
-    inputs = np.empty((len(index), 3), np.float32)
-    inputs[:, 0] = code.stretch[node]
-    node = code.hashes[node]
+    inputs = [code.stretch.take(node)]
+    p = code.alone.take(node)
+    node = code.hashes.take(node)
     size = code.lengths[flat[order]]
     first = np.cumsum(size) - size                          # first bit of each symbol
     gate = np.zeros(len(flat), np.int64)
-    p = 1 / (1 + np.exp(-inputs[:, 0]))
     for k, c in enumerate((token_c1, token_c2)):
         slot = slots(c[place], node, SLOTS)
         found = model.ready[k].take(slot, axis=0)           # what was seen, on the shorter context's prediction
         p = (found[:, 0] + np.float32(STRENGTH[k]) * p) / (found[:, 1] + np.float32(STRENGTH[k]))
         np.clip(p, 1e-6, 1 - 1e-6, out=p)
-        inputs[:, 1 + k] = np.log(p / (1 - p))
+        inputs.append(np.log(p / (1 - p)))
         gate = gate * 6 + np.minimum(model.tables[k][1].take(slot[first]) >> 4, 5)
     seg_sorted = segment[order]
     gate += seg_sorted * 36
-    weights = np.tile(np.array(START, np.float32), (n_seg * 36, 1))
+    weights = [np.full(n_seg * 36, w, np.float32) for w in START]
     # adaptive stage: 24 cells of log odds, start at their middle
     cells = np.tile(((np.arange(24) - 11.5) * 0.75).astype(np.float32), n_seg)
     bounds = np.searchsorted(step[order], np.arange(int(step.max()) + 2))
-    target = bit.astype(np.float32)
+    target, row = bit.astype(np.float32), seg_sorted * 24
     mixed = np.empty(len(index), np.float32)
     for t in range(len(bounds) - 1):
         a, b = bounds[t], bounds[t + 1]
         lo, hi = first[a], first[b] if b < len(flat) else len(index)
-        g, n = gate[a:b], size[a:b]
-        x, y = inputs[lo:hi], target[lo:hi]
-        w = weights.take(g, axis=0)
-        z = np.einsum("ij,ij->i", x, np.repeat(w, n, axis=0))
+        g = gate[a:b]
+        x, y = [i[lo:hi] for i in inputs], target[lo:hi]
+        w = [v.take(g) for v in weights]
+        owner = place[lo:hi] - a
+        z = w[0].take(owner) * x[0]
+        z += w[1].take(owner) * x[1]
+        z += w[2].take(owner) * x[2]
         np.clip(z, -14, 14, out=z)
         cell = (z * np.float32(1 / 0.75) + np.float32(12)).astype(np.int64)
         np.clip(cell, 0, 23, out=cell)
-        cell += np.repeat(seg_sorted[a:b] * 24, n)
+        cell += row.take(place[lo:hi])
         refined = cells.take(cell)
         mixed[lo:hi] = np.float32(0.7) * z + np.float32(0.3) * refined
         error = y - 1 / (1 + np.exp(-z))
-        weights[g] = w + np.float32(RATE) * np.add.reduceat(error[:, None] * x, first[a:b] - lo, axis=0)
+        at = first[a:b] - lo
+        for v, old, i in zip(weights, w, x):
+            v[g] = old + np.float32(RATE) * np.add.reduceat(error * i, at)
         q = 1 / (1 + np.exp(-refined))
         cells[cell] = refined + np.float32(APM_RATE) * (y - q) / np.maximum(q * (1 - q), np.float32(0.05))
     out = np.empty(len(flat))
@@ -446,13 +482,15 @@ def mix(model: Model, flat: np.ndarray, c1: np.ndarray, c2: np.ndarray, segment:
     return out
 
 
-def score_texts(model: Model, texts: list[list[bytes]], spelled: dict[bytes, float]) -> list[float]:
-    """log10 P of each text (as words)."""
+def score_texts(model: Model, texts: list[list[bytes]], spelled: dict[bytes, float],
+                places: list[np.ndarray] | None = None) -> list[float]:
+    """log10 P of each text (as words); ``places`` of the words, if known."""
     if not model.ready:
         model.prepare()
-    symbols = [model.symbols(w) for w in texts]
-    escaped = [[ws[i] for i in np.nonzero(s == 0)[0].tolist()] for ws, s in zip(texts, symbols)]
-    every = set().union(*escaped).difference(model.listed)
+    places = places or [model.places(w) for w in texts]
+    symbols = [model.symbols_at(p) for p in places]
+    others = [[ws[i] for i in np.flatnonzero(p < 0).tolist()] for ws, p in zip(texts, places)]
+    every = set().union(*others)
     new = every.difference(spelled)
     if len(spelled) + len(new) > SPELL_CACHE:
         spelled.clear()
@@ -469,9 +507,11 @@ def score_texts(model: Model, texts: list[list[bytes]], spelled: dict[bytes, flo
     fresh[1:] = (segment[1:] != segment[:-1]) | (text[1:] != text[:-1])
     costs = mix(model, flat, c1, c2, np.cumsum(fresh) - 1)
     total = np.bincount(text, weights=costs, minlength=len(sizes))
-    listed = model.listed
-    for i, words in enumerate(escaped):
-        total[i] += sum([listed[w] if w in listed else spelled[w] for w in words])
+    for i, (p, s, words) in enumerate(zip(places, symbols, others)):
+        p = p[s[:-1] == 0]
+        cost = model.list_costs.take(p)
+        cost[p < 0] = [spelled[w] for w in words]
+        total[i] += sum(cost.tolist())
     return (-total / math.log(10)).tolist()
 
 
@@ -511,33 +551,29 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         if not m.listed:
             m.list_words(known, without, sizes.get(1, 0), sizes.get(2, 0))
         spelled: dict[bytes, float] = {}
-        logs = {w: math.log10(n + 1) for w, n in known.items()}
+        logs = np.array([math.log10(known[w] + 1) for w in m.place])
         task, row = TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts, heads, held = [], [], 0
+            texts, places, heads, rare, held = [], [], [], [], 0
 
             def close():
-                return [(*h[:7], s, h[7]) for h, s in zip(heads, score_texts(m, texts, spelled))] if texts else []
+                return _scored_batch(heads, score_texts(m, texts, spelled, places) if texts else [], rare, schema)
 
             for doc_id, text, out_of in rows(batch, "doc_id", "text", "held_out"):
                 words = words_of(text)
-                found = list(map(logs.get, words))
-                rare: dict[bytes, int] = {}
-                if None in found:
-                    for w, x in zip(words, found):
-                        if x is None:
-                            rare[w] = rare.get(w, 0) + 1
-                    found = [x for x in found if x is not None]
+                at = m.places(words)
+                found = at[at >= 0]
                 heads.append(((task << 40) | row, doc_id, out_of, len((text or "").encode()), len(words) + 1,
-                              len(found) + (ends > 0), math.fsum(found) + log_ends,
-                              [{"w": w, "m": k} for w, k in rare.items()]))
+                              len(found) + (ends > 0), math.fsum(logs.take(found).tolist()) + log_ends))
+                rare.append(Counter([words[i] for i in np.flatnonzero(at < 0).tolist()] if len(found) < len(at) else ()))
                 row += 1
                 texts.append(words)
+                places.append(at)
                 held += len(words) + 1
                 if held * 10 > BUFFER:
-                    yield _batch(close(), schema)
-                    texts, heads, held = [], [], 0
-            yield _batch(close(), schema)
+                    yield close()
+                    texts, places, heads, rare, held = [], [], [], [], 0
+            yield close()
 
     scored = materialize(base.mapInArrow(run, SCORED), "scored")
     # counts of the words that were not broadcast

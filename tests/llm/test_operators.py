@@ -479,6 +479,28 @@ def test_lm_listed_words():
     assert model.unlisted == 0.0
 
 
+def test_lm_places():
+    """Symbols and listed words are found by one lookup a word; scores are the same with places given."""
+    from airnet.llm import lm_scoring as L
+    rng = np.random.default_rng(3)
+    model = L.Model([b"a", b"b"], [5, 9, 7], 14)
+    model.list_words({b"a": 9, b"b": 7, b"x": 4, b"y": 2}, 14, 8, 2)
+    sizes = [L.SLOTS, L.SLOTS] + [L.SPELL_SLOTS] * len(L.SPELL_ORDERS)
+    model.tables = [(rng.normal(0, 1, s).astype(np.float16), rng.integers(0, 60, s).astype(np.uint8)) for s in sizes]
+    texts = [[b"a", b"x", b"new", b"b"], [], [b"new", b"new", b"y"]]
+    places = [model.places(t) for t in texts]
+    assert [p.tolist() for p in places] == [[0, 2, -1, 1], [], [-1, -1, 3]]
+    assert all((model.symbols_at(p) == model.symbols(t)).all() for p, t in zip(places, texts))
+    got = L.score_texts(model, texts, {}, places)
+    assert got == L.score_texts(model, texts, {})
+    # an escape costs the listed word's share, or its bytes after what is not listed
+    plain = L.score_texts(model, [[b"a", b"y", b"y", b"b"]], {})[0]
+    assert math.isclose(plain - L.score_texts(model, [[b"a", b"x", b"x", b"b"]], {})[0],
+                        2 * (model.listed[b"x"] - model.listed[b"y"]) / math.log(10), rel_tol=1e-9)
+    row = L._scored_batch([(1, 2, False, 3, 4, 5, 0.5)], [-1.5], [{b"new": 2, b"z": 1}], L.arrow(L.SCORED)).to_pylist()
+    assert row[0]["rare"] == [{"w": b"new", "m": 2}, {"w": b"z", "m": 1}] and row[0]["score"] == -1.5
+
+
 @pytest.mark.parametrize("share", [0.26, 0.3, 0.45])
 def test_quality_outliers_of_a_junk_source(spark, share):
     """A source of which nearly half is junk: all of it goes, and the clean texts stay."""
