@@ -88,7 +88,7 @@ def _batch(out: list, schema: pa.Schema) -> pa.RecordBatch:
 
 def _scored_batch(heads: list[tuple], scores: list[float], rare: list[dict[bytes, int]], schema: pa.Schema) -> pa.RecordBatch:
     """Rows of ``SCORED``: what stands before the score, the scores, the words with no broadcast count."""
-    cols = list(zip(*heads)) or [[] for _ in schema[:-2]]
+    cols = list(zip(*heads)) or [[] for _ in schema.names[:-2]]
     cols = [pa.array(c, f.type) for c, f in zip([*cols, scores], schema)]
     kind = schema.field("rare").type
     fields = [kind.value_type.field(i) for i in range(2)]

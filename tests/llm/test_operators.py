@@ -406,6 +406,18 @@ def test_lm_scores_of_any_partitions(spark, monkeypatch, texts):
     assert all(math.isclose(got[0][d], got[1][d], rel_tol=1e-5) for d in texts)
 
 
+def test_lm_batch_ends_on_a_chunk(spark, monkeypatch, texts):
+    """The last text of a batch may close a chunk, so that no row is left over for the last one."""
+    from airnet.llm import lm_scoring as L
+    docs = spark.createDataFrame([(d, t) for d, t in texts.items()], "doc_id long, text string").coalesce(1)
+    want = {r.doc_id: r.score for r in L.lm_scores(docs).collect()}
+    monkeypatch.setattr(L, "BUFFER", 9)   # each text is a chunk
+    got = {r.doc_id: r.score for r in L.lm_scores(docs).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[d], want[d], rel_tol=1e-6) for d in want)
+    none = L._scored_batch([], [], [], L.arrow(L.SCORED))
+    assert none.num_rows == 0 and none.schema == L.arrow(L.SCORED)
+
+
 def test_lm_is_a_distribution():
     """The probabilities of all texts of one word from a closed set, and the rest, sum to at most 1."""
     from airnet.llm import lm_scoring as L
