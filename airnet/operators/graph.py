@@ -4,7 +4,7 @@ Vertices are keyed by station name (no driver-side id map).  One diffusion step
 ``alpha * value`` along every edge in both directions, sums what each vertex receives
 and adds it:  ``p[k+1] = p[k] + alpha * A p[k]`` with ``A`` the symmetric adjacency
 counted with multiplicity (a parallel edge sends twice, a self-loop sends to itself
-twice).  The edge list is reduced once to ``(src, dst, weight)`` and persisted; each
+twice).  The edge list is reduced once to ``(src, dst, weight)`` and written; each
 step joins it with the current state, the weights hash-partitioned by ``(src, salt)`` (hubs salted) and sorted
 once so that only the state moves, and sums by destination (partial + final aggregate).  All states
 lie in one store, partitioned by iteration.
@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airnet.session import materialize, scratch_path
+from airnet.session import materialize, scratch_path, write_once
 
 
 def graph_vertices(edges: DataFrame, src: str = "src", dst: str = "dst", *, name: str = "name",
@@ -144,7 +144,7 @@ def diffuse(state: DataFrame, edges: DataFrame, alpha: float = 0.10, steps: int
     """Run ``steps`` diffusion steps.
 
     Returns the final state, or with ``snapshots`` every state ``0..steps`` tagged with
-    ``iter``.  The symmetric edge weights are computed once, hash-partitioned by ``(src, salt)`` and
+    ``iter``.  The symmetric edge weights are written once, then hash-partitioned by ``(src, salt)`` and
     persisted, so each step shuffles only the state, and a hub (more than ``hot_degree`` edges) is
     split over ``salts`` tasks; the path is the same at every size.
     States are cut from their lineage in one store below the shared
@@ -158,16 +158,14 @@ def diffuse(state: DataFrame, edges: DataFrame, alpha: float = 0.10, steps: int
     store = scratch_path(spark, "diffusion")
 
     def stored(frame: DataFrame, k: int) -> DataFrame:
-        frame.write.parquet(f"{store}/iter={k}")
-        return spark.read.parquet(f"{store}/iter={k}")
+        return write_once(frame, f"{store}/iter={k}")
 
     cur = stored(state.select(name, value, *[c for c in state.columns if c not in (name, value)]), 0)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = symmetric_weights(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
+    base = materialize(symmetric_weights(edges, src, dst), "weights")
     weights, hubs = partitioned_weights(base, partitions=n, hot_degree=hot_degree, salts=salts)
     weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
-    weights.count()  # fill the partitioned cache from the base cache, then drop the base
-    base.unpersist()
+    weights.count()  # fill the partitioned cache
     for k in range(1, steps + 1):
         cur = diffuse_step(cur, weights, alpha, name=name, value=value, hubs=hubs, salts=salts)
         if snapshots or k == steps or (checkpoint_every and k % checkpoint_every == 0):

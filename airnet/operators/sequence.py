@@ -39,28 +39,30 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str)
     return left.join(right, on, how).drop(*[f"__r{c}" for c in cols])
 
 
-def sorted_places(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+def sorted_places(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None, *,
+                  keep_order: bool = True) -> DataFrame:
     """``df`` range-partitioned and sorted by keys and order, written once with ``__pid`` (partition) and
-    ``__pos`` (place in it), so that later plans never see other bounds."""
+    ``__pos`` (place in it), so that later plans never see other bounds.  Without ``keep_order`` the order columns
+    are not written."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
                 .withColumn("__mid", F.monotonically_increasing_id()))
-    tagged = materialize(tagged, "places")
+    tagged = materialize(tagged if keep_order else tagged.drop(*order), "places")
     return (tagged.withColumn("__pid", F.shiftright(F.col("__mid"), _PLACE_BITS))
                   .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).drop("__mid"))
 
 
 def position_in_key(df: DataFrame, keys, order, *, copy_keys: bool = True, partitions: int | None = None,
-                    n_keys: int | None = None) -> tuple[DataFrame, list[str]]:
+                    n_keys: int | None = None, keep_order: bool = True) -> tuple[DataFrame, list[str]]:
     """Add ``__idx``: exact 0-based position of the row inside its key along ``order`` (NULLs first).
-    Returns the frame and the key columns to partition by.
+    Returns the frame, without the order columns unless ``keep_order``, and the key columns to partition by.
 
     The offsets have at most one row per partition and one more per key; with ``n_keys``, a bound that the
     caller knows, they need not be counted before they are broadcast."""
     keys, order = as_list(keys), as_list(order)
     base, sk = key_copies(df, keys) if copy_keys else (df, keys)
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = sorted_places(base, sk, order, partitions)
+    placed = sorted_places(base, sk, order, partitions, keep_order=keep_order)
     sizes = placed.groupBy(*sk, "__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__start"))
     before = Window.partitionBy(*sk).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*sk, "__pid", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__start")).alias("__off"))

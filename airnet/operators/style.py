@@ -83,26 +83,31 @@ def dot_documents(node_lines: DataFrame, edge_lines: DataFrame, iterations: list
     """The DOT documents of several iterations as rows ``(iter, line_no, value)``, ``line_no`` from 0: header,
     nodes by id, edges by their two ids and label, footer.
 
-    The line numbers are a distributed prefix sum, so no document passes through one task.
+    The line numbers are a distributed prefix sum, so no document passes through one task. The edges are the same lines in
+    every document: they are sorted and written once and copied to the iterations when they are read.
     ``title`` takes the iteration.
     """
     spark = node_lines.sparkSession
-    its = spark.createDataFrame([(int(i),) for i in iterations], f"{iter_col} int")
-    text = [F.format_string(h, F.format_string(title, F.col(iter_col))) if "%s" in h else F.lit(h) for h in DOT_HEADER]
-    fixed = F.explode(F.array(*[F.struct(F.lit(0 if i < len(text) else 3).alias("section"), F.lit(i).cast("long").alias("k1"), t.alias("value"))
-                                for i, t in enumerate([*text, F.lit(DOT_FOOTER)])]))
-    blank = [F.lit(0).cast("long").alias("k2"), F.lit("").alias("k3")]
-    frame = its.select(iter_col, fixed.alias("f")).select(iter_col, "f.section", "f.k1", *blank, "f.value")
-    nodes = (node_lines.where(F.col(iter_col).isin(list(iterations)))
-             .select(F.col(iter_col).cast("int").alias(iter_col), F.lit(1).alias("section"), F.col(node_key).cast("long").alias("k1"), *blank,
-                     F.col(node_text).alias("value")))
+    iterations = list(dict.fromkeys(int(i) for i in iterations))
+    its = spark.createDataFrame([(i,) for i in iterations], f"{iter_col} int")
+    nodes = (node_lines.where(F.col(iter_col).isin(iterations))
+             .select(F.col(iter_col).cast("int").alias(iter_col), F.col(node_key).cast("long").alias("k1"), F.col(node_text).alias("value")))
+    nodes, _ = position_in_key(nodes, [iter_col], ["k1"], n_keys=len(iterations), keep_order=False)
     a, b, c = edge_key
-    every = F.explode(F.array(*[F.lit(int(i)) for i in iterations])) if iterations else F.explode(F.array().cast("array<int>"))
-    edges = edge_lines.select(every.alias(iter_col), F.lit(2).alias("section"), F.col(a).cast("long").alias("k1"),
-                              F.col(b).cast("long").alias("k2"), F.col(c).cast("string").alias("k3"), F.col(edge_text).alias("value"))
-    lines = frame.unionByName(nodes).unionByName(edges)
-    placed, _ = position_in_key(lines, [iter_col], ["section", "k1", "k2", "k3"], n_keys=len(iterations))
-    return placed.select(iter_col, F.col("__idx").alias("line_no"), "value")
+    edges = edge_lines.where(F.lit(bool(iterations))).select(
+        F.col(a).cast("long").alias("k1"), F.col(b).cast("long").alias("k2"), F.col(c).cast("string").alias("k3"), F.col(edge_text).alias("value"))
+    edges, _ = position_in_key(edges, [], ["k1", "k2", "k3"], n_keys=1, keep_order=False)
+    # one row per iteration: where its edges and its footer stand
+    text = [F.format_string(h, F.format_string(title, F.col(iter_col))) if "%s" in h else F.lit(h) for h in DOT_HEADER]
+    n_nodes = nodes.groupBy(iter_col).agg(F.count(F.lit(1)).alias("n"))
+    frame = (its.join(F.broadcast(n_nodes), iter_col, "left").crossJoin(F.broadcast(edges.agg(F.count(F.lit(1)).alias("edges"))))
+             .select(iter_col, "edges", (F.lit(len(text)) + F.coalesce("n", F.lit(0))).alias("start")))
+    fixed = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("line_no"), t.alias("value")) for i, t in enumerate(text)],
+                              F.struct((F.col("start") + F.col("edges")).alias("line_no"), F.lit(DOT_FOOTER).alias("value"))))
+    return (frame.select(iter_col, fixed.alias("f")).select(iter_col, "f.line_no", "f.value")
+            .unionByName(nodes.select(iter_col, (F.lit(len(text)) + F.col("__idx")).alias("line_no"), "value"))
+            .unionByName(edges.crossJoin(F.broadcast(frame.select(iter_col, "start")))
+                         .select(iter_col, (F.col("start") + F.col("__idx")).alias("line_no"), "value")))
 
 
 def write_dots(docs: DataFrame, path: str, *, iter_col: str = "iter", partitions: int | None = None) -> None:

@@ -17,6 +17,7 @@ from airnet.operators import (
     aggregates, anomalies, graph, joins, ml, profile, reshape, sequence, spatial, style, windows,
 )
 from airnet.plans.registry import register, r6, rsql
+from airnet.session import materialize
 from airnet.sources.tables import load_table
 
 EV_KEY, EV_ORDER = "user_id", ["ts", "event_id"]
@@ -679,11 +680,13 @@ def q_dot_edge_lines(spark, sf):
     return _edge_lines(spark, sf).select("line_text")
 
 
-def _edge_lines(spark, sf):
+def _edge_lines(spark, sf, written: bool = False):
     ids = graph.dense_ids(graph.stops_vertices(_stops(spark, sf), "l_partkey"))
-    e = style.edge_colors(_edges(spark, sf))
-    e = (e.join(ids.select(F.col("name").alias("src"), F.col("vertex_id").alias("src_id")), "src")
-          .join(ids.select(F.col("name").alias("dst"), F.col("vertex_id").alias("dst_id")), "dst"))
+    e = (_edges(spark, sf).join(ids.select(F.col("name").alias("src"), F.col("vertex_id").alias("src_id")), "src")
+         .join(ids.select(F.col("name").alias("dst"), F.col("vertex_id").alias("dst_id")), "dst"))
+    if written:
+        e = materialize(e.select("src_id", "dst_id", "line"), "edges")
+    e = style.edge_colors(e)  # after the joins, which need not move it
     return style.dot_edge_lines(e, src="src_id", dst="dst_id").select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"), "line", "line_text")
 
 
@@ -706,8 +709,8 @@ doc AS (SELECT iter, section, k1, 0 AS k2, '' AS k3, value FROM ({_DOT_FRAME_SQL
 SELECT CAST(iter AS INTEGER) AS iter, row_number() OVER (PARTITION BY iter ORDER BY section, k1, k2, k3) - 1 AS line_no, value FROM doc
 """)
 def q_dot_document(spark, sf):
-    """One ordered document per iteration."""
-    docs = style.dot_documents(_node_lines(spark, sf), _edge_lines(spark, sf), list(range(STEPS + 1)), _DOT_TITLE)
+    """One ordered document per iteration.  The edges are written first: a sort by range reads its rows twice."""
+    docs = style.dot_documents(_node_lines(spark, sf), _edge_lines(spark, sf, written=True), list(range(STEPS + 1)), _DOT_TITLE)
     return docs.select(F.col("iter").cast("int").alias("iter"), F.col("line_no").cast("long").alias("line_no"), "value")
 
 

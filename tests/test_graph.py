@@ -1,4 +1,5 @@
 import os
+import time
 
 import numpy as np
 import pytest
@@ -193,3 +194,45 @@ def test_dot_documents_have_a_line_order(spark, net, tmp_dir):
         text = "".join(open(os.path.join(folder, p)).read() for p in sorted(os.listdir(folder)) if p.startswith("part-"))
         assert text.splitlines() == [doc[i] for i in range(n)]
     assert style.dot_documents(nodes, el, []).count() == 0
+
+
+def test_dot_documents_sort_the_edges_once(spark, monkeypatch):
+    """Whatever the number of documents; repeated edges, ids without a value, an iteration without nodes."""
+    from airnet.operators import sequence
+    placed = []
+    plain = sequence.sorted_places
+    monkeypatch.setattr(sequence, "sorted_places", lambda *a, **b: placed.append(plain(*a, **b)) or placed[-1])
+    nodes = spark.createDataFrame([(i, v, f"node {i} {v}") for i in (0, 1, 3) for v in range(2 + i)] + [(1, None, "node none")],
+                                  "iter int, vertex_id long, line string")
+    pairs = [(2, 1, "b"), (0, 1, "10"), (0, 1, "9"), (2, 1, "b"), (0, 1, None), (None, 0, "a")]
+    edges = spark.createDataFrame([(*p, "edge {} {} {}".format(*p)) for p in pairs], "src long, dst long, line string, line_text string")
+    docs = style.dot_documents(nodes, edges, [0, 1, 2], "step %s")
+    assert docs.columns == ["iter", "line_no", "value"]
+    assert sum(p.count() for p in placed) == 6 + len(pairs)   # nodes of iterations 0 and 1, each edge once
+    ends = ["edge None 0 a", "edge 0 1 None", "edge 0 1 10", "edge 0 1 9", "edge 2 1 b", "edge 2 1 b", "}"]
+    got = {i: {} for i in range(3)}
+    for r in docs.collect():
+        assert r["line_no"] not in got[r["iter"]]
+        got[r["iter"]][r["line_no"]] = r["value"]
+    for i, own in enumerate([["node 0 0", "node 0 1"], ["node none", "node 1 0", "node 1 1", "node 1 2"], []]):
+        doc = [got[i].get(k) for k in range(len(got[i]))]
+        assert doc[0] == "graph metro {" and f'"step {i}"' in doc[1] and doc[4:] == own + ends
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """What is written once leaves no shuffle files behind, and the session's setting stays."""
+    from airnet import session
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        every = found.getAllFiles()
+        return {n for n in (every.apply(i).getName() for i in range(every.size())) if n.startswith("shuffle_") and n.endswith(".data")}
+
+    before, kept = files(), spark.conf.get(session._FREE_SHUFFLES)
+    df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.sum("id").alias("n"))
+    out = session.materialize(df)
+    assert sorted(r["n"] for r in out.collect()) == [sum(range(i, 1000, 10)) for i in range(10)]
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(session._FREE_SHUFFLES) == kept
